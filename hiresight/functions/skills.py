@@ -78,31 +78,85 @@ def word_only_abbreviations(whitelist=None) -> list:
     return out
 
 
-def _lexicon_literal(pairs) -> Column:
-    return F.array(*[F.struct(F.lit(p).alias("p"), F.lit(s).alias("s")) for p, s in pairs])
+def _regex_escape(p: str) -> str:
+    out = []
+    for ch in p:
+        out.append("\\" + ch if ch in "\\.^$|?*+()[]{}#- " else ch)
+    return "".join(out)
+
+
+def trie_regex(patterns) -> str:
+    """One regex matching the longest pattern starting at a position.
+
+    Patterns are arranged as a trie, so at every text position the engine
+    follows at most one branch per character (no per-pattern rescans); an end
+    of a pattern inside the trie is an optional (greedy) continuation.
+    """
+    trie: dict = {}
+    for w in patterns:
+        node = trie
+        for ch in w:
+            node = node.setdefault(ch, {})
+        node[""] = {}
+
+    def emit(node) -> str:
+        alts = [_regex_escape(ch) + emit(node[ch]) for ch in sorted(k for k in node if k != "")]
+        if not alts:
+            return ""
+        body = alts[0] if len(alts) == 1 else "(?:" + "|".join(alts) + ")"
+        return "(?:" + body + ")?" if "" in node else body
+
+    return emit(trie)
+
+
+@functools.lru_cache(maxsize=8)
+def _matcher_plan(whitelist_key):
+    """(regex, {longest match -> skills of every pattern that is a prefix of it})."""
+    whitelist = set(whitelist_key) if whitelist_key is not None else None
+    by_pattern: dict = {}
+    for p, s in pattern_pairs(whitelist):
+        by_pattern.setdefault(p, []).append(s)
+    expand = {}
+    for p in by_pattern:
+        skills = []
+        for q, ss in by_pattern.items():
+            if p.startswith(q):
+                skills += ss
+        expand[p] = sorted(set(skills))
+    # zero-width lookahead: every start position is tried, overlaps included
+    return "(?=(" + trie_regex(sorted(by_pattern)) + "))", expand
 
 
 def skill_extract(text, whitelist=None, match: str = "substring") -> Column:
     """Sorted distinct skills found in a free text.
 
     ``match='substring'`` reproduces the reference semantics (a pattern anywhere
-    in the normalised text, so 'es' or 'rn' fire inside words); ``match='word'``
-    requires word boundaries on both sides.
+    in the normalised text, so 'es' or 'rn' fire inside words); it is one
+    regex pass per row: at each position the longest lexicon pattern is
+    captured and expanded to all patterns that are its prefixes (exactly the
+    patterns occurring at that position).  ``match='word'`` requires word
+    boundaries on both sides.
     """
     t = F.col(text) if isinstance(text, str) else text
     norm = normalise_for_skills(t)
-    pairs = pattern_pairs(whitelist)
-    lex = _lexicon_literal(pairs)
     if match == "substring":
-        hits = F.filter(lex, lambda e: F.instr(norm, e["p"]) > 0)
+        key = tuple(sorted(whitelist)) if whitelist is not None else None
+        regex, expand = _matcher_plan(key)
+        lookup = F.create_map(*[x for p, ss in expand.items() for x in (F.lit(p), F.array(*[F.lit(v) for v in ss]))])
+        hits = F.array_distinct(F.regexp_extract_all(norm, F.lit(regex), 1))
+        found = F.flatten(F.transform(hits, lambda h: F.element_at(lookup, h)))
+        tokens_src = norm
     elif match == "word":
+        pairs = pattern_pairs(whitelist)
+        lex = F.array(*[F.struct(F.lit(p).alias("p"), F.lit(s).alias("s")) for p, s in pairs])
         hits = F.filter(lex, lambda e: norm.rlike(F.concat(
             F.lit(f"(^|[^{WORD_CLASS}])"), F.lit("\\Q"), e["p"], F.lit("\\E"), F.lit(f"($|[^{WORD_CLASS}])"))))
+        found = F.transform(hits, lambda e: e["s"])
+        tokens_src = norm
     else:
         raise ValueError(match)
-    found = F.transform(hits, lambda e: e["s"])
-    tokens = F.split(norm, " ")
-    extra = [F.when(F.array_contains(tokens, abbr), F.lit(full)) for abbr, full in word_only_abbreviations(whitelist)]
+    extra = [F.when(F.array_contains(F.split(tokens_src, " "), abbr), F.lit(full))
+             for abbr, full in word_only_abbreviations(whitelist)]
     if extra:
         found = F.concat(found, F.array_compact(F.array(*extra)))
     empty = F.array().cast("array<string>")

@@ -109,9 +109,18 @@ def trie_regex(patterns) -> str:
     return emit(trie)
 
 
+def _is_word_char(ch: str) -> bool:
+    return ch.isalnum() or ch == "_"
+
+
 @functools.lru_cache(maxsize=8)
-def _matcher_plan(whitelist_key):
-    """(regex, {longest match -> skills of every pattern that is a prefix of it})."""
+def _matcher_plan(whitelist_key, word: bool = False):
+    """(regex, {longest match -> skills of the patterns found with it}).
+
+    Substring mode: a match p stands for every pattern that is a prefix of p.
+    Word mode: the match must end at a word boundary (and start at one), and
+    a prefix q of p counts only if p continues with a non-word character.
+    """
     whitelist = set(whitelist_key) if whitelist_key is not None else None
     by_pattern: dict = {}
     for p, s in pattern_pairs(whitelist):
@@ -120,11 +129,15 @@ def _matcher_plan(whitelist_key):
     for p in by_pattern:
         skills = []
         for q, ss in by_pattern.items():
-            if p.startswith(q):
+            if p.startswith(q) and (not word or len(q) == len(p) or not _is_word_char(p[len(q)])):
                 skills += ss
         expand[p] = sorted(set(skills))
+    trie = trie_regex(sorted(by_pattern))
+    if word:
+        nw = f"[{WORD_CLASS}]"
+        return f"(?<!{nw})(?=((?:{trie})(?!{nw})))", expand
     # zero-width lookahead: every start position is tried, overlaps included
-    return "(?=(" + trie_regex(sorted(by_pattern)) + "))", expand
+    return "(?=(" + trie + "))", expand
 
 
 def skill_extract(text, whitelist=None, match: str = "substring") -> Column:
@@ -139,22 +152,14 @@ def skill_extract(text, whitelist=None, match: str = "substring") -> Column:
     """
     t = F.col(text) if isinstance(text, str) else text
     norm = normalise_for_skills(t)
-    if match == "substring":
-        key = tuple(sorted(whitelist)) if whitelist is not None else None
-        regex, expand = _matcher_plan(key)
-        lookup = F.create_map(*[x for p, ss in expand.items() for x in (F.lit(p), F.array(*[F.lit(v) for v in ss]))])
-        hits = F.array_distinct(F.regexp_extract_all(norm, F.lit(regex), 1))
-        found = F.flatten(F.transform(hits, lambda h: F.element_at(lookup, h)))
-        tokens_src = norm
-    elif match == "word":
-        pairs = pattern_pairs(whitelist)
-        lex = F.array(*[F.struct(F.lit(p).alias("p"), F.lit(s).alias("s")) for p, s in pairs])
-        hits = F.filter(lex, lambda e: norm.rlike(F.concat(
-            F.lit(f"(^|[^{WORD_CLASS}])"), F.lit("\\Q"), e["p"], F.lit("\\E"), F.lit(f"($|[^{WORD_CLASS}])"))))
-        found = F.transform(hits, lambda e: e["s"])
-        tokens_src = norm
-    else:
+    if match not in ("substring", "word"):
         raise ValueError(match)
+    key = tuple(sorted(whitelist)) if whitelist is not None else None
+    regex, expand = _matcher_plan(key, match == "word")
+    lookup = F.create_map(*[x for p, ss in expand.items() for x in (F.lit(p), F.array(*[F.lit(v) for v in ss]))])
+    hits = F.array_distinct(F.regexp_extract_all(norm, F.lit(regex), 1))
+    found = F.flatten(F.transform(hits, lambda h: F.element_at(lookup, h)))
+    tokens_src = norm
     extra = [F.when(F.array_contains(F.split(tokens_src, " "), abbr), F.lit(full))
              for abbr, full in word_only_abbreviations(whitelist)]
     if extra:

@@ -69,9 +69,16 @@ def q_hot_skills(spark, sf_dir):
     return hot_skills(C.clean_postings(spark, sf_dir), 20)
 
 
+def _load_modules():
+    # query modules register themselves on import
+    from . import q_core  # noqa: F401
+
+
 def queries() -> dict:
+    _load_modules()
     return dict(QUERIES)
 
 
 def oracle_sql() -> dict:
+    _load_modules()
     return dict(ORACLE)

@@ -136,7 +136,7 @@ sized AS (
 enr1 AS (
   SELECT *, CASE {bands} END AS company_size_category,
          CAST(company_size >= (SELECT quantile_cont(n, 0.75) FROM company_counts) AS INTEGER) AS is_big_company,
-         CASE {mult} ELSE {CITY_MULTIPLIER_DEFAULT} END AS city_multiplier,
+         CAST(CASE {mult} ELSE {CITY_MULTIPLIER_DEFAULT} END AS DOUBLE) AS city_multiplier,
          CAST(city IN ('Ho Chi Minh City', 'Hanoi') AS INTEGER) AS is_big_city,
          {combos},
          CAST(len(list_intersect(skills, {str_list(hv)})) AS INTEGER) AS num_high_value_skills
@@ -152,3 +152,56 @@ enriched AS (
 
 def with_ctes(ctes: str, body: str) -> str:
     return f"WITH {ctes}\n{body}"
+
+
+# ----------------------------------------------------------------- parsers
+from ..functions.constants import (FROM_WORDS_A, FROM_WORDS_B, MILLION_WORDS,  # noqa: E402
+                                   NEGOTIABLE_WORDS_A, NEGOTIABLE_WORDS_B, THOUSAND_WORDS,
+                                   UP_TO_WORDS_A, UP_TO_WORDS_B)
+
+
+def _pick(raw: str, t: str, vals: str, neg: str, up_to, from_words):
+    first, second = f"CAST({vals}[1] AS VARCHAR)", f"CAST({vals}[2] AS VARCHAR)"
+    blank = f"({raw} IS NULL OR {raw} = '' OR {neg} OR len({vals}) = 0)"
+    lo = (f"(CASE WHEN {blank} THEN '' WHEN len({vals}) >= 2 THEN {first} "
+          f"WHEN {any_instr(t, up_to)} THEN '' ELSE {first} END)")
+    hi = (f"(CASE WHEN {blank} THEN '' WHEN len({vals}) >= 2 THEN {second} "
+          f"WHEN {any_instr(t, up_to)} THEN {first} WHEN {any_instr(t, from_words)} THEN '' ELSE {first} END)")
+    return lo, hi
+
+
+def salary_text_a_sql(raw: str):
+    t = f"trim(regexp_replace(replace(lower({raw}), ',', '.'), '\\s+', ' ', 'g'))"
+    mult = (f"(CASE WHEN {any_instr(t, MILLION_WORDS)} THEN 1000000.0 "
+            f"WHEN {any_instr(t, THOUSAND_WORDS + ['k'])} THEN 1000.0 ELSE 1.0 END)")
+    vals = (f"list_transform(regexp_extract_all({t}, '\\d+(?:\\.\\d+)?', 0), "
+            f"lambda n: CAST(trunc(CAST(n AS DOUBLE) * {mult}) AS BIGINT))")
+    return _pick(raw, t, vals, any_instr(t, NEGOTIABLE_WORDS_A), UP_TO_WORDS_A, FROM_WORDS_A)
+
+
+def salary_text_b_sql(raw: str):
+    t = f"trim(regexp_replace(replace(lower({raw}), chr(160), ' '), '\\s+', ' ', 'g'))"
+    k = f"regexp_matches({t}, '(^|[^\\p{{L}}\\p{{N}}_])k($|[^\\p{{L}}\\p{{N}}_])')"
+    mult = (f"(CASE WHEN {any_instr(t, MILLION_WORDS)} THEN 1000000 "
+            f"WHEN {any_instr(t, THOUSAND_WORDS)} OR {k} THEN 1000 ELSE 1 END)")
+    tok = ("(CASE WHEN regexp_matches(n, '[.,][0-9]{3}$') THEN TRY_CAST(regexp_replace(n, '[.,]', '', 'g') AS BIGINT) "
+           "ELSE CAST(trunc(TRY_CAST(replace(n, ',', '.') AS DOUBLE)) AS BIGINT) END)")
+    vals = (f"list_filter(list_transform(regexp_extract_all({t}, '\\d[\\d.,]*', 0), "
+            f"lambda n: {tok} * {mult}), lambda v: v IS NOT NULL)")
+    return _pick(raw, t, vals, any_instr(t, NEGOTIABLE_WORDS_B), UP_TO_WORDS_B, FROM_WORDS_B)
+
+
+def skills_word_sql(expr: str, whitelist=None) -> str:
+    """Whole-word matches: after normalisation the only non-word characters
+    are ' ' and '-', so a bounded occurrence is a padded substring test."""
+    pairs = pattern_pairs(whitelist)
+    lex = "[" + ", ".join(f"{{'p': {q(p)}, 's': {q(s)}}}" for p, s in pairs) + "]"
+    n = norm_sql(expr)
+    t2 = f"(' ' || {n} || ' ')"
+    cond = " OR ".join(f"instr({t2}, {a!r} || e.p || {b!r}) > 0" for a in (" ", "-") for b in (" ", "-"))
+    found = f"list_transform(list_filter({lex}, lambda e: {cond}), lambda e: e.s)"
+    for abbr, full in word_only_abbreviations(whitelist):
+        found = (f"list_concat({found}, CASE WHEN list_contains(string_split({n}, ' '), {q(abbr)}) "
+                 f"THEN [{q(full)}] ELSE []::VARCHAR[] END)")
+    return (f"(CASE WHEN {expr} IS NULL OR {expr} = '' THEN []::VARCHAR[] "
+            f"ELSE list_sort(list_distinct({found})) END)")

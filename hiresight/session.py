@@ -36,6 +36,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         b = b.master(master)
     conf = dict(CORE_CONF)
     conf["spark.ui.enabled"] = "false"
+    # only takes effect when this builder launches the JVM (local runs)
+    conf.setdefault("spark.driver.memory", os.environ.get("HIRESIGHT_DRIVER_MEMORY", "16g"))
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})

@@ -25,7 +25,11 @@ def balanced_layer(spark, sf):
     return cut_lineage(E.salary_outlier_adjust(E.skill_repair_high_pay(bal)))
 
 
-def fitted(spark, sf, fast=False):
+# the registered model queries use the compact profile (see ml.model_specs)
+CHECK_PROFILE_FAST = True
+
+
+def fitted(spark, sf, fast=CHECK_PROFILE_FAST):
     """Models trained once per input folder and session (the fit is the expensive part)."""
     key = (id(spark), sf, fast)
     if key not in _FITS:

@@ -26,8 +26,8 @@ def parse_years(c) -> Column:
     expr = F.when(raw.isNull() | (raw == ""), F.lit(DEFAULT_YEARS))
     for word, val in EXPERIENCE_LEVEL_WORDS:
         expr = expr.when(F.instr(s, word) > 0, F.lit(float(val)))
-    expr = (expr.when(F.size(nums) >= 2, (F.element_at(nums, 1) + F.element_at(nums, 2)) / 2)
-            .when(F.size(nums) == 1, F.element_at(nums, 1))
+    expr = (expr.when(F.size(nums) >= 2, (F.try_element_at(nums, F.lit(1)) + F.try_element_at(nums, F.lit(2))) / 2)
+            .when(F.size(nums) == 1, F.try_element_at(nums, F.lit(1)))
             .otherwise(F.lit(DEFAULT_YEARS)))
     return expr
 

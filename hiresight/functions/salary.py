@@ -33,8 +33,8 @@ def salary_midpoint(min_c, max_c) -> Column:
 
 def _pair(values: Column, text: Column, up_to, from_words) -> Column:
     """Pick (min, max) strings from parsed values, '' when missing."""
-    first = F.element_at(values, 1).cast("string")
-    second = F.element_at(values, 2).cast("string")
+    first = F.try_element_at(values, F.lit(1)).cast("string")
+    second = F.try_element_at(values, F.lit(2)).cast("string")
     empty = F.lit("")
     lo = (F.when(F.size(values) == 0, empty)
           .when(F.size(values) >= 2, first)

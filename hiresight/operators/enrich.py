@@ -134,7 +134,7 @@ def skill_repair_high_pay(df: DataFrame, flag_vocab=VALID_IT_SKILLS) -> DataFram
         F.array_intersect(F.array_except(r["skills"], skills), vocab).alias("new")))
     applicable = F.filter(adds, lambda a: (F.instr(title, a["pattern"]) > 0) & (F.size(a["new"]) > 0))
     basic = F.array_intersect(F.array(*[F.lit(s) for s in BASIC_SKILLS]), vocab)
-    chosen = F.when(F.size(applicable) > 0, F.element_at(applicable, 1)["new"]).otherwise(basic)
+    chosen = F.when(F.size(applicable) > 0, F.try_element_at(applicable, F.lit(1))["new"]).otherwise(basic)
     target = (F.col("salary") > 20) & (F.col("num_skills") < 3)
     new_skills = F.when(target, F.array_sort(F.array_distinct(F.concat(skills, chosen)))).otherwise(skills)
     return df.withColumn("skills", new_skills).withColumn("num_skills", F.size("skills"))

@@ -88,6 +88,27 @@ def item_stats(baskets: DataFrame, value_col: str, items_col: str = "items") ->
     return st.withColumn("increase", F.col("avg_value") - g)
 
 
+def per_distinct_basket(fn):
+    """Run a recommender once per distinct owned set and join the result back.
+
+    Profiles with the same skills get the same recommendations, and distinct
+    skill sets are far fewer than profiles; the result is keyed by the set and
+    attached to each profile with one equi-join on that key (AQE broadcasts the
+    per-set table when it is measured small, or splits a hot key).
+    """
+    def wrapped(profiles: DataFrame, *args, profile_col: str = "profile_id", owned_col: str = "owned", **kw):
+        key = F.array_join(F.array_sort(F.array_distinct(F.col(owned_col))), "|")
+        keyed = profiles.select(profile_col, key.alias("_set"))
+        sets = profiles.select(key.alias("_set"), F.array_sort(F.array_distinct(F.col(owned_col))).alias(owned_col)) \
+            .dropDuplicates(["_set"])
+        recs = fn(sets, *args, profile_col="_set", owned_col=owned_col, **kw)
+        return keyed.join(recs, "_set").drop("_set")
+    wrapped.__doc__ = fn.__doc__
+    wrapped.per_profile = fn
+    return wrapped
+
+
+@per_distinct_basket
 def recommend_from_rules(profiles: DataFrame, rules: DataFrame, stats: DataFrame, top_n: int = 10,
                          profile_col: str = "profile_id", owned_col: str = "owned") -> DataFrame:
     """Per profile: consequent items of rules whose antecedents are all owned,
@@ -122,6 +143,7 @@ def recommend_from_rules(profiles: DataFrame, rules: DataFrame, stats: DataFrame
                       F.round("increase", 1).alias("salary_increase"))
 
 
+@per_distinct_basket
 def recommend_fallback(profiles: DataFrame, stats: DataFrame, top_n: int = 10,
                        profile_col: str = "profile_id", owned_col: str = "owned") -> DataFrame:
     """No rules: the 2n most demanded items minus the owned ones, first n.
@@ -136,6 +158,7 @@ def recommend_fallback(profiles: DataFrame, stats: DataFrame, top_n: int = 10,
         .select(profile_col, (F.col("pos") + 1).alias("rank"), "skill")
 
 
+@per_distinct_basket
 def recommend_from_map(profiles: DataFrame, suggestions, top_n: int = 10,
                        profile_col: str = "profile_id", owned_col: str = "owned") -> DataFrame:
     """Static skill -> suggestions map: count suggestions of unowned skills, top n."""

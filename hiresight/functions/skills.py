@@ -168,6 +168,17 @@ def skill_extract(text, whitelist=None, match: str = "substring") -> Column:
     return F.when(t.isNull() | (t == ""), empty).otherwise(F.array_sort(F.array_distinct(found)))
 
 
+def patterns_found(norm_text: Column, patterns) -> Column:
+    """Distinct patterns occurring (as substrings) in an already normalised text:
+    one trie-regex pass, each longest match expanded to its prefix patterns."""
+    pats = sorted(set(patterns))
+    regex = "(?=(" + trie_regex(pats) + "))"
+    expand = {p: sorted(q for q in pats if p.startswith(q)) for p in pats}
+    lookup = F.create_map(*[x for p, qs in expand.items() for x in (F.lit(p), F.array(*[F.lit(q) for q in qs]))])
+    hits = F.array_distinct(F.regexp_extract_all(norm_text, F.lit(regex), 1))
+    return F.array_distinct(F.flatten(F.transform(hits, lambda h: F.element_at(lookup, h))))
+
+
 def skill_extract_valid(text) -> Column:
     """Extraction restricted to the whitelist of valid IT skills."""
     return skill_extract(text, whitelist=set(VALID_IT_SKILLS))

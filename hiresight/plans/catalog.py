@@ -71,7 +71,7 @@ def q_hot_skills(spark, sf_dir):
 
 def _load_modules():
     # query modules register themselves on import
-    from . import q_aggregates, q_augment, q_core, q_io, q_ml, q_pages, q_rules, q_sampling  # noqa: F401
+    from . import q_aggregates, q_augment, q_core, q_io, q_ml, q_more, q_pages, q_rules, q_sampling  # noqa: F401
 
 
 def queries() -> dict:

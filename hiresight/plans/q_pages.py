@@ -186,7 +186,8 @@ SELECT page_id, CASE WHEN i IS NULL THEN ''
   ELSE coalesce(list_filter(ls[i + 1:i + 6], lambda c: c <> '' AND lower(trim(c)) NOT IN ({', '.join(O.q(x) for x in NOISE_LINES)})
        AND lower(c) <> '©' AND length(c) <= 160)[1], '') END AS value FROM r""")
 def q_labelled(spark, sf):
-    return pages(spark, sf).select("page_id", H.labelled_value(H.html_lines("html"), LABELS).alias("value"))
+    lines = pages(spark, sf).select("page_id", H.html_lines("html").alias("_lines"))
+    return lines.select("page_id", H.labelled_value(F.col("_lines"), LABELS).alias("value"))
 
 
 def _posting_lines():

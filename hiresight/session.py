@@ -79,3 +79,25 @@ def cut_lineage(df):
     """Materialise ``df`` into the checkpoint folder (reliable, survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def cluster_conf(input_bytes: int, target_partition_bytes: int = 256 << 20, executors: int = 1000,
+                 cores_per_executor: int = 4) -> dict:
+    """Shuffle/scan sizing for a cluster run over ``input_bytes`` of Parquet.
+
+    Shuffle partitions start at ~2x the input over the target partition size
+    (at least 2 waves of the cluster's cores) and AQE coalesces them to the
+    advisory size; scans split files at the same target.  For 100 TB this
+    gives ~800k initial partitions coalesced at runtime.
+    """
+    cores = executors * cores_per_executor
+    parts = max(2 * cores, int(2 * input_bytes / target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(16 << 20),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+    }

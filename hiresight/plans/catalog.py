@@ -66,7 +66,7 @@ FROM (SELECT unnest({O.str_list(_hot_vocab())}) AS skill) v LEFT JOIN skill_stat
 ORDER BY demand_count DESC, v.skill LIMIT 20"""))
 def q_hot_skills(spark, sf_dir):
     from ..operators.aggregates import hot_skills
-    return hot_skills(C.clean_postings(spark, sf_dir), 20)
+    return hot_skills(C.clean_layer(spark, sf_dir), 20)
 
 
 def _load_modules():

@@ -65,3 +65,10 @@ def clean_postings_from(p: DataFrame) -> DataFrame:
 
 def clean_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_postings_from(postings(spark, sf_dir))
+
+
+def clean_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The clean layer materialised once (reliable checkpoint), for plans that
+    read it several times (totals, per-skill stats, per-company counts)."""
+    from ..session import cut_lineage
+    return cut_lineage(clean_postings(spark, sf_dir))

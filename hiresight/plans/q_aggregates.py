@@ -19,6 +19,11 @@ def clean(spark, sf):
     return C.clean_postings(spark, sf)
 
 
+def clean_mat(spark, sf):
+    """For plans reading the layer more than once."""
+    return C.clean_layer(spark, sf)
+
+
 @register("dataset_stats", W(CLEAN, """SELECT count(*) AS rows, min(salary) AS min_salary, max(salary) AS max_salary,
     round(avg(salary), 6) AS avg_salary, round(avg(exp_years), 6) AS avg_exp_years,
     round(avg(num_skills), 6) AS avg_num_skills FROM clean"""))
@@ -32,7 +37,7 @@ register("city_distribution_top10", W(CLEAN, """SELECT city, count(*) AS n FROM
     ORDER BY n DESC, city LIMIT 10"""))(lambda spark, sf: A.city_distribution_top(clean(spark, sf), 10))
 register("skill_demand_topk", W(CLEAN + ",\n" + SKILL_STATS_CTE_SQL, """SELECT skill, demand_count,
     round(demand_count * 100.0 / (SELECT count(*) FROM clean), 1) AS share_pct FROM skill_stats
-    ORDER BY demand_count DESC, skill LIMIT 10"""))(lambda spark, sf: A.skill_demand_topk(clean(spark, sf), 10))
+    ORDER BY demand_count DESC, skill LIMIT 10"""))(lambda spark, sf: A.skill_demand_topk(clean_mat(spark, sf), 10))
 register("kpi_by_city", W(CLEAN, """SELECT coalesce(city, 'All') AS city, count(*) AS total_jobs,
     round(avg(salary), 6) AS avg_salary, round(avg(exp_years), 6) AS avg_exp_years,
     round(avg(num_skills), 6) AS avg_num_skills FROM clean GROUP BY ROLLUP (city)"""))(
@@ -46,7 +51,7 @@ binned AS (SELECT CAST(CASE WHEN hi = lo THEN 0 ELSE least(floor((salary - lo) /
                   AS bin, lo, hi FROM clean, mm WHERE salary IS NOT NULL)
 SELECT bin, round(any_value(lo) + bin * ((any_value(hi) - any_value(lo)) / 30), 6) AS bin_lo,
        round(any_value(lo) + (bin + 1) * ((any_value(hi) - any_value(lo)) / 30), 6) AS bin_hi, count(*) AS n
-FROM binned GROUP BY bin""".replace("\n, mm", ",\nmm", 1)))(lambda spark, sf: A.salary_histogram(clean(spark, sf)))
+FROM binned GROUP BY bin""".replace("\n, mm", ",\nmm", 1)))(lambda spark, sf: A.salary_histogram(clean_mat(spark, sf)))
 register("salary_box_by_level", W(CLEAN, """
 , qq AS (SELECT level, count(*) AS n, quantile_cont(salary, [0.0, 0.25, 0.5, 0.75, 1.0]) AS q FROM clean GROUP BY level)
 SELECT level, n, round(q[1], 6) AS min, round(q[2], 6) AS q1, round(q[3], 6) AS median, round(q[4], 6) AS q3,
@@ -67,7 +72,7 @@ SELECT skill, true AS has_skill, round(w, 1) AS avg_salary_with, round(wo, 1) AS
        CASE WHEN wo > 0 THEN round((w - wo) / wo * 100, 1) ELSE 0.0 END AS increase_percentage
 FROM ws""".replace("\n, v AS", ",\nv AS", 1)))
 def q_salary_impact(spark, sf):
-    return A.salary_impact(clean(spark, sf))
+    return A.salary_impact(clean_mat(spark, sf))
 
 
 _names = [n.lower() for n in sorted(s.upper() for s in _vocab)[:40][:20]]
@@ -78,7 +83,7 @@ SELECT upper(skill) AS skill, round(salary_sum / demand_count, 6) AS salary, dem
 FROM skill_stats WHERE skill IN ({', '.join(O.q(n) for n in _names)}) AND demand_count > 10
 ORDER BY salary DESC, skill LIMIT 15"""))
 def q_skill_salary_min_support(spark, sf):
-    return A.skill_salary_min_support(clean(spark, sf))
+    return A.skill_salary_min_support(clean_mat(spark, sf))
 
 
 register("share_of_rows", W(CLEAN, """SELECT count(*) AS rows,

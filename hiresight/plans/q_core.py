@@ -246,7 +246,8 @@ def q_repair_by_title(spark, sf):
 
 # ------------------------------------------------------------ enrichment
 def enriched(spark, sf):
-    return E.enrich_all(C.clean_postings(spark, sf))
+    # enrichment reads the clean layer three times (counts, quartile, join back)
+    return E.enrich_all(C.clean_layer(spark, sf))
 
 
 register("company_size", W(ENRICHED, "SELECT post_id, company, company_size, company_size_category, is_big_company FROM enriched"))(

@@ -20,7 +20,7 @@ _FITS: dict = {}
 
 def balanced_layer(spark, sf):
     """enriched -> balanced -> repaired skills -> adjusted salaries (the training table)."""
-    enr = cut_lineage(E.enrich_all(C.clean_postings(spark, sf)))
+    enr = cut_lineage(E.enrich_all(C.clean_layer(spark, sf)))
     bal = balance_all(enr)
     return cut_lineage(E.salary_outlier_adjust(E.skill_repair_high_pay(bal)))
 

@@ -22,7 +22,7 @@ BRACKET = """CASE WHEN salary > 0 AND salary <= 10 THEN '<10M' WHEN salary > 10
 def enriched(spark, sf):
     """The enriched layer, materialised (the reference writes it out too): the
     sampling operators read it several times."""
-    return cut_lineage(enrich_all(C.clean_postings(spark, sf)))
+    return cut_lineage(enrich_all(C.clean_layer(spark, sf)))
 
 
 def levels_sql(src: str) -> str:

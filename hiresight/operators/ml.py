@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from ..functions.constants import HIGH_VALUE_SKILLS, VALID_IT_SKILLS
 from ..functions.skills import skill_one_hot
 from .relational import scalar
-from .sampling import sample_exact_per_group
+from .sampling import sample_exact_global, sample_exact_per_group
 
 BASE_FEATURES = ["exp_years", "num_skills", "remote", "english", "is_big_city", "city_multiplier", "is_big_company"]
 INTERACTIONS = ["exp_skill_interaction", "exp_high_value", "remote_english", "remote_big_city", "exp_squared"]
@@ -62,13 +62,13 @@ def q(name: str) -> Column:
 
 
 def exact_split(df: DataFrame, test_fraction: float = 0.2, id_col: str = "post_id", seed: int = 42):
-    """(train, test) with exactly ceil(fraction * n) test rows, chosen by hash order."""
-    d = df.withColumn("_all", F.lit(1))
-    targets = d.groupBy("_all").agg(F.count(F.lit(1)).alias("_n")) \
-        .select("_all", F.ceil(F.col("_n") * test_fraction).cast("long").alias("target"))
-    test = sample_exact_per_group(d, ["_all"], targets, id_col=id_col, seed=seed)
-    train = d.join(test.select(id_col).distinct(), id_col, "left_anti")
-    return train.drop("_all"), test.drop("_all")
+    """(train, test) with exactly ceil(fraction * n) test rows, chosen by hash order.
+
+    The histogram of 2^20 hash buckets is only a few MB whatever the input size,
+    so the one-partition cumulative sum over it stays bounded."""
+    test = sample_exact_global(df, fraction=test_fraction, id_col=id_col, seed=seed)
+    train = df.join(test.select(id_col), id_col, "left_anti")
+    return train, test
 
 
 def fit_scaler(train: DataFrame, cols) -> dict:
@@ -101,7 +101,10 @@ def prepare_training(df: DataFrame, lo: float = 0.02, hi: float = 0.98, seed: in
     from .relational import trim_quantiles
     feats = feature_columns(df)
     d = df.na.fill(0, subset=feats)
-    d = trim_quantiles(d, "salary", lo, hi).withColumn("label", F.log1p("salary"))
+    from ..session import cut_lineage
+    # materialised: the split reads it several times (and its quantile scalars
+    # must not nest inside the split's own scalar subqueries)
+    d = cut_lineage(trim_quantiles(d, "salary", lo, hi).withColumn("label", F.log1p("salary")))
     train, test = exact_split(d, 0.2, seed=seed)
     train, test = train.cache(), test.cache()
     train_s, (test_s,) = standardise(train, [test], feats)

@@ -73,6 +73,34 @@ def sample_exact_per_group(df: DataFrame, group_cols, targets: DataFrame, id_col
     return out.drop("_h", "_b", "_bb", "_need")
 
 
+def sample_exact_global(df: DataFrame, fraction: float | None = None, count: int | None = None,
+                        id_col: str = "post_id", seed: int = 42) -> DataFrame:
+    """Exactly ceil(fraction x rows) (or ``count``) rows overall, the smallest hashes.
+
+    No join: the histogram of 2^20 hash buckets (a few MB whatever the input)
+    gives the boundary bucket and the count still needed there, which enter the
+    row filter as scalar subqueries; only the boundary bucket is ranked.
+    """
+    h = hash_key(id_col, seed)
+    b = F.conv(F.substring(h, 1, BUCKET_HEX_DIGITS), 16, 10).cast("int")
+    keyed = df.withColumns({"_h": h, "_b": b})
+    hist = keyed.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
+    whole = Window.partitionBy(F.lit(0))
+    t = F.ceil(F.sum("_n").over(whole) * fraction) if fraction is not None else F.lit(count)
+    run = whole.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cum = hist.withColumn("_t", t.cast("long")).withColumn("_cum", F.sum("_n").over(run)) \
+        .withColumn("_prev", F.col("_cum") - F.col("_n"))
+    edge_row = cum.where((F.col("_prev") < F.col("_t")) & (F.col("_cum") >= F.col("_t")))
+    bb = edge_row.select(F.min("_b")).scalar()          # null when every row is kept
+    need = edge_row.select(F.min(F.col("_t") - F.col("_prev"))).scalar()
+    target = cum.select(F.max("_t")).scalar()
+    below = keyed.where((bb.isNull() & (target > 0)) | (F.col("_b") < bb))
+    rk = Window.partitionBy("_b").orderBy("_h", id_col)
+    edge = keyed.where(F.col("_b") == bb).withColumn("_rn", F.row_number().over(rk)) \
+        .where(F.col("_rn") <= need).drop("_rn")
+    return below.unionByName(edge).drop("_h", "_b")
+
+
 def sample_top_k(df: DataFrame, group_cols, k: int, id_col: str = "post_id", seed: int = 42) -> DataFrame:
     """k rows per group by hash order (k small: partial top-k before the shuffle)."""
     w = Window.partitionBy(*group_cols).orderBy(hash_key(id_col, seed), F.col(id_col))

@@ -89,3 +89,15 @@ def test_rules_lift_symmetry(spark):
     lifts = {(",".join(r["antecedents"]), ",".join(r["consequents"])): r["lift"] for r in rules.collect()}
     for (a, c), l in lifts.items():
         assert abs(lifts[(c, a)] - l) < 1e-12
+
+
+def test_synthetic_rows_are_deterministic_and_in_range(spark):
+    from hiresight.operators.augment import synth_fresher, synth_level
+    a = synth_level(spark, "Junior", 300).collect()
+    b = synth_level(spark, "Junior", 300).repartition(5).collect()
+    assert sorted(map(tuple, a)) == sorted(map(tuple, b))
+    for r in a:
+        assert 1 <= r["exp_years"] < 3 and 10 <= r["salary"] < 18 and 3 <= r["num_skills"] < 6
+        assert r["city"] in ("Hanoi", "Ho Chi Minh City", "Da Nang", "Hai Phong")
+    f = synth_fresher(spark, 200).collect()
+    assert all(5 <= r["salary"] <= 12 and 1 <= r["num_skills"] <= 4 for r in f)

@@ -89,7 +89,7 @@ def q_skill_salary_min_support(spark, sf):
 register("share_of_rows", W(CLEAN, """SELECT count(*) AS rows,
     round(sum(CAST(salary IS NOT NULL AS INTEGER)) * 100.0 / count(*), 6) AS valid_salary_pct,
     round(avg(remote) * 100, 6) AS remote_pct, round(avg(english) * 100, 6) AS english_pct,
-    sum(CAST(num_skills >= 5 AS INTEGER)) AS jobs_5plus_skills FROM clean"""))(
+    CAST(sum(CAST(num_skills >= 5 AS INTEGER)) AS BIGINT) AS jobs_5plus_skills FROM clean"""))(
     lambda spark, sf: A.share_of_rows(clean(spark, sf)))
 register("distinct_cities", W(CLEAN, "SELECT count(DISTINCT city) AS distinct_cities FROM clean"))(
     lambda spark, sf: A.distinct_cities(clean(spark, sf)))

@@ -106,8 +106,8 @@ INFO_LABELS = {"industry": ["Industry", "Lĩnh vực", "Field"], "location": ["
                "size": ["Size", "Company size", "Quy mô"]}
 
 
-@register("html_info_fields", f"""SELECT page_id, len(list_filter({lines_sql('html')}, lambda s:
-    regexp_matches(s, '^[^:]{{1,40}}:\\s*\\S'))) AS label_value_pairs FROM pages""")
+@register("html_info_fields", f"""SELECT page_id, CAST(len(list_filter({lines_sql('html')}, lambda s:
+    regexp_matches(s, '^[^:]{{1,40}}:\\s*\\S'))) AS INTEGER) AS label_value_pairs FROM pages""")
 def q_info_fields(spark, sf):
     """Count of 'label: value' lines per page (the label/value pairs of info blocks)."""
     lines = H.html_lines("html")

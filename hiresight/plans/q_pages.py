@@ -91,7 +91,7 @@ SECTION_KEYWORDS = ["the"]
 register("html_section_by_heading", f"""SELECT page_id, coalesce(list_filter({_secs}, lambda s: length(s.heading) <= 120
     AND {any_instr_lower('s.heading', SECTION_KEYWORDS)})[1].body, '') AS section FROM pages""")(
     lambda spark, sf: pages(spark, sf).select("page_id", H.section_by_heading("html", SECTION_KEYWORDS).alias("section")))
-register("html_sections", f"SELECT page_id, len({_secs}) AS n_sections FROM pages")(
+register("html_sections", f"SELECT page_id, CAST(len({_secs}) AS INTEGER) AS n_sections FROM pages")(
     lambda spark, sf: pages(spark, sf).select("page_id", F.size(H.sections("html")).alias("n_sections")))
 
 
@@ -122,7 +122,7 @@ register("url_with_page", W(POSTING, """SELECT post_id, regexp_replace(source_ur
 @register("first_seen_urls", f"""
 WITH l AS (SELECT page_id, unnest({_links_sql('html', 'url')}) AS u, generate_subscripts({_links_sql('html', 'url')}, 1) AS pos
            FROM pages)
-SELECT u AS url, min({{'p': page_id, 'q': pos}}).p AS first_page, min({{'p': page_id, 'q': pos}}).q AS first_pos,
+SELECT u AS url, min({{'p': page_id, 'q': pos}}).p AS first_page, CAST(min({{'p': page_id, 'q': pos}}).q AS INTEGER) AS first_pos,
        count(*) AS seen FROM l GROUP BY u""")
 def q_first_seen(spark, sf):
     p = pages(spark, sf)
@@ -168,8 +168,8 @@ register("line_is_salary", W(POSTING, f"""SELECT post_id, lower(trim(regexp_repl
     lambda spark, sf: __import__("hiresight.sources.postings", fromlist=["x"]).raw_postings(spark, sf).select(
         "post_id", H.line_is_salary(F.col("salary_raw")).alias("is_salary")))
 
-register("line_is_noise", f"""SELECT page_id, len(list_filter({lines_sql('html')}, lambda s: lower(trim(s)) IN
-    ({', '.join(O.q(x) for x in NOISE_LINES)}))) AS noise_lines FROM pages""")(
+register("line_is_noise", f"""SELECT page_id, CAST(len(list_filter({lines_sql('html')}, lambda s: lower(trim(s)) IN
+    ({', '.join(O.q(x) for x in NOISE_LINES)}))) AS INTEGER) AS noise_lines FROM pages""")(
     lambda spark, sf: pages(spark, sf).select(
         "page_id", F.size(F.filter(H.html_lines("html"), lambda s: H.line_is_noise(s))).alias("noise_lines")))
 

@@ -116,7 +116,7 @@ best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY profile_id, it
                  conf DESC, array_to_string(a, ','), item) AS r1 FROM cand2) WHERE r1 = 1),
 top AS (SELECT *, row_number() OVER (PARTITION BY profile_id ORDER BY round(lift, 2) DESC, lift DESC, conf DESC,
                  array_to_string(a, ','), item) AS rank FROM best)""",
-    """SELECT profile_id, rank, item AS skill, array_to_string(a, ',') AS from_skills, round(lift, 2) AS lift,
+    """SELECT profile_id, CAST(rank AS INTEGER) AS rank, item AS skill, array_to_string(a, ',') AS from_skills, round(lift, 2) AS lift,
        round(conf, 2) AS confidence, demand_count, round(avg_value, 1) AS avg_salary,
        round(increase, 1) AS salary_increase FROM top WHERE rank <= 10"""))
 def q_recommend_from_rules(spark, sf):
@@ -131,7 +131,7 @@ def q_recommend_from_rules(spark, sf):
 hot AS (SELECT item, row_number() OVER (ORDER BY demand_count DESC, item) AS hr FROM istats QUALIFY hr <= 20),
 cand AS (SELECT b.profile_id, h.item, h.hr FROM bk b, hot h WHERE NOT list_contains(b.items, h.item)),
 ranked AS (SELECT profile_id, item, row_number() OVER (PARTITION BY profile_id ORDER BY hr) AS rank FROM cand)""",
-    "SELECT profile_id, rank, item AS skill FROM ranked WHERE rank <= 10"))
+    "SELECT profile_id, CAST(rank AS INTEGER) AS rank, item AS skill FROM ranked WHERE rank <= 10"))
 def q_recommend_fallback(spark, sf):
     b = cut_lineage(skill_baskets(spark, sf))
     return RU.recommend_fallback(b.withColumnRenamed("items", "owned"), RU.item_stats(b, "salary"), 10)
@@ -148,7 +148,7 @@ ex AS (SELECT o.profile_id, unnest(s.v) AS skill, o.up FROM own o, (SELECT profi
        JOIN sugg s ON u.k = s.k WHERE o.profile_id = u.profile_id),
 cnt AS (SELECT profile_id, skill, count(*) AS count FROM ex WHERE NOT list_contains(up, skill) GROUP BY profile_id, skill),
 rk AS (SELECT *, row_number() OVER (PARTITION BY profile_id ORDER BY count DESC, skill) AS rank FROM cnt)""",
-    "SELECT profile_id, skill, count, rank FROM rk WHERE rank <= 10"))
+    "SELECT profile_id, skill, count, CAST(rank AS INTEGER) AS rank FROM rk WHERE rank <= 10"))
 def q_recommend_from_map(spark, sf):
     b = skill_baskets(spark, sf)
     return RU.recommend_from_map(b.withColumnRenamed("items", "owned"), SKILL_SUGGESTIONS, 10)

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from hiresight.llm.common import session_of, shared_path
 from hiresight.llm.exact_dedup import exact_dedup
+from hiresight.llm.line_dedup import apply_keep_bitmaps, line_keep_bitmaps
+from hiresight.llm.lm import lm_scores
 from hiresight.llm.packing import pack
 from hiresight.llm.token_counts import token_counts
 
@@ -59,3 +61,26 @@ def op2(spark, sf_dir):
 @query("op3_packing")
 def op3(spark, sf_dir):
     return pack(documents(spark, sf_dir), public_tokenizers.path(BYTE_BPE), window=1024)
+
+
+SQL_SPACE = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+
+@query("op7_line_dedup", f"""
+    WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+    l AS (SELECT doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS pos FROM d),
+    n AS (SELECT doc_id, pos, line, {SQL_LOWER.replace("coalesce(text, '')", f"trim(line, {SQL_SPACE})")} AS key FROM l),
+    k AS (SELECT key, max(doc_id) AS top FROM n WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5)
+    SELECT n.doc_id, count(*) AS n_lines, count(*) FILTER (WHERE top IS NOT NULL AND n.doc_id <> top) AS n_dropped,
+           sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE top IS NULL OR n.doc_id = top), '')) AS kept_sha256
+    FROM n LEFT JOIN k USING (key) GROUP BY n.doc_id""")
+def op7(spark, sf_dir):
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    kept = apply_keep_bitmaps(docs, line_keep_bitmaps(docs))
+    return kept.select("doc_id", F.col("__n_lines").alias("n_lines"), F.col("__n_dropped").alias("n_dropped"),
+                       F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256).alias("kept_sha256"))
+
+
+@query("op10_lm_scoring")
+def op10(spark, sf_dir):
+    return lm_scores(documents(spark, sf_dir))

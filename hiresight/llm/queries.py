@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from hiresight.llm.common import session_of, shared_path
 from hiresight.llm.exact_dedup import exact_dedup
+from hiresight.llm.html_wrappers import extract_main_text
+from hiresight.llm.langid import language_id
 from hiresight.llm.line_dedup import apply_keep_bitmaps, line_keep_bitmaps
 from hiresight.llm.lm import lm_scores
 from hiresight.llm.packing import pack
@@ -19,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 BYTE_BPE = "byte_bpe_50k.json"
+PIECE_BPE = "piece_bpe_32k.model"
 LONG_TOKENS = 1024
 
 
@@ -84,3 +87,14 @@ def op7(spark, sf_dir):
 @query("op10_lm_scoring")
 def op10(spark, sf_dir):
     return lm_scores(documents(spark, sf_dir))
+
+
+@query("op4_language_id")
+def op4(spark, sf_dir):
+    return language_id(documents(spark, sf_dir), public_tokenizers.path(PIECE_BPE))
+
+
+@query("op6_html_extraction")
+def op6(spark, sf_dir):
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    return extract_main_text(pages).withColumn("n_chars", F.length("text").cast("long"))

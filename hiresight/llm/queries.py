@@ -9,12 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hiresight.llm.common import session_of, shared_path
+from hiresight.llm.decontaminate import contaminated_passages
 from hiresight.llm.exact_dedup import exact_dedup
 from hiresight.llm.html_wrappers import extract_main_text
+from hiresight.llm.jaccard import jaccard_components
 from hiresight.llm.langid import language_id
 from hiresight.llm.line_dedup import apply_keep_bitmaps, line_keep_bitmaps
 from hiresight.llm.lm import lm_scores
 from hiresight.llm.packing import pack
+from hiresight.llm.substring_dedup import repeated_spans
 from hiresight.llm.token_counts import token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -98,3 +101,18 @@ def op4(spark, sf_dir):
 def op6(spark, sf_dir):
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     return extract_main_text(pages).withColumn("n_chars", F.length("text").cast("long"))
+
+
+@query("op5_substring_dedup")
+def op5(spark, sf_dir):
+    return repeated_spans(documents(spark, sf_dir))
+
+
+@query("op8_decontamination")
+def op8(spark, sf_dir):
+    return contaminated_passages(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+@query("op9_jaccard_join")
+def op9(spark, sf_dir):
+    return jaccard_components(documents(spark, sf_dir))

@@ -9,6 +9,7 @@ import uuid
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hiresight.session import ensure_checkpoint_dir
 
@@ -62,6 +63,14 @@ def arrow_schema(ddl: dict[str, pa.DataType]) -> pa.Schema:
     return pa.schema([pa.field(k, v) for k, v in ddl.items()])
 
 
+def wider(schema: T.StructType, **added: str) -> T.StructType:
+    """A copy of ``schema`` with more columns (``StructType.add`` would change it)."""
+    out = T.StructType(list(schema.fields))
+    for name, kind in added.items():
+        out = out.add(name, kind)
+    return out
+
+
 def batch(schema: pa.Schema, **columns) -> pa.RecordBatch:
     """A record batch of ``schema``; a column that is not given is null."""
     n = len(next(iter(columns.values())))

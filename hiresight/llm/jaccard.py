@@ -58,7 +58,7 @@ class Shingler:
         self.size = size
         base = np.arange(1, 300 + size, dtype=np.uint64) * U(0x9E3779B97F4A7C15)
         keys = mix(base)
-        self.byte, self.place, self.short = keys[:256], keys[256:256 + size] | U(1), keys[256 + size]
+        self.byte, self.place, self.short = keys[:256], keys[256:256 + size] | U(1), keys[256 + size:257 + size]
         self.space = np.zeros(256, bool)
         self.space[[32, 9, 10, 11, 12, 13]] = True
         self.powers = np.ones(1, np.uint64)
@@ -95,7 +95,7 @@ class Shingler:
                 if b - a >= k:
                     yield np.unique(grams[a:b - k + 1])
                 elif b > a:
-                    yield mix((h[a:b] * self.place[:b - a]).sum(keepdims=True) + self.short * U(b - a))
+                    yield mix((h[a:b] * self.place[:b - a]).sum(keepdims=True) + self.short * np.array([b - a], np.uint64))
                 else:
                     yield np.zeros(0, np.uint64)
             i = j

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hiresight.llm.common import arrow_schema, batch, id_bucket, session_of, stage, worker_state
+from hiresight.llm.common import arrow_schema, batch, id_bucket, session_of, stage, wider, worker_state
 
 #: longer words are taken in segments of this many code points
 SEGMENT = 32
@@ -284,7 +284,7 @@ def predict(docs: DataFrame, model: LanguageModel | None, text_col: str = "text"
     (the predicted language's posterior).  ``und`` with score 0 where the text
     is null or has no letter, and everywhere without a model."""
     session_of(docs)
-    out = (docs if keep_text else docs.drop(text_col)).schema.add("__lang_pred", "string").add("__score", "double")
+    out = wider((docs if keep_text else docs.drop(text_col)).schema, __lang_pred="string", __score="double")
     return docs.mapInArrow(_predict(model, text_col, keep_text), out)
 
 

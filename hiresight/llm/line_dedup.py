@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hiresight.llm.common import arrow_schema, batch, session_of, stage
+from hiresight.llm.common import arrow_schema, batch, session_of, stage, wider
 
 SPACE = b" \t\n\x0b\x0c\r"
 LINE = {"k1": pa.int64(), "k2": pa.int64(), "doc": pa.int64(), "text_key": pa.int64(), "pos": pa.int32(), "n_lines": pa.int32()}
@@ -184,5 +184,5 @@ def apply_keep_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_i
     on = (F.col(id_col).cast("long").eqNullSafe(F.col("__doc"))
           & (F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))) == F.col("__text_key")))
     joined = docs.join(b.hint("shuffle_hash"), on, "left").select(*docs.columns, "__keep_bitmap")
-    out = docs.schema.add("__n_lines", "long").add("__n_dropped", "long")
+    out = wider(docs.schema, __n_lines="long", __n_dropped="long")
     return joined.mapInArrow(_apply(docs.columns.index(text_col)), out)

@@ -29,11 +29,15 @@ COMBINED = {
 OWNER = {"gid": pa.int64(), "keep_id": pa.int64(), "keep_row": pa.int64(), "group_size": pa.int64(), "text_sha256": pa.string()}
 
 
+#: taken for a node besides its label
+NODE_BYTES = 200
+
+
 class Node:
     __slots__ = ("label", "children", "terminal", "spill", "size")
 
     def __init__(self, label: bytes):
-        self.label, self.children, self.terminal, self.spill, self.size = label, {}, None, None, len(label)
+        self.label, self.children, self.terminal, self.spill, self.size = label, {}, None, None, len(label) + NODE_BYTES
 
 
 def _common(a: bytes, at: int, label: bytes) -> int:
@@ -50,21 +54,34 @@ def _common(a: bytes, at: int, label: bytes) -> int:
     return lo
 
 
+def _read(spill) -> Iterator[tuple[bytes, object]]:
+    spill.seek(0)
+    with spill:
+        while True:
+            try:
+                yield pickle.load(spill)
+            except EOFError:
+                return
+
+
 class PatriciaTrie:
     """Compressed radix trie over byte strings.
 
     ``insert(key, payload)`` merges payloads of equal keys with ``merge``;
-    ``items()`` yields (key length, payload) once per distinct key.  Above
+    ``items()`` yields the payload of every distinct key, once.  Above
     ``max_bytes`` of labels the heaviest child of the topmost branching node is
     written to a temporary file; keys that belong below it follow it there.
     """
 
-    NODE_BYTES = 200
-
     def __init__(self, merge, max_bytes: int):
         self.root, self.merge, self.max_bytes, self.bytes, self.spills = Node(b""), merge, max_bytes, 0, 0
 
     def insert(self, key: bytes, payload) -> None:
+        self._insert(key, payload)
+        if self.bytes > self.max_bytes:
+            self._spill()
+
+    def _insert(self, key: bytes, payload) -> None:
         node, at, path = self.root, 0, []
         while True:
             path.append(node)
@@ -78,16 +95,16 @@ class PatriciaTrie:
             if child is None:
                 leaf = node.children[key[at]] = Node(key[at:])
                 leaf.terminal = payload
-                self._grow(path, len(leaf.label) + self.NODE_BYTES)
+                self._grow(path, leaf.size)
                 return
             n = _common(key, at, child.label)
             if n < len(child.label):  # split the edge
                 upper = Node(child.label[:n])
                 child.label = child.label[n:]
                 upper.children[child.label[0]] = child
-                upper.size = child.size + self.NODE_BYTES
+                upper.size = child.size + NODE_BYTES
                 node.children[key[at]] = upper
-                self._grow(path, self.NODE_BYTES)
+                self._grow(path, NODE_BYTES)
                 child = upper
             node, at = child, at + n
 
@@ -95,15 +112,13 @@ class PatriciaTrie:
         self.bytes += n
         for x in path:
             x.size += n
-        if self.bytes > self.max_bytes:
-            self._spill()
 
     def _spill(self) -> None:
         node, prefix = self.root, b""
         while len(node.children) == 1 and node.terminal is None and node.spill is None:
             node = next(iter(node.children.values()))
             prefix += node.label
-        live = [c for c in node.children.values() if c.spill is None and (c.children or c.size > 0)]
+        live = [c for c in node.children.values() if c.spill is None]
         if not live:
             return
         heavy = max(live, key=lambda c: c.size)
@@ -121,6 +136,8 @@ class PatriciaTrie:
             key = p + x.label
             if x.terminal is not None:
                 yield key, x.terminal
+            if x.spill is not None:  # spilled when it stood higher up
+                yield from _read(x.spill)
             todo.extend((c, key) for c in x.children.values())
 
     def items(self):
@@ -131,13 +148,8 @@ class PatriciaTrie:
                 yield x.terminal
             if x.spill is not None:
                 sub = PatriciaTrie(self.merge, self.max_bytes)
-                x.spill.seek(0)
-                while True:
-                    try:
-                        sub.insert(*pickle.load(x.spill))
-                    except EOFError:
-                        break
-                x.spill.close()
+                for key, payload in _read(x.spill):
+                    sub.insert(key, payload)
                 yield from sub.items()
             todo.extend(x.children.values())
 

@@ -95,7 +95,7 @@ def _spans(min_words: int):
         for b in batches:
             out: dict[str, list] = {n: [] for n in SPAN}
             for doc, found in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                found = sorted((r["tie"], r["payload"], r["first_doc"]) for r in found)
+                found = sorted({(r["tie"], r["payload"], r["first_doc"]) for r in found})  # repeated rows are alike
                 i = 0
                 while i < len(found):
                     j = i + 1

@@ -1,20 +1,21 @@
 """Token ids as the tokenizers library gives them, with a memo of words.
 
 A byte-level BPE pre-tokenises a text before it merges bytes, and a boundary
-always lies before a space that follows a non-space and around a single line
-break between non-spaces.  Texts whose white space is only such spaces and
-breaks are therefore encoded word by word and each distinct word only once per
-worker; every other text goes to the library whole.  Both give the same ids.
+always lies before a space that a non-space follows and around a single line
+break.  Texts whose spaces and line breaks are all of that kind are therefore
+encoded word by word, each distinct word and each distinct pre-token only once
+per worker; every other text goes to the library whole.  Both give the same ids.
 """
 
 from __future__ import annotations
 
 import json
+from array import array
 
 from hiresight.llm.common import worker_state
 
-#: any white space that is not a single space or line break between non-spaces
-ODD_SPACE = r"\s\s|[^\S \n]|^\s|\s\Z"
+#: white space other than spaces and line breaks
+OTHER_SPACE = r"[^\S \n]"
 MEMO_WORDS = 500_000
 
 
@@ -26,16 +27,16 @@ def byte_table() -> dict[int, int]:
 
 
 class Memo(dict):
-    """word -> value of ``prefix + word``; emptied when it holds too many."""
+    """word -> value(word); emptied when it holds too many."""
 
-    def __init__(self, prefix, value):
+    def __init__(self, value):
         super().__init__()
-        self.prefix, self.value = prefix, value
+        self.value = value
 
     def __missing__(self, word):
         if len(self) >= MEMO_WORDS:
             self.clear()
-        v = self[word] = self.value(self.prefix + word)
+        v = self[word] = self.value(word)
         return v
 
 
@@ -44,8 +45,8 @@ class Encoder:
 
     def __init__(self, path: str, counts: bool):
         import re
+        import sys
 
-        import numpy as np
         import public_tokenizers
         import regex
         from tokenizers import Tokenizer
@@ -60,23 +61,43 @@ class Encoder:
                         and spec.get("normalizer") is None and model["type"] == "BPE"
                         and not any(model.get(k) for k in ("dropout", "ignore_merges", "end_of_word_suffix", "continuing_subword_prefix")))
         self.special = [t["content"] for t in spec.get("added_tokens", [])]
-        self.odd, self.tok, self.counts = re.compile(ODD_SPACE), tok, counts
+        self.other_space, self.tok, self.counts = re.compile(OTHER_SPACE).search, tok, counts
         pieces, table, tokenize = regex.compile(public_tokenizers.PATTERN).findall, byte_table(), tok.model.tokenize
-        pack = len if counts else (lambda ids: np.asarray(ids, "<u4").tobytes())
+        swap = sys.byteorder != "little"
 
-        def value(chunk: str):
-            if max(chunk, default="") < "ɐ":  # Latin letters: the same classes in every Unicode version
-                ids = [k.id for p in pieces(chunk) for k in tokenize(p.encode().decode("latin-1").translate(table))]
-            else:
-                ids = tok.encode(chunk, add_special_tokens=False).ids
-            return pack(ids)
+        def pack(ids):
+            if counts:
+                return len(ids)
+            a = array("I", ids)
+            if swap:
+                a.byteswap()
+            return a.tobytes()
+
+        join = sum if counts else b"".join
+        token = Memo(lambda p: pack([k.id for k in tokenize(p.encode().decode("latin-1").translate(table))]))
 
-        self.pack, self.first, self.rest = pack, Memo("", value), Memo(" ", value)
+        def value(chunk: str):
+            """One word, with or without the space before it."""
+            if max(chunk, default="") >= "\u0250":  # beyond Latin, classes depend on the Unicode version
+                return pack(tok.encode(chunk, add_special_tokens=False).ids)
+            body = chunk[1:] if chunk[:1] == " " else chunk
+            if body.isalpha():
+                return token[chunk]
+            if body[:-1].isalpha() and body[-1] in ".,":
+                return join((token[chunk[:-1]], token[body[-1]]))
+            return join([token[p] for p in pieces(chunk)])
+
+        self.pack, self.first, self.rest = pack, Memo(value), Memo(lambda w: value(" " + w))
         self.line_break = value("\n") if self.by_word else None
 
+    def whole(self, text: str) -> bool:
+        """Whether the text has to go to the library whole."""
+        return (not self.by_word or "  " in text or "\n\n" in text or " \n" in text or "\n " in text or text.endswith(" ")
+                or text.startswith(" ") or bool(self.other_space(text)) or any(s in text for s in self.special))
+
     def encode(self, text: str):
         """Count of ids, or the ids as little-endian unsigned 32-bit bytes."""
-        if not self.by_word or self.odd.search(text) or any(s in text for s in self.special):
+        if self.whole(text):
             return self.pack(self.tok.encode(text, add_special_tokens=False).ids)
         if not text:
             return self.pack([])

@@ -2,19 +2,20 @@
 
 Sets are collapsed by digest.  An exact prefix filter finds who must meet: under
 one global order of shingles (rarest first by a fixed-size count sketch, then by
-hash), two sets with Jaccard similarity t share one of their first
-n - ceil(t n) + 1 shingles.  The smallest member of each shared shingle is the
-pivot of a star; a star holds everyone who shares a prefix shingle with anyone
-else under that pivot, so every similar pair meets in some star.
+hash), two sets with Jaccard similarity t share at least l of their first
+n - ceil(t n) + l shingles.  Sets with fewer than l shared prefix shingles drop
+out.  Among the others the smallest member of each shared shingle is the pivot
+of a star; a star holds everyone who shares a prefix shingle with anyone else
+under that pivot, so every similar pair meets in some star.
 
 Within a star, members sit in a signature tree: nodes hold the OR and the AND of
 their members' token bitmaps and the range of set sizes.  A dual traversal drops
 pairs of nodes whose greatest possible overlap can't reach the threshold and
 pairs that are already connected; the pairs left are decided on whole sets.
 
-Large stars (a hot group of near copies) never meet in one task: members are
-first compared with their pivot alone, and only those that this doesn't connect
-to it are joined with all members, chunk by chunk, tree against tree.
+Large stars (a hot group of near copies) never meet in one task: chunks of
+members are joined together with the pivot, and only members that this doesn't
+connect to it are joined with all others, chunk by chunk, tree against tree.
 """
 
 from __future__ import annotations
@@ -36,6 +37,8 @@ SKETCH_BITS = 18
 #: members of a star that one task joins; larger stars go by chunks
 STAR, CHUNK = 256, 2048
 BUCKET, FANOUT = 32, 8
+#: prefix shingles that a similar pair shares (fewer for tiny sets)
+SHARED = 8
 #: at most so many rows of two longs are sent to every executor
 BROADCAST_ROWS = 1_000_000
 TEXT_CHUNK = 1 << 20
@@ -139,6 +142,11 @@ SETS = {"is_rep": pa.bool_(), "rid": pa.int64(), "doc_id": pa.int64(), "n": pa.i
 SETS_DDL = "is_rep boolean, rid long, doc_id long, n long, text_key long, c1 long, c2 long, prefix array<long>"
 
 
+def shared_shingles(n: int, percent: int) -> int:
+    """l of a set: at most the overlap that it needs with any similar set."""
+    return min(SHARED, (percent * n + 99) // 100)
+
+
 def _sets(size: int, percent: int, ranks: np.ndarray):
     """A row for each document (doc_id, rid of its set in this split, n), and a
     row for each distinct set of the split with its digest and prefix."""
@@ -161,7 +169,7 @@ def _sets(size: int, percent: int, ranks: np.ndarray):
                 rid = rids.get(digest)
                 if rid is None:
                     rid = rids[digest] = base + len(rids)
-                    keep = len(s) - (percent * len(s) + 99) // 100 + 1
+                    keep = len(s) - (percent * len(s) + 99) // 100 + shared_shingles(len(s), percent)
                     order = np.lexsort((s, ranks[(s >> U(64 - SKETCH_BITS)).astype(np.int64)]))[:keep]
                     c1, c2 = np.frombuffer(digest, "<i8").tolist()
                     add(True, rid, doc, len(s), tkey, c1, c2, s[order].view(np.int64))
@@ -309,24 +317,6 @@ def _join_groups(size: int, percent: int):
     return run
 
 
-def _check_pairs(size: int, percent: int):
-    schema = arrow_schema({"a": pa.int64(), "b": pa.int64()})
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, known, one = Shingler(size), None, None
-        for b in batches:
-            out = []
-            for a, x, raw_a, raw_x in zip(*(b.column(i).to_pylist() for i in range(4))):
-                if a != known:
-                    known, one = a, next(shingler.sets([raw_a]))
-                if similar(one, next(shingler.sets([raw_x])), percent):
-                    out.append((a, x))
-            if out:
-                yield batch(schema, a=[r[0] for r in out], b=[r[1] for r in out])
-
-    return run
-
-
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 4, percent: int = 85,
                        star: int = STAR, chunk: int = CHUNK) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id.
@@ -349,18 +339,26 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     classes = reps.groupBy("c1", "c2").agg(F.min("rid").alias("root"), F.count("*").alias("k")).where("k > 1").drop("k")
     twins = stage(reps.select("c1", "c2", "rid").join(classes, ["c1", "c2"]).where("rid <> root").select("rid", "root"), "set-twins")
 
-    shared = first_of_run(reps.select(F.explode("prefix").alias("k1"), F.lit(0).cast("long").alias("k2"), F.col("rid").alias("doc"),
-                                      F.lit(0).cast("long").alias("tie"), F.lit(0).cast("long").alias("payload")), "prefix-runs")
+    long = lambda c: F.lit(c).cast("long")
+    runs = lambda m, name: first_of_run(m.select("k1", long(0).alias("k2"), F.col("rid").alias("doc"), long(0).alias("tie"),
+                                                 long(0).alias("payload")), name)
+    shared = runs(reps.select(F.explode("prefix").alias("k1"), "rid"), "prefix-runs")
+    members = (shared.select("k1", F.col("doc").alias("rid"))
+               .unionByName(shared.select("k1", F.col("first_doc").alias("rid")).distinct()))
+    # the smallest set that may be similar to a set of n has ceil(t n) shingles
+    overlap = lambda n: F.ceil(n * percent / F.lit(100))
+    least = F.least(F.lit(SHARED), overlap(overlap(F.col("n"))))
+    enough = (members.groupBy("rid").agg(F.count("*").alias("blocks")).join(reps.select("rid", "n"), "rid")
+              .where(F.col("blocks") >= least).select("rid"))
+    shared = runs(members.join(stage(enough, "prefix-members"), "rid"), "star-runs")
     stars = shared.select(F.col("first_doc").alias("pivot"), F.col("doc").alias("rid")).distinct()
     for c in ("pivot", "rid"):
         t = twins.select(F.col("rid").alias("__r"), F.col("root").alias("__root"))
         stars = stars.join(t, F.col(c) == F.col("__r"), "left").withColumn(c, F.coalesce("__root", c)).drop("__r", "__root")
-    stars = stars.where("pivot <> rid").distinct()
-    stars = stage(stars.unionByName(stars.select("pivot", F.col("pivot").alias("rid")).distinct()), "stars")
+    stars = stage(stars.where("pivot <> rid").distinct(), "stars")
     sizes = stars.groupBy("pivot").agg(F.count("*").alias("members"))
-    large = stage(sizes.where(F.col("members") > star), "large-stars")
 
-    needed = (stars.select("rid").distinct().join(reps.select("rid", "doc_id", "text_key"), "rid")
+    needed = (stars.select("rid").unionByName(stars.select(F.col("pivot").alias("rid"))).distinct().join(reps.select("rid", "doc_id", "text_key"), "rid")
               .select("rid", F.col("doc_id").alias("__doc"), F.col("text_key").alias("__key")))
     needed = stage(needed, "needed")
     few = needed.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
@@ -374,15 +372,14 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         return (m.repartition("h").sortWithinPartitions("h", "key").select("key", "rid", "label", "side", "raw")
                 .mapInArrow(_join_groups(size, percent), LINK_DDL))
 
-    small = stars.join(large.select("pivot"), "pivot", "left_anti")
-    links = joined(small.select("pivot", "rid", F.col("rid").alias("label"), F.lit(2).alias("side")))
-    big = stars.join(large, "pivot")
-    raw_x = texts.select("rid", F.col("raw").alias("raw_x"))
-    raw_p = texts.select(F.col("rid").alias("pivot"), F.col("raw").alias("raw_p"))
-    direct = (big.where("rid <> pivot").select("pivot", "rid").join(raw_x, "rid").join(raw_p, "pivot")
-              .select("pivot", "rid", "raw_p", "raw_x").mapInArrow(_check_pairs(size, percent), LINK_DDL))
-    links = stage(links.unionByName(direct), "links")
+    # stars, or chunks of them, each with the pivot
+    chunks = F.ceil(F.col("members") / star)
+    parts = (stars.join(sizes, "pivot").select("pivot", F.pmod(F.xxhash64("rid"), chunks).alias("c"), "rid")
+             .unionByName(sizes.select("pivot", F.explode(F.sequence(long(0), chunks - 1)).alias("c"), F.col("pivot").alias("rid"))))
+    links = stage(joined(parts.select("pivot", "c", "rid", F.col("rid").alias("label"), F.lit(2).alias("side"))), "links")
+    large = sizes.where(F.col("members") > star).select("pivot")
     if large.limit(1).count():
+        big = stars.join(large, "pivot")
         links = links.unionByName(stage(_rest_of_large(big, links, joined, chunk), "more-links"))
     labels = connected_components(links)
 
@@ -398,9 +395,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 
 def _rest_of_large(big: DataFrame, links: DataFrame, joined, chunk: int) -> DataFrame:
-    """Links of large stars that the comparison with the pivot doesn't give:
-    members outside the pivot's component (side B) against all others, by
-    chunks (B, i) x (A, j) and (B, i) x (B, j), i <= j."""
+    """Links of large stars that their chunks don't give: members outside the
+    pivot's component (side B) against all others, by chunks (B, i) x (A, j)
+    and (B, i) x (B, j), i <= j."""
     labels = connected_components(links)
     of = lambda c: labels.select(F.col("node").alias(c), F.col("root").alias(f"{c}_label"))
     m = (big.select("pivot", "rid").join(of("rid"), "rid", "left").join(of("pivot"), "pivot", "left")

@@ -239,3 +239,6 @@ COMPANY_LEGAL_WORDS = ["công ty", "company", "tnhh", "jsc", "corp", "ltd"]
 
 # --- FIXED VALUES: cluster naming thresholds are in operators/cluster.py (4 rules).
 # --- FIXED VALUES: outlier formula constants are in operators/enrich.py.
+
+# --- FIXED VALUES: skills that count as high value when a request is scored.
+SERVING_HIGH_VALUE = ["python", "aws", "docker", "kubernetes", "devops"]

@@ -80,7 +80,7 @@ def sections(html) -> Column:
     """(heading, body) pairs: a <b> heading opens a section running to the next one."""
     art = F.regexp_extract(visible(html), "(?is)<article(\\s[^>]*)?>(.*)</article>", 2)
     pieces = F.split(art, "(?i)<b(\\s[^>]*)?>")
-    tail = F.slice(pieces, 2, 1_000_000)
+    tail = F.slice(pieces, F.lit(2), F.size(pieces))
     return F.transform(tail, lambda s: F.struct(
         strip_tags(F.regexp_extract(s, "(?is)^(.*?)(</b>|<br\\s*/?>)", 1)).alias("heading"),
         strip_tags(F.regexp_replace(s, "(?is)^(.*?)(</b>|<br\\s*/?>)", "")).alias("body")))
@@ -171,7 +171,7 @@ def header_fields(lines) -> Column:
     positions 1/2/3 -> location, level, experience."""
     arr = _c(lines)
     pos = F.array_position(F.transform(arr, lambda s: line_is_salary(s)), True)
-    after = F.when(pos > 0, F.slice(arr, F.greatest(pos + 1, F.lit(1)), 1_000_000)).otherwise(
+    after = F.when(pos > 0, F.slice(arr, F.greatest(pos + 1, F.lit(1)), F.size(arr))).otherwise(
         F.array().cast("array<string>"))
     stop = F.array_position(F.transform(after, lambda s: F.lower(s).isin(SECTION_STOP_WORDS)), True)
     upto = F.when(stop > 0, F.slice(after, 1, F.greatest(stop - 1, F.lit(0)))).otherwise(after)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .constants import (FROM_WORDS_A, FROM_WORDS_B, MILLION_WORDS, NEGOTIABLE_WORDS_A,
                         NEGOTIABLE_WORDS_B, THOUSAND_WORDS, UP_TO_WORDS_A, UP_TO_WORDS_B)
-from .text import WORD_CLASS, contains_any
+from .text import WORD_CLASS, contains_any, let
 
 
 def _c(c) -> Column:
@@ -32,20 +32,25 @@ def salary_midpoint(min_c, max_c) -> Column:
 
 
 def _pair(values: Column, text: Column, up_to, from_words) -> Column:
-    """Pick (min, max) strings from parsed values, '' when missing."""
-    first = F.try_element_at(values, F.lit(1)).cast("string")
-    second = F.try_element_at(values, F.lit(2)).cast("string")
+    """struct(salary_min, salary_max) as strings from the numbers of a text, '' when missing."""
     empty = F.lit("")
-    lo = (F.when(F.size(values) == 0, empty)
-          .when(F.size(values) >= 2, first)
-          .when(contains_any(text, up_to), empty)
-          .otherwise(first))
-    hi = (F.when(F.size(values) == 0, empty)
-          .when(F.size(values) >= 2, second)
-          .when(contains_any(text, up_to), first)
-          .when(contains_any(text, from_words), empty)
-          .otherwise(first))
-    return lo, hi
+
+    def pick(v):
+        first, second = F.try_element_at(v, F.lit(1)).cast("string"), F.try_element_at(v, F.lit(2)).cast("string")
+        n = F.size(v)
+        up, from_ = contains_any(text, up_to), contains_any(text, from_words)
+        lo = F.when(n == 0, empty).when(n >= 2, first).when(up, empty).otherwise(first)
+        hi = F.when(n == 0, empty).when(n >= 2, second).when(up, first).when(from_, empty).otherwise(first)
+        return F.struct(lo.alias("salary_min"), hi.alias("salary_max"))
+
+    return let(values, pick)
+
+
+def _parse(raw: Column, text: Column, negotiable, parse) -> Column:
+    """Empty strings for a blank or negotiable text, else ``parse(text)``; the text is prepared once."""
+    none = F.struct(F.lit("").alias("salary_min"), F.lit("").alias("salary_max"))
+    blank = F.coalesce(raw, F.lit("")) == ""
+    return F.when(blank, none).otherwise(let(text, lambda t: F.when(contains_any(t, negotiable), none).otherwise(parse(t))))
 
 
 def parse_salary_text_a(raw) -> Column:
@@ -53,28 +58,27 @@ def parse_salary_text_a(raw) -> Column:
 
     lower, ',' -> '.', negotiable -> empty; unit triệu = 1e6, else thousand words
     or any 'k' = 1e3; numbers d+(.d+)? times unit, truncated; 2+ numbers -> first two;
-    one number -> max for 'up to' words, min for 'from' words, else both.
+    one number -> max for 'up to' words, min for 'from' words, else both.  A
+    number beyond bigint counts as none.
     """
     r = _c(raw)
-    t = F.trim(F.regexp_replace(F.replace(F.lower(r), F.lit(","), F.lit(".")), "(?U)\\s+", " "))
-    mult = (F.when(contains_any(t, MILLION_WORDS), F.lit(1_000_000.0))
-            .when(contains_any(t, THOUSAND_WORDS + ["k"]), F.lit(1_000.0))
-            .otherwise(F.lit(1.0)))
-    nums = F.regexp_extract_all(t, F.lit("\\d+(?:\\.\\d+)?"), 0)
-    values = F.transform(nums, lambda n: (n.cast("double") * mult).cast("bigint"))
-    lo, hi = _pair(values, t, UP_TO_WORDS_A, FROM_WORDS_A)
-    blank = F.coalesce(r, F.lit("")) == ""
-    neg = contains_any(t, NEGOTIABLE_WORDS_A)
-    lo = F.when(blank | neg, F.lit("")).otherwise(lo)
-    hi = F.when(blank | neg, F.lit("")).otherwise(hi)
-    return F.struct(lo.alias("salary_min"), hi.alias("salary_max"))
+    text = F.trim(F.regexp_replace(F.replace(F.lower(r), F.lit(","), F.lit(".")), "(?U)\\s+", " "))
+
+    def parse(t):
+        mult = (F.when(contains_any(t, MILLION_WORDS), F.lit(1_000_000.0))
+                .when(contains_any(t, THOUSAND_WORDS + ["k"]), F.lit(1_000.0)).otherwise(F.lit(1.0)))
+        nums = F.regexp_extract_all(t, F.lit("\\d+(?:\\.\\d+)?"), 0)
+        values = F.array_compact(let(mult, lambda m: F.transform(nums, lambda n: (n.cast("double") * m).try_cast("bigint"))))
+        return _pair(values, t, UP_TO_WORDS_A, FROM_WORDS_A)
+
+    return _parse(r, text, NEGOTIABLE_WORDS_A, parse)
 
 
 def normalise_salary_number(tok: Column) -> Column:
     """'40.000.000' -> 40000000 (thousand groups); '12,5' -> 12 (truncated); bad -> null."""
     grouped = tok.rlike("[.,][0-9]{3}$")
     return F.when(grouped, F.regexp_replace(tok, "[.,]", "").try_cast("bigint")).otherwise(
-        F.replace(tok, F.lit(","), F.lit(".")).try_cast("double").cast("bigint"))
+        F.replace(tok, F.lit(","), F.lit(".")).try_cast("double").try_cast("bigint"))
 
 
 def parse_salary_text_b(raw) -> Column:
@@ -84,17 +88,14 @@ def parse_salary_text_b(raw) -> Column:
     thousand separators are removed; other tokens are truncated before scaling.
     """
     r = _c(raw)
-    t = F.trim(F.regexp_replace(F.replace(F.lower(r), F.lit("\u00a0"), F.lit(" ")), "(?U)\\s+", " "))
-    standalone_k = t.rlike(f"(^|[^{WORD_CLASS}])k($|[^{WORD_CLASS}])")
-    mult = (F.when(contains_any(t, MILLION_WORDS), F.lit(1_000_000))
-            .when(contains_any(t, THOUSAND_WORDS) | standalone_k, F.lit(1_000))
-            .otherwise(F.lit(1))).cast("bigint")
-    toks = F.regexp_extract_all(t, F.lit("\\d[\\d.,]*"), 0)
-    values = F.filter(F.transform(toks, lambda n: normalise_salary_number(n) * mult),
-                      lambda v: v.isNotNull())
-    lo, hi = _pair(values, t, UP_TO_WORDS_B, FROM_WORDS_B)
-    blank = F.coalesce(r, F.lit("")) == ""
-    neg = contains_any(t, NEGOTIABLE_WORDS_B)
-    lo = F.when(blank | neg, F.lit("")).otherwise(lo)
-    hi = F.when(blank | neg, F.lit("")).otherwise(hi)
-    return F.struct(lo.alias("salary_min"), hi.alias("salary_max"))
+    text = F.trim(F.regexp_replace(F.replace(F.lower(r), F.lit("\u00a0"), F.lit(" ")), "(?U)\\s+", " "))
+
+    def parse(t):
+        standalone_k = t.rlike(f"(^|[^{WORD_CLASS}])k($|[^{WORD_CLASS}])")
+        mult = (F.when(contains_any(t, MILLION_WORDS), F.lit(1_000_000))
+                .when(contains_any(t, THOUSAND_WORDS) | standalone_k, F.lit(1_000)).otherwise(F.lit(1))).cast("bigint")
+        toks = F.regexp_extract_all(t, F.lit("\\d[\\d.,]*"), 0)
+        values = F.array_compact(let(mult, lambda m: F.transform(toks, lambda n: F.try_multiply(normalise_salary_number(n), m))))
+        return _pair(values, t, UP_TO_WORDS_B, FROM_WORDS_B)
+
+    return _parse(r, text, NEGOTIABLE_WORDS_B, parse)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .constants import ABBREVIATIONS, VALID_IT_SKILLS
-from .text import WORD_CLASS, normalise_for_skills
+from .text import WORD_CLASS, normalise_for_skills, let
 
 _LEXICON_PATH = os.path.join(os.path.dirname(__file__), "..", "data", "skill_lexicon.tsv")
 
@@ -157,15 +157,20 @@ def skill_extract(text, whitelist=None, match: str = "substring") -> Column:
     key = tuple(sorted(whitelist)) if whitelist is not None else None
     regex, expand = _matcher_plan(key, match == "word")
     lookup = F.create_map(*[x for p, ss in expand.items() for x in (F.lit(p), F.array(*[F.lit(v) for v in ss]))])
-    hits = F.array_distinct(F.regexp_extract_all(norm, F.lit(regex), 1))
-    found = F.flatten(F.transform(hits, lambda h: F.element_at(lookup, h)))
-    tokens_src = norm
-    extra = [F.when(F.array_contains(F.split(tokens_src, " "), abbr), F.lit(full))
-             for abbr, full in word_only_abbreviations(whitelist)]
-    if extra:
-        found = F.concat(found, F.array_compact(F.array(*extra)))
+    abbreviations = word_only_abbreviations(whitelist)
     empty = F.array().cast("array<string>")
-    return F.when(t.isNull() | (t == ""), empty).otherwise(F.array_sort(F.array_distinct(found)))
+
+    def extract(n):
+        hits = F.array_distinct(F.regexp_extract_all(n, F.lit(regex), 1))
+        found = F.flatten(F.transform(hits, lambda h: F.element_at(lookup, h)))
+        if abbreviations:
+            short = F.create_map(*[F.lit(x) for pair in abbreviations for x in pair])
+            tokens = F.array_intersect(F.split(n, " "), F.array(*[F.lit(a) for a, _ in abbreviations]))
+            found = F.concat(found, F.transform(tokens, lambda t: F.element_at(short, t)))
+        return F.array_sort(F.array_distinct(found))
+
+    # the normalised text is prepared once per row
+    return F.when(t.isNull() | (t == ""), empty).otherwise(let(norm, extract))
 
 
 def patterns_found(norm_text: Column, patterns) -> Column:

@@ -72,9 +72,20 @@ def python_title(c) -> Column:
     return F.initcap(_c(c))
 
 
+def literal_regex(needles) -> str:
+    """A pattern that finds any of the given strings, taken literally."""
+    return "|".join("".join("\\" + ch if ch in "\\.^$|?*+()[]{}#- " else ch for ch in n) for n in needles)
+
+
 def contains_any(text: Column, needles) -> Column:
-    """OR-chain of substring tests (short-circuits; stays in generated code)."""
-    cond = F.lit(False)
-    for k in needles:
-        cond = cond | (F.instr(text, k) > 0)
-    return cond
+    """Whether the text contains any of the strings.
+
+    One compiled pattern: the text expression stands (and runs) once, not once
+    per string."""
+    needles = list(needles)
+    return text.rlike(literal_regex(needles)) if needles else F.lit(False)
+
+
+def let(value: Column, f) -> Column:
+    """``f(value)`` with ``value`` evaluated once, however often ``f`` uses it."""
+    return F.transform(F.array(value), f)[0]

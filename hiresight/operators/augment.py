@@ -9,9 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.constants import BIG_CITIES
-from .relational import keep_first
-from .sampling import hash_key, hash_normal, hash_uniform, level_targets, sample_exact_per_group, sample_top_k
+from .relational import keep_first_of_equals
+from .sampling import flag_exact_global, hash_key, hash_normal, hash_uniform, sample_exact_global, sample_exact_per_group
 
 # --- FIXED VALUES: per-level ranges (exp, salary, skills [lo, hi)) and draw probabilities.
 LEVEL_RANGES = {
@@ -32,17 +31,30 @@ def _u(rid: Column, k: str, seed: int) -> Column:
     return hash_uniform(F.concat(rid.cast("string"), F.lit(f":{k}:{seed}")))
 
 
-def synth_level(spark: SparkSession, level: str, n: int, seed: int = 42) -> DataFrame:
+SYNTH_TAGS = [*LEVEL_RANGES, "<10M", "10-15M", "15-20M", "20-30M", "30-50M", ">50M", "fresher"]
+#: ids of different tags never meet: each tag has a range of its own below zero
+SYNTH_ID_RANGE = 1 << 40
+
+
+def synth_id(tag: str, i: Column) -> Column:
+    return F.lit(-SYNTH_TAGS.index(tag) * SYNTH_ID_RANGE - 1) - i
+
+
+def synth_level(spark: SparkSession, level: str, n: int, seed: int = 42, tag: str | None = None) -> DataFrame:
     """n synthetic postings of a level: uniform years and salary, integer skill
-    count in [lo, hi), Bernoulli skill flags, remote 0.3, english 0.2, 4 cities."""
+    count in [lo, hi), Bernoulli skill flags, remote 0.3, english 0.2, 4 cities.
+
+    ``tag`` (a level or a salary bracket) names the draw: two brackets of one
+    level get different rows with different ids."""
     (e0, e1), (s0, s1), (k0, k1) = LEVEL_RANGES.get(level, LEVEL_RANGES["Expert"])
-    rid = F.concat(F.lit(level + "#"), F.col("id").cast("string"))
+    tag = tag or level
+    rid = F.concat(F.lit(tag + "#"), F.col("id").cast("string"))
     flags = {s: (_u(rid, s, seed) < p).cast("int") for s, p in SKILL_PROBS}
     skills = F.array_compact(F.array(*[F.when(v == 1, F.lit(s)) for s, v in flags.items()]))
     city = F.element_at(F.array(*[F.lit(c) for c in SYNTH_CITIES]),
                         (F.floor(_u(rid, "city", seed) * len(SYNTH_CITIES)) + 1).cast("int"))
     return spark.range(n).select(
-        (-(F.col("id") + 1)).alias("post_id"),
+        synth_id(tag, F.col("id")).alias("post_id"),
         (F.lit(float(e0)) + _u(rid, "exp", seed) * (e1 - e0)).alias("exp_years"),
         (F.lit(float(s0)) + _u(rid, "salary", seed) * (s1 - s0)).alias("salary"),
         (F.lit(k0) + F.floor(_u(rid, "nsk", seed) * (k1 - k0))).cast("int").alias("num_skills"),
@@ -60,7 +72,7 @@ def synth_fresher(spark: SparkSession, n: int = 500, seed: int = 42) -> DataFram
     city = F.element_at(F.array(*[F.lit(c) for c in FRESHER_CITIES]),
                         (F.floor(_u(rid, "city", seed) * len(FRESHER_CITIES)) + 1).cast("int"))
     return spark.range(n).select(
-        (-(F.col("id") + 1)).alias("post_id"), _u(rid, "exp", seed).alias("exp_years"),
+        synth_id("fresher", F.col("id")).alias("post_id"), _u(rid, "exp", seed).alias("exp_years"),
         F.least(F.lit(12.0), F.greatest(F.lit(5.0), 6 + nsk * 0.8 + hash_normal(rid))).alias("salary"),
         nsk.alias("num_skills"), (_u(rid, "remote", seed) < 0.3).cast("int").alias("remote"),
         (_u(rid, "english", seed) < 0.2).cast("int").alias("english"), city.alias("city"),
@@ -74,12 +86,12 @@ def aug_balance_levels(df: DataFrame, target: int | None = None, seed: int = 42)
     t = F.lit(float(target)) if target is not None else F.greatest(sizes.select(F.median("n")).scalar(), F.lit(300.0))
     tg = sizes.select("level", F.when(F.col("n") > t * 2, F.least(t * 2, F.floor(F.col("n") * 0.7)))
                       .otherwise(F.col("n")).cast("long").alias("target"))
-    return sample_exact_per_group(df, ["level"], tg, seed=seed)
+    return sample_exact_per_group(df, ["level"], tg, seed=seed, small_groups=True)
 
 
 def aug_salary_noise(df: DataFrame, noise: float = 0.03, n: int = 200, seed: int = 42) -> DataFrame:
     """min(n, rows) rows by hash order; salary x N(1, noise), clipped to [5, 100]."""
-    s = sample_top_k(df.withColumn("_g", F.lit(1)), ["_g"], n, seed=seed).drop("_g")
+    s = sample_exact_global(df, count=n, seed=seed)
     factor = 1 + noise * hash_normal(F.concat(F.col("post_id").cast("string"), F.lit(f":noise:{seed}")))
     return s.withColumn("salary", F.least(F.lit(100.0), F.greatest(F.lit(5.0), F.col("salary") * factor))) \
         .withColumn("source", F.lit("noise"))
@@ -93,10 +105,10 @@ def aug_interpolate(df: DataFrame, n: int = 200, seed: int = 42) -> DataFrame:
     cols = ["post_id", "exp_years", "salary", "num_skills", "num_high_value_skills", "remote", "english",
             "is_big_city", "is_big_company", "city", "level", "city_multiplier", "skills"]
     d = df.select(*[F.col(c) if c in df.columns else F.lit(None).alias(c) for c in cols]).na.fill(0)
-    top = sample_top_k(d.withColumn("_g", F.lit(1)), ["_g"], 2 * n, seed=seed)
+    top = sample_exact_global(d, count=2 * n, seed=seed)
     # top holds at most 2n rows (n <= 500): ranking it in one window is bounded
     ranked = top.withColumn("_r", F.row_number().over(
-        Window.partitionBy("_g").orderBy(hash_key("post_id", seed), "post_id")))
+        Window.partitionBy(F.lit(1)).orderBy(hash_key("post_id", seed), "post_id")))
     a = ranked.where(F.col("_r") % 2 == 1).select(((F.col("_r") + 1) / 2).cast("int").alias("pair"),
                                                    *[F.col(c).alias(f"a_{c}") for c in cols])
     b = ranked.where(F.col("_r") % 2 == 0).select((F.col("_r") / 2).cast("int").alias("pair"),
@@ -134,31 +146,35 @@ def aug_interpolate(df: DataFrame, n: int = 200, seed: int = 42) -> DataFrame:
 
 def aug_limit_tail(df: DataFrame, original_rows: int, ratio: float = 0.3) -> DataFrame:
     """Keep at most original + floor(ratio x original) rows, dropping the newest
-    added rows first (highest origin rank, then highest id).
+    rows first (highest origin rank, then latest in hash order).
 
-    Balancing only removes rows, so the excess never exceeds the added rows
-    (origin_rank > 0, a few hundred): only that small tail is ranked.
+    The counts per origin rank (a handful) say how many rows of each rank stay;
+    a rank that is cut keeps its smallest hashes, found through the bucket
+    histogram, so neither the tail nor the head is ever sorted in one task.
     """
     cap = original_rows + int(original_rows * ratio)
-    excess = F.greatest(df.select(F.count(F.lit(1))).scalar() - F.lit(cap), F.lit(0))
-    head = df.where(F.col("origin_rank") == 0)
-    tail = df.where(F.col("origin_rank") > 0)
-    w = Window.partitionBy("_g").orderBy(F.desc("origin_rank"), F.desc("post_id"))
-    tail = tail.withColumn("_g", F.lit(1)).withColumn("_r", F.row_number().over(w)) \
-        .where(F.col("_r") > excess).drop("_r", "_g")
-    return head.unionByName(tail)
+    counts = dict(sorted((r[0], r[1]) for r in df.groupBy("origin_rank").count().collect()))  # one row a step
+    room, out = cap, None
+    for rank, n in counts.items():
+        rows = df.where(F.col("origin_rank").eqNullSafe(F.lit(rank)))
+        keep = min(n, max(0, room))
+        room -= keep
+        if keep < n:
+            rows = flag_exact_global(rows, count=keep, flag="_in").where("_in = 1").drop("_in")
+        out = rows if out is None else out.unionByName(rows)
+    return df if out is None else out
 
 
 def aug_dedup(df: DataFrame) -> DataFrame:
     """One row per (exp_years, num_skills, city, level): the first in origin order."""
-    return keep_first(df, ["exp_years", "num_skills", "city", "level"], ["origin_rank", "post_id"])
+    return keep_first_of_equals(df, ["exp_years", "num_skills", "city", "level"], ["origin_rank", "post_id"])
 
 
 def augment_all(df: DataFrame, ratio: float = 0.3, seed: int = 42) -> DataFrame:
     """balance (target 500) + noise + interpolation (each <= 150 and <= a third of
     the allowance) + cap at ``ratio`` added rows + dedup."""
-    from ..session import cut_lineage
-    base = cut_lineage(df)
+    from ..session import materialise
+    base = materialise(df)
     n0 = base.count()
     allowance = int(n0 * ratio)
     k = min(150, allowance // 3)
@@ -171,8 +187,4 @@ def augment_all(df: DataFrame, ratio: float = 0.3, seed: int = 42) -> DataFrame:
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p, allowMissingColumns=True)
-    out = aug_limit_tail(out, n0, ratio)
-    return aug_dedup(out)
-
-
-__all__ = ["level_targets", "BIG_CITIES"]
+    return aug_dedup(aug_limit_tail(materialise(out), n0, ratio))

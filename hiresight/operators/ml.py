@@ -8,21 +8,25 @@ subqueries over the same input into one job.
 
 from __future__ import annotations
 
+import json
 import math
+from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Model, PipelineModel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.constants import HIGH_VALUE_SKILLS, VALID_IT_SKILLS
+from ..functions.constants import BIG_CITIES, SERVING_HIGH_VALUE, VALID_IT_SKILLS
 from ..functions.skills import skill_one_hot
-from .relational import scalar
-from .sampling import sample_exact_global, sample_exact_per_group
+from ..session import materialise, path_exists
+from .enrich import city_multiplier, combo_flags
+from .relational import scalar, trim_quantiles
+from .sampling import flag_exact_global
 
 BASE_FEATURES = ["exp_years", "num_skills", "remote", "english", "is_big_city", "city_multiplier", "is_big_company"]
 INTERACTIONS = ["exp_skill_interaction", "exp_high_value", "remote_english", "remote_big_city", "exp_squared"]
@@ -61,14 +65,18 @@ def q(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
-def exact_split(df: DataFrame, test_fraction: float = 0.2, id_col: str = "post_id", seed: int = 42):
-    """(train, test) with exactly ceil(fraction * n) test rows, chosen by hash order.
+def split_flags(df: DataFrame, test_fraction: float = 0.2, id_col: str = "post_id", seed: int = 42) -> DataFrame:
+    """All rows with ``is_test``: 1 for exactly ceil(fraction * n) of them, by hash order.
+
+    One flag per row, so rows that repeat an id (a bootstrap does) are all kept
+    and every row is in exactly one part."""
+    return flag_exact_global(df, fraction=test_fraction, id_col=id_col, seed=seed, flag="is_test")
 
-    The histogram of 2^20 hash buckets is only a few MB whatever the input size,
-    so the one-partition cumulative sum over it stays bounded."""
-    test = sample_exact_global(df, fraction=test_fraction, id_col=id_col, seed=seed)
-    train = df.join(test.select(id_col), id_col, "left_anti")
-    return train, test
+
+def exact_split(df: DataFrame, test_fraction: float = 0.2, id_col: str = "post_id", seed: int = 42):
+    """(train, test) by ``split_flags``, written once so that both parts come from the same flags."""
+    flagged = materialise(split_flags(df, test_fraction, id_col, seed))
+    return flagged.where("is_test = 0").drop("is_test"), flagged.where("is_test = 1").drop("is_test")
 
 
 def fit_scaler(train: DataFrame, cols) -> dict:
@@ -96,20 +104,30 @@ def standardise(train: DataFrame, others, cols) -> tuple:
     return apply_scaler(train, params), [apply_scaler(o, params) for o in others]
 
 
-def prepare_training(df: DataFrame, lo: float = 0.02, hi: float = 0.98, seed: int = 42):
+@dataclass
+class Prepared:
+    """Scaled train and test rows (post_id, features, label), and what serving needs."""
+
+    train: DataFrame
+    test: DataFrame
+    features: list
+    scaler: dict
+
+
+def assemble(df: DataFrame, features: list, scaler: dict, keep) -> DataFrame:
+    """Scale with fitted parameters and assemble the feature vector, in the fitted order."""
+    scaled = apply_scaler(df.select(*keep, *[q(c) for c in features]).na.fill(0, subset=features), {c: scaler[c] for c in features})
+    return VectorAssembler(inputCols=features, outputCol="features").transform(scaled).select(*keep, "features")
+
+
+def prepare_training(df: DataFrame, lo: float = 0.02, hi: float = 0.98, seed: int = 42) -> Prepared:
     """null -> 0, quantile trim of salary, log1p target, exact 80/20 split, scaling on train."""
-    from .relational import trim_quantiles
     feats = feature_columns(df)
-    d = df.na.fill(0, subset=feats)
-    from ..session import cut_lineage
-    # materialised: the split reads it several times (and its quantile scalars
-    # must not nest inside the split's own scalar subqueries)
-    d = cut_lineage(trim_quantiles(d, "salary", lo, hi).withColumn("label", F.log1p("salary")))
-    train, test = exact_split(d, 0.2, seed=seed)
-    train, test = train.cache(), test.cache()
-    train_s, (test_s,) = standardise(train, [test], feats)
-    asm = VectorAssembler(inputCols=feats, outputCol="features")
-    return asm.transform(train_s), asm.transform(test_s), feats
+    narrow = df.select("post_id", "salary", *[q(c) for c in feats if c not in ("post_id", "salary")]).na.fill(0, subset=feats)
+    train, test = exact_split(trim_quantiles(narrow, "salary", lo, hi).withColumn("label", F.log1p("salary")), 0.2, seed=seed)
+    scaler = fit_scaler(train, feats)
+    parts = [assemble(d, feats, scaler, ["post_id", "label"]) for d in (train, test)]
+    return Prepared(parts[0], parts[1], feats, scaler)
 
 
 def regression_metrics(pred: DataFrame, label: str = "label", prediction: str = "prediction",
@@ -118,9 +136,9 @@ def regression_metrics(pred: DataFrame, label: str = "label", prediction: str =
     y = F.expm1(label) if log_scale else F.col(label)
     p = F.expm1(prediction) if log_scale else F.col(prediction)
     d = pred.select(y.alias("y"), p.alias("p"))
-    # one pass: SST = sum(y^2) - sum(y)^2 / n (no scalar subquery next to a model UDF)
+    # one pass; the variance is accumulated around the running mean, so it doesn't cancel
     e = F.col("y") - F.col("p")
-    sst = F.sum(F.col("y") * F.col("y")) - F.sum("y") * F.sum("y") / F.count(F.lit(1))
+    sst = F.var_pop("y") * F.count("y")
     agg = d.agg(F.avg(F.abs(e)).alias("mae"), F.sqrt(F.avg(e * e)).alias("rmse"),
                 (1 - F.sum(e * e) / sst).alias("r2"),
                 (F.avg(F.abs(e / (F.col("y") + 0.01))) * 100).alias("mape"))
@@ -133,62 +151,91 @@ def select_best(metrics: DataFrame) -> DataFrame:
     return metrics.orderBy(F.desc("r2"), F.asc("ord")).limit(1)
 
 
-def model_specs(seed: int = 42, fast: bool = False) -> list:
-    """(name, estimator or CrossValidator).
+def model_specs(seed: int = 42, rounds: int = 200, trees=(100, 200), depths=(10, 15), folds: int = 5) -> list:
+    """(name, estimator or CrossValidator), the reference's configuration by default.
 
-    ``fast=False`` is the documented configuration (200 boosting rounds, a
-    16-candidate forest grid with 5-fold CV; ``min_samples_split`` has no Spark
-    twin).  ``fast=True`` is a compact profile with the same model families
-    and depths but fewer trees/rounds/folds, used for the registered
-    rows-only checks where the model size does not change what is checked.
+    The forest grid has 16 candidates: trees x depth x minimum leaf size x
+    minimum information gain, the last in place of a minimum split size, which
+    Spark's trees don't have.  Boosting runs ``rounds`` rounds.
     """
-    it = 30 if fast else 200
     lin = LinearRegression(featuresCol="features", labelCol="label", regParam=0.0, elasticNetParam=0.0)
     rf = RandomForestRegressor(featuresCol="features", labelCol="label", seed=seed)
-    grid = (ParamGridBuilder().addGrid(rf.numTrees, [20, 40] if fast else [100, 200])
-            .addGrid(rf.maxDepth, [6, 10] if fast else [10, 15])
-            .addGrid(rf.minInstancesPerNode, [2, 4]).build())
-    cv = CrossValidator(estimator=rf, estimatorParamMaps=grid, numFolds=3 if fast else 5, seed=seed, parallelism=4,
+    grid = (ParamGridBuilder().addGrid(rf.numTrees, list(trees)).addGrid(rf.maxDepth, list(depths))
+            .addGrid(rf.minInstancesPerNode, [2, 4]).addGrid(rf.minInfoGain, [0.0, 0.001]).build())
+    cv = CrossValidator(estimator=rf, estimatorParamMaps=grid, numFolds=folds, seed=seed, parallelism=8,
                         evaluator=RegressionEvaluator(labelCol="label", metricName="r2"))
-    xgb_like = GBTRegressor(featuresCol="features", labelCol="label", maxIter=it, maxDepth=7, stepSize=0.05,
-                            subsamplingRate=0.8, featureSubsetStrategy="0.8", seed=seed)
-    lgbm_like = GBTRegressor(featuresCol="features", labelCol="label", maxIter=it, maxDepth=10, stepSize=0.05,
-                             subsamplingRate=0.8, featureSubsetStrategy="0.8", seed=seed)
-    gbt = GBTRegressor(featuresCol="features", labelCol="label", maxIter=it, maxDepth=5, stepSize=0.05,
-                       subsamplingRate=0.8, seed=seed)
-    return [("Linear Regression", lin), ("Random Forest", cv), ("XGBoost", xgb_like),
-            ("LightGBM", lgbm_like), ("Gradient Boosting", gbt)]
+    boost = {"featuresCol": "features", "labelCol": "label", "maxIter": rounds, "stepSize": 0.05, "subsamplingRate": 0.8, "seed": seed}
+    return [("Linear Regression", lin), ("Random Forest", cv),
+            ("XGBoost", GBTRegressor(maxDepth=7, featureSubsetStrategy="0.8", **boost)),
+            ("LightGBM", GBTRegressor(maxDepth=10, featureSubsetStrategy="0.8", **boost)),
+            ("Gradient Boosting", GBTRegressor(maxDepth=5, **boost))]
+
 
+METRICS_DDL = "model string, ord int, mae double, rmse double, r2 double, mape double"
 
-def train_all(df: DataFrame, seed: int = 42, fast: bool = False, only=None):
-    """Fit every model on one cached split; returns (metrics DataFrame, models, features).
 
-    ``metrics`` has model, ord, mae, rmse, r2, mape (test set, original scale).
+def train_models(prepared: Prepared, seed: int = 42, only=None, **size) -> tuple:
+    """Fit the models (all, or those named in ``only``) on one split; (metrics, models by name).
+
+    ``metrics``: model, ord, mae, rmse, r2, mape on the test part, original scale.
     """
-    train, test, feats = prepare_training(df, seed=seed)
-    train = train.select("post_id", "features", "label").cache()
-    test = test.select("post_id", "features", "label").cache()
-    spark = df.sparkSession
+    train, test = prepared.train.persist(), prepared.test
     rows, models = [], {}
-    for i, (name, est) in enumerate(model_specs(seed, fast)):
-        if only and name not in only:
-            continue
-        model = est.fit(train)
-        if isinstance(model, type(None)):
-            continue
-        best = model.bestModel if hasattr(model, "bestModel") else model
-        models[name] = best
-        m = regression_metrics(best.transform(test)).first()
-        rows.append((name, i, float(m["mae"]), float(m["rmse"]), float(m["r2"]), float(m["mape"])))
-    metrics = spark.createDataFrame(rows, "model string, ord int, mae double, rmse double, r2 double, mape double")
-    return metrics, models, feats
+    try:
+        for i, (name, est) in enumerate(model_specs(seed, **size)):
+            if only and name not in only:
+                continue
+            model = est.fit(train)
+            models[name] = getattr(model, "bestModel", model)
+            m = regression_metrics(models[name].transform(test)).first()
+            rows.append((name, i, float(m["mae"]), float(m["rmse"]), float(m["r2"]), float(m["mape"])))
+    finally:
+        train.unpersist()
+    return test.sparkSession.createDataFrame(rows, METRICS_DDL), models
+
+
+@dataclass
+class Scorer:
+    """A fitted model with the scaler and the feature list it was fitted with."""
+
+    model: Model
+    features: list
+    scaler: dict
+
+    def score(self, df: DataFrame, keep=("post_id",)) -> DataFrame:
+        """``keep`` columns and the predicted salary ``p`` (original scale); a feature that ``df`` lacks is 0."""
+        df = df.select("*", *[F.lit(0).alias(c) for c in self.features if c not in df.columns])
+        return self.model.transform(assemble(df, self.features, self.scaler, list(keep))).select(*keep, F.expm1("prediction").alias("p"))
+
+    def save(self, path: str) -> None:
+        """Model, scaler and feature list together, under one folder."""
+        spark = SparkSession.getActiveSession()
+        PipelineModel([self.model]).write().overwrite().save(f"{path}/model")
+        rows = [(i, c, *self.scaler[c]) for i, c in enumerate(self.features)]
+        spark.createDataFrame(rows, "position int, feature string, mean double, std double").coalesce(1) \
+            .write.mode("overwrite").parquet(f"{path}/features")
+
+    @staticmethod
+    def load(spark, path: str) -> "Scorer | None":
+        """None if nothing was saved there; an unreadable folder is an error."""
+        if not path_exists(spark, f"{path}/features/_SUCCESS"):
+            return None
+        rows = spark.read.parquet(f"{path}/features").orderBy("position").collect()  # one row a feature
+        model = PipelineModel.load(f"{path}/model").stages[0]
+        return Scorer(model, [r["feature"] for r in rows], {r["feature"]: (r["mean"], r["std"]) for r in rows})
+
+
+def best_scorer(prepared: Prepared, metrics: DataFrame, models: dict) -> Scorer:
+    return Scorer(models[select_best(metrics).first()["model"]], prepared.features, prepared.scaler)
 
 
 def feature_importance(model, feats, k: int = 15):
-    """(feature, importance) top k of a tree model; None for linear models."""
-    if not hasattr(model, "featureImportances"):
-        return None
-    imp = model.featureImportances.toArray().tolist()
+    """(feature, importance) top k of a tree model; a linear model's are the shares of its absolute coefficients."""
+    if hasattr(model, "featureImportances"):
+        imp = model.featureImportances.toArray().tolist()
+    else:
+        w = [abs(x) for x in model.coefficients.toArray().tolist()]
+        imp = [x / (sum(w) or 1.0) for x in w]
     return sorted(zip(feats, imp), key=lambda t: (-t[1], t[0]))[:k]
 
 
@@ -207,6 +254,39 @@ def f_scores(df: DataFrame, feats, target: str = "salary") -> DataFrame:
     return df.sparkSession.createDataFrame(out, "feature string, f_score double")
 
 
+def mutual_information(df: DataFrame, feats, target: str = "salary", bins: int = 16) -> DataFrame:
+    """Mutual information (nats) of each feature with the target, both cut into
+    ``bins`` equal-width bins over their ranges.
+
+    One pass for the ranges, one for all joint histograms (at most bins^2 rows
+    a feature, combined map-side); marginals are windows over those rows."""
+    cols = list(feats)
+    lim = df.agg(*[f(q(c)).alias(f"{n}{i}") for i, c in enumerate([*cols, target]) for n, f in (("lo", F.min), ("hi", F.max))]).first()
+
+    def cut(i, c):
+        lo, hi = lim[f"lo{i}"], lim[f"hi{i}"]
+        if lo is None or lo == hi:
+            return F.lit(0)
+        return F.least(F.floor((q(c) - F.lit(float(lo))) / F.lit((float(hi) - float(lo)) / bins)), F.lit(bins - 1)).cast("int")
+
+    x = F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), cut(i, c).alias("bx")) for i, c in enumerate(cols)])).alias("x")
+    joint = (df.na.fill(0, subset=cols).select(x, cut(len(cols), target).alias("by")).select("x.feature", "x.bx", "by")
+             .groupBy("feature", "bx", "by").agg(F.count(F.lit(1)).alias("n")))
+    of = lambda *k: F.sum("n").over(Window.partitionBy("feature", *k))
+    terms = joint.select("feature", (F.col("n") / of()).alias("pxy"), (of("bx") / of()).alias("px"), (of("by") / of()).alias("py"))
+    return terms.groupBy("feature").agg(F.sum(F.col("pxy") * F.log(F.col("pxy") / (F.col("px") * F.col("py")))).alias("mi"))
+
+
+def select_k_best(df: DataFrame, feats, k: int = 30, target: str = "salary") -> DataFrame:
+    """(feature, f_score, mi, score), the k best by 0.6 x mutual information +
+    0.4 x F score, each scaled to [0, 1] over the features; ties by name."""
+    d = f_scores(df, feats, target).join(mutual_information(df, feats, target), "feature").na.fill(0.0, ["f_score", "mi"])
+    unit = lambda c: F.coalesce(F.try_divide(F.col(c) - F.min(c).over(w), F.max(c).over(w) - F.min(c).over(w)), F.lit(0.0))
+    w = Window.partitionBy(F.lit(0))  # one row a feature
+    return (d.withColumn("score", 0.6 * unit("mi") + 0.4 * unit("f_score"))
+            .orderBy(F.desc(F.round("score", 9)), F.asc("feature")).limit(k))
+
+
 def minmax_scale(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
     lo, hi = scalar(df, F.min(col)), scalar(df, F.max(col))
     return df.withColumn(out or f"{col}_scaled", F.try_divide(F.col(col) - lo, hi - lo))
@@ -218,22 +298,26 @@ CLUSTER_FEATURES = ["exp_years", "num_skills", "salary", "is_big_city"]
 
 def cluster_market(df: DataFrame, k: int = 4, restarts: int = 10, seed: int = 42):
     """Standardise the features that exist, K-Means with ``restarts`` seeds, keep the
-    lowest training cost.  Returns (labelled df with ``cluster``, features) or None."""
+    lowest training cost.  Returns (all rows with ``cluster``, features) or None.
+
+    The label is a column of the same rows: nothing is joined back, so rows
+    that repeat an id keep their own."""
     feats = [c for c in CLUSTER_FEATURES if c in df.columns]
     if not feats:
         return None
     d = df.na.fill(0, subset=feats)
-    scaled, _ = standardise(d, [], feats)
-    data = VectorAssembler(inputCols=feats, outputCol="features").transform(
-        scaled.select(*[q(c) for c in scaled.columns if c not in feats], *feats)).cache()
-    best, best_cost = None, None
-    for r in range(restarts):
-        m = KMeans(k=k, seed=seed + r, featuresCol="features", predictionCol="cluster").fit(data)
-        cost = m.summary.trainingCost
-        if best_cost is None or cost < best_cost:
-            best, best_cost = m, cost
-    labelled = best.transform(data).select("post_id", "cluster")
-    return df.join(labelled, "post_id"), feats
+    params = fit_scaler(d, feats)
+    z = [F.lit(0.0) if not params[c][1] else (q(c) - F.lit(params[c][0])) / F.lit(params[c][1]) for c in feats]
+    d = d.withColumns({f"__z{i}": x for i, x in enumerate(z)})
+    data = VectorAssembler(inputCols=[f"__z{i}" for i in range(len(feats))], outputCol="__features").transform(d) \
+        .drop(*[f"__z{i}" for i in range(len(feats))])
+    points = data.select("__features").persist()
+    try:
+        fits = [KMeans(k=k, seed=seed + r, featuresCol="__features", predictionCol="cluster").fit(points) for r in range(restarts)]
+    finally:
+        points.unpersist()
+    best = min(fits, key=lambda m: m.summary.trainingCost)
+    return best.transform(data).drop("__features"), feats
 
 
 def cluster_profiles(labelled: DataFrame, feats) -> DataFrame:
@@ -251,21 +335,37 @@ def cluster_name(exp: Column, salary: Column) -> Column:
 
 
 # ------------------------------------------------------------------ scoring
-def request_features(requests: DataFrame, multiplier_big: float = 1.1) -> DataFrame:
-    """Serving features from (experience_years, skills, remote, english, city)."""
-    hv = F.array(*[F.lit(s) for s in ["python", "aws", "docker", "kubernetes", "devops"]])
+def request_features(requests: DataFrame) -> DataFrame:
+    """The training features from (experience_years, skills, remote, english, city).
+
+    Same definitions as in training (city multiplier table, combos, flags), so a
+    row scores alike either way; what a request can't know (company size,
+    salary per skill) is 0."""
+    hv = F.array(*[F.lit(s) for s in SERVING_HIGH_VALUE])
     y = F.col("experience_years")
     nsk = F.size("skills")
-    big = F.col("city").isin("Ho Chi Minh City", "Hanoi")
-    nhv = F.size(F.filter("skills", lambda s: F.array_contains(hv, s)))
-    return requests.select(
-        "*", y.alias("exp_years"), nsk.alias("num_skills"), F.col("remote").cast("int").alias("remote_i"),
-        F.col("english").cast("int").alias("english_i"), big.cast("int").alias("is_big_city"),
-        F.when(big, F.lit(multiplier_big)).otherwise(F.lit(1.0)).alias("city_multiplier"),
+    big = F.coalesce(F.col("city").isin(BIG_CITIES), F.lit(False))
+    nhv = F.size(F.array_intersect("skills", hv))
+    d = requests.withColumnsRenamed({"remote": "__remote", "english": "__english"})
+    return d.select(
+        "*", y.alias("exp_years"), nsk.alias("num_skills"), F.col("__remote").cast("int").alias("remote"),
+        F.col("__english").cast("int").alias("english"), big.cast("int").alias("is_big_city"),
+        city_multiplier(F.col("city")).alias("city_multiplier"),
         F.lit(0).alias("is_big_company"), (y * y).alias("exp_squared"), (y * nsk).alias("exp_skill_interaction"),
-        (y * nhv).alias("exp_high_value"), (F.col("remote") & F.col("english")).cast("int").alias("remote_english"),
-        (F.col("remote") & big).cast("int").alias("remote_big_city"), F.lit(0.0).alias("salary_per_skill"),
-        nhv.alias("num_high_value_skills"))
+        (y * nhv).alias("exp_high_value"), (F.col("__remote") & F.col("__english")).cast("int").alias("remote_english"),
+        (F.col("__remote") & big).cast("int").alias("remote_big_city"), F.lit(0.0).alias("salary_per_skill"),
+        nhv.alias("num_high_value_skills"), *combo_flags(F.col("skills"))).drop("__remote", "__english")
+
+
+def factor_messages(years: Column, skills: Column, english: Column, city: Column) -> Column:
+    """Key factors of a prediction, in display order."""
+    hv = F.array_intersect(F.array(*[F.lit(s) for s in SERVING_HIGH_VALUE]), skills)
+    return F.array_compact(F.array(
+        F.when(years >= 5, F.lit("Senior level experience (+30-40%)")).when(years >= 3, F.lit("Mid-level experience (+15-25%)")),
+        F.when(F.size(skills) >= 5, F.lit("Broad skill set (+10-15%)")),
+        F.when(F.size(hv) > 0, F.concat(F.lit("High-value skills: "), F.array_join(F.slice(hv, 1, 3), ", "), F.lit(" (+20-30%)"))),
+        F.when(english, F.lit("English proficiency (+10-15%)")),
+        F.when(city.isin(BIG_CITIES), F.lit("Major city premium (+10-15%)"))))
 
 
 def prediction_band(pred: Column) -> list:
@@ -276,17 +376,3 @@ def prediction_band(pred: Column) -> list:
 def predict_caps(pred: Column, years: Column, n_skills: Column, band: float = 4.89) -> list:
     capped = F.when((years < 1) & (n_skills <= 2), F.least(pred, F.lit(12.0))).otherwise(pred)
     return [capped.alias("capped"), (capped - band).alias("band_lower"), (capped + band).alias("band_upper")]
-
-
-def save_model(model, path: str) -> None:
-    model.write().overwrite().save(path)
-
-
-def load_model(path: str):
-    try:
-        return PipelineModel.load(path)
-    except Exception:  # noqa: BLE001  (absent model -> None, as the reference)
-        return None
-
-
-__all__ = ["Pipeline", "HIGH_VALUE_SKILLS"]

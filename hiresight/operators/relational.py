@@ -79,17 +79,37 @@ def union_feeds(*feeds: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), ranked)
 
 
+RANK_BITS = 56
+
+
 def keep_first(df: DataFrame, keys, order) -> DataFrame:
-    """One row per ``keys``: the row with the smallest ``order`` tuple.
+    """The row with the smallest ``order`` = (rank, id) of each combination of
+    ``keys``; ids are unique within a rank.
 
-    Implemented as ``min(struct(order..., rest...))`` per key.  The aggregate
-    is combined map-side, so a hot key (even one holding a third of all rows)
-    costs one partial row per map task; there is no per-group sort, no
-    window and no join back.
+    (rank, id) is packed into one long, so the winners are a hash aggregate of
+    narrow rows (combined map-side: a hot key costs one row per map task), and
+    a semi-join with them as the build side streams the wide rows past.
+    Unselected columns stay unread.  Ids must lie in [0, 2^56).
     """
+    keys, (rank, key_id) = list(keys), list(order)
+    i = F.col(f"`{key_id}`").cast("long")
+    packed = (F.when(i.between(0, (1 << RANK_BITS) - 1), F.shiftleft(F.col(f"`{rank}`").cast("long"), RANK_BITS) + i)
+              .otherwise(F.raise_error(F.lit("keep_first: id out of range")).cast("long")))
+    first = (df.groupBy(*[F.col(f"`{k}`").alias(f"__{k}") for k in keys]).agg(F.min(packed).alias("__first")))
+    on = F.col("__packed") == F.col("__first")
+    for k in keys:
+        on = on & F.col(f"`{k}`").eqNullSafe(F.col(f"`__{k}`"))
+    return df.withColumn("__packed", packed).join(first.hint("shuffle_hash"), on, "left_semi").drop("__packed")
+
+
+def keep_first_of_equals(df: DataFrame, keys, order) -> DataFrame:
+    """Like ``keep_first`` where whole ``order`` tuples may repeat: exactly one
+    row per ``keys``, by ``min(struct(order..., rest...))``.
+
+    The struct is wide and sorts map-side; for tables of bounded size."""
     keys, order = list(keys), list(order)
     rest = [c for c in df.columns if c not in keys and c not in order]
-    packed = F.struct(*[F.col(f"`{c}`") for c in order + rest]).alias("_first")
+    packed = F.struct(*[F.col(f"`{c}`") for c in order + rest])
     agg = df.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(F.min(packed).alias("_first"))
     return agg.select(*[F.col(f"`{k}`") for k in keys], *[F.col("_first").getField(c).alias(c) for c in order + rest]) \
         .select(*[F.col(f"`{c}`") for c in df.columns])

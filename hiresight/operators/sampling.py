@@ -10,8 +10,7 @@ The first 20 bits of the hash form a bucket; a bucket histogram per group
 (map-side combined, at most 2^20 rows per group whatever the data size) gives
 each group's boundary bucket, rows below it are kept as they stream by, and
 only the rows of the single boundary bucket (about 1/2^20 of the group) are
-ranked.  Small fixed-k samples (k <= 1000) use ``row_number() <= k`` which
-Spark plans with a partial window-group-limit before the shuffle.
+ranked.
 """
 
 from __future__ import annotations
@@ -43,12 +42,12 @@ def hash_normal(key: Column) -> Column:
 
 
 def sample_exact_per_group(df: DataFrame, group_cols, targets: DataFrame, id_col: str = "post_id",
-                           seed: int = 42, small_groups: bool = True) -> DataFrame:
+                           seed: int = 42, small_groups: bool = False) -> DataFrame:
     """Exactly ``target`` rows per group: those with the smallest (hash, id).
 
     ``targets`` has the group columns and an integer ``target``; groups
-    missing from it keep all their rows.  ``small_groups`` marks the group
-    table as bounded (a handful of classes), so it is broadcast.
+    missing from it keep all their rows.  ``small_groups`` is for callers whose
+    groups are a fixed handful of classes: the group table is then broadcast.
     """
     g = list(group_cols)
     h = hash_key(id_col, seed)
@@ -73,14 +72,12 @@ def sample_exact_per_group(df: DataFrame, group_cols, targets: DataFrame, id_col
     return out.drop("_h", "_b", "_bb", "_need")
 
 
-def sample_exact_global(df: DataFrame, fraction: float | None = None, count: int | None = None,
-                        id_col: str = "post_id", seed: int = 42) -> DataFrame:
-    """Exactly ceil(fraction x rows) (or ``count``) rows overall, the smallest hashes.
+def _boundary(df: DataFrame, fraction: float | None, count: int | None, id_col: str, seed: int):
+    """Rows keyed by hash and bucket, the boundary bucket and how many of its
+    rows are still needed (null: every row), and the target, as scalars.
 
-    No join: the histogram of 2^20 hash buckets (a few MB whatever the input)
-    gives the boundary bucket and the count still needed there, which enter the
-    row filter as scalar subqueries; only the boundary bucket is ranked.
-    """
+    The histogram of 2^20 hash buckets (a few MB whatever the input) gives all
+    three; only the boundary bucket is ever ranked."""
     h = hash_key(id_col, seed)
     b = F.conv(F.substring(h, 1, BUCKET_HEX_DIGITS), 16, 10).cast("int")
     keyed = df.withColumns({"_h": h, "_b": b})
@@ -90,39 +87,64 @@ def sample_exact_global(df: DataFrame, fraction: float | None = None, count: int
     run = whole.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     cum = hist.withColumn("_t", t.cast("long")).withColumn("_cum", F.sum("_n").over(run)) \
         .withColumn("_prev", F.col("_cum") - F.col("_n"))
-    edge_row = cum.where((F.col("_prev") < F.col("_t")) & (F.col("_cum") >= F.col("_t")))
-    bb = edge_row.select(F.min("_b")).scalar()          # null when every row is kept
-    need = edge_row.select(F.min(F.col("_t") - F.col("_prev"))).scalar()
-    target = cum.select(F.max("_t")).scalar()
-    below = keyed.where((bb.isNull() & (target > 0)) | (F.col("_b") < bb))
-    rk = Window.partitionBy("_b").orderBy("_h", id_col)
-    edge = keyed.where(F.col("_b") == bb).withColumn("_rn", F.row_number().over(rk)) \
-        .where(F.col("_rn") <= need).drop("_rn")
-    return below.unionByName(edge).drop("_h", "_b")
+    at = (F.col("_prev") < F.col("_t")) & (F.col("_cum") >= F.col("_t"))
+    # one row: Spark evaluates this subquery once for all three values
+    edge = cum.agg(F.struct(F.min(F.when(at, F.col("_b"))).alias("b"), F.min(F.when(at, F.col("_t") - F.col("_prev"))).alias("need"),
+                            F.max("_t").alias("t")).alias("e")).scalar()
+    return keyed, edge["b"], edge["need"], edge["t"]
 
 
-def sample_top_k(df: DataFrame, group_cols, k: int, id_col: str = "post_id", seed: int = 42) -> DataFrame:
-    """k rows per group by hash order (k small: partial top-k before the shuffle)."""
-    w = Window.partitionBy(*group_cols).orderBy(hash_key(id_col, seed), F.col(id_col))
-    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k).drop("_rn")
+def sample_exact_global(df: DataFrame, fraction: float | None = None, count: int | None = None,
+                        id_col: str = "post_id", seed: int = 42) -> DataFrame:
+    """Exactly ceil(fraction x rows) (or ``count``) rows overall, the smallest hashes."""
+    return flag_exact_global(df, fraction, count, id_col, seed, "_in").where("_in = 1").drop("_in")
 
 
-def bootstrap_n(df: DataFrame, group_col: str, n: int, id_col: str = "post_id", seed: int = 42,
-                max_group: int = 1000) -> DataFrame:
-    """n draws with replacement per group (groups of at most ``max_group`` rows).
+def flag_exact_global(df: DataFrame, fraction: float | None = None, count: int | None = None, id_col: str = "post_id",
+                      seed: int = 42, flag: str = "is_test") -> DataFrame:
+    """All rows with ``flag`` 1 for exactly ceil(fraction x rows) (or ``count``)
+    of them, those with the smallest (hash, id), and 0 for the others.
+
+    Each row gets its flag in one pass; rows that share an id are ranked like
+    any others, so nothing is lost or doubled."""
+    keyed, bb, need, target = _boundary(df, fraction, count, id_col, seed)
+    clear = keyed.where(bb.isNull() | (F.col("_b") != bb)).withColumn(
+        flag, F.when(bb.isNull(), (target > 0).cast("int")).otherwise((F.col("_b") < bb).cast("int")))
+    rk = Window.partitionBy("_b").orderBy("_h", id_col)
+    edge = keyed.where(F.col("_b") == bb).withColumn(flag, (F.row_number().over(rk) <= need).cast("int"))
+    return clear.unionByName(edge).drop("_h", "_b")
+
+
+def bootstrap_n(df: DataFrame, group_col: str, n: int, id_col: str = "post_id", seed: int = 42) -> DataFrame:
+    """n draws with replacement per group, of any size.
 
     Draw i of group g takes the row of rank pmod(md5(g:i:seed), size) + 1 in the
-    group's hash order: a draw table (n rows per group) joined on the rank.
+    group's hash order.  The rank is found through the group's bucket histogram
+    (at most 2^20 rows per group): its cumulative counts and the draws are
+    ordered together, which gives each draw its bucket and its rank there; only
+    rows of drawn buckets are ranked, so no group is sorted in one task.
     """
-    sizes = df.groupBy(group_col).agg(F.count(F.lit(1)).alias("_size"))
-    w = Window.partitionBy(group_col).orderBy(hash_key(id_col, seed), F.col(id_col))
-    ranked = df.withColumn("_rank", F.row_number().over(w))
-    draws = sizes.where(F.col("_size") <= max_group).select(
-        group_col, "_size", F.explode(F.sequence(F.lit(1), F.lit(n))).alias("_draw"))
+    h = hash_key(id_col, seed)
+    b = F.conv(F.substring(h, 1, BUCKET_HEX_DIGITS), 16, 10).cast("int")
+    keyed = df.withColumns({"_h": h, "_b": b})
+    hist = keyed.groupBy(group_col, "_b").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(group_col).orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cum = hist.withColumn("_prev", F.sum("_n").over(before) - F.col("_n"))
+    sizes = hist.groupBy(group_col).agg(F.sum("_n").alias("_size"))
+    draws = sizes.select(group_col, "_size", F.explode(F.sequence(F.lit(1), F.lit(n))).alias("_draw"))
     dkey = F.concat(F.col(group_col).cast("string"), F.lit(":"), F.col("_draw").cast("string"), F.lit(f":{seed}"))
-    draws = draws.withColumn("_rank", F.pmod(F.conv(F.substring(F.md5(dkey), 1, 8), 16, 10).cast("bigint"),
-                                             F.col("_size")) + 1)
-    return draws.join(ranked, [group_col, "_rank"], "inner").drop("_size", "_rank", "_draw")
+    at = F.pmod(F.conv(F.substring(F.md5(dkey), 1, 8), 16, 10).cast("bigint"), F.col("_size"))
+    marks = cum.select(group_col, F.col("_prev").alias("_at"), F.lit(None).cast("int").alias("_draw"), F.col("_b").alias("_db")) \
+        .unionByName(draws.select(group_col, at.alias("_at"), "_draw", F.lit(None).cast("int").alias("_db")))
+    here = Window.partitionBy(group_col).orderBy("_at", F.col("_draw").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    found = (marks.withColumn("_bucket", F.last("_db", ignorenulls=True).over(here))
+             .withColumn("_start", F.max(F.when(F.col("_draw").isNull(), F.col("_at"))).over(here))
+             .where(F.col("_draw").isNotNull())
+             .select(group_col, F.col("_bucket").alias("_b"), (F.col("_at") - F.col("_start") + 1).alias("_rank")))
+    rk = Window.partitionBy(group_col, "_b").orderBy("_h", id_col)
+    ranked = (keyed.join(found.select(group_col, "_b").distinct(), [group_col, "_b"], "left_semi")
+              .withColumn("_rank", F.row_number().over(rk).cast("long")))
+    return found.join(ranked, [group_col, "_b", "_rank"], "inner").select(*df.columns)
 
 
 # ------------------------------------------------------------------ balancing
@@ -145,7 +167,7 @@ def balance_levels(df: DataFrame, min_fresher: int = 10, seed: int = 42) -> Data
     d = merge_expert(df)
     n_fresher = d.where(F.col("level") == "Fresher").select(F.count(F.lit(1))).scalar()
     d = d.where((F.col("level") != "Fresher") | (n_fresher >= min_fresher))
-    return sample_exact_per_group(d, ["level"], level_targets(d), seed=seed)
+    return sample_exact_per_group(d, ["level"], level_targets(d), seed=seed, small_groups=True)
 
 
 def salary_bracket(col: str = "salary") -> Column:
@@ -156,23 +178,24 @@ def balance_brackets(df: DataFrame, per_bracket: int = 300, seed: int = 42, synt
     """Exactly ``per_bracket`` rows for each of the 6 salary brackets.
 
     > n rows: the n smallest hashes; 1..n rows: n bootstrap draws; 0 rows:
-    ``synth(level, n)`` synthetic rows (skipped when ``synth`` is None).
-    Rows outside every bracket are dropped.
+    ``synth(spark, level, n, tag=bracket)`` synthetic rows of the bracket's
+    level (default ``augment.synth_level``).  Rows outside every bracket are
+    dropped.
     """
+    if synth is None:
+        from .augment import synth_level as synth
     d = df.withColumn("salary_bracket", salary_bracket()).where(F.col("salary_bracket").isNotNull())
-    sizes = d.groupBy("salary_bracket").agg(F.count(F.lit(1)).alias("_bn"))
+    sizes = d.groupBy("salary_bracket").agg(F.count(F.lit(1)).alias("_bn"))  # at most 6 rows
     big = d.join(F.broadcast(sizes.where(F.col("_bn") > per_bracket)), "salary_bracket", "left_semi")
     small = d.join(F.broadcast(sizes.where(F.col("_bn") <= per_bracket)), "salary_bracket", "left_semi")
-    down = sample_top_k(big, ["salary_bracket"], per_bracket, seed=seed)
-    up = bootstrap_n(small, "salary_bracket", per_bracket, seed=seed, max_group=per_bracket)
-    out = down.unionByName(up)
-    if synth is not None:
-        spark = df.sparkSession
-        present = {r[0] for r in sizes.collect()}  # at most 6 labels
-        for lo, hi, label in SALARY_BRACKETS:
-            if label not in present:
-                s = synth(spark, BRACKET_LEVEL[label], per_bracket).withColumn("salary_bracket", F.lit(label))
-                out = out.unionByName(s, allowMissingColumns=True)
+    targets = sizes.where(F.col("_bn") > per_bracket).select("salary_bracket", F.lit(per_bracket).cast("long").alias("target"))
+    down = sample_exact_per_group(big, ["salary_bracket"], targets, seed=seed, small_groups=True)
+    out = down.unionByName(bootstrap_n(small, "salary_bracket", per_bracket, seed=seed))
+    present = {r[0] for r in sizes.collect()}  # at most 6 labels
+    for _lo, _hi, label in SALARY_BRACKETS:
+        if label not in present:
+            s = synth(df.sparkSession, BRACKET_LEVEL[label], per_bracket, tag=label).withColumn("salary_bracket", F.lit(label))
+            out = out.unionByName(s, allowMissingColumns=True)
     return out.drop("salary_bracket")
 
 
@@ -185,12 +208,19 @@ def top_cities_other(df: DataFrame, k: int = 5) -> DataFrame:
         .withColumn("is_big_city", F.col("city").isin(BIG_CITIES).cast("int")).drop("_top")
 
 
-def balance_all(df: DataFrame, seed: int = 42, synth=None, materialize=None) -> DataFrame:
-    """Levels, then brackets, then cities.  Each step reads its input several
-    times (histograms, targets, joins), so the input of each step is
-    materialised first (``materialize``, default a reliable checkpoint)."""
-    from ..session import cut_lineage
-    m = materialize or cut_lineage
-    lv = balance_levels(m(df), seed=seed)
-    br = balance_brackets(m(lv), seed=seed, synth=synth)
-    return top_cities_other(m(br))
+def balance_all(df: DataFrame, seed: int = 42, synth=None, per_level: int = 400) -> DataFrame:
+    """Levels, then brackets, then cities; an empty input starts from
+    ``per_level`` synthetic rows of each of the five levels.
+
+    Each step reads its input several times (histograms, targets, joins), so
+    its result is written as Parquet first."""
+    from ..session import materialise
+    from .augment import LEVEL_RANGES, synth_level
+    synth = synth or synth_level
+    if df.isEmpty():
+        for level in LEVEL_RANGES:
+            df = df.unionByName(synth(df.sparkSession, level, per_level, tag=level), allowMissingColumns=True)
+        df = materialise(df)
+    lv = materialise(balance_levels(df, seed=seed))
+    br = materialise(balance_brackets(lv, seed=seed, synth=synth))
+    return top_cities_other(br)

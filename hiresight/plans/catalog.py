@@ -41,7 +41,7 @@ CLEAN_COLS_SPARK = ["post_id", "title", "company", "city", "salary", "exp_years"
 SELECT post_id, title, company, city, salary, exp_years, num_skills, remote, english, level,
        array_to_string(skills, ',') AS skills FROM clean"""))
 def q_clean_postings(spark, sf_dir):
-    c = C.clean_postings(spark, sf_dir)
+    c = C.clean_from(C.domain_layer(spark, sf_dir))
     return c.select(*CLEAN_COLS_SPARK, csv("skills").alias("skills"))
 
 

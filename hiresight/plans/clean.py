@@ -1,8 +1,8 @@
 """Posting layers: raw -> posting -> deduplicated -> domain -> clean.
 
-Each step is a lazy DataFrame transform; Catalyst fuses the per-row steps
-into one projection between the two shuffles (keep-first aggregation and the
-median scalar subquery).
+Each step is a lazy DataFrame transform.  The layers that the reference writes
+out (domain, clean, enriched) are written once as Parquet per state of the
+input files; queries scan the columns they need of them.
 """
 
 from __future__ import annotations
@@ -14,10 +14,13 @@ from ..functions.parsing import clean_city, parse_years, seniority_level
 from ..functions.salary import salary_midpoint
 from ..functions.skills import skill_extract_valid
 from ..functions.text import detect_english, detect_remote
+from ..operators.enrich import enrich_all
 from ..operators.relational import (conform_schema, fill_missing_median, filter_domain,
                                     filter_salary_range, keep_first)
+from ..session import layer
 from ..sources.postings import raw_postings
 
+
 def feed_rank():
     """feed_a first, then feed_b (keep-first order between feeds)."""
     return F.when(F.col("source") == "feed_a", F.lit(0)).otherwise(F.lit(1))
@@ -56,19 +59,34 @@ def derive_clean_columns(df: DataFrame) -> DataFrame:
      .withColumn("level", seniority_level(F.col("exp_years")))
 
 
-def clean_postings_from(p: DataFrame) -> DataFrame:
-    """posting -> clean_posting (dedup, domain filter, parse, fill, range filter)."""
-    d = filter_domain(dedup_postings(p))
-    s = fill_missing_median(add_salary(d))
-    return filter_salary_range(derive_clean_columns(s))
+def domain_from(p: DataFrame) -> DataFrame:
+    """posting -> one posting per (title, company), domain filter, salary midpoint."""
+    return add_salary(filter_domain(dedup_postings(p)))
 
 
-def clean_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean_postings_from(postings(spark, sf_dir))
+def clean_from(domain: DataFrame) -> DataFrame:
+    """domain layer -> clean_posting (fill, parse, range filter).
+
+    ``domain`` is read twice, once for the salary column alone (the median)."""
+    return filter_salary_range(derive_clean_columns(fill_missing_median(domain)))
+
+
+def inputs(sf_dir: str) -> list[str]:
+    return [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in ("orders", "customer")]
+
+
+def domain_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return layer(spark, "domain", inputs(sf_dir), lambda: domain_from(postings(spark, sf_dir)))
 
 
 def clean_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The clean layer materialised once (reliable checkpoint), for plans that
-    read it several times (totals, per-skill stats, per-company counts)."""
-    from ..session import cut_lineage
-    return cut_lineage(clean_postings(spark, sf_dir))
+    """The clean layer, written once and scanned pruned."""
+    return layer(spark, "clean", inputs(sf_dir), lambda: clean_from(domain_layer(spark, sf_dir)))
+
+
+def clean_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clean_layer(spark, sf_dir)
+
+
+def enriched_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return layer(spark, "enriched", inputs(sf_dir), lambda: enrich_all(clean_layer(spark, sf_dir)))

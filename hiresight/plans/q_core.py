@@ -67,8 +67,7 @@ def q_salary_midpoint(spark, sf):
 
 @register("fill_missing_median", W(CLEAN, "SELECT post_id, salary FROM filled"))
 def q_fill_median(spark, sf):
-    d = R.filter_domain(C.dedup_postings(C.postings(spark, sf)))
-    return R.fill_missing_median(C.add_salary(d)).select("post_id", "salary")
+    return R.fill_missing_median(C.domain_layer(spark, sf)).select("post_id", "salary")
 
 
 @register("filter_salary_range", W(CLEAN, "SELECT post_id, salary FROM clean"))
@@ -246,8 +245,7 @@ def q_repair_by_title(spark, sf):
 
 # ------------------------------------------------------------ enrichment
 def enriched(spark, sf):
-    # enrichment reads the clean layer three times (counts, quartile, join back)
-    return E.enrich_all(C.clean_layer(spark, sf))
+    return C.enriched_layer(spark, sf)
 
 
 register("company_size", W(ENRICHED, "SELECT post_id, company, company_size, company_size_category, is_big_company FROM enriched"))(

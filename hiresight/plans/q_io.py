@@ -47,12 +47,12 @@ def q_scan_layer(spark, sf):
 
 @register("sink_raw_append", W(POSTING, "SELECT source, count(*) AS n FROM raw GROUP BY source"))
 def q_sink_append(spark, sf):
-    """First feed written with a header, the second appended without one (resume mode)."""
+    """First feed written with a header, the second appended to it (resume mode)."""
     raw = raw_postings(spark, sf)
     path = FD.scratch_path(spark, "raw-append")
-    FD.write_raw_csv(raw.where(F.col("source") == "feed_a"), path, mode="overwrite", header=False)
-    FD.write_raw_csv(raw.where(F.col("source") == "feed_b"), path, mode="append", header=False)
-    return FD.read_raw_csv(spark, path, header=False).groupBy("source").agg(F.count(F.lit(1)).alias("n"))
+    FD.write_raw_csv(raw.where(F.col("source") == "feed_a"), path, mode="overwrite")
+    FD.write_raw_csv(raw.where(F.col("source") == "feed_b"), path, mode="append")
+    return FD.read_raw_csv(spark, path).groupBy("source").agg(F.count(F.lit(1)).alias("n"))
 
 
 NEW_ONLY_SQL = W(POSTING, """SELECT post_id FROM posting WHERE source = 'feed_b' AND regexp_replace(source_url, '[;?#].*$', '')

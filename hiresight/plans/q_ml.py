@@ -4,38 +4,54 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.constants import CITY_MULTIPLIER_DEFAULT, CITY_MULTIPLIERS
 from ..operators import enrich as E
 from ..operators import ml as M
 from ..operators.sampling import balance_all
-from ..session import cut_lineage
+from ..session import fingerprint, layer
+from ..sources.feeds import scratch_path
 from . import clean as C
 from . import oracle as O
 from .catalog import register
+from .q_rules import q_recommend_from_rules
 
 CLEAN = O.clean_ctes()
 ENRICHED = O.enriched_ctes()
 W = O.with_ctes
-_FITS: dict = {}
 
 
 def balanced_layer(spark, sf):
     """enriched -> balanced -> repaired skills -> adjusted salaries (the training table)."""
-    enr = cut_lineage(E.enrich_all(C.clean_layer(spark, sf)))
-    bal = balance_all(enr)
-    return cut_lineage(E.salary_outlier_adjust(E.skill_repair_high_pay(bal)))
+    return layer(spark, "balanced", C.inputs(sf), lambda: E.salary_outlier_adjust(
+        E.skill_repair_high_pay(balance_all(C.enriched_layer(spark, sf)))))
+
 
+def prepared(spark, sf):
+    """The split, scaled training table.  Few rows (300 a salary bracket): one
+    partition, so a boosting round isn't all task overhead."""
+    p = M.prepare_training(M.with_skill_flags(balanced_layer(spark, sf)))
+    return M.Prepared(p.train.coalesce(1), p.test.coalesce(1), p.features, p.scaler)
 
-# the registered model queries use the compact profile (see ml.model_specs)
-CHECK_PROFILE_FAST = True
+
+#: fits are shared by the queries of one application, per state of the input files
+_FITS: dict = {}
 
 
-def fitted(spark, sf, fast=CHECK_PROFILE_FAST):
-    """Models trained once per input folder and session (the fit is the expensive part)."""
-    key = (id(spark), sf, fast)
+def fitted(spark, sf, only=None):
+    """(metrics, models, prepared) of the named models, or of all; each is fitted once."""
+    key = (spark.sparkContext.applicationId, fingerprint(spark, C.inputs(sf)))
+    for old in [k for k in _FITS if k[0] != key[0]]:  # another application's models are gone
+        del _FITS[old]
     if key not in _FITS:
-        data = M.with_skill_flags(balanced_layer(spark, sf))
-        _FITS[key] = M.train_all(data, fast=fast)
-    return _FITS[key]
+        _FITS[key] = (prepared(spark, sf), [], {})
+    data, rows, models = _FITS[key]
+    todo = [n for n, _ in M.model_specs() if n not in models and (only is None or n in only)]
+    if todo:
+        metrics, found = M.train_models(data, only=todo)
+        rows.extend(tuple(r) for r in metrics.collect())  # one row a model
+        models.update(found)
+    names = only or [n for n, _ in M.model_specs()]
+    return spark.createDataFrame([r for r in sorted(rows, key=lambda r: r[1]) if r[0] in names], M.METRICS_DDL), models, data
 
 
 # ------------------------------------------------------------ value-checked parts
@@ -43,9 +59,7 @@ def fitted(spark, sf, fast=CHECK_PROFILE_FAST):
     CAST(row_number() OVER (ORDER BY md5(CAST(post_id AS VARCHAR) || ':42'), post_id)
          <= ceil((SELECT count(*) FROM clean) * 0.2) AS INTEGER) AS is_test FROM clean"""))
 def q_split(spark, sf):
-    c = C.clean_postings(spark, sf).select("post_id")
-    train, test = M.exact_split(c)
-    return train.select("post_id", F.lit(0).alias("is_test")).unionByName(test.select("post_id", F.lit(1).alias("is_test")))
+    return M.split_flags(C.clean_postings(spark, sf).select("post_id"))
 
 
 _STD = ", ".join(f"round(CASE WHEN stddev_pop({c}) OVER () = 0 THEN 0 ELSE ({c} - avg({c}) OVER ()) / "
@@ -54,7 +68,7 @@ _STD = ", ".join(f"round(CASE WHEN stddev_pop({c}) OVER () = 0 THEN 0 ELSE ({c}
 
 @register("standardise", W(ENRICHED, f"SELECT post_id, {_STD} FROM enriched"))
 def q_standardise(spark, sf):
-    d = E.enrich_all(C.clean_postings(spark, sf)).select("post_id", *M.CLUSTER_FEATURES)
+    d = C.enriched_layer(spark, sf).select("post_id", *M.CLUSTER_FEATURES)
     s, _ = M.standardise(d, [], M.CLUSTER_FEATURES)
     return s.select("post_id", *[F.round(c, 6).alias(c) for c in M.CLUSTER_FEATURES])
 
@@ -108,12 +122,28 @@ def q_minmax(spark, sf):
 _FEATS = ["exp_years", "num_skills", "remote", "english", "is_big_city", "city_multiplier", "num_high_value_skills"]
 
 
-@register("select_k_best", W(ENRICHED, "SELECT * FROM (" + " UNION ALL ".join(
-    f"SELECT '{c}' AS feature, round(corr({c}, salary) * corr({c}, salary) / (1 - corr({c}, salary) * corr({c}, salary))"
-    f" * (count(*) - 2), 4) AS f_score FROM enriched" for c in _FEATS) + ")"))
+def _kbest_sql(k):
+    bins = lambda c: (f"CASE WHEN max({c}) OVER () = min({c}) OVER () THEN 0 ELSE least(floor(({c} - min({c}) OVER ()) / "
+                      f"((max({c}) OVER () - min({c}) OVER ()) / 16)), 15) END")
+    f = " UNION ALL ".join(f"SELECT '{c}' AS feature, corr({c}, salary) * corr({c}, salary) / (1 - corr({c}, salary) * "
+                           f"corr({c}, salary)) * (count(*) - 2) AS f FROM enriched" for c in _FEATS)
+    cut = ", ".join(f"{bins(c)} AS \"b_{c}\"" for c in [*_FEATS, "salary"])
+    mi = " UNION ALL ".join(f"""SELECT '{c}' AS feature, sum(n / t * ln((n / t) / ((nx / t) * (ny / t)))) AS mi FROM (
+        SELECT CAST(count(*) AS DOUBLE) AS n, sum(count(*)) OVER () AS t, sum(count(*)) OVER (PARTITION BY "b_{c}") AS nx,
+               sum(count(*)) OVER (PARTITION BY b_salary) AS ny FROM cut GROUP BY "b_{c}", b_salary)""" for c in _FEATS)
+    return W(ENRICHED, f""",
+cut AS (SELECT {cut} FROM enriched), fs AS ({f}), ms AS ({mi}),
+sc AS (SELECT feature, f, mi, 0.6 * (mi - min(mi) OVER ()) / (max(mi) OVER () - min(mi) OVER ())
+              + 0.4 * (f - min(f) OVER ()) / (max(f) OVER () - min(f) OVER ()) AS score FROM fs JOIN ms USING (feature))
+SELECT feature, round(f, 4) AS f_score, round(mi, 6) AS mi, round(score, 6) AS score FROM sc
+ORDER BY round(score, 9) DESC, feature LIMIT {k}""".replace(",\ncut", ",\ncut", 1))
+
+
+@register("select_k_best", _kbest_sql(5))
 def q_kbest(spark, sf):
-    d = E.enrich_all(C.clean_postings(spark, sf))
-    return M.f_scores(d, _FEATS).select("feature", F.round("f_score", 4).alias("f_score"))
+    d = C.enriched_layer(spark, sf)
+    return M.select_k_best(d, _FEATS, 5).select("feature", F.round("f_score", 4).alias("f_score"), F.round("mi", 6).alias("mi"),
+                                                F.round("score", 6).alias("score"))
 
 
 _PROF = ", ".join(f"round(avg({c}), 6) AS {c}" for c in M.CLUSTER_FEATURES)
@@ -128,7 +158,7 @@ SELECT *, CASE WHEN exp_years < 2 AND salary < 15 THEN 'Entry/Junior Level'
                WHEN exp_years >= 2 AND exp_years < 4 THEN 'Mid-level Professional' ELSE 'Specialized/Other' END AS name
 FROM prof""".replace("\n, lab", ",\nlab", 1)))
 def q_cluster_profiles(spark, sf):
-    d = E.enrich_all(C.clean_postings(spark, sf)).withColumn("cluster", (F.col("post_id") % 4).cast("int"))
+    d = C.enriched_layer(spark, sf).withColumn("cluster", (F.col("post_id") % 4).cast("int"))
     p = M.cluster_profiles(d, M.CLUSTER_FEATURES)
     return p.select("cluster", *[F.round(c, 6).alias(c) for c in M.CLUSTER_FEATURES], "count",
                     F.round("percentage", 6).alias("percentage"),
@@ -151,9 +181,10 @@ def requests(spark, sf):
                     (F.col("remote") == 1).alias("remote"), (F.col("english") == 1).alias("english"), "city")
 
 
-@register("predict_features", W(CLEAN, """SELECT post_id, exp_years, num_skills,
+@register("predict_features", W(CLEAN, f"""SELECT post_id, exp_years, num_skills,
     CAST(city IN ('Ho Chi Minh City', 'Hanoi') AS INTEGER) AS is_big_city,
-    CASE WHEN city IN ('Ho Chi Minh City', 'Hanoi') THEN 1.1 ELSE 1.0 END::DOUBLE AS city_multiplier,
+    CAST(CASE {" ".join(f"WHEN city = '{c}' THEN {m}" for c, m in CITY_MULTIPLIERS)} ELSE {CITY_MULTIPLIER_DEFAULT} END AS DOUBLE)
+      AS city_multiplier,
     round(exp_years * exp_years, 6) AS exp_squared, round(exp_years * num_skills, 6) AS exp_skill_interaction,
     CAST(len(list_filter(skills, lambda s: s IN ('python', 'aws', 'docker', 'kubernetes', 'devops'))) AS INTEGER)
       AS num_high_value_skills,
@@ -173,66 +204,52 @@ def q_train_all(spark, sf):
     return metrics
 
 
-@register("train_linear")
-def q_train_linear(spark, sf):
-    return fitted(spark, sf)[0].where(F.col("model") == "Linear Regression")
-
-
-@register("train_forest")
-def q_train_forest(spark, sf):
-    return fitted(spark, sf)[0].where(F.col("model") == "Random Forest")
-
-
-@register("train_gbt_xgb")
-def q_train_xgb(spark, sf):
-    return fitted(spark, sf)[0].where(F.col("model") == "XGBoost")
+def _one_model(name):
+    return lambda spark, sf: fitted(spark, sf, [name])[0]
 
 
-@register("train_gbt_lgbm")
-def q_train_lgbm(spark, sf):
-    return fitted(spark, sf)[0].where(F.col("model") == "LightGBM")
+for _key, _name in (("train_linear", "Linear Regression"), ("train_forest", "Random Forest"), ("train_gbt_xgb", "XGBoost"),
+                    ("train_gbt_lgbm", "LightGBM"), ("train_gbt", "Gradient Boosting")):
+    register(_key)(_one_model(_name))
 
 
-@register("train_gbt")
-def q_train_gbt(spark, sf):
-    return fitted(spark, sf)[0].where(F.col("model") == "Gradient Boosting")
+def scorer(spark, sf):
+    metrics, models, data = fitted(spark, sf)
+    return M.best_scorer(data, metrics, models)
 
 
 @register("feature_importance_topk")
 def q_importance(spark, sf):
-    metrics, models, feats = fitted(spark, sf)
-    best = M.select_best(metrics).first()["model"]
-    pairs = M.feature_importance(models[best], feats) or []
-    return spark.createDataFrame(pairs, "feature string, importance double")
+    best = scorer(spark, sf)
+    return spark.createDataFrame(M.feature_importance(best.model, best.features), "feature string, importance double")
 
 
 @register("predict_batch")
 def q_predict_batch(spark, sf):
-    """Score every clean posting as a request with the best model (bands included)."""
-    metrics, models, feats = fitted(spark, sf)
-    best = models[M.select_best(metrics).first()["model"]]
-    req = M.request_features(requests(spark, sf))
-    req = req.drop("remote", "english").withColumnRenamed("remote_i", "remote").withColumnRenamed("english_i", "english")
-    req = M.with_skill_flags(req)
-    for f in feats:
-        if f not in req.columns:
-            req = req.withColumn(f, F.lit(0))
-    train = M.with_skill_flags(balanced_layer(spark, sf)).na.fill(0, subset=feats)
-    _, (scaled,) = M.standardise(train, [req.select("post_id", *[M.q(f) for f in feats])], feats)
-    from pyspark.ml.feature import VectorAssembler
-    x = VectorAssembler(inputCols=feats, outputCol="features").transform(scaled)
-    pred = best.transform(x).select("post_id", F.expm1("prediction").alias("p"))
-    return pred.select("post_id", *M.prediction_band(F.col("p")))
+    """Every clean posting as a request, scored by the saved best model, with its
+    bands, key factors and the skills to learn next (with their salary gain)."""
+    path = scratch_path(spark, "scorer")
+    scorer(spark, sf).save(path)
+    best = M.Scorer.load(spark, path)
+    req = requests(spark, sf)
+    pred = best.score(M.with_skill_flags(M.request_features(req)))
+    factors = M.factor_messages(F.col("experience_years"), F.col("skills"), F.col("english"), F.col("city"))
+    recs = (q_recommend_from_rules(spark, sf).where("rank <= 5").groupBy("profile_id")
+            .agg(F.array_sort(F.collect_list(F.struct("rank", "skill", "salary_increase"))).alias("r"))
+            .select(F.col("profile_id").alias("post_id"),
+                    F.array_join(F.transform("r", lambda x: F.concat_ws(":", x["skill"], x["salary_increase"].cast("string"))), ",")
+                    .alias("recommendations")))
+    return (pred.join(req.select("post_id", F.array_join(factors, "; ").alias("factors")), "post_id").join(recs, "post_id", "left")
+            .select("post_id", *M.prediction_band(F.col("p")), "factors", F.coalesce("recommendations", F.lit("")).alias("recommendations")))
 
 
 @register("cluster_market")
 def q_cluster_market(spark, sf):
-    res = M.cluster_market(M.with_skill_flags(balanced_layer(spark, sf)).dropDuplicates(["post_id"]))
-    labelled, feats = res
+    labelled, feats = M.cluster_market(balanced_layer(spark, sf))
     return M.cluster_profiles(labelled, feats).withColumn("name", M.cluster_name(F.col("exp_years"), F.col("salary")))
 
 
 @register("cluster_scatter")
 def q_cluster_scatter(spark, sf):
-    labelled, _ = M.cluster_market(balanced_layer(spark, sf).dropDuplicates(["post_id"]))
+    labelled, _ = M.cluster_market(balanced_layer(spark, sf))
     return labelled.select("exp_years", "salary", "cluster", "num_skills")

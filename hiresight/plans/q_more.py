@@ -13,6 +13,7 @@ from ..functions.fuzzy import fuzzy_hits
 from ..operators import enrich as E
 from ..operators import ml as M
 from ..operators import relational as R
+from ..session import materialise
 from ..sources import feeds as FD
 from . import clean as C
 from . import oracle as O
@@ -191,11 +192,9 @@ SELECT post_id, round(ln(1 + salary), 6) AS label,
             <= ceil((SELECT count(*) FROM tr) * 0.2) AS INTEGER) AS is_test FROM tr""".replace("\n, tr", ",\ntr", 1)))
 def q_prepare_training(spark, sf):
     """Quantile trim (p2..p98), log1p target and the exact 80/20 split."""
-    from ..session import cut_lineage
-    d = cut_lineage(R.trim_quantiles(C.clean_postings(spark, sf), "salary", 0.02, 0.98).select(
+    d = materialise(R.trim_quantiles(C.clean_postings(spark, sf).select("post_id", "salary"), "salary", 0.02, 0.98).select(
         "post_id", F.round(F.log1p("salary"), 6).alias("label")))
-    train, test = M.exact_split(d)
-    return train.withColumn("is_test", F.lit(0)).unionByName(test.withColumn("is_test", F.lit(1)))
+    return M.split_flags(d)
 
 
 @register("prepare_features_alt")

@@ -9,7 +9,7 @@ from ..operators import rules as RU
 from ..sources.tables import table
 from . import clean as C
 from . import oracle as O
-from ..session import cut_lineage
+from ..session import materialise
 from .catalog import register
 
 CLEAN = O.clean_ctes()
@@ -87,7 +87,7 @@ register("frequent_itemsets_baskets", W(itemsets_sql(BRAND_BASKETS_SQL), ITEMSET
 
 
 def skill_rules(spark, sf):
-    return RU.association_rules(cut_lineage(RU.frequent_itemsets(cut_lineage(skill_baskets(spark, sf)))))
+    return RU.association_rules(materialise(RU.frequent_itemsets(materialise(skill_baskets(spark, sf)))))
 
 
 register("association_rules", W(rules_sql(SKILL_BASKETS_SQL), RULES_BODY))(
@@ -121,8 +121,8 @@ top AS (SELECT *, row_number() OVER (PARTITION BY profile_id ORDER BY round(lift
        round(increase, 1) AS salary_increase FROM top WHERE rank <= 10"""))
 def q_recommend_from_rules(spark, sf):
     # baskets and itemsets are read by several steps: materialise them once
-    b = cut_lineage(skill_baskets(spark, sf))
-    rules = cut_lineage(RU.association_rules(cut_lineage(RU.frequent_itemsets(b))))
+    b = materialise(skill_baskets(spark, sf))
+    rules = materialise(RU.association_rules(materialise(RU.frequent_itemsets(b))))
     stats = RU.item_stats(b, "salary")
     return RU.recommend_from_rules(b.withColumnRenamed("items", "owned"), rules, stats, 10)
 
@@ -133,7 +133,7 @@ cand AS (SELECT b.profile_id, h.item, h.hr FROM bk b, hot h WHERE NOT list_conta
 ranked AS (SELECT profile_id, item, row_number() OVER (PARTITION BY profile_id ORDER BY hr) AS rank FROM cand)""",
     "SELECT profile_id, CAST(rank AS INTEGER) AS rank, item AS skill FROM ranked WHERE rank <= 10"))
 def q_recommend_fallback(spark, sf):
-    b = cut_lineage(skill_baskets(spark, sf))
+    b = materialise(skill_baskets(spark, sf))
     return RU.recommend_fallback(b.withColumnRenamed("items", "owned"), RU.item_stats(b, "salary"), 10)
 
 

@@ -5,10 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import sampling as SM
-from ..operators.enrich import enrich_all
 from . import clean as C
 from . import oracle as O
-from ..session import cut_lineage
 from .catalog import register
 
 ENRICHED = O.enriched_ctes()
@@ -20,9 +18,8 @@ BRACKET = """CASE WHEN salary > 0 AND salary <= 10 THEN '<10M' WHEN salary > 10
 
 
 def enriched(spark, sf):
-    """The enriched layer, materialised (the reference writes it out too): the
-    sampling operators read it several times."""
-    return cut_lineage(enrich_all(C.clean_layer(spark, sf)))
+    """The enriched layer: the sampling operators read it several times."""
+    return C.enriched_layer(spark, sf)
 
 
 def levels_sql(src: str) -> str:
@@ -80,12 +77,11 @@ def q_balance_brackets(spark, sf):
     return SM.balance_brackets(enriched(spark, sf)).select("post_id", F.round("salary", 6).alias("salary"))
 
 
-@register("bootstrap_n", W(ENRICHED + ",\n" + brackets_sql("enriched"), "SELECT post_id, salary_bracket FROM bup"))
+@register("bootstrap_n", W(ENRICHED + ",\n" + brackets_sql("enriched").replace("WHERE bn <= 300", "")
+             , "SELECT post_id, salary_bracket FROM bup"))
 def q_bootstrap(spark, sf):
     d = enriched(spark, sf).withColumn("salary_bracket", SM.salary_bracket()).where(F.col("salary_bracket").isNotNull())
-    sizes = d.groupBy("salary_bracket").agg(F.count(F.lit(1)).alias("_bn"))
-    small = d.join(F.broadcast(sizes.where(F.col("_bn") <= 300)), "salary_bracket", "left_semi")
-    return SM.bootstrap_n(small, "salary_bracket", 300, max_group=300).select("post_id", "salary_bracket")
+    return SM.bootstrap_n(d, "salary_bracket", 300).select("post_id", "salary_bracket")
 
 
 @register("top_cities_other", W(ENRICHED + ",\n" + cities_sql("enriched"), "SELECT post_id, city, is_big_city FROM city_bal"))

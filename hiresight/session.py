@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
 import os
 import tempfile
+import uuid
+from collections.abc import Callable, Iterable
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on: AQE re-plans joins at runtime (a shuffled side
 # that turns out small becomes a broadcast, i.e. broadcasts happen only behind
@@ -52,17 +55,17 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def apply_runtime_conf(spark: SparkSession) -> None:
     """Apply the SQL settings to an existing session (the driver's, in checks)."""
     for k, v in CORE_CONF.items():
-        try:
+        if spark.conf.isModifiable(k):
             spark.conf.set(k, v)
-        except Exception:  # static or locked settings are left as they are
-            pass
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's checkpoint folder; set a scratch one only if unset.
+    """Return the cluster's checkpoint folder; set a scratch one only in local runs.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as
-    is.  Only when it is unset (local tests) a fresh scratch folder is chosen.
+    is.  Only a ``local`` master (tests, one machine) gets a fresh scratch
+    folder when it is unset; any other master without it is an error, since
+    executors don't see each other's disks.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
@@ -70,15 +73,52 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    if not sc.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     path = tempfile.mkdtemp(prefix="hiresight-ckpt-", dir=os.environ.get("HIRESIGHT_SCRATCH", "/tmp"))
     sc.setCheckpointDir(path)
     return path
 
 
-def cut_lineage(df):
-    """Materialise ``df`` into the checkpoint folder (reliable, survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialise(df: DataFrame, path: str | None = None) -> DataFrame:
+    """Write ``df`` as Parquet in the shared folder and read it back.
+
+    Survives executor loss like a checkpoint, but later scans read only the
+    columns they need and filters reach the files.
+    """
+    spark = df.sparkSession
+    path = path or f"{ensure_checkpoint_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists, by whatever file system it names."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def fingerprint(spark: SparkSession, paths: Iterable[str]) -> str:
+    """Digest of the names, sizes and modification times under ``paths``."""
+    h = hashlib.sha256()
+    for path in paths:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+        for f in sorted((str(x.getPath()), x.getLen(), x.getModificationTime()) for x in [fs.getFileStatus(p), *fs.listStatus(p)]):
+            h.update(repr(f).encode())
+    return h.hexdigest()[:24]
+
+
+def layer(spark: SparkSession, name: str, inputs: Iterable[str], build: Callable[[], DataFrame]) -> DataFrame:
+    """A named layer, written once per state of its input files and read pruned.
+
+    The path holds the inputs' fingerprint, so changed data make a new layer;
+    a write that didn't finish has no ``_SUCCESS`` and is written again.
+    """
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/layers/{name}-{fingerprint(spark, inputs)}"
+    if not path_exists(spark, f"{path}/_SUCCESS"):
+        build().write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def cluster_conf(input_bytes: int, target_partition_bytes: int = 256 << 20, executors: int = 1000,

@@ -46,9 +46,14 @@ def to_raw_record(df: DataFrame, crawl_date: str = "2026-01-01") -> DataFrame:
 
 
 def write_raw_csv(df: DataFrame, path: str, mode: str = "overwrite", header: bool = True) -> None:
-    """UTF-8, every field quoted, fixed field order; append mode writes no header."""
+    """UTF-8, every field quoted, fixed field order.
+
+    Every file of a feed has the header (or none has): an appended file is
+    a file of its own here, so it repeats the header and readers that expect
+    one lose no row.
+    """
     (to_raw_record(df) if set(RAW_FIELDS) - set(df.columns) else df.select(*[F.col(f"`{f}`") for f in RAW_FIELDS])) \
-        .write.mode(mode).option("header", header and mode != "append").option("quoteAll", True) \
+        .write.mode(mode).option("header", header).option("quoteAll", True) \
         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False) \
         .option("escape", '"').option("encoding", "UTF-8").csv(path)
 

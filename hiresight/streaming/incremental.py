@@ -14,17 +14,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.html import url_normalise
+from ..session import path_exists
 
 
 def append_new_only(batch: DataFrame, sink_path: str, key: str = "source_url") -> None:
-    """Append the rows of ``batch`` whose normalised key is not stored yet."""
+    """Append the rows of ``batch`` whose normalised key is not stored yet.
+
+    Only a missing sink counts as empty; any other failure to read it ends the
+    batch, since taking it for empty would append everything again.
+    """
     spark = batch.sparkSession
     b = batch.withColumn("_k", url_normalise(F.col(key)))
-    try:
-        existing = spark.read.parquet(sink_path).select(url_normalise(F.col(key)).alias("_k")).distinct()
+    if path_exists(spark, sink_path):
+        existing = spark.read.schema(batch.schema).parquet(sink_path).select(url_normalise(F.col(key)).alias("_k")).distinct()
         b = b.join(existing, "_k", "left_anti")
-    except Exception:  # noqa: BLE001  (first batch: no sink yet)
-        pass
     # rows repeated inside one batch are kept once (first by post id)
     b = b.dropDuplicates(["_k"]) if "post_id" not in b.columns else \
         b.groupBy("_k").agg(F.min(F.struct(*[c for c in b.columns if c != "_k"])).alias("r")).select("r.*")

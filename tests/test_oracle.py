@@ -36,7 +36,7 @@ def test_query_matches_oracle(spark, duck, name):
 
 def test_entry_smoke(spark):
     df = E.entry(spark)
-    assert df.count() >= 0 and df.columns == ["skill", "demand_count", "demand_percentage", "avg_salary",
+    assert df.count() == 20 and df.columns == ["skill", "demand_count", "demand_percentage", "avg_salary",
                                               "is_high_value"]
 
 

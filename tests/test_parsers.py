@@ -102,3 +102,46 @@ def test_cluster_names_and_caps(spark):
     assert got == ["Entry/Junior Level", "Senior/Expert & High Paid", "Mid-level Professional", "Specialized/Other"]
     p = spark.createDataFrame([(15.0, 0.5, 2)], "p double, y double, n int")
     assert p.select(predict_caps(F.col("p"), F.col("y"), F.col("n"))[0]).first()[0] == 12.0
+
+
+def test_salary_parsers_survive_long_numbers(spark):
+    from conftest import one_col
+    from hiresight.functions.salary import parse_salary_text_a, parse_salary_text_b
+    rows = ["Hotline 9999999999999 triệu", "9" * 40, "Hotline 99999999999999999999 triệu 12 triệu", "1.5 triệu"]
+    for parse in (parse_salary_text_a, parse_salary_text_b):
+        got = one_col(spark, rows, parse)
+        assert [tuple(r) for r in got[:2]] == [("", ""), ("", "")]
+        assert got[2].salary_max == "12000000"
+
+
+def test_appended_feeds_lose_no_row(spark):
+    from hiresight.sources import feeds as FD
+    df = spark.range(50).select(*[FD.F.concat(FD.F.lit("ü\n\""), FD.F.col("id").cast("string")).alias(c) for c in FD.RAW_FIELDS])
+    path = FD.scratch_path(spark, "append")
+    FD.write_raw_csv(df.repartition(3), path)
+    FD.write_raw_csv(df.repartition(4), path, mode="append")
+    got = FD.read_raw_csv(spark, path)
+    assert got.count() == 100 and got.distinct().count() == 50
+
+
+def test_checkpoint_folder_is_required_off_one_machine():
+    import pytest
+    from types import SimpleNamespace
+
+    from hiresight.session import ensure_checkpoint_dir
+    sc = SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077")
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(SimpleNamespace(sparkContext=sc, conf=SimpleNamespace(get=lambda k, d=None: d)))
+
+
+def test_layers_follow_their_inputs(spark):
+    from hiresight.session import layer
+    from hiresight.sources.feeds import scratch_path
+    src = scratch_path(spark, "layer-src")
+    spark.range(5).write.parquet(src)
+    build = lambda: spark.read.parquet(src)
+    calls = []
+    count = lambda: layer(spark, "test", [src], lambda: (calls.append(1), build())[1]).count()
+    assert count() == 5 and count() == 5 and len(calls) == 1
+    spark.range(3).write.mode("append").parquet(src)
+    assert count() == 8 and len(calls) == 2

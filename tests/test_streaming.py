@@ -29,3 +29,15 @@ def test_restart_and_new_files(spark):
     got = spark.read.parquet(sink)
     assert sorted(r[0] for r in got.select("post_id").collect()) == [1, 3, 6]
     assert got.select(F.countDistinct("source_url")).first()[0] == 3
+
+
+def test_an_unreadable_sink_is_an_error_not_an_empty_one(spark):
+    import pytest
+
+    from hiresight.streaming.incremental import append_new_only
+    sink = scratch_path(spark, "t-broken")
+    spark.createDataFrame([("not", "parquet")], "a string, b string").write.csv(sink)
+    batch = spark.createDataFrame([(1, "https://x.example/1")], "post_id long, source_url string")
+    with pytest.raises(Exception):
+        append_new_only(batch, sink)
+    assert spark.read.csv(sink).count() == 1

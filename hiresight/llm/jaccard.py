@@ -1,12 +1,15 @@
 """Jaccard join of word n-gram sets with signature trees.
 
 Sets are collapsed by digest.  An exact prefix filter finds who must meet: under
-one global order of shingles (rarest first by a fixed-size count sketch, then by
-hash), two sets with Jaccard similarity t share at least l of their first
-n - ceil(t n) + l shingles.  Sets with fewer than l shared prefix shingles drop
-out.  Among the others the smallest member of each shared shingle is the pivot
-of a star; a star holds everyone who shares a prefix shingle with anyone else
-under that pivot, so every similar pair meets in some star.
+any global order of shingles, two sets with Jaccard similarity t share at least
+l of their first n - ceil(t n) + l shingles.  It is used twice.  First (l = 1)
+with an order that begins with the shingles of a hash range that no other set
+has: a set with enough of those has a prefix of its own and is like no other.
+Then, among the sets left, with the rarest shingles first (by a fixed-size count
+sketch) and l a twentieth of the set: sets with fewer shared prefix shingles
+drop out, too.  Among the others the smallest member of each shared shingle is
+the pivot of a star; a star holds everyone who shares a prefix shingle with
+anyone else under that pivot, so every similar pair meets in some star.
 
 Within a star, members sit in a signature tree: nodes hold the OR and the AND of
 their members' token bitmaps and the range of set sizes.  A dual traversal drops
@@ -37,8 +40,9 @@ SKETCH_BITS = 18
 #: members of a star that one task joins; larger stars go by chunks
 STAR, CHUNK = 256, 2048
 BUCKET, FANOUT = 32, 8
-#: prefix shingles that a similar pair shares (fewer for tiny sets)
-SHARED = 8
+#: share of the hash range whose shingles are counted for all sets; must leave
+#: a set of its own more such shingles than the first prefix takes
+COUNTED = 0.3
 #: at most so many rows of two longs are sent to every executor
 BROADCAST_ROWS = 1_000_000
 TEXT_CHUNK = 1 << 20
@@ -137,23 +141,29 @@ def frequency_ranks(raws: DataFrame, size: int) -> np.ndarray:
     return np.floor(4 * np.log2(counts + 1)).astype(np.uint8)
 
 
-SETS = {"is_rep": pa.bool_(), "rid": pa.int64(), "doc_id": pa.int64(), "n": pa.int64(), "text_key": pa.int64(),
-        "c1": pa.int64(), "c2": pa.int64(), "prefix": pa.list_(pa.int64())}
-SETS_DDL = "is_rep boolean, rid long, doc_id long, n long, text_key long, c1 long, c2 long, prefix array<long>"
+def needed_overlap(n: int, percent: int) -> int:
+    """Overlap that a set of n needs with any similar set."""
+    return (percent * n + 99) // 100
 
 
 def shared_shingles(n: int, percent: int) -> int:
-    """l of a set: at most the overlap that it needs with any similar set."""
-    return min(SHARED, (percent * n + 99) // 100)
+    """l of a set of n: prefix shingles that it shares with any similar set."""
+    return min(needed_overlap(n, percent), max(8, -(-n // 20)))
+
+
+SETS = {"is_rep": pa.bool_(), "rid": pa.int64(), "doc_id": pa.int64(), "n": pa.int64(), "text_key": pa.int64(),
+        "c1": pa.int64(), "c2": pa.int64(), "counted": pa.list_(pa.int64())}
+SETS_DDL = "is_rep boolean, rid long, doc_id long, n long, text_key long, c1 long, c2 long, counted array<long>"
 
 
-def _sets(size: int, percent: int, ranks: np.ndarray):
+def _sets(size: int):
     """A row for each document (doc_id, rid of its set in this split, n), and a
-    row for each distinct set of the split with its digest and prefix."""
+    row for each distinct set of the split with its digest and counted shingles."""
     schema = arrow_schema(SETS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, rids, base = Shingler(size), {}, task_id() << 40
+        limit = U(int(COUNTED * 2**64))
         for b in batches:
             out: dict[str, list] = {n: [] for n in SETS}
 
@@ -169,10 +179,8 @@ def _sets(size: int, percent: int, ranks: np.ndarray):
                 rid = rids.get(digest)
                 if rid is None:
                     rid = rids[digest] = base + len(rids)
-                    keep = len(s) - (percent * len(s) + 99) // 100 + shared_shingles(len(s), percent)
-                    order = np.lexsort((s, ranks[(s >> U(64 - SKETCH_BITS)).astype(np.int64)]))[:keep]
                     c1, c2 = np.frombuffer(digest, "<i8").tolist()
-                    add(True, rid, doc, len(s), tkey, c1, c2, s[order].view(np.int64))
+                    add(True, rid, doc, len(s), tkey, c1, c2, s[:np.searchsorted(s, limit)].view(np.int64))
                 add(False, rid, doc, len(s), None, None, None, None)
             if out["rid"]:
                 yield batch(schema, **out)
@@ -180,6 +188,25 @@ def _sets(size: int, percent: int, ranks: np.ndarray):
     return run
 
 
+def _prefixes(size: int, percent: int, ranks: np.ndarray):
+    """(rid, n, prefix) of whole texts: the rarest shingles by the sketch, then by hash."""
+    schema = arrow_schema({"rid": pa.int64(), "n": pa.int64(), "prefix": pa.list_(pa.int64())})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler = Shingler(size)
+        for b in batches:
+            n, prefixes = [], []
+            for s in shingler.sets(b.column(1).to_pylist()):
+                keep = len(s) - needed_overlap(len(s), percent) + shared_shingles(len(s), percent)
+                order = np.lexsort((s, ranks[(s >> U(64 - SKETCH_BITS)).astype(np.int64)]))[:keep]
+                n.append(len(s))
+                prefixes.append(s[order].view(np.int64))
+            if n:
+                yield batch(schema, rid=b.column(0), n=n, prefix=prefixes)
+
+    return run
+
+
 class Groups:
     """Union-find over small integers."""
 
@@ -331,8 +358,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     session_of(docs)
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.cast("binary").alias("raw"), F.xxhash64(text).alias("text_key"))
-    ranks = frequency_ranks(rows.select("raw"), size)
-    sets = stage(rows.mapInArrow(_sets(size, percent, ranks), SETS_DDL), "shingle-sets")
+    sets = stage(rows.mapInArrow(_sets(size), SETS_DDL), "shingle-sets")
     reps = sets.where("is_rep")
 
     # equal sets of different splits: all but the smallest rid stand for it
@@ -342,13 +368,27 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     long = lambda c: F.lit(c).cast("long")
     runs = lambda m, name: first_of_run(m.select("k1", long(0).alias("k2"), F.col("rid").alias("doc"), long(0).alias("tie"),
                                                  long(0).alias("payload")), name)
-    shared = runs(reps.select(F.explode("prefix").alias("k1"), "rid"), "prefix-runs")
+    overlap = lambda n: F.ceil(n * percent / F.lit(100))
+    own = (reps.select(F.explode("counted").alias("k1"), "rid").groupBy("k1").agg(F.count("*").alias("k"), F.min("rid").alias("rid"))
+           .where("k = 1").groupBy("rid").agg(F.count("*").alias("own")))
+    left = (reps.select("rid", "n", "doc_id", "text_key").join(own, "rid", "left")
+            .where(F.coalesce("own", long(0)) < F.col("n") - overlap(F.col("n")) + 1))
+    left = stage(left.select("rid", F.col("doc_id").alias("__doc"), F.col("text_key").alias("__key")), "sets-left")
+    few = left.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    left = F.broadcast(left) if few else left.hint("shuffle_hash")
+    on = F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("text_key") == F.col("__key"))
+    texts = stage(rows.join(left, on).select("rid", "raw"), "texts-left")
+    ranks = frequency_ranks(texts.select("raw"), size)
+    prefixes = stage(texts.mapInArrow(_prefixes(size, percent, ranks), "rid long, n long, prefix array<long>")
+                     .dropDuplicates(["rid"]), "prefixes")
+
+    shared = runs(prefixes.select(F.explode("prefix").alias("k1"), "rid"), "prefix-runs")
     members = (shared.select("k1", F.col("doc").alias("rid"))
                .unionByName(shared.select("k1", F.col("first_doc").alias("rid")).distinct()))
     # the smallest set that may be similar to a set of n has ceil(t n) shingles
-    overlap = lambda n: F.ceil(n * percent / F.lit(100))
-    least = F.least(F.lit(SHARED), overlap(overlap(F.col("n"))))
-    enough = (members.groupBy("rid").agg(F.count("*").alias("blocks")).join(reps.select("rid", "n"), "rid")
+    m = overlap(F.col("n"))
+    least = F.least(overlap(m), F.greatest(long(8), F.ceil(m / 20)))
+    enough = (members.groupBy("rid").agg(F.count("*").alias("blocks")).join(prefixes.select("rid", "n"), "rid")
               .where(F.col("blocks") >= least).select("rid"))
     shared = runs(members.join(stage(enough, "prefix-members"), "rid"), "star-runs")
     stars = shared.select(F.col("first_doc").alias("pivot"), F.col("doc").alias("rid")).distinct()
@@ -358,13 +398,6 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     stars = stage(stars.where("pivot <> rid").distinct(), "stars")
     sizes = stars.groupBy("pivot").agg(F.count("*").alias("members"))
 
-    needed = (stars.select("rid").unionByName(stars.select(F.col("pivot").alias("rid"))).distinct().join(reps.select("rid", "doc_id", "text_key"), "rid")
-              .select("rid", F.col("doc_id").alias("__doc"), F.col("text_key").alias("__key")))
-    needed = stage(needed, "needed")
-    few = needed.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    needed = F.broadcast(needed) if few else needed.hint("shuffle_hash")
-    texts = stage(rows.join(needed, F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("text_key") == F.col("__key"))).select("rid", "raw"), "star-texts")
-
     def joined(members: DataFrame) -> DataFrame:  # (key..., rid, label, side), grouped by key
         keys = [c for c in members.columns if c not in ("rid", "label", "side")]
         key = F.struct(*keys) if len(keys) > 1 else F.col(keys[0])

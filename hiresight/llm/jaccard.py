@@ -382,7 +382,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     prefixes = stage(texts.mapInArrow(_prefixes(size, percent, ranks), "rid long, n long, prefix array<long>")
                      .dropDuplicates(["rid"]), "prefixes")
 
-    shared = runs(prefixes.select(F.explode("prefix").alias("k1"), "rid"), "prefix-runs")
+    shared, _ = runs(prefixes.select(F.explode("prefix").alias("k1"), "rid"), "prefix-runs")
     members = (shared.select("k1", F.col("doc").alias("rid"))
                .unionByName(shared.select("k1", F.col("first_doc").alias("rid")).distinct()))
     # the smallest set that may be similar to a set of n has ceil(t n) shingles
@@ -390,10 +390,13 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     least = F.least(overlap(m), F.greatest(long(8), F.ceil(m / 20)))
     enough = (members.groupBy("rid").agg(F.count("*").alias("blocks")).join(prefixes.select("rid", "n"), "rid")
               .where(F.col("blocks") >= least).select("rid"))
-    shared = runs(members.join(stage(enough, "prefix-members"), "rid"), "star-runs")
+    shared, moved = runs(members.join(stage(enough, "prefix-members"), "rid"), "star-runs")
     stars = shared.select(F.col("first_doc").alias("pivot"), F.col("doc").alias("rid")).distinct()
-    for c in ("pivot", "rid"):
-        t = twins.select(F.col("rid").alias("__r"), F.col("root").alias("__root"))
+    # a shingle that spans partitions has a pivot in each: one star takes them all
+    pivots = connected_components(moved.select(F.col("doc").alias("a"), F.col("first_doc").alias("b")))
+    for c, t in (("pivot", pivots.select("node", "root")), ("pivot", twins.select(F.col("rid").alias("node"), "root")),
+                 ("rid", twins.select(F.col("rid").alias("node"), "root"))):
+        t = t.select(F.col("node").alias("__r"), F.col("root").alias("__root"))
         stars = stars.join(t, F.col(c) == F.col("__r"), "left").withColumn(c, F.coalesce("__root", c)).drop("__r", "__root")
     stars = stage(stars.where("pivot <> rid").distinct(), "stars")
     sizes = stars.groupBy("pivot").agg(F.count("*").alias("members"))

@@ -2,9 +2,9 @@
 
 ``first_of_run`` deals (k1, k2, doc, tie) rows by ranges of (k1, k2, doc), so a
 hot key spans as many partitions as its rows need, sorts within partitions, and
-streams: each row learns the first row of its run.  A run that began in an
-earlier partition is settled from one summary row for each partition and key at
-a partition's ends.  Only rows of keys that occur at least twice are returned.
+streams: each row learns the first row of its run in this partition.  Only the
+first row of a partition's first run is open (its run may have begun in an
+earlier partition); it is settled from summary rows, two a partition at most.
 """
 
 from __future__ import annotations
@@ -18,62 +18,60 @@ from pyspark.sql import functions as F
 
 from hiresight.llm.common import arrow_schema, batch, session_of, stage
 
-SETTLED, OPEN, SUMMARY = 0, 1, 2
+SETTLED, SUMMARY = 0, 1
 COLUMNS = ["k1", "k2", "doc", "tie", "payload"]
 
 
 def _stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All rows but the first of each run, and the first rows of the first and the last run as SUMMARY."""
     schema = arrow_schema({"kind": pa.int32()} | {c: pa.int64() for c in COLUMNS} | {"first_doc": pa.int64(), "first_tie": pa.int64()})
-    key, first, runs = None, None, 0  # of the last row seen
-
-    def summary(k, f):
-        return batch(schema, kind=[SUMMARY], k1=[k[0]], k2=[k[1]], first_doc=[f[0]], first_tie=[f[1]])
-
+    names = [f.name for f in schema]
+    key = first = opening = None  # of the last row seen; first row of the first run
+    runs = 0
     for b in batches:
         n = b.num_rows
         if not n:
             continue
-        k1, k2, doc, tie, payload = (b.column(i).to_numpy() for i in range(5))
+        cols = [b.column(i).to_numpy() for i in range(5)]
+        k1, k2, doc, tie, _ = cols
         new = np.ones(n, bool)
         new[1:] = (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1])
         new[0] = key is None or (int(k1[0]), int(k2[0])) != key
-        run = np.cumsum(new)  # 0: goes on from the last batch
         at = np.flatnonzero(new)
-        starts = np.concatenate([[-1], at])[run]
+        starts = np.concatenate([[-1], at])[np.cumsum(new)]  # -1: goes on from the last batch
         f_doc, f_tie = doc[starts], tie[starts]
-        carried = starts < 0
-        if carried.any():
-            f_doc = np.where(carried, first[0], f_doc)
-            f_tie = np.where(carried, first[1], f_tie)
-        ends_first = runs <= 1 and runs + len(at) > 1  # the partition's first run ends in this batch
-        if ends_first:
-            i = at[0] if runs == 1 else at[1]
-            j = 0 if runs == 1 else at[0]
-            yield summary((k1[j], k2[j]) if runs == 0 else key, (f_doc[j], f_tie[j]) if runs == 0 else first)
-            in_first = np.arange(n) < i
-        else:
-            in_first = np.full(n, runs + len(at) <= 1)
-        keep = in_first | ~new
+        if starts[0] < 0:
+            f_doc, f_tie = np.where(starts < 0, first[2], f_doc), np.where(starts < 0, first[3], f_tie)
+        keep = ~new
         if keep.any():
-            yield batch(schema, kind=np.where(in_first[keep], OPEN, SETTLED).astype(np.int32), k1=k1[keep], k2=k2[keep], doc=doc[keep],
-                        tie=tie[keep], payload=payload[keep], first_doc=f_doc[keep], first_tie=f_tie[keep])
+            yield batch(schema, kind=np.zeros(keep.sum(), np.int32), **dict(zip(COLUMNS, (c[keep] for c in cols))),
+                        first_doc=f_doc[keep], first_tie=f_tie[keep])
         runs += len(at)
-        key, first = (int(k1[-1]), int(k2[-1])), (int(f_doc[-1]), int(f_tie[-1]))
+        if len(at):
+            first = [int(c[at[-1]]) for c in cols]
+            if opening is None:
+                opening = [int(c[at[0]]) for c in cols]
+        key = (int(k1[-1]), int(k2[-1]))
     if runs:
-        yield summary(key, first)
+        ends = [opening] if runs == 1 else [opening, first]
+        yield batch(schema, **{c: [r[i] for r in ends] for i, c in enumerate(COLUMNS)},
+                    **{names[0]: [SUMMARY] * len(ends), "first_doc": [r[2] for r in ends], "first_tie": [r[3] for r in ends]})
 
 
-def first_of_run(rows: DataFrame, name: str) -> DataFrame:
+def first_of_run(rows: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
     """Rows (k1, k2, doc, tie, payload: longs, no nulls) that aren't the first of
-    their key by (doc, tie), with first_doc and first_tie of the key."""
+    their key by (doc, tie), with (first_doc, first_tie) of an earlier row: the
+    earliest in their range partition, or the earliest of all.
+
+    And, as (doc, first_doc), the docs that stand first in a partition but not
+    of all, for the few keys that span partitions."""
     session_of(rows)
     order = ["k1", "k2", "doc"]
     ddl = "kind int, " + ", ".join(f"{c} long" for c in [*COLUMNS, "first_doc", "first_tie"])
     runs = stage(rows.select(COLUMNS).repartitionByRange(*order).sortWithinPartitions(*order, "tie").mapInArrow(_stream, ddl), name)
-    # at most two rows a partition
-    ends = (runs.where(F.col("kind") == SUMMARY).groupBy("k1", "k2")
-            .agg(F.min(F.struct("first_doc", "first_tie")).alias("f")).select("k1", "k2", "f.first_doc", "f.first_tie"))
+    ends = runs.where(F.col("kind") == SUMMARY).drop("kind", "first_doc", "first_tie")  # at most two rows a partition
+    first = (ends.groupBy("k1", "k2").agg(F.min(F.struct("doc", "tie")).alias("f"))
+             .select("k1", "k2", F.col("f.doc").alias("first_doc"), F.col("f.tie").alias("first_tie")))
+    later = stage(ends.join(first, ["k1", "k2"]).where((F.col("doc") != F.col("first_doc")) | (F.col("tie") != F.col("first_tie"))), f"{name}-later")
     settled = runs.where(F.col("kind") == SETTLED).drop("kind")
-    opened = (runs.where(F.col("kind") == OPEN).select(COLUMNS).join(ends, ["k1", "k2"])
-              .where((F.col("doc") != F.col("first_doc")) | (F.col("tie") != F.col("first_tie"))))
-    return settled.unionByName(opened)
+    return settled.unionByName(later), later.select("doc", "first_doc").where("doc <> first_doc").distinct()

@@ -115,8 +115,8 @@ def _spans(min_words: int):
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 28) -> DataFrame:
     """One row per span to remove: doc_id, start, end (code points of the original
-    text, end exclusive), n_words, n_units, first_doc_ids (documents that hold
-    the units' earliest occurrences).
+    text, end exclusive), n_words, n_units, first_doc_ids (earlier documents that
+    hold the units; the earliest ones but for units that span partitions).
 
     Documents without repeats have no row.  Of repeated rows with one id the
     first by text hash keeps its text and the others are repeats; rows with a
@@ -126,6 +126,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     session_of(docs)
     rows = (docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
             .mapInArrow(_units, "k1 long, k2 long, doc long, tie long, payload long"))
-    return (first_of_run(rows, "substring-runs").groupBy("doc", F.shiftright("tie", 32).alias("text_hash"))
+    repeats, _ = first_of_run(rows, "substring-runs")
+    return (repeats.groupBy("doc", F.shiftright("tie", 32).alias("text_hash"))
             .agg(F.collect_list(F.struct("tie", "payload", "first_doc")).alias("found"))
             .select("doc", "found").mapInArrow(_spans(min_words), SPAN_DDL))

@@ -242,3 +242,10 @@ COMPANY_LEGAL_WORDS = ["công ty", "company", "tnhh", "jsc", "corp", "ltd"]
 
 # --- FIXED VALUES: skills that count as high value when a request is scored.
 SERVING_HIGH_VALUE = ["python", "aws", "docker", "kubernetes", "devops"]
+
+# --- FIXED VALUES: spelling variations of the advanced extractor (variation, standard name).
+SKILL_VARIATIONS = [
+    ("pyspark", "spark"), ("scikit", "scikit-learn"), ("sklearn", "scikit-learn"), ("tf", "tensorflow"),
+    ("k8s", "kubernetes"), ("reactjs", "react"), ("vuejs", "vue"), ("node", "nodejs"), ("postgres", "postgresql"),
+    ("mongo", "mongodb"), ("docker", "docker"), ("aws", "aws"), ("azure", "azure"), ("gcp", "gcp"), ("jenkins", "jenkins"),
+]

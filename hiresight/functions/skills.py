@@ -14,8 +14,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .constants import ABBREVIATIONS, VALID_IT_SKILLS
-from .text import WORD_CLASS, normalise_for_skills, let
+from .constants import ABBREVIATIONS, SKILL_VARIATIONS, VALID_IT_SKILLS
+from .fuzzy import fuzzy_hits
+from .text import WORD_CLASS, let, normalise_for_skills, normalise_words_only, words
 
 _LEXICON_PATH = os.path.join(os.path.dirname(__file__), "..", "data", "skill_lexicon.tsv")
 
@@ -173,6 +174,47 @@ def skill_extract(text, whitelist=None, match: str = "substring") -> Column:
     return F.when(t.isNull() | (t == ""), empty).otherwise(let(norm, extract))
 
 
+def names_in(text: Column, names) -> Column:
+    """The given names that occur in a lower-cased text with a word boundary at both ends.
+
+    One trie-regex pass: at each position the longest name that ends at a
+    boundary, and with it every shorter name that ends at a boundary inside it."""
+    names = list(dict.fromkeys(names))
+
+    def at_boundary(p: str, n: int) -> bool:
+        return n == len(p) or _is_word_char(p[n - 1]) != _is_word_char(p[n])
+
+    inside = {p: [q for q in names if p.startswith(q) and at_boundary(p, len(q))] for p in names}
+    lookup = F.create_map(*[x for p, qs in inside.items() for x in (F.lit(p), F.array(*[F.lit(q) for q in qs]))])
+    hits = F.array_distinct(F.regexp_extract_all(text, F.lit("(?U)(?=\\b((?:" + trie_regex(names) + ")\\b))"), 1))
+    return F.array_distinct(F.flatten(F.transform(hits, lambda h: F.element_at(lookup, h))))
+
+
+def skill_extract_names(text: Column, names) -> Column:
+    """Sorted names of the caller's list (no aliases) that stand as words in the lower-cased text."""
+    empty = F.array().cast("array<string>")
+    return F.when(text.isNull() | (text == ""), empty).otherwise(let(F.lower(text), lambda t: F.array_sort(names_in(t, names))))
+
+
+def skill_extract_advanced(text: Column, names, targets, cutoff: float = 0.8) -> Column:
+    """Sorted skills by four strategies over the text without punctuation: names as
+    words, fixed spelling variations as words, names of several words as
+    substrings, and ``targets`` with a close word."""
+    names = [n.lower() for n in dict.fromkeys(names)]
+    variations = F.create_map(*[F.lit(x) for pair in SKILL_VARIATIONS for x in pair])
+    several = F.array(*[F.lit(n) for n in names if " " in n])
+    empty = F.array().cast("array<string>")
+
+    def extract(t):
+        exact = names_in(t, names)
+        varied = F.transform(names_in(t, [v for v, _ in SKILL_VARIATIONS]), lambda v: F.element_at(variations, v))
+        found = F.concat(exact, varied, F.filter(several, lambda n: F.contains(t, n)),
+                         let(words(t), lambda w: fuzzy_hits(w, targets, cutoff)))
+        return F.array_sort(F.array_distinct(found))
+
+    return F.when(text.isNull() | (text == ""), empty).otherwise(let(normalise_words_only(text), extract))
+
+
 def patterns_found(norm_text: Column, patterns) -> Column:
     """Distinct patterns occurring (as substrings) in an already normalised text:
     one trie-regex pass, each longest match expanded to its prefix patterns."""

@@ -127,35 +127,35 @@ def salary_box_by_level(df: DataFrame) -> DataFrame:
                     F.round(F.col("q")[3] + 1.5 * iqr, 6).alias("upper_fence"))
 
 
-def salary_impact(df: DataFrame, flag_vocab=None) -> DataFrame:
-    """For every skill with a flag: mean salary with / without it, difference, percent.
+def salary_impact(df: DataFrame, skills=None, flag_vocab=None) -> DataFrame:
+    """For each of ``skills`` (default: all flags): mean salary with / without it, difference, percent.
 
     One explode+groupBy for the per-skill sums plus two global scalars:
-    without = (S - s) / (N - n).  Skills without a flag column -> has_skill false.
+    without = (S - s) / (N - n).  A skill without a flag has has_skill false and
+    no figures.
     """
     from ..functions.constants import VALID_IT_SKILLS
     flag_vocab = list(dict.fromkeys(flag_vocab or VALID_IT_SKILLS))
+    names = list(dict.fromkeys(skills or flag_vocab))
     n_all = scalar(df, F.count(F.lit(1)))
     s_all = scalar(df, F.sum("salary"))
-    cand = df.sparkSession.createDataFrame([(s,) for s in flag_vocab], "skill string")
+    cand = df.sparkSession.createDataFrame([(s, s in flag_vocab) for s in names], "skill string, has_skill boolean")
     j = cand.join(skill_stats(df), "skill", "left").na.fill(0, ["demand_count"])
     with_ = F.col("salary_sum") / F.col("demand_count")
     without = F.try_divide(s_all - F.coalesce(F.col("salary_sum"), F.lit(0.0)), n_all - F.col("demand_count"))
+    known = lambda c: F.when(F.col("has_skill"), c)
     return j.select(
-        "skill", F.lit(True).alias("has_skill"),
-        F.round(with_, 1).alias("avg_salary_with"), F.round(without, 1).alias("avg_salary_without"),
-        F.round(with_ - without, 1).alias("increase"),
-        F.when(without > 0, F.round((with_ - without) / without * 100, 1))
-         .otherwise(F.lit(0.0)).alias("increase_percentage"))
+        "skill", "has_skill",
+        known(F.round(with_, 1)).alias("avg_salary_with"), known(F.round(without, 1)).alias("avg_salary_without"),
+        known(F.round(with_ - without, 1)).alias("increase"),
+        known(F.when(without > 0, F.round((with_ - without) / without * 100, 1)).otherwise(F.lit(0.0))).alias("increase_percentage"))
 
 
-def skill_salary_min_support(df: DataFrame, min_count: int = 10, k: int = 15, first_names: int = 20,
-                             of_names: int = 40) -> DataFrame:
-    """Mean salary by skill with count > min_count, over the first ``first_names``
-    of the first ``of_names`` flag names alphabetically (upper case), top k."""
+def skill_salary_min_support(df: DataFrame, min_count: int = 10, k: int = 15, names=None) -> DataFrame:
+    """Mean salary by skill (upper case) with count > min_count, over ``names``
+    (default: every flag), top k."""
     from ..functions.constants import VALID_IT_SKILLS
-    names = sorted(s.upper() for s in dict.fromkeys(VALID_IT_SKILLS))[:of_names][:first_names]
-    allowed = [n.lower() for n in names]
+    allowed = [n.lower() for n in (names or dict.fromkeys(VALID_IT_SKILLS))]
     st = skill_stats(df).where(F.col("skill").isin(allowed) & (F.col("demand_count") > min_count))
     return (st.select(F.upper("skill").alias("skill"),
                       F.round(F.col("salary_sum") / F.col("demand_count"), 6).alias("salary"),
@@ -163,15 +163,17 @@ def skill_salary_min_support(df: DataFrame, min_count: int = 10, k: int = 15, fi
             .orderBy(F.desc("salary"), F.asc("skill")).limit(k))
 
 
-def share_of_rows(df: DataFrame) -> DataFrame:
-    """Percent of rows with a valid salary, remote, english, 5+ skills."""
+def share_of_rows(df: DataFrame, domain: DataFrame, deduplicated: DataFrame) -> DataFrame:
+    """Percent of postings in the domain, of those with a salary before it is
+    filled, of clean rows that are remote or ask for English; rows with 5+ skills."""
+    share = lambda d, c: scalar(d, F.round(F.try_divide(F.sum(c.cast("int")) * 100.0, F.count(F.lit(1))), 6))
     return df.agg(
         F.count(F.lit(1)).alias("rows"),
-        F.round(F.try_divide(F.sum(F.col("salary").isNotNull().cast("int")) * 100.0, F.count(F.lit(1))), 6)
-         .alias("valid_salary_pct"),
         F.round(F.avg("remote") * 100, 6).alias("remote_pct"),
         F.round(F.avg("english") * 100, 6).alias("english_pct"),
-        F.sum((F.col("num_skills") >= 5).cast("int")).alias("jobs_5plus_skills"))
+        F.sum((F.col("num_skills") >= 5).cast("int")).alias("jobs_5plus_skills")) \
+        .withColumns({"valid_salary_pct": share(domain, F.col("salary").isNotNull()),
+                      "domain_pct": F.round(scalar(domain, F.count(F.lit(1))) * 100.0 / scalar(deduplicated, F.count(F.lit(1))), 6)})
 
 
 def distinct_cities(df: DataFrame) -> DataFrame:

@@ -86,6 +86,17 @@ def skills_sql(expr: str, whitelist=None) -> str:
             f"ELSE list_sort(list_distinct({found})) END)")
 
 
+def word_pattern(name: str) -> str:
+    """RE2 pattern of a name with a word boundary at both ends (Unicode words)."""
+    import re
+    edge = lambda c, ends: f"({ends}|[^\\p{{L}}\\p{{N}}_])" if c.isalnum() or c == "_" else "[\\p{L}\\p{N}_]"
+    return edge(name[0], "^") + re.escape(name) + edge(name[-1], "$")
+
+
+def names_table(alias: str, names) -> str:
+    return f"{alias}(name, pat) AS (VALUES " + ", ".join(f"({q(n)}, {q(word_pattern(n))})" for n in dict.fromkeys(names)) + ")"
+
+
 def posting_ctes() -> str:
     return f"""raw AS ({RAW_POSTINGS_SQL}),
 posting AS (

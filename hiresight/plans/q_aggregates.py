@@ -63,16 +63,18 @@ _vocab = list(dict.fromkeys(VALID_IT_SKILLS))
 
 
 @register("salary_impact", W(CLEAN, f"""
-, v AS (SELECT unnest({O.str_list(_vocab)}) AS skill),
+, v AS (SELECT unnest({O.str_list(_vocab + ['cobol', 'fortran'])}) AS skill),
 ws AS (SELECT v.skill, avg(c.salary) FILTER (WHERE list_contains(c.skills, v.skill)) AS w,
               avg(c.salary) FILTER (WHERE NOT list_contains(c.skills, v.skill)) AS wo
        FROM v, clean c GROUP BY v.skill)
 SELECT skill, true AS has_skill, round(w, 1) AS avg_salary_with, round(wo, 1) AS avg_salary_without,
        round(w - wo, 1) AS increase,
        CASE WHEN wo > 0 THEN round((w - wo) / wo * 100, 1) ELSE 0.0 END AS increase_percentage
-FROM ws""".replace("\n, v AS", ",\nv AS", 1)))
+FROM ws WHERE skill NOT IN ('cobol', 'fortran')
+UNION ALL SELECT skill, false, NULL, NULL, NULL, NULL FROM ws WHERE skill IN ('cobol', 'fortran')""".replace("\n, v AS", ",\nv AS", 1)))
 def q_salary_impact(spark, sf):
-    return A.salary_impact(clean_mat(spark, sf))
+    """Every flag, and two skills that have none."""
+    return A.salary_impact(clean_mat(spark, sf), _vocab + ["cobol", "fortran"])
 
 
 _names = [n.lower() for n in sorted(s.upper() for s in _vocab)[:40][:20]]
@@ -83,13 +85,14 @@ SELECT upper(skill) AS skill, round(salary_sum / demand_count, 6) AS salary, dem
 FROM skill_stats WHERE skill IN ({', '.join(O.q(n) for n in _names)}) AND demand_count > 10
 ORDER BY salary DESC, skill LIMIT 15"""))
 def q_skill_salary_min_support(spark, sf):
-    return A.skill_salary_min_support(clean_mat(spark, sf))
+    return A.skill_salary_min_support(clean_mat(spark, sf), names=_names)
 
 
 register("share_of_rows", W(CLEAN, """SELECT count(*) AS rows,
-    round(sum(CAST(salary IS NOT NULL AS INTEGER)) * 100.0 / count(*), 6) AS valid_salary_pct,
     round(avg(remote) * 100, 6) AS remote_pct, round(avg(english) * 100, 6) AS english_pct,
-    CAST(sum(CAST(num_skills >= 5 AS INTEGER)) AS BIGINT) AS jobs_5plus_skills FROM clean"""))(
-    lambda spark, sf: A.share_of_rows(clean(spark, sf)))
+    CAST(sum(CAST(num_skills >= 5 AS INTEGER)) AS BIGINT) AS jobs_5plus_skills,
+    (SELECT round(sum(CAST(salary IS NOT NULL AS INTEGER)) * 100.0 / count(*), 6) FROM sal) AS valid_salary_pct,
+    round((SELECT count(*) FROM domain) * 100.0 / (SELECT count(*) FROM dedup), 6) AS domain_pct FROM clean"""))(
+    lambda spark, sf: A.share_of_rows(clean(spark, sf), C.domain_layer(spark, sf), C.dedup_postings(C.postings(spark, sf))))
 register("distinct_cities", W(CLEAN, "SELECT count(DISTINCT city) AS distinct_cities FROM clean"))(
     lambda spark, sf: A.distinct_cities(clean(spark, sf)))

@@ -120,29 +120,48 @@ register("text_normalise", W(POSTING, f"SELECT post_id, {O.norm_sql('description
 
 
 @register("safe_numeric", W(POSTING, """SELECT post_id,
-    CASE WHEN isnan(TRY_CAST(salary_raw AS DOUBLE)) THEN NULL ELSE TRY_CAST(salary_raw AS DOUBLE) END AS value
-    FROM raw"""))
+    CASE WHEN isnan(TRY_CAST(t AS DOUBLE)) THEN NULL ELSE TRY_CAST(t AS DOUBLE) END AS value
+    FROM (SELECT post_id, CASE post_id % 4 WHEN 0 THEN salary_raw WHEN 1 THEN 'nan' ELSE CAST(post_id % 1000 AS VARCHAR) || '.5' END AS t
+          FROM raw)"""))
 def q_safe_numeric(spark, sf):
-    return raw_postings(spark, sf).select("post_id", S.safe_numeric(F.col("salary_raw")).alias("value"))
+    """Salary texts, 'nan' and plain numbers as they stand in raw columns."""
+    i = F.col("post_id")
+    t = F.when(i % 4 == 0, F.col("salary_raw")).when(i % 4 == 1, F.lit("nan")).otherwise(F.concat((i % 1000).cast("string"), F.lit(".5")))
+    return raw_postings(spark, sf).select("post_id", S.safe_numeric(t).alias("value"))
+
+
+_SKILL_NAMES = [e[0] for e in K.lexicon_entries()]
 
 
 @register("word_ngrams", W(POSTING, f"""
 , words AS (SELECT list_filter(string_split(trim({O.norm_sql('description')}), ' '), lambda w: w <> '') AS w
             FROM posting)
-SELECT g AS ngram, count(*) AS n FROM (
-  SELECT unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS g FROM words WHERE len(w) >= 2)
-GROUP BY g"""))
+SELECT g AS ngram, size, count(*) AS n, g IN ({", ".join(O.q(n) for n in _SKILL_NAMES)}) AS is_skill FROM (
+  SELECT 2 AS size, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS g FROM words WHERE len(w) >= 2
+  UNION ALL SELECT 3, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))
+  FROM words WHERE len(w) >= 3) GROUP BY g, size"""))
 def q_word_ngrams(spark, sf):
+    """Bigrams and trigrams with their counts, and whether they name a skill."""
     w = T.words(T.normalise_for_skills(F.col("description")))
-    grams = C.postings(spark, sf).select(F.explode(T.word_ngrams(w, 2)).alias("ngram"))
-    return grams.groupBy("ngram").agg(F.count(F.lit(1)).alias("n"))
+
+    def sized(x, n):
+        return F.transform(T.word_ngrams(x, n), lambda g: F.struct(g.alias("ngram"), F.lit(n).alias("size")))
+
+    grams = T.let(w, lambda x: F.concat(sized(x, 2), sized(x, 3)))
+    return (C.postings(spark, sf).select(F.inline(grams)).groupBy("ngram", "size").agg(F.count(F.lit(1)).alias("n"))
+            .withColumn("is_skill", F.col("ngram").isin(_SKILL_NAMES)))
 
 
 # ------------------------------------------------------------ skills
 register("skill_extract", W(POSTING, f"SELECT post_id, array_to_string({O.skills_sql('description')}, ',') AS skills FROM posting"))(
     _raw_text_query(lambda: F.array_join(K.skill_extract(F.col("description")), ","), "skills"))
-register("skill_extract_word", W(POSTING, f"SELECT post_id, array_to_string({O.skills_word_sql('description')}, ',') AS skills FROM posting"))(
-    _raw_text_query(lambda: F.array_join(K.skill_extract(F.col("description"), match="word"), ","), "skills"))
+_NAMES = list(dict.fromkeys(VALID_IT_SKILLS))
+DESCRIPTIONS = "dd AS (SELECT DISTINCT description AS d FROM posting)"
+register("skill_extract_word", W(POSTING + f""",
+{DESCRIPTIONS}, {O.names_table("nm", _NAMES)},
+hit AS (SELECT d, list_sort(list(name)) AS sk FROM dd, nm WHERE regexp_matches(lower(d), pat) GROUP BY d)""",
+    "SELECT post_id, coalesce(array_to_string(sk, ','), '') AS skills FROM posting LEFT JOIN hit ON description = d"))(
+    _raw_text_query(lambda: F.array_join(K.skill_extract_names(F.col("description"), _NAMES), ","), "skills"))
 register("skill_whitelist", W(CLEAN, "SELECT post_id, array_to_string(skills, ',') AS skills FROM clean"))(
     lambda spark, sf: C.clean_postings(spark, sf).select("post_id", csv("skills").alias("skills")))
 register("skill_count", W(CLEAN, "SELECT post_id, num_skills FROM clean"))(
@@ -173,14 +192,15 @@ def _lex_attr_sql(attr):
 
 
 @register("skill_categories", W(POSTING + ",\n" + _lex_attr_sql("category"), f"""
-SELECT l.v AS category, count(*) AS n
-FROM (SELECT unnest({O.skills_sql('description')}) AS skill FROM posting) s JOIN lex_attr l ON s.skill = l.skill
-GROUP BY l.v"""))
+SELECT post_id, l.v AS category, count(*) AS n
+FROM (SELECT post_id, unnest({O.skills_sql('description')}) AS skill FROM posting) s JOIN lex_attr l ON s.skill = l.skill
+GROUP BY post_id, l.v"""))
 def q_skill_categories(spark, sf):
-    cat = K.skill_attr_map("category")
-    s = C.postings(spark, sf).select(F.explode(K.skill_extract(F.col("description"))).alias("skill"))
-    return s.select(F.element_at(cat, F.col("skill")).alias("category")).groupBy("category") \
-        .agg(F.count(F.lit(1)).alias("n"))
+    """How many skills of each category a posting asks for; counted inside the row, no shuffle."""
+    cats = F.transform(K.skill_extract(F.col("description")), lambda s: F.element_at(K.skill_attr_map("category"), s))
+    counted = F.transform(F.array_distinct(cats), lambda c: F.struct(
+        c.alias("category"), F.size(F.filter(cats, lambda x: x == c)).cast("long").alias("n")))
+    return C.postings(spark, sf).select("post_id", F.inline(counted))
 
 
 @register("skill_weight", W(POSTING + ",\n" + _lex_attr_sql("weight"), f"""
@@ -199,16 +219,24 @@ def q_skill_weight(spark, sf):
 FUZZY_TARGETS = ["python", "java", "javascript", "react", "angular", "docker", "kubernetes", "aws"]
 
 
-@register("fuzzy_match", W(POSTING, f"""
-SELECT post_id, array_to_string(list_sort(list_filter({O.str_list(FUZZY_TARGETS)}, lambda t:
-         len(list_filter(string_split({O.norm_sql('description')}, ' '), lambda w: w <> '' AND
-             1.0 - levenshtein(w, t) / greatest(length(w), length(t)) >= 0.8)) > 0)), ',') AS matches
-FROM posting"""))
+@register("fuzzy_match", W(POSTING + f""",
+{DESCRIPTIONS},
+ws AS (SELECT d, unnest(w) AS w, unnest(range(len(w))) AS i FROM (
+         SELECT d, list_filter(string_split({O.norm_sql('d')}, ' '), lambda x: x <> '') AS w FROM dd)),
+tg(t) AS (VALUES {", ".join(f"('{t}')" for t in FUZZY_TARGETS)}),
+sim AS (SELECT d, t, w, i, 1.0 - levenshtein(w, t) / greatest(length(w), length(t)) AS s FROM ws, tg),
+best AS (SELECT d, t, w FROM sim WHERE s >= 0.8 QUALIFY row_number() OVER (PARTITION BY d, t ORDER BY s DESC, i) = 1),
+hit AS (SELECT d, array_to_string(list_sort(list(t || ':' || w)), ',') AS m FROM best GROUP BY d)""",
+    "SELECT post_id, coalesce(m, '') AS matches FROM posting LEFT JOIN hit ON description = d"))
 def q_fuzzy_match(spark, sf):
-    from ..functions.fuzzy import fuzzy_hits
-    w = T.words(T.normalise_for_skills(F.col("description")))
-    return C.postings(spark, sf).select("post_id", F.array_join(F.array_sort(fuzzy_hits(w, FUZZY_TARGETS)), ",")
-                                        .alias("matches"))
+    """Each target with its closest word (similarity at least 0.8, ties: first word)."""
+    from ..functions.fuzzy import best_close_word
+
+    def pairs(w):
+        return F.array_compact(F.array(*[F.concat(F.lit(t + ":"), best_close_word(w, t)) for t in FUZZY_TARGETS]))
+
+    matches = T.let(T.words(T.normalise_for_skills(F.col("description"))), pairs)
+    return C.postings(spark, sf).select("post_id", F.coalesce(F.array_join(F.array_sort(matches), ","), F.lit("")).alias("matches"))
 
 
 def _rules_sql(rules):
@@ -320,9 +348,9 @@ def q_city_options(spark, sf):
     return R.city_options(C.clean_postings(spark, sf))
 
 
-@register("fill_zero", W(ENRICHED, "SELECT post_id, coalesce(company_size, 0) AS company_size FROM enriched"))
+@register("fill_zero", W(POSTING, "SELECT post_id, coalesce(salary_min, 0) AS salary_min, coalesce(salary_max, 0) AS salary_max FROM posting"))
 def q_fill_zero(spark, sf):
-    return R.fill_zero(enriched(spark, sf).select("post_id", "company_size"), ["company_size"])
+    return R.fill_zero(C.postings(spark, sf).select("post_id", "salary_min", "salary_max"), ["salary_min", "salary_max"])
 
 
 @register("drop_helper_columns", W(CLEAN, "SELECT post_id, level FROM clean"))

@@ -8,8 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import html as H
 from ..functions import skills as K
 from ..functions import text as T
-from ..functions.constants import VALID_IT_SKILLS
-from ..functions.fuzzy import fuzzy_hits
+from ..functions.constants import SKILL_VARIATIONS, VALID_IT_SKILLS
 from ..operators import enrich as E
 from ..operators import ml as M
 from ..operators import relational as R
@@ -18,7 +17,7 @@ from ..sources import feeds as FD
 from . import clean as C
 from . import oracle as O
 from .catalog import register
-from .q_core import FUZZY_TARGETS, enriched
+from .q_core import DESCRIPTIONS, FUZZY_TARGETS, enriched
 from .q_pages import lines_sql, pages
 
 W = O.with_ctes
@@ -89,17 +88,27 @@ def q_filter_garbage(spark, sf):
 
 
 # ---------------------------------------------------------------- fuzzy extractor
-@register("skill_extract_fuzzy", W(POSTING, f"""SELECT post_id, array_to_string(list_sort(list_distinct(list_concat(
-    {O.skills_word_sql('description', set(VALID_IT_SKILLS))},
-    list_filter({O.str_list(FUZZY_TARGETS)}, lambda t: len(list_filter(string_split({O.norm_sql('description')}, ' '),
-        lambda w: w <> '' AND 1.0 - levenshtein(w, t) / greatest(length(w), length(t)) >= 0.8)) > 0)))), ',') AS skills
-    FROM posting"""))
+_ALL_NAMES = [e[0] for e in K.lexicon_entries()]
+_STANDARD = dict(SKILL_VARIATIONS)
+
+
+@register("skill_extract_fuzzy", W(POSTING + f""",
+{DESCRIPTIONS},
+tt AS (SELECT d, regexp_replace(regexp_replace(lower(d), '[^\\p{{L}}\\p{{N}}_\\s]', ' ', 'g'), '\\s+', ' ', 'g') AS t FROM dd WHERE d <> ''),
+{O.names_table("nm", _ALL_NAMES)}, {O.names_table("va", _STANDARD)},
+std(v, name) AS (VALUES {", ".join(f"({O.q(v)}, {O.q(n)})" for v, n in _STANDARD.items())}),
+tg(name) AS (VALUES {", ".join(f"('{t}')" for t in FUZZY_TARGETS)}),
+ws AS (SELECT d, unnest(string_split(t, ' ')) AS w FROM tt),
+found AS (SELECT d, name FROM tt, nm WHERE regexp_matches(t, pat)
+          UNION SELECT d, std.name FROM tt, va JOIN std ON std.v = va.name WHERE regexp_matches(t, pat)
+          UNION SELECT d, name FROM tt, nm WHERE contains(name, ' ') AND contains(t, name)
+          UNION SELECT d, name FROM ws, tg WHERE w <> '' AND 1.0 - levenshtein(w, name) / greatest(length(w), length(name)) >= 0.8),
+hit AS (SELECT d, array_to_string(list_sort(list(name)), ',') AS skills FROM found GROUP BY d)""",
+    "SELECT post_id, coalesce(skills, '') AS skills FROM posting LEFT JOIN hit ON description = d"))
 def q_skill_fuzzy(spark, sf):
-    """Whole-word matches plus near-miss spellings of the key skills."""
-    w = T.words(T.normalise_for_skills(F.col("description")))
-    word = K.skill_extract(F.col("description"), whitelist=set(VALID_IT_SKILLS), match="word")
-    allk = F.array_sort(F.array_distinct(F.concat(word, fuzzy_hits(w, FUZZY_TARGETS))))
-    return C.postings(spark, sf).select("post_id", F.array_join(allk, ",").alias("skills"))
+    """Names as words, spelling variations, names of several words, near-miss spellings of the key skills."""
+    skills = K.skill_extract_advanced(F.col("description"), _ALL_NAMES, FUZZY_TARGETS)
+    return C.postings(spark, sf).select("post_id", F.array_join(skills, ",").alias("skills"))
 
 
 # ---------------------------------------------------------------- page labels

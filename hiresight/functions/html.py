@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from .constants import (COMPANY_LEGAL_WORDS, NOISE_LINES, SALARY_HEADER_EXACT, SALARY_HEADER_UNITS,
                         SECTION_STOP_WORDS, WORKING_FORMS)
+from .salary import parse_salary_text_b
 from .text import contains_any, text_clean
 
 # --- FIXED VALUES: HTML entities decoded (``&amp;`` last so it is decoded once).
@@ -55,6 +56,87 @@ def html_title(html) -> Column:
     return F.when(h1 != "", h1).otherwise(first_element_text(html, "title"))
 
 
+def anchors(html) -> Column:
+    """(href, text) of every link, in page order; single or double quotes."""
+    pat = "(?is)<a\\s[^>]*href=[\"']([^\"']*)[\"'][^>]*>(.*?)</a>"
+    v = visible(html)
+    return F.zip_with(F.regexp_extract_all(v, F.lit(pat), 1), F.regexp_extract_all(v, F.lit(pat), 2),
+                      lambda h, t: F.struct(h.alias("href"), strip_tags(t).alias("text")))
+
+
+def url_path(url) -> Column:
+    return F.regexp_extract(_c(url), "^(?:https?://[^/?#]+)?([^;?#]*)", 1)
+
+
+def detail_title(html, url) -> Column:
+    """First h1 text, else the text of the page's link to itself, else the <title> text."""
+    h1 = first_element_text(html, "h1")
+    own = F.filter(anchors(html), lambda a: (a["text"] != "") & (url_path(a["href"]) == url_path(url)))
+    return F.when(h1 != "", h1).otherwise(F.coalesce(F.try_element_at(own, F.lit(1))["text"], first_element_text(html, "title")))
+
+
+def heading_sections(html) -> Column:
+    """(heading, body) pairs: an h2, h3 or b heading opens a section that runs to the next one."""
+    pieces = F.split(visible(html), "(?i)<(?:h2|h3|b)(?:\\s[^>]*)?>")
+    end = "(?is)^(.*?)(?:</(?:h2|h3|b)>|<br\\s*/?>)"
+    return F.transform(F.slice(pieces, F.lit(2), F.size(pieces)), lambda s: F.struct(
+        strip_tags(F.regexp_extract(s, end, 1)).alias("heading"), strip_tags(F.regexp_replace(s, end, "")).alias("body")))
+
+
+def section_of(secs: Column, keywords, max_heading: int = 120) -> Column:
+    """Body of the first section whose heading (<= 120 chars) contains a keyword, else ''."""
+    hit = F.filter(secs, lambda s: (F.length(s["heading"]) <= max_heading) & contains_any(F.lower(s["heading"]), [k.lower() for k in keywords]))
+    return F.coalesce(F.try_element_at(hit, F.lit(1))["body"], F.lit(""))
+
+
+def info_fields(lines) -> Column:
+    """(label, value) of every 'label: value' line; the label has 1 to 40 characters."""
+    pat = "^([^:]{1,40}):\\s*(\\S.*)$"
+    return F.transform(F.filter(_c(lines), lambda s: s.rlike(pat)),
+                       lambda s: F.struct(F.trim(F.regexp_extract(s, pat, 1)).alias("label"), F.trim(F.regexp_extract(s, pat, 2)).alias("value")))
+
+
+# --- FIXED VALUES: section keywords and labels of a detail page.
+ROLE_WORDS = ["your role", "responsibilities", "mô tả công việc", "trách nhiệm"]
+SKILL_WORDS = ["your skills", "qualifications", "requirements", "yêu cầu", "kỹ năng"]
+BENEFIT_WORDS = ["benefits", "quyền lợi", "phúc lợi", "why you'll love", "why you will love"]
+SIZE_LABELS = ["Size", "Company size", "Quy mô", "Quy mô công ty"]
+INDUSTRY_LABELS = ["Industry", "Lĩnh vực", "Field", "Business field", "Ngành nghề"]
+PLACE_LABELS = ["Địa điểm làm việc", "Working location"]
+
+
+def page_record(html, url, source: str, crawl_date: str) -> list:
+    """The 18 fields of a raw record from a detail page, as columns.
+
+    Lines and sections are taken from the page once and shared by the fields."""
+    lines, secs, blocks = F.col("_lines"), F.col("_secs"), F.col("_blocks")
+    head = header_fields(lines)
+    salary = F.coalesce(F.try_element_at(F.filter(lines, lambda s: line_is_salary(s)), F.lit(1)), F.lit(""))
+    pay = parse_salary_text_b(salary)
+
+    def section(words, i):
+        s = section_of(secs, words)
+        return F.when(s != "", s).otherwise(F.coalesce(F.try_element_at(blocks, F.lit(i)), F.lit("")))
+
+    size = labelled_value(lines, SIZE_LABELS, max_len=80)
+    fields = {
+        "job_title": detail_title(html, url), "salary_min": pay["salary_min"], "salarry_max": pay["salary_max"],
+        "location": head["location"], "experience": head["experience"], "job_description": section(ROLE_WORDS, 1),
+        "qualifications": section(SKILL_WORDS, 2), "benefit": section(BENEFIT_WORDS, 3),
+        "job_location": labelled_value(lines, PLACE_LABELS), "company": company_from_lines(lines),
+        "size": F.when(size != "", size).otherwise(size_fallback(strip_tags(html))),
+        "industry": labelled_value(lines, INDUSTRY_LABELS, max_len=100), "level": head["level"],
+        "working form": working_form(lines), "salary_raw": salary, "crawl_date": F.lit(crawl_date),
+        "source_url": url_normalise(url), "source": F.lit(source)}
+    return [c.alias(n) for n, c in fields.items()]
+
+
+def page_records(pages, source: str, crawl_date: str, html: str = "html", url: str = "url", keep=()):
+    """``keep`` columns and the raw record of every page of a DataFrame."""
+    read = pages.select(*keep, html, url, html_lines(html).alias("_lines"), heading_sections(html).alias("_secs"), prose_blocks(html).alias("_blocks"))
+    return read.select(*keep, *page_record(html, url, source, crawl_date))
+
+
 def html_lines(html) -> Column:
     """Visible text as trimmed non-empty lines (block tags and <br> end a line)."""
     v = F.regexp_replace(visible(html), BLOCK_TAGS, "\n")

@@ -5,7 +5,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import html as H
 from ..functions import skills as K
 from ..functions import text as T
 from ..functions.constants import SKILL_VARIATIONS, VALID_IT_SKILLS
@@ -18,7 +17,6 @@ from . import clean as C
 from . import oracle as O
 from .catalog import register
 from .q_core import DESCRIPTIONS, FUZZY_TARGETS, enriched
-from .q_pages import lines_sql, pages
 
 W = O.with_ctes
 POSTING = O.posting_ctes()
@@ -111,51 +109,6 @@ def q_skill_fuzzy(spark, sf):
     return C.postings(spark, sf).select("post_id", F.array_join(skills, ",").alias("skills"))
 
 
-# ---------------------------------------------------------------- page labels
-INFO_LABELS = {"industry": ["Industry", "Lĩnh vực", "Field"], "location": ["Địa điểm làm việc", "Working location"],
-               "size": ["Size", "Company size", "Quy mô"]}
-
-
-@register("html_info_fields", f"""SELECT page_id, CAST(len(list_filter({lines_sql('html')}, lambda s:
-    regexp_matches(s, '^[^:]{{1,40}}:\\s*\\S'))) AS INTEGER) AS label_value_pairs FROM pages""")
-def q_info_fields(spark, sf):
-    """Count of 'label: value' lines per page (the label/value pairs of info blocks)."""
-    lines = H.html_lines("html")
-    return pages(spark, sf).select("page_id", F.size(F.filter(lines, lambda s: s.rlike("^[^:]{1,40}:\\s*\\S")))
-                                   .alias("label_value_pairs"))
-
-
-def _label_query(field):
-    def fn(spark, sf):
-        lines = pages(spark, sf).select("page_id", H.html_lines("html").alias("_lines"))
-        return lines.select("page_id", H.labelled_value(F.col("_lines"), INFO_LABELS[field]).alias(field))
-    return fn
-
-
-def _label_sql(field):
-    """Oracle for labelled_value: same-line rest, else the next acceptable line (<= 6 ahead)."""
-    from ..functions.constants import NOISE_LINES
-    labs = [x.lower() for x in INFO_LABELS[field]]
-    starts = " OR ".join(f"lower(ls[i]) = {O.q(x)} OR starts_with(lower(ls[i]), {O.q(x + ' ')}) "
-                         f"OR starts_with(lower(ls[i]), {O.q(x + ':')})" for x in labs)
-    rest = "ls[i]"
-    for x in INFO_LABELS[field]:
-        rest = f"regexp_replace({rest}, {O.q('(?i)^' + x + chr(92) + 's*:?' + chr(92) + 's*')}, '')"
-    noise = ", ".join(O.q(x) for x in NOISE_LINES)
-    labl = ", ".join(O.q(x) for x in labs)
-    return f"""WITH ln AS (SELECT page_id, {lines_sql('html')} AS ls FROM pages),
-hit AS (SELECT page_id, ls, list_filter(generate_series(1, len(ls)), lambda i: {starts})[1] AS i FROM ln),
-r AS (SELECT page_id, ls, i, trim({rest}) AS rest FROM hit)
-SELECT page_id, CASE WHEN i IS NULL THEN ''
-  WHEN rest <> '' AND length(rest) <= 160 AND lower(trim(rest)) NOT IN ({noise}) AND lower(rest) NOT IN ({labl}) THEN rest
-  ELSE coalesce(list_filter(ls[i + 1:i + 6], lambda c: c <> '' AND lower(trim(c)) NOT IN ({noise})
-       AND lower(c) NOT IN ({labl}) AND length(c) <= 160)[1], '') END AS {field} FROM r"""
-
-
-register("html_industry", _label_sql("industry"))(_label_query("industry"))
-register("html_location", _label_sql("location"))(_label_query("location"))
-
-
 # ---------------------------------------------------------------- flag aliases (line-by-line inventory)
 register("company_size_band", W(ENRICHED, "SELECT post_id, company_size_category FROM enriched"))(
     lambda spark, sf: enriched(spark, sf).select("post_id", "company_size_category"))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import html as H
@@ -13,6 +12,7 @@ from ..sources.tables import table
 from . import clean as C
 from . import oracle as O
 from .catalog import register
+from .posting_pages import POSTING_PAGES_SQL, posting_pages
 
 W = O.with_ctes
 POSTING = O.posting_ctes()
@@ -22,6 +22,14 @@ def pages(spark, sf):
     return table(spark, sf, "pages")
 
 
+#: the pages built around postings, and their lines
+PAGES_CTE = POSTING + f",\npp AS ({POSTING_PAGES_SQL})"
+
+
+def with_lines(spark, sf):
+    return posting_pages(spark, sf).select("post_id", "url", "html", H.html_lines("html").alias("_lines"))
+
+
 # ---------------------------------------------------------------- SQL helpers
 def unescape_sql(x: str) -> str:
     for ent, ch in H.ENTITIES:
@@ -87,10 +95,6 @@ _art = f"regexp_extract({visible_sql('html')}, {O.q('(?is)<article(' + chr(92) +
 _secs = (f"list_transform(regexp_split_to_array({_art}, {O.q('(?i)<b(' + chr(92) + 's[^>]*)?>')})[2:], lambda s: "
          f"{{'heading': {strip_sql(chr(40) + 'regexp_extract(s, ' + O.q('(?is)^(.*?)(</b>|<br' + chr(92) + 's*/?>)') + ', 1)' + chr(41))}, "
          f"'body': {strip_sql(chr(40) + 'regexp_replace(s, ' + O.q('(?is)^(.*?)(</b>|<br' + chr(92) + 's*/?>)') + ', ' + O.q('') + ')' + chr(41))}}})")
-SECTION_KEYWORDS = ["the"]
-register("html_section_by_heading", f"""SELECT page_id, coalesce(list_filter({_secs}, lambda s: length(s.heading) <= 120
-    AND {any_instr_lower('s.heading', SECTION_KEYWORDS)})[1].body, '') AS section FROM pages""")(
-    lambda spark, sf: pages(spark, sf).select("page_id", H.section_by_heading("html", SECTION_KEYWORDS).alias("section")))
 register("html_sections", f"SELECT page_id, CAST(len({_secs}) AS INTEGER) AS n_sections FROM pages")(
     lambda spark, sf: pages(spark, sf).select("page_id", F.size(H.sections("html")).alias("n_sections")))
 
@@ -168,26 +172,40 @@ register("line_is_salary", W(POSTING, f"""SELECT post_id, lower(trim(regexp_repl
     lambda spark, sf: __import__("hiresight.sources.postings", fromlist=["x"]).raw_postings(spark, sf).select(
         "post_id", H.line_is_salary(F.col("salary_raw")).alias("is_salary")))
 
-register("line_is_noise", f"""SELECT page_id, CAST(len(list_filter({lines_sql('html')}, lambda s: lower(trim(s)) IN
-    ({', '.join(O.q(x) for x in NOISE_LINES)}))) AS INTEGER) AS noise_lines FROM pages""")(
-    lambda spark, sf: pages(spark, sf).select(
-        "page_id", F.size(F.filter(H.html_lines("html"), lambda s: H.line_is_noise(s))).alias("noise_lines")))
-
-LABELS = ["©"]
-
-
-@register("html_labelled_value", f"""
-WITH ln AS (SELECT page_id, {lines_sql('html')} AS ls FROM pages),
-hit AS (SELECT page_id, ls, list_filter(generate_series(1, len(ls)), lambda i:
-          lower(ls[i]) = '©' OR starts_with(lower(ls[i]), '© ') OR starts_with(lower(ls[i]), '©:'))[1] AS i FROM ln),
-r AS (SELECT page_id, ls, i, trim(regexp_replace(ls[i], '(?i)^©\\s*:?\\s*', '')) AS rest FROM hit)
-SELECT page_id, CASE WHEN i IS NULL THEN ''
-  WHEN rest <> '' AND length(rest) <= 160 AND lower(rest) NOT IN ({', '.join(O.q(x) for x in NOISE_LINES)}) AND lower(rest) <> '©' THEN rest
-  ELSE coalesce(list_filter(ls[i + 1:i + 6], lambda c: c <> '' AND lower(trim(c)) NOT IN ({', '.join(O.q(x) for x in NOISE_LINES)})
-       AND lower(c) <> '©' AND length(c) <= 160)[1], '') END AS value FROM r""")
-def q_labelled(spark, sf):
-    lines = pages(spark, sf).select("page_id", H.html_lines("html").alias("_lines"))
-    return lines.select("page_id", H.labelled_value(F.col("_lines"), LABELS).alias("value"))
+LINES_CTE = PAGES_CTE + f""",
+ln AS (SELECT post_id, url, html, {lines_sql('html')} AS ls FROM pp)"""
+NOISE_SQL = ", ".join(O.q(x) for x in NOISE_LINES)
+register("line_is_noise", W(LINES_CTE, f"""SELECT post_id, CAST(len(list_filter(ls, lambda s: lower(trim(s)) IN ({NOISE_SQL}))) AS INTEGER)
+    AS noise_lines FROM ln"""))(
+    lambda spark, sf: with_lines(spark, sf).select("post_id", F.size(F.filter("_lines", lambda s: H.line_is_noise(s))).alias("noise_lines")))
+
+
+def label_sql(labels, max_len: int) -> str:
+    """Oracle of labelled_value over ``ls``: same-line rest, else the next acceptable line (6 ahead at most)."""
+    labs = [x.lower() for x in labels]
+    starts = " OR ".join(f"lower(ls[i]) = {O.q(x)} OR starts_with(lower(ls[i]), {O.q(x + ' ')}) OR starts_with(lower(ls[i]), {O.q(x + ':')})" for x in labs)
+    i = f"list_filter(generate_series(1, len(ls)), lambda i: {starts})[1]"
+    rest = f"ls[{i}]"
+    for x in labels:
+        rest = f"regexp_replace({rest}, {O.q('(?i)^' + x + chr(92) + 's*:?' + chr(92) + 's*')}, '')"
+    rest, labl = f"trim({rest})", ", ".join(O.q(x) for x in labs)
+    ok = lambda c: f"{c} <> '' AND length({c}) <= {max_len} AND lower(trim({c})) NOT IN ({NOISE_SQL}) AND lower({c}) NOT IN ({labl})"
+    return (f"(CASE WHEN {i} IS NULL THEN '' WHEN {ok(rest)} THEN {rest} "
+            f"ELSE coalesce(list_filter(ls[{i} + 1:{i} + 6], lambda c: {ok('c')})[1], '') END)")
+
+
+ANY_LABELS = ["Working location", "Industry", "Company size"]
+register("html_labelled_value", W(LINES_CTE, f"SELECT post_id, {label_sql(ANY_LABELS, 160)} AS value FROM ln"))(
+    lambda spark, sf: with_lines(spark, sf).select("post_id", H.labelled_value(F.col("_lines"), ANY_LABELS).alias("value")))
+register("html_industry", W(LINES_CTE, f"SELECT post_id, {label_sql(H.INDUSTRY_LABELS, 100)} AS industry FROM ln"))(
+    lambda spark, sf: with_lines(spark, sf).select("post_id", H.labelled_value(F.col("_lines"), H.INDUSTRY_LABELS, max_len=100).alias("industry")))
+register("html_location", W(LINES_CTE, f"SELECT post_id, {label_sql(H.PLACE_LABELS, 160)} AS location FROM ln"))(
+    lambda spark, sf: with_lines(spark, sf).select("post_id", H.labelled_value(F.col("_lines"), H.PLACE_LABELS).alias("location")))
+register("html_info_fields", W(LINES_CTE, """SELECT post_id, array_to_string(list_transform(list_filter(ls, lambda s:
+    regexp_matches(s, '^[^:]{1,40}:\\s*\\S.*$')), lambda s: trim(regexp_extract(s, '^([^:]{1,40}):', 1)) || '=' ||
+    trim(regexp_extract(s, '^[^:]{1,40}:\\s*(\\S.*)$', 1))), '|') AS fields FROM ln"""))(
+    lambda spark, sf: with_lines(spark, sf).select("post_id", F.array_join(F.transform(
+        H.info_fields(F.col("_lines")), lambda p: F.concat(p["label"], F.lit("="), p["value"])), "|").alias("fields")))
 
 
 def _posting_lines():
@@ -217,13 +235,18 @@ def q_header(spark, sf):
                     h["experience"].alias("experience"))
 
 
-register("html_company", f"""SELECT page_id, coalesce(list_filter({lines_sql('html')}, lambda s: length(s) <= 120 AND
-    {any_instr_lower('s', COMPANY_LEGAL_WORDS)})[1], '') AS company FROM pages""")(
-    lambda spark, sf: pages(spark, sf).select("page_id", H.company_from_lines(H.html_lines("html")).alias("company")))
+COMPANY_SQL = f"coalesce(list_filter(ls, lambda s: length(s) <= 120 AND {any_instr_lower('s', COMPANY_LEGAL_WORDS)})[1], '')"
+SIZE_PATTERN_SQL = f"regexp_extract({strip_sql('html')}, '(?i)\\b\\d[\\d.,]*\\s*-\\s*\\d[\\d.,]*\\s*(employees|nhân viên)', 0)"
+SIZE_SQL = f"coalesce(nullif({label_sql(H.SIZE_LABELS, 80)}, ''), {SIZE_PATTERN_SQL})"
+register("html_company", W(LINES_CTE, f"SELECT post_id, {COMPANY_SQL} AS company FROM ln"))(
+    lambda spark, sf: with_lines(spark, sf).select("post_id", H.company_from_lines(F.col("_lines")).alias("company")))
+
+
+@register("html_size", W(LINES_CTE, f"SELECT post_id, {SIZE_SQL} AS size FROM ln"))
+def q_size(spark, sf):
+    size = H.labelled_value(F.col("_lines"), H.SIZE_LABELS, max_len=80)
+    return with_lines(spark, sf).select("post_id", F.when(size != "", size).otherwise(H.size_fallback(H.strip_tags("html"))).alias("size"))
 
-register("html_size", f"""SELECT page_id, regexp_extract({strip_sql('html')},
-    '(?i)\\b\\d[\\d.,]*\\s*-\\s*\\d[\\d.,]*\\s*(employees|nhân viên)', 0) AS size FROM pages""")(
-    lambda spark, sf: pages(spark, sf).select("page_id", H.size_fallback(H.strip_tags("html")).alias("size")))
 
 register("html_working_form", W(POSTING, f"""SELECT post_id, coalesce(CASE lower(trim(regexp_replace(working_form, '\\s+', ' ', 'g')))
     {' '.join(f"WHEN {O.q(k)} THEN {O.q(v)}" for k, v in WORKING_FORMS)} END, '') AS working_form FROM posting"""))(
@@ -231,19 +254,51 @@ register("html_working_form", W(POSTING, f"""SELECT post_id, coalesce(CASE lower
         "post_id", H.working_form(F.array(text_clean(F.col("working_form")))).alias("working_form")))
 
 
-@register("page_to_record", f"""SELECT page_id,
-    CASE WHEN {first_elem_sql('html', 'h1')} <> '' THEN {first_elem_sql('html', 'h1')} ELSE {first_elem_sql('html', 'title')} END
-      AS job_title, coalesce({keep_first_sql(_bl)}[1], '') AS job_description,
-    coalesce({keep_first_sql(_bl)}[2], '') AS qualifications, coalesce({keep_first_sql(_bl)}[3], '') AS benefit,
-    regexp_replace(url, '[;?#].*$', '') AS source_url, '2026-01-01' AS crawl_date, 'pages' AS source FROM pages""")
+def _sections_cte() -> str:
+    none, split, end = "''", "(?i)<(?:h2|h3|b)(?:\\s[^>]*)?>", "(?is)^(.*?)(?:</(?:h2|h3|b)>|<br\\s*/?>)"
+    return (f"sec AS (SELECT post_id, list_transform(regexp_split_to_array({visible_sql('html')}, {O.q(split)})[2:], lambda s: "
+            f"{{'heading': {strip_sql(f'regexp_extract(s, {O.q(end)}, 1)')}, 'body': {strip_sql(f'regexp_replace(s, {O.q(end)}, {none})')}}}) AS secs FROM pp)")
+
+
+def section_sql(words) -> str:
+    return f"coalesce(list_filter(secs, lambda s: length(s.heading) <= 120 AND {any_instr_lower('s.heading', [w for w in words])})[1].body, '')"
+
+
+HEADINGS_CTE = LINES_CTE + ",\n" + _sections_cte()
+register("html_section_by_heading", W(HEADINGS_CTE, f"""SELECT post_id, {section_sql(H.ROLE_WORDS)} AS job_description,
+    {section_sql(H.SKILL_WORDS)} AS qualifications, {section_sql(H.BENEFIT_WORDS)} AS benefit FROM sec"""))(
+    lambda spark, sf: posting_pages(spark, sf).select("post_id", H.heading_sections("html").alias("s")).select(
+        "post_id", H.section_of(F.col("s"), H.ROLE_WORDS).alias("job_description"),
+        H.section_of(F.col("s"), H.SKILL_WORDS).alias("qualifications"), H.section_of(F.col("s"), H.BENEFIT_WORDS).alias("benefit")))
+
+_A = "(?is)<a\\s[^>]*href=[\"'']([^\"'']*)[\"''][^>]*>(.*?)</a>"
+TITLE_SQL = f"""(CASE WHEN {first_elem_sql('html', 'h1')} <> '' THEN {first_elem_sql('html', 'h1')} ELSE coalesce(list_filter(list_transform(
+    list_zip(regexp_extract_all({visible_sql('html')}, '{_A}', 1), regexp_extract_all({visible_sql('html')}, '{_A}', 2)),
+    lambda a: {{'p': regexp_extract(a[1], '^(?:https?://[^/?#]+)?([^;?#]*)', 1), 't': {strip_sql('a[2]')}}}),
+    lambda a: a.t <> '' AND a.p = regexp_extract(url, '^(?:https?://[^/?#]+)?([^;?#]*)', 1))[1].t, {first_elem_sql('html', 'title')}) END)"""
+register("html_detail_title", W(PAGES_CTE, f"SELECT post_id, {TITLE_SQL} AS title FROM pp"))(
+    lambda spark, sf: posting_pages(spark, sf).select("post_id", H.detail_title("html", "url").alias("title")))
+
+_sal_lo, _sal_hi = O.salary_text_b_sql("sal")
+_IS_SALARY = (f"(lower(trim(regexp_replace(s, '\\s+', ' ', 'g'))) IN ({', '.join(O.q(x) for x in SALARY_HEADER_EXACT)}) OR "
+              f"(length(trim(regexp_replace(s, '\\s+', ' ', 'g'))) <= 120 AND regexp_matches(s, '[0-9]') AND {any_instr_lower('s', SALARY_HEADER_UNITS)}))")
+_STOP = ", ".join(O.q(x) for x in SECTION_STOP_WORDS)
+
+
+@register("page_to_record", W(HEADINGS_CTE + f""",
+hd AS (SELECT *, list_filter(ls, lambda s: {_IS_SALARY})[1] AS sal0, list_position(list_transform(ls, lambda s: {_IS_SALARY}), true) AS sp FROM ln),
+af AS (SELECT *, CASE WHEN sp > 0 THEN ls[sp + 1:] ELSE []::VARCHAR[] END AS aft FROM hd),
+st AS (SELECT *, coalesce(list_position(list_transform(aft, lambda s: lower(s) IN ({_STOP})), true), 0) AS stop FROM af),
+mt AS (SELECT *, coalesce(sal0, '') AS sal, list_filter(CASE WHEN stop > 0 THEN aft[1:stop - 1] ELSE aft END,
+              lambda s: length(s) <= 140 AND lower(trim(s)) NOT IN ({NOISE_SQL})) AS m FROM st)""", f"""
+SELECT post_id, {TITLE_SQL} AS job_title, {_sal_lo} AS salary_min, {_sal_hi} AS salarry_max, coalesce(m[1], '') AS location,
+    coalesce(m[3], '') AS experience, {section_sql(H.ROLE_WORDS)} AS job_description, {section_sql(H.SKILL_WORDS)} AS qualifications,
+    {section_sql(H.BENEFIT_WORDS)} AS benefit, {label_sql(H.PLACE_LABELS, 160)} AS job_location, {COMPANY_SQL} AS company,
+    {SIZE_SQL} AS size, {label_sql(H.INDUSTRY_LABELS, 100)} AS industry, coalesce(m[2], '') AS level,
+    coalesce(list_filter(list_transform(list_filter(ls, lambda s: length(s) <= 30), lambda s: CASE lower(s)
+      {' '.join(f"WHEN {O.q(k)} THEN {O.q(v)}" for k, v in WORKING_FORMS)} END), lambda s: s IS NOT NULL)[1], '') AS "working form",
+    sal AS salary_raw, '2026-01-01' AS crawl_date, regexp_replace(url, '[;?#].*$', '') AS source_url, 'pages' AS source
+FROM mt JOIN sec USING (post_id)"""))
 def q_page_to_record(spark, sf):
-    p = pages(spark, sf)
-    blocks = H.prose_blocks("html")
-    return p.select("page_id", H.html_title("html").alias("job_title"),
-                    *[F.coalesce(F.try_element_at(blocks, F.lit(i + 1)), F.lit("")).alias(n)
-                      for i, n in enumerate(["job_description", "qualifications", "benefit"])],
-                    H.url_normalise("url").alias("source_url"), F.lit("2026-01-01").alias("crawl_date"),
-                    F.lit("pages").alias("source"))
-
-
-__all__ = ["Window"]
+    """The whole 18-field record of every detail page."""
+    return H.page_records(posting_pages(spark, sf), "pages", "2026-01-01", keep=["post_id"])

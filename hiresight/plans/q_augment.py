@@ -37,7 +37,7 @@ def synth_sql(level: str, tag: str, n: int, offset: int) -> str:
         FROM (SELECT unnest(range({n})) AS i)"""
 
 
-SYNTH_COLUMNS = ["post_id", F.round("exp_years", 6).alias("exp_years"), F.round("salary", 6).alias("salary"), "num_skills",
+SYNTH_COLUMNS = ["post_id", "round(exp_years, 6) AS exp_years", "round(salary, 6) AS salary", "num_skills",
                  "num_high_value_skills", "remote", "city", "level"]
 #: postings up to the first salary (million) leave the upper brackets empty; few freshers earn the second
 LOW_PAY, HIGH_PAY = 20, 99
@@ -53,7 +53,7 @@ def q_synth_level(spark, sf):
     present = {r[0] for r in e.select(salary_bracket().alias("b")).where(F.col("b").isNotNull()).distinct().collect()}
     out = None
     for _lo, _hi, label in SALARY_BRACKETS:  # at most 6 labels
-        s = AU.synth_level(spark, BRACKET_LEVEL[label], 300, tag=label).select(*SYNTH_COLUMNS).where(F.lit(label not in present))
+        s = AU.synth_level(spark, BRACKET_LEVEL[label], 300, tag=label).selectExpr(*SYNTH_COLUMNS).where(F.lit(label not in present))
         out = s if out is None else out.unionByName(s)
     return out
 

@@ -43,8 +43,9 @@ def test_entry_smoke(spark):
 def test_registering_needs_no_session():
     import subprocess
     import sys
-    subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; e.queries(); e.oracle_sql()"], cwd=sys.path[0] or ".", check=True, timeout=120,
-                   env={**__import__("os").environ, "PYTHONPATH": __import__("conftest").ROOT})
+
+    from conftest import ROOT
+    subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; e.queries(); e.oracle_sql()"], cwd=ROOT, check=True, timeout=120)
 
 
 def test_every_query_has_a_callable_and_oracles_are_subset():

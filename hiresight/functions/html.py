@@ -191,8 +191,8 @@ def html_links(html, page_url, path_pattern: str | None = None) -> Column:
 
 
 def url_normalise(url) -> Column:
-    """Drop ;params, ?query and #fragment, keep scheme://host/path."""
-    return F.regexp_replace(_c(url), "[;?#].*$", "")
+    """Drop ?query, #fragment and the ;params of the last path segment, keep scheme://host/path."""
+    return F.regexp_replace(F.regexp_replace(_c(url), "[?#].*$", ""), ";[^/]*$", "")
 
 
 def url_with_page(url, page) -> Column:

@@ -48,7 +48,10 @@ def frequent_itemsets(baskets: DataFrame, min_support: float = 0.03, items_col:
 
 def _subset(items: Column, mask: Column) -> Column:
     """Items whose position bit is set in ``mask`` (bit i <-> items[i])."""
-    return F.filter(items, lambda x, i: F.pmod(F.floor(mask / F.pow(F.lit(2.0), i)), F.lit(2)) == 1)
+    return F.filter(items, lambda x, i: F.call_function("shiftright", mask, i).bitwiseAND(F.lit(1)) == 1)
+
+
+LOW_BITS = 12
 
 
 def association_rules(itemsets: DataFrame, min_lift: float = 1.2, max_len: int | None = None) -> DataFrame:
@@ -60,9 +63,15 @@ def association_rules(itemsets: DataFrame, min_lift: float = 1.2, max_len: int |
     big = itemsets.where(F.size("items") >= 2)
     if max_len:
         big = big.where(F.size("items") <= max_len)
-    masks = big.select("items", F.col("support").alias("support"),
-                       F.explode(F.sequence(F.lit(1), F.expr("shiftleft(1, size(items)) - 2"))).alias("mask"))
-    full = F.expr("shiftleft(1, size(items)) - 1")
+    # the mask's high and low bits are generated one after the other, so that a
+    # long itemset makes rows, not one huge array
+    one, low = F.lit(1).cast("bigint"), F.least(F.size("items"), F.lit(LOW_BITS))
+    bits = lambda n: F.sequence(F.lit(0).cast("bigint"), F.call_function("shiftleft", one, n) - 1)
+    full = F.call_function("shiftleft", one, F.size("items")) - 1
+    masks = (big.select("items", "support", F.explode(bits(F.size("items") - low)).alias("high"))
+             .select("items", "support", "high", F.explode(bits(low)).alias("rest"))
+             .select("items", "support", (F.call_function("shiftleft", F.col("high"), low) + F.col("rest")).alias("mask"))
+             .where((F.col("mask") > 0) & (F.col("mask") < full)))
     split = masks.select(_subset(F.col("items"), F.col("mask")).alias("antecedents"),
                          _subset(F.col("items"), full - F.col("mask")).alias("consequents"), "support")
     sup = itemsets.select("items", F.col("support").alias("s"))
@@ -159,9 +168,10 @@ def recommend_fallback(profiles: DataFrame, stats: DataFrame, top_n: int = 10,
 
 
 @per_distinct_basket
-def recommend_from_map(profiles: DataFrame, suggestions, top_n: int = 10,
-                       profile_col: str = "profile_id", owned_col: str = "owned") -> DataFrame:
-    """Static skill -> suggestions map: count suggestions of unowned skills, top n."""
+def recommend_from_map(profiles: DataFrame, suggestions, top_n: int = 10, profile_col: str = "profile_id",
+                       owned_col: str = "owned", stats: DataFrame | None = None) -> DataFrame:
+    """Static skill -> suggestions map: count suggestions of unowned skills, top n;
+    with ``stats`` (item, avg_value) also the mean salary of those who have the skill."""
     m = F.create_map(*[x for k, v in suggestions for x in (F.lit(k), F.array(*[F.lit(s) for s in v]))])
     up = F.transform(F.col(owned_col), lambda s: F.upper(s))
     sug = F.flatten(F.transform(up, lambda s: F.coalesce(F.element_at(m, s), F.array().cast("array<string>"))))
@@ -169,4 +179,8 @@ def recommend_from_map(profiles: DataFrame, suggestions, top_n: int = 10,
         .where(~F.array_contains(F.col("_owned"), F.col("skill")))
     cnt = ex.groupBy(profile_col, "skill").agg(F.count(F.lit(1)).alias("count"))
     w = Window.partitionBy(profile_col).orderBy(F.desc("count"), F.asc("skill"))
-    return cnt.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top_n)
+    top = cnt.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top_n)
+    if stats is None:
+        return top
+    pay = stats.select(F.upper("item").alias("skill"), F.round("avg_value", 1).alias("avg_salary"))
+    return top.join(pay, "skill", "left").select(*top.columns, "avg_salary")

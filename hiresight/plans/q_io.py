@@ -135,9 +135,12 @@ def q_model_save_load(spark, sf):
     return loaded.transform(c).select("post_id", F.round(F.expm1("prediction"), 1).alias("predicted_salary"))
 
 
-@register("profile_columns", W(POSTING, """SELECT * FROM (
-    SELECT 'salary_min' AS column_name, count(salary_min) AS non_null FROM raw UNION ALL
-    SELECT 'salary_max', count(salary_max) FROM raw UNION ALL SELECT 'salary_raw', count(salary_raw) FROM raw)"""))
+_PROFILED = ["title", "company", "city_raw", "salary_raw"]
+
+
+@register("profile_columns", W(POSTING, " UNION ALL ".join(
+    f"""SELECT '{c}' AS column_name, count({c}) AS non_null, count(DISTINCT {c}) AS distinct_values,
+    (SELECT string_agg(coalesce({c}, ''), '|' ORDER BY post_id) FROM (SELECT post_id, {c} FROM raw ORDER BY post_id LIMIT 10)) AS first_values
+    FROM raw""" for c in _PROFILED)))
 def q_profile(spark, sf):
-    return FD.profile_columns(raw_postings(spark, sf), ["salary_min", "salary_max", "salary_raw"]).select(
-        "column_name", "non_null")
+    return FD.profile_columns(raw_postings(spark, sf), _PROFILED, order="post_id")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import skills as K
 from ..functions import text as T
-from ..functions.constants import SKILL_VARIATIONS, VALID_IT_SKILLS
+from ..functions.constants import SKILL_COMBOS, SKILL_VARIATIONS, VALID_IT_SKILLS
 from ..operators import enrich as E
 from ..operators import ml as M
 from ..operators import relational as R
@@ -136,14 +136,23 @@ def _feature_list(spark, sf):
     return M.feature_columns(_features_df(spark, sf))
 
 
-@register("feature_columns")
+def _feature_sql(c: str) -> str:
+    return f"CAST(list_contains(skills, {O.q(c[6:])}) AS INTEGER)" if c.startswith("skill_") else c
+
+
+_FLAGS = [f"skill_{v}" for v in dict.fromkeys(VALID_IT_SKILLS)]
+_FEATURES = [*M.BASE_FEATURES, *_FLAGS, *[f"combo_{n}" for n, _ in SKILL_COMBOS], *M.INTERACTIONS]
+
+
+@register("feature_columns", W(ENRICHED, " UNION ALL ".join(
+    f"SELECT {i} AS position, {O.q(c)} AS feature, round(avg({_feature_sql(c)}), 6) AS mean FROM enriched" for i, c in enumerate(_FEATURES))))
 def q_feature_columns(spark, sf):
     """The model's feature list (base, flags, combos, interactions that exist) with means."""
     d = _features_df(spark, sf)
     feats = M.feature_columns(d)
     row = d.agg(*[F.avg(M.q(c)).alias(str(i)) for i, c in enumerate(feats)]).first()
-    return spark.createDataFrame([(i, c, float(row[str(i)])) for i, c in enumerate(feats)],
-                                 "position int, feature string, mean double")
+    return spark.createDataFrame([(i, c, float(row[str(i)])) for i, c in enumerate(feats)], "position int, feature string, mean double") \
+        .withColumn("mean", F.round("mean", 6))
 
 
 @register("prepare_training", W(CLEAN, """
@@ -159,7 +168,18 @@ def q_prepare_training(spark, sf):
     return M.split_flags(d)
 
 
-@register("prepare_features_alt")
+_ALT = [c for c in M.ALT_FEATURES if c in [*_FEATURES, "salary_per_skill", "num_high_value_skills"]]
+
+
+def _scaled_sql(c: str) -> str:
+    z = f"(f_{_ALT.index(c)} - avg(f_{_ALT.index(c)}) OVER ()) / stddev_pop(f_{_ALT.index(c)}) OVER ()"
+    return f'round(CASE WHEN stddev_pop(f_{_ALT.index(c)}) OVER () = 0 THEN 0 ELSE {z} END, 6) AS "{c}"'
+
+
+@register("prepare_features_alt", W(ENRICHED + f""",
+tr AS (SELECT post_id, {", ".join(f"CAST({_feature_sql(c)} AS DOUBLE) AS f_{i}" for i, c in enumerate(_ALT))} FROM enriched
+       WHERE salary >= (SELECT quantile_cont(salary, 0.01) FROM enriched) AND salary <= (SELECT quantile_cont(salary, 0.98) FROM enriched))""",
+    f"SELECT post_id, {', '.join(_scaled_sql(c) for c in _ALT)} FROM tr"))
 def q_prepare_alt(spark, sf):
     """p1..p98 trim, the fixed 33-name feature list (existing ones), scaled on all rows."""
     d = _features_df(spark, sf)

@@ -142,13 +142,14 @@ def _suggest_sql():
     return f"sugg(k, v) AS (VALUES {rows})"
 
 
-@register("recommend_from_map", W(SKILL_BASKETS_SQL + ",\n" + _suggest_sql() + """,
+@register("recommend_from_map", W(SKILL_BASKETS_SQL + STATS_SQL + ",\n" + _suggest_sql() + """,
 own AS (SELECT profile_id, list_transform(items, lambda s: upper(s)) AS up FROM bk),
 ex AS (SELECT o.profile_id, unnest(s.v) AS skill, o.up FROM own o, (SELECT profile_id, unnest(up) AS k FROM own) u
        JOIN sugg s ON u.k = s.k WHERE o.profile_id = u.profile_id),
 cnt AS (SELECT profile_id, skill, count(*) AS count FROM ex WHERE NOT list_contains(up, skill) GROUP BY profile_id, skill),
 rk AS (SELECT *, row_number() OVER (PARTITION BY profile_id ORDER BY count DESC, skill) AS rank FROM cnt)""",
-    "SELECT profile_id, skill, count, CAST(rank AS INTEGER) AS rank FROM rk WHERE rank <= 10"))
+    """SELECT profile_id, skill, count, CAST(rank AS INTEGER) AS rank, round(avg_value, 1) AS avg_salary
+    FROM rk LEFT JOIN istats ON upper(item) = skill WHERE rank <= 10"""))
 def q_recommend_from_map(spark, sf):
     b = skill_baskets(spark, sf)
-    return RU.recommend_from_map(b.withColumnRenamed("items", "owned"), SKILL_SUGGESTIONS, 10)
+    return RU.recommend_from_map(b.withColumnRenamed("items", "owned"), SKILL_SUGGESTIONS, 10, stats=RU.item_stats(b, "salary"))

@@ -83,11 +83,23 @@ def scan_metrics(spark: SparkSession, path: str) -> DataFrame:
     return m.select("model", F.expr("stack(4, 'mae', mae, 'rmse', rmse, 'r2', r2, 'mape', mape) AS (metric, value)"))
 
 
-def profile_columns(df: DataFrame, cols) -> DataFrame:
-    """Per column: non-null and distinct counts (one aggregate pass)."""
+def profile_columns(df: DataFrame, cols, order: str | None = None, first: int = 10) -> DataFrame:
+    """Per column: non-null and distinct counts (one aggregate pass) and, with
+    ``order``, the values of the ``first`` rows in that order, joined by '|'."""
     aggs = []
     for c in cols:
-        aggs += [F.count(F.col(f"`{c}`")).alias(f"{c}__n"), F.approx_count_distinct(F.col(f"`{c}`")).alias(f"{c}__d")]
-    row = df.agg(*aggs)
+        aggs += [F.count(F.col(f"`{c}`")).alias(f"{c}__n"), F.countDistinct(F.col(f"`{c}`")).alias(f"{c}__d")]
+    counts = df.agg(*aggs)
     stack = ", ".join(f"'{c}', `{c}__n`, `{c}__d`" for c in cols)
-    return row.select(F.expr(f"stack({len(cols)}, {stack}) AS (column_name, non_null, approx_distinct)"))
+    out = counts.select(F.expr(f"stack({len(cols)}, {stack}) AS (column_name, non_null, distinct_values)"))
+    if order is None:
+        return out
+    top = df.select(order, *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias(c) for c in cols]).orderBy(order).limit(first)
+    shown = top.agg(*[_in_order(order, c) for c in cols])
+    stack = ", ".join(f"'{c}', `{c}`" for c in cols)
+    return out.join(shown.select(F.expr(f"stack({len(cols)}, {stack}) AS (column_name, first_values)")), "column_name")
+
+
+def _in_order(order: str, col: str):
+    """The values of a bounded number of rows, in order, joined by '|'."""
+    return F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(order, col))), lambda x: x[col]), "|").alias(col)

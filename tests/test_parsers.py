@@ -145,3 +145,28 @@ def test_layers_follow_their_inputs(spark):
     assert count() == 5 and count() == 5 and len(calls) == 1
     spark.range(3).write.mode("append").parquet(src)
     assert count() == 8 and len(calls) == 2
+
+
+def test_url_normalise_keeps_params_of_inner_segments(spark):
+    from conftest import one_col
+    from hiresight.functions.html import url_normalise
+    got = one_col(spark, ["https://h/a;x/b;y=1;z?q#f", "https://h/a#f", "https://h/a;p"], url_normalise)
+    assert got == ["https://h/a;x/b", "https://h/a", "https://h/a"]
+
+
+def test_page_rules_on_hand_made_pages(spark):
+    """Written without the patterns of the code under test."""
+    from hiresight.functions import html as H
+    page = ("<html><head><title>Old title</title></head><body><a href='/jobs/7.html?x=1'>Data <i>Engineer</i></a><div>1,000 - 2,000 USD</div>"
+            "<div>Hanoi</div><div>Apply now</div><div>Senior</div><div>5 years</div><h2>Your role</h2><p>Build &amp; run</p>"
+            "<h3 class='x'>Your skills</h3><ul><li>SQL</li><li>Spark</li></ul><b>Benefits</b><br>Laptop<div>Acme Corp</div>"
+            "<p>Industry: Banking</p><div>Company size</div><div>50-99 people</div><p>Hybrid</p></body></html>")
+    df = spark.createDataFrame([(1, "https://h.example/jobs/7.html#top", page)], "id int, url string, html string")
+    (r,) = H.page_records(df, "s", "2026-01-01", keep=["id"]).collect()
+    want = {"job_title": "Data Engineer", "salary_min": "1000", "salarry_max": "2000", "location": "Hanoi", "experience": "5 years",
+            "job_description": "Build & run", "qualifications": "SQL Spark", "company": "Acme Corp", "size": "50-99 people",
+            "industry": "Banking", "level": "Senior", "working form": "Hybrid", "salary_raw": "1,000 - 2,000 USD",
+            "source_url": "https://h.example/jobs/7.html", "job_location": ""}
+    assert {k: r[k] for k in want} == want and r["benefit"].startswith("Laptop")
+    (f,) = df.select(H.info_fields(H.html_lines("html")).alias("f")).collect()
+    assert [(x.label, x.value) for x in f.f] == [("Industry", "Banking")]

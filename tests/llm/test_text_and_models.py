@@ -209,6 +209,23 @@ def test_template_text_of_a_host_goes_and_copies_do_not_make_templates(spark):
     assert hw.extract_main_text(pages.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("splits", [3, 8, 32])
+def test_page_texts_do_not_depend_on_the_splits(spark, splits):
+    body = "<html><body><div><h1>The title</h1><p>The only long paragraph of the story</p></div>{rest}</body></html>"
+    rows = [(i, "http://copies.example/", body.replace("{rest}", "")) for i in range(64)]
+    rows += [(100 + i, "http://near.example/", body.replace("{rest}", f"<div><span>seen on day {i}</span></div>")) for i in range(16)]
+    rows += [(200 + i, "http://mixed.example/", body.replace("{rest}", "")) for i in range(40)]
+    rows += [(300 + i, "http://mixed.example/", f"<html><body><section>Other page {i} without such a group</section></body></html>") for i in range(20)]
+    rows += [(400 + i, "http://article.example/", f"<html><body><article><h1>Series</h1><p>Part number {i} of it</p></article></body></html>") for i in range(20)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(splits)
+    texts = {r.page_id: r.text for r in hw.extract_main_text(pages).collect()}
+    story = "The title\n\nThe only long paragraph of the story"
+    assert all(texts[i] == texts[200 + i % 40] == story for i in range(64))
+    assert all(texts[100 + i] == f"{story}\n\nseen on day {i}" for i in range(16))
+    assert all(texts[300 + i] == f"Other page {i} without such a group" for i in range(20))
+    assert all(texts[400 + i] == f"Series\n\nPart number {i} of it" for i in range(20))
+
+
 def test_pages_of_the_table(spark):
     import html
     import re

@@ -171,6 +171,19 @@ def test_main_text(main, want):
     assert hw.main_text(PAGE.replace("{main}", main)) == want
 
 
+@pytest.mark.parametrize("main,want", [
+    ('<div id="main" class="content no-sidebar"><p>Text</p></div>', "Text"),
+    ('<article class="post comment-status-open"><p>Text</p></article>', "Text"),
+    ('<article class="post category-social"><p>Text</p><div class="share-buttons">Share</div></article>', "Text"),
+    ('<div class="content notice-free"><p>Text</p></div>', "Text"),
+    ('<h1 class="entry-title">Head</h1><div class="entry-content"><p>Text</p></div><div class="site-footer">no</div>', "Head\n\nText"),
+    ("<main><p>One</p></main><main><p>Two</p></main>", "One\n\nTwo"),
+    ("<article><p>Teaser</p></article><div><p>" + "The long story itself. " * 9 + "</p></div>", "Teaser\n\n" + ("The long story itself. " * 9).strip()),
+])
+def test_names_and_all_content_elements(main, want):
+    assert hw.main_text(PAGE.replace("{main}", main)) == want
+
+
 def test_main_text_odd_input():
     assert [hw.main_text(x) for x in ("", "plain", "a < b", "<p>open", "<!-- never closed", "<article><script>x")] == ["", "plain", "a < b", "open", "", ""]
     deep = "<div>" * 5000 + "deep" + "</div>" * 5000

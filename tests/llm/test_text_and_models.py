@@ -190,6 +190,14 @@ def test_main_text_odd_input():
     assert hw.main_text(deep) == "deep"
 
 
+def test_deep_elements_and_an_open_head_lose_no_text():
+    deep = "<div>" * 200 + "<p>deep</p><div class='ad'>no</div>" + "</div>" * 200
+    assert hw.main_text(f"<body><div><article><p>one</p>{deep}<p>two</p></article></div><div>other</div></body>") == "one\n\ndeep\n\ntwo"
+    assert hw.main_text("<head><title>T</title><meta charset=utf-8><script>'<p>no</p>'</script><h1>Head</h1><p>Text") == "Head\n\nText"
+    assert hw.main_text("<html><head><title>T</title></head><body><p>Text") == "Text"
+    assert hw.expression(hw.parse(deep))  # bounded
+
+
 def test_wrapper_alignment():
     page = lambda body: hw.expression(hw.parse(f"<html><body>{body}</body></html>"))
     w = hw.merge(page("<h1>x</h1><p>a</p><p>b</p><div>same</div>"), page("<h1>y</h1><h2>opt</h2><p>c</p><div>same</div>"))

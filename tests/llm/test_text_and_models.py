@@ -312,6 +312,46 @@ def test_lm_probabilities_sum_to_one_and_training_helps():
     assert np.isclose(sum(10 ** vocabulary.base[vocabulary.short:-1]) + 0.1 / vocabulary.denominator, vocabulary.other_mass)
 
 
+def test_lm_words_outside_the_shortlist_have_context(spark):
+    head = [(f"w{i}".encode(), 400 - i) for i in range(300)]
+    v, n = 302, sum(c for _, c in head) + 3 + 100  # and one word outside the head, and the end
+    cfg = lm.Config(shortlist=12, minibatch=4000, rate=0.2)
+    vocabulary = lm.Vocabulary(head, n, v, 100, cfg)
+    counts = spark.createDataFrame([(bytearray(w), c) for w, c in [*head, (b"rare", 3), (lm.END, 100)]], "word binary, c long")
+    vocabulary.set_masses(lm._masses(counts, vocabulary))
+    assert np.isclose(vocabulary.group_mass.sum() + 0.1 / vocabulary.denominator, vocabulary.other_mass)
+    model = lm.Levels(vocabulary, cfg)
+    rng = np.random.default_rng(3)
+    order = rng.permutation(300)[:40]  # a text in which each word has one successor
+    raws = [b" ".join(b"w%d" % order[(s + i) % 40] for i in range(400)) for s in range(20)]
+    texts, place, w, group, cell, c1, c2, ends = lm._ids(raws, vocabulary)
+    others = [*(x for x, _ in head[vocabulary.short:]), b"rare"]
+    p = np.array([*(10 ** vocabulary.base[vocabulary.short:-1]), 3.1 / vocabulary.denominator])
+    g, h = vocabulary.hashes(others)
+
+    def total_and_score():
+        model.ready_to_score()
+        a, b = rng.integers(0, vocabulary.contexts, (2, 5))
+        for i, j in zip(a, b):  # probabilities of all words after any context sum to one
+            top = np.exp(model.log_class(np.arange(vocabulary.classes), np.full(vocabulary.classes, i), np.full(vocabulary.classes, j)))
+            rest = np.exp(model.log_cell(g, h, np.full(len(g), i), np.full(len(g), j))) * p
+            assert np.isclose(top.sum(), 1) and np.isclose(rest.sum() + model.unknown, 1)
+        at = w == 0
+        return (model.log_cell(group[at], cell[at], c1[at], c2[at])).mean()
+
+    before = total_and_score()
+    model.ready_to_train(rng)
+    for _ in range(60):
+        model.train(w, group, cell, c1, c2)
+    assert total_and_score() > before + 0.5
+    assert np.allclose(lm.Levels(vocabulary, cfg).load(model.flat()).flat(), model.flat())
+
+
+def test_lm_sizes_grow_with_the_vocabulary():
+    small, large = (lm.Vocabulary([(b"w%d" % i, 1) for i in range(5000)], v, v, 1, lm.Config()) for v in (5000, 50_000_000))
+    assert large.classes > small.classes and large.groups > 10 * small.groups and large.cells > 10 * small.cells
+
+
 def test_contexts_start_anew_with_each_text():
     w = np.array([5, 6, 7, 8, 9, 10])
     c1, c2 = lm.contexts(w, np.array([1, 4, 6]), 99)

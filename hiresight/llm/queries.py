@@ -11,12 +11,15 @@ from pyspark.sql import functions as F
 from hiresight.llm.common import session_of, shared_path
 from hiresight.llm.decontaminate import contaminated_passages
 from hiresight.llm.exact_dedup import exact_dedup
+from hiresight.llm.hard_negatives import hard_negatives
 from hiresight.llm.html_wrappers import extract_main_text
 from hiresight.llm.jaccard import jaccard_components
 from hiresight.llm.langid import language_id
+from hiresight.llm.lexical_search import ranked_search
 from hiresight.llm.line_dedup import apply_keep_bitmaps, line_keep_bitmaps
 from hiresight.llm.lm import lm_scores
 from hiresight.llm.packing import pack
+from hiresight.llm.quality import quality_scores
 from hiresight.llm.substring_dedup import repeated_spans
 from hiresight.llm.token_counts import token_counts
 
@@ -116,3 +119,44 @@ def op8(spark, sf_dir):
 @query("op9_jaccard_join")
 def op9(spark, sf_dir):
     return jaccard_components(documents(spark, sf_dir))
+
+
+@query("op11_quality_classifier")
+def op11(spark, sf_dir):
+    return quality_scores(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+@query("op12_hard_negatives", """
+    WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                      list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS x
+               FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+               AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    s AS (SELECT a.vec_id AS anchor_id, c.vec_id AS id, a.label = c.label AS same, CAST(list_dot_product(a.x, c.x) AS BIGINT) AS score
+          FROM v a JOIN v c ON a.vec_id % 50 = 0 AND a.vec_id <> c.vec_id),
+    p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+          QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+    SELECT p.anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, s.id AS negative_id, positive_score, score AS negative_score
+    FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+    WINDOW w AS (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, s.id) QUALIFY rank <= 3""")
+def op12(spark, sf_dir):
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(rows.withColumn("label", label), anchor="vec_id % 50 = 0")
+
+
+SQL_TERMS = f"regexp_extract_all({SQL_LOWER}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+
+
+@query("op13_lexical_search", f"""
+    WITH d AS (SELECT doc_id, {SQL_TERMS} AS ts FROM documents),
+    g AS (SELECT count(*) AS n_docs, CAST(sum(len(ts)) AS BIGINT) AS n_terms FROM d WHERE len(ts) > 0),
+    m AS (SELECT doc_id, 75 + (25 * len(ts) * n_docs) // n_terms AS m FROM d, g WHERE len(ts) > 0),
+    t AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(ts) AS term FROM d) GROUP BY ALL),
+    w AS (SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM t, g GROUP BY term, n_docs),
+    i AS (SELECT item_id, term, count(*) AS times FROM (SELECT item_id, unnest({SQL_TERMS}) AS term FROM benchmark) GROUP BY ALL),
+    s AS (SELECT item_id, doc_id, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score
+          FROM i JOIN t USING (term) JOIN w USING (term) JOIN m USING (doc_id) GROUP BY item_id, doc_id)
+    SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+    FROM s WHERE score > 0 QUALIFY rank <= 20""")
+def op13(spark, sf_dir):
+    return ranked_search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))

@@ -10,8 +10,10 @@ from __future__ import annotations
 
 import json
 import math
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Model, PipelineModel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import RegressionEvaluator
@@ -24,6 +26,7 @@ from pyspark.sql import functions as F
 from ..functions.constants import BIG_CITIES, SERVING_HIGH_VALUE, VALID_IT_SKILLS
 from ..functions.skills import skill_one_hot
 from ..session import materialise, path_exists
+from . import boosting
 from .enrich import city_multiplier, combo_flags
 from .relational import scalar, trim_quantiles
 from .sampling import flag_exact_global
@@ -156,7 +159,8 @@ def model_specs(seed: int = 42, rounds: int = 200, trees=(100, 200), depths=(10,
 
     The forest grid has 16 candidates: trees x depth x minimum leaf size x
     minimum information gain, the last in place of a minimum split size, which
-    Spark's trees don't have.  Boosting runs ``rounds`` rounds.
+    Spark's trees don't have.  Boosting runs ``rounds`` rounds: depth-wise and
+    leaf-wise on second-order histograms (``operators.boosting``), and Spark's own.
     """
     lin = LinearRegression(featuresCol="features", labelCol="label", regParam=0.0, elasticNetParam=0.0)
     rf = RandomForestRegressor(featuresCol="features", labelCol="label", seed=seed)
@@ -164,11 +168,14 @@ def model_specs(seed: int = 42, rounds: int = 200, trees=(100, 200), depths=(10,
             .addGrid(rf.minInstancesPerNode, [2, 4]).addGrid(rf.minInfoGain, [0.0, 0.001]).build())
     cv = CrossValidator(estimator=rf, estimatorParamMaps=grid, numFolds=folds, seed=seed, parallelism=8,
                         evaluator=RegressionEvaluator(labelCol="label", metricName="r2"))
-    boost = {"featuresCol": "features", "labelCol": "label", "maxIter": rounds, "stepSize": 0.05, "subsamplingRate": 0.8, "seed": seed}
+    gbt = GBTRegressor(featuresCol="features", labelCol="label", maxIter=rounds, stepSize=0.05, subsamplingRate=0.8, seed=seed, maxDepth=5,
+                       cacheNodeIds=True, checkpointInterval=25)
     return [("Linear Regression", lin), ("Random Forest", cv),
-            ("XGBoost", GBTRegressor(maxDepth=7, featureSubsetStrategy="0.8", **boost)),
-            ("LightGBM", GBTRegressor(maxDepth=10, featureSubsetStrategy="0.8", **boost)),
-            ("Gradient Boosting", GBTRegressor(maxDepth=5, **boost))]
+            ("XGBoost", boosting.Spec(rounds, depth=7, rate=0.05, subsample=0.8, columns=0.8, seed=seed)),
+            # a share of rows without a bagging frequency samples nothing there, so there is no subsample here
+            ("LightGBM", boosting.Spec(rounds, depth=10, rate=0.05, leaves=31, l2=0.0, min_hessian=1e-3, min_rows=20, columns=0.8, bins=255,
+                                       importance="split", seed=seed)),
+            ("Gradient Boosting", gbt)]
 
 
 METRICS_DDL = "model string, ord int, mae double, rmse double, r2 double, mape double"
@@ -180,25 +187,30 @@ def train_models(prepared: Prepared, seed: int = 42, only=None, **size) -> tuple
     ``metrics``: model, ord, mae, rmse, r2, mape on the test part, original scale.
     """
     train, test = prepared.train.persist(), prepared.test
-    rows, models = [], {}
+    wanted = [(i, name, est) for i, (name, est) in enumerate(model_specs(seed, **size)) if not only or name in only]
+
+    def one(i, name, est):
+        model = boosting.fit(train, est) if isinstance(est, boosting.Spec) else est.fit(train)
+        model = getattr(model, "bestModel", model)
+        m = regression_metrics(model.transform(test)).first()
+        return (name, i, float(m["mae"]), float(m["rmse"]), float(m["r2"]), float(m["mape"])), model
+
     try:
-        for i, (name, est) in enumerate(model_specs(seed, **size)):
-            if only and name not in only:
-                continue
-            model = est.fit(train)
-            models[name] = getattr(model, "bestModel", model)
-            m = regression_metrics(models[name].transform(test)).first()
-            rows.append((name, i, float(m["mae"]), float(m["rmse"]), float(m["r2"]), float(m["mape"])))
+        train.count()
+        # side by side: a round on a small table is mostly waiting for its tasks
+        with ThreadPoolExecutor(len(wanted) or 1) as pool:
+            fits = list(pool.map(lambda w: inheritable_thread_target(one)(*w), wanted))
     finally:
         train.unpersist()
-    return test.sparkSession.createDataFrame(rows, METRICS_DDL), models
+    return (test.sparkSession.createDataFrame([row for row, _ in fits], METRICS_DDL),
+            {name: model for (_, name, _), (_, model) in zip(wanted, fits)})
 
 
 @dataclass
 class Scorer:
     """A fitted model with the scaler and the feature list it was fitted with."""
 
-    model: Model
+    model: Model | boosting.Boosted
     features: list
     scaler: dict
 
@@ -210,7 +222,10 @@ class Scorer:
     def save(self, path: str) -> None:
         """Model, scaler and feature list together, under one folder."""
         spark = SparkSession.getActiveSession()
-        PipelineModel([self.model]).write().overwrite().save(f"{path}/model")
+        if isinstance(self.model, boosting.Boosted):
+            self.model.save(f"{path}/boosted")
+        else:
+            PipelineModel([self.model]).write().overwrite().save(f"{path}/model")
         rows = [(i, c, *self.scaler[c]) for i, c in enumerate(self.features)]
         spark.createDataFrame(rows, "position int, feature string, mean double, std double").coalesce(1) \
             .write.mode("overwrite").parquet(f"{path}/features")
@@ -221,7 +236,8 @@ class Scorer:
         if not path_exists(spark, f"{path}/features/_SUCCESS"):
             return None
         rows = spark.read.parquet(f"{path}/features").orderBy("position").collect()  # one row a feature
-        model = PipelineModel.load(f"{path}/model").stages[0]
+        boosted = path_exists(spark, f"{path}/boosted/model/_SUCCESS")
+        model = boosting.Boosted.load(spark, f"{path}/boosted") if boosted else PipelineModel.load(f"{path}/model").stages[0]
         return Scorer(model, [r["feature"] for r in rows], {r["feature"]: (r["mean"], r["std"]) for r in rows})
 
 
@@ -230,8 +246,10 @@ def best_scorer(prepared: Prepared, metrics: DataFrame, models: dict) -> Scorer:
 
 
 def feature_importance(model, feats, k: int = 15):
-    """(feature, importance) top k of a tree model; a linear model's are the shares of its absolute coefficients."""
-    if hasattr(model, "featureImportances"):
+    """(feature, importance) top k of a tree model (boosted trees by mean gain or by splits); a linear model's are the shares of its absolute coefficients."""
+    if isinstance(model, boosting.Boosted):
+        imp = model.importances.tolist()
+    elif hasattr(model, "featureImportances"):
         imp = model.featureImportances.toArray().tolist()
     else:
         w = [abs(x) for x in model.coefficients.toArray().tolist()]

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
 from ..functions.constants import CITY_MULTIPLIER_DEFAULT, CITY_MULTIPLIERS
+from ..operators import boosting as B
 from ..operators import enrich as E
 from ..operators import ml as M
 from ..operators.sampling import balance_all
@@ -197,6 +200,75 @@ def q_predict_features(spark, sf):
                     "num_high_value_skills", "remote_english")
 
 
+# ------------------------------------------------------------ first trees and lines, value-checked
+TREE_FEATURES = ["exp_years", "num_skills", "remote", "english", "city_multiplier", "is_big_company"]
+NEWTON = B.Spec(rounds=1, depth=3, rate=0.05)
+LEAF_WISE = B.Spec(rounds=1, depth=10, rate=0.05, leaves=7, l2=0.0, min_hessian=1e-3, min_rows=20, bins=255)
+
+
+def first_tree(spark, sf, spec):
+    """Splits of the first tree for log1p(salary) over all enriched postings: node
+    (1, then 2n and 2n + 1), step (order of the splits, from 1) and what each split is."""
+    d = C.enriched_layer(spark, sf).where("salary is not null")
+    x = F.array(*[F.coalesce(F.col(c), F.lit(0)).cast("double") for c in TREE_FEATURES])
+    nodes = B.fit(d.select(x.alias("features"), F.log1p("salary").alias("label")), spec).trees[0]
+    path = {0: 1}
+    for i in range(len(nodes.feature)):  # children come after their parent
+        if nodes.feature[i] >= 0:
+            path |= {int(nodes.left[i]): 2 * path[i], int(nodes.right[i]): 2 * path[i] + 1}
+    rows = [(path[i], s + 1, TREE_FEATURES[nodes.feature[i]], float(nodes.cut[i]), round(float(nodes.gain[i]), 6),
+             round(float(nodes.value[nodes.left[i]]), 6), round(float(nodes.value[nodes.right[i]]), 6)) for s, i in enumerate(nodes.order)]
+    return spark.createDataFrame(rows, "node int, step int, feature string, cut double, gain double, left_value double, right_value double")
+
+
+def _tree_sql(spec, steps, leaf_wise):
+    """A chain of steps: unpivot, running sums a (node, feature), best split, rows go on to its sides."""
+    names, x = [f"'{f}'" for f in TREE_FEATURES], [f"x{i}" for i in range(len(TREE_FEATURES))]
+    cols = ", ".join(f"CAST(coalesce({f}, 0) AS DOUBLE) AS {c}" for f, c in zip(TREE_FEATURES, x))
+    pairs = ", ".join("{'f': %d, 'v': %s}" % (i, c) for i, c in enumerate(x))
+    score = lambda g, h: f"{g} * {g} / ({h} + {spec.l2})"
+    least = max(spec.min_rows, spec.min_hessian, 1)
+    out = f"""
+, lab AS (SELECT {cols}, ln(1 + salary) AS y FROM enriched WHERE salary IS NOT NULL),
+r0 AS (SELECT *, (SELECT avg(y) FROM lab) - y AS g, CAST(1 AS BIGINT) AS node FROM lab)"""
+    for k in range(steps):
+        best = "ORDER BY round(gain, 9) DESC, node, f, v" if leaf_wise else "PARTITION BY node ORDER BY round(gain, 9) DESC, f, v"
+        out += f""",
+u{k} AS (SELECT node, p.f AS f, p.v AS v, sum(g) AS g, count(*) AS n FROM (SELECT node, g, unnest([{pairs}]) AS p FROM r{k}) GROUP BY ALL),
+c{k} AS (SELECT node, f, v, sum(g) OVER w AS gl, sum(n) OVER w AS nl, sum(g) OVER t AS gt, sum(n) OVER t AS nt FROM u{k}
+        WINDOW w AS (PARTITION BY node, f ORDER BY v), t AS (PARTITION BY node, f)),
+b{k} AS (SELECT *, 0.5 * ({score("gl", "nl")} + {score("(gt - gl)", "(nt - nl)")} - {score("gt", "nt")}) AS gain
+        FROM c{k} WHERE least(nl, nt - nl) >= {least} AND 0.5 * ({score("gl", "nl")} + {score("(gt - gl)", "(nt - nl)")} - {score("gt", "nt")}) > 1e-12
+        QUALIFY row_number() OVER ({best}) = 1),
+r{k + 1} AS (SELECT {", ".join(x)}, g, CASE WHEN b.node IS NULL THEN r.node
+               ELSE 2 * r.node + CAST(CASE f {" ".join(f"WHEN {i} THEN {c}" for i, c in enumerate(x))} END > v AS INTEGER) END AS node
+        FROM (SELECT {", ".join(x)}, g, node FROM r{k}) r {"LEFT" if leaf_wise else ""} JOIN b{k} b ON r.node = b.node)"""
+    number = "k" if leaf_wise else "row_number() OVER (ORDER BY node)"
+    return W(ENRICHED, (out + f"""
+SELECT CAST(node AS INTEGER) AS node, CAST({number} AS INTEGER) AS step, [{", ".join(names)}][f + 1] AS feature, v AS cut, round(gain, 6) AS gain,
+       round(-{spec.rate} * gl / (nl + {spec.l2}), 6) AS left_value, round(-{spec.rate} * (gt - gl) / (nt - nl + {spec.l2}), 6) AS right_value
+FROM ({" UNION ALL ".join(f"SELECT {k + 1} AS k, * FROM b{k}" for k in range(steps))})""").replace("\n, lab", ",\nlab", 1))
+
+
+@register("train_gbt_xgb_first_tree", _tree_sql(NEWTON, NEWTON.depth, False))
+def q_newton_tree(spark, sf):
+    return first_tree(spark, sf, NEWTON)
+
+
+@register("train_gbt_lgbm_first_tree", _tree_sql(LEAF_WISE, LEAF_WISE.leaves - 1, True))
+def q_leafwise_tree(spark, sf):
+    return first_tree(spark, sf, LEAF_WISE)
+
+
+@register("train_linear_one_feature", W(ENRICHED, """SELECT round(regr_slope(ln(1 + salary), exp_years), 6) AS slope,
+    round(regr_intercept(ln(1 + salary), exp_years), 6) AS intercept FROM enriched"""))
+def q_linear_one(spark, sf):
+    """The linear model on one feature is the regression line."""
+    d = C.enriched_layer(spark, sf).select("exp_years", F.log1p("salary").alias("label"))
+    model = LinearRegression(featuresCol="features", labelCol="label").fit(VectorAssembler(inputCols=["exp_years"], outputCol="features").transform(d))
+    return spark.createDataFrame([(round(float(model.coefficients[0]), 6), round(float(model.intercept), 6))], "slope double, intercept double")
+
+
 # ------------------------------------------------------------ rows-only (models)
 @register("train_all")
 def q_train_all(spark, sf):

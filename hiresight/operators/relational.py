@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.constants import IT_KEYWORDS
 from ..functions.salary import safe_numeric
 from ..functions.text import contains_any
+from .quantiles import exact_quantiles
 
 # alternatives per unified column, first existing wins
 CONFORM_ALTERNATIVES = {
@@ -155,12 +156,9 @@ def scalar(df: DataFrame, expr: Column) -> Column:
 def fill_missing_median(df: DataFrame, col: str = "salary", default: float = 20.0) -> DataFrame:
     """Nulls -> exact global median of the column (``default`` if it has no values).
 
-    ``percentile`` keeps a value->count map: its state is bounded by the number
-    of distinct values (salaries are rounded to 0.1 M), and it is combined
-    map-side before the single final merge.
-    """
-    med = scalar(df, F.coalesce(F.median(col), F.lit(default)))
-    return df.withColumn(col, F.coalesce(F.col(col), med))
+    The median is found at once, by range refinement (``quantiles``)."""
+    med = exact_quantiles(df, col, [0.5])[0]
+    return df.withColumn(col, F.coalesce(F.col(col), F.lit(default if med is None else med)))
 
 
 def fill_zero(df: DataFrame, cols) -> DataFrame:
@@ -168,9 +166,9 @@ def fill_zero(df: DataFrame, cols) -> DataFrame:
 
 
 def trim_quantiles(df: DataFrame, col: str = "salary", lo: float = 0.02, hi: float = 0.98) -> DataFrame:
-    """Keep rows with p_lo <= x <= p_hi (exact, linearly interpolated quantiles)."""
-    q = scalar(df, F.percentile(F.col(col), F.array(F.lit(lo), F.lit(hi))))
-    return df.where((F.col(col) >= q[0]) & (F.col(col) <= q[1]))
+    """Keep rows with p_lo <= x <= p_hi (exact, linearly interpolated quantiles, found at once by range refinement)."""
+    low, high = exact_quantiles(df, col, [lo, hi])
+    return df.where((F.col(col) >= F.lit(low)) & (F.col(col) <= F.lit(high)))
 
 
 def anti_join_new(new: DataFrame, existing: DataFrame, key: str = "source_url") -> DataFrame:

@@ -8,8 +8,10 @@ from ..functions import html as H
 from ..functions.constants import (COMPANY_LEGAL_WORDS, NOISE_LINES, SALARY_HEADER_EXACT, SALARY_HEADER_UNITS,
                                    SECTION_STOP_WORDS, WORKING_FORMS)
 from ..functions.text import text_clean
+from ..operators import nodes as N
 from ..sources.tables import table
 from . import clean as C
+from . import node_pages as NP
 from . import oracle as O
 from .catalog import register
 from .posting_pages import POSTING_PAGES_SQL, posting_pages
@@ -142,7 +144,7 @@ def q_first_seen(spark, sf):
     return first.select("url", F.col("f.page_id").alias("first_page"), F.col("f.pos").alias("first_pos"), "seen")
 
 
-@register("html_cards", """
+@register("html_list_links", """
 WITH li AS (SELECT page_id, unnest(regexp_extract_all(html, '(?is)<li[^>]*>(.*?)</li>', 1)) AS card,
                    generate_subscripts(regexp_extract_all(html, '(?is)<li[^>]*>(.*?)</li>', 1), 1) AS pos, url FROM pages),
 c AS (SELECT page_id, pos, regexp_extract(url, '^(https?://[^/?#]+)', 1) || regexp_extract(card, '(?i)href="(/[^"]*)"', 1)
@@ -151,7 +153,7 @@ c AS (SELECT page_id, pos, regexp_extract(url, '^(https?://[^/?#]+)', 1) || rege
 c2 AS (SELECT * FROM c WHERE title <> '' AND lower(title) NOT IN ('apply now', 'ứng tuyển ngay'))
 SELECT regexp_replace(detail, '[;?#].*$', '') AS url, min({'p': page_id, 'q': pos, 't': title}).t AS title,
        min({'p': page_id, 'q': pos, 't': title}).p AS first_page FROM c2 GROUP BY regexp_replace(detail, '[;?#].*$', '')""")
-def q_cards(spark, sf):
+def q_list_links(spark, sf):
     p = pages(spark, sf)
     cards = F.regexp_extract_all("html", F.lit("(?is)<li[^>]*>(.*?)</li>"), 1)
     ex = p.select("page_id", "url", F.posexplode(cards).alias("pos0", "card"))
@@ -195,7 +197,7 @@ def label_sql(labels, max_len: int) -> str:
 
 
 ANY_LABELS = ["Working location", "Industry", "Company size"]
-register("html_labelled_value", W(LINES_CTE, f"SELECT post_id, {label_sql(ANY_LABELS, 160)} AS value FROM ln"))(
+register("html_labelled_line", W(LINES_CTE, f"SELECT post_id, {label_sql(ANY_LABELS, 160)} AS value FROM ln"))(
     lambda spark, sf: with_lines(spark, sf).select("post_id", H.labelled_value(F.col("_lines"), ANY_LABELS).alias("value")))
 register("html_industry", W(LINES_CTE, f"SELECT post_id, {label_sql(H.INDUSTRY_LABELS, 100)} AS industry FROM ln"))(
     lambda spark, sf: with_lines(spark, sf).select("post_id", H.labelled_value(F.col("_lines"), H.INDUSTRY_LABELS, max_len=100).alias("industry")))
@@ -213,7 +215,7 @@ def _posting_lines():
                             F.col("exp_raw"), F.lit("your role"), F.col("description")), lambda s: s != "")
 
 
-@register("html_header_fields", W(POSTING, f"""
+@register("html_header_lines", W(POSTING, f"""
 , pl AS (SELECT r.post_id, list_filter([p.title, coalesce(r.salary_raw, ''), p.city_raw, p.exp_raw, 'your role', p.description],
                                        lambda s: s <> '') AS ls FROM raw r JOIN posting p ON r.post_id = p.post_id),
 pos AS (SELECT post_id, ls, list_position(list_transform(ls, lambda s: lower(trim(regexp_replace(s, '\\s+', ' ', 'g'))) IN
@@ -248,7 +250,7 @@ def q_size(spark, sf):
     return with_lines(spark, sf).select("post_id", F.when(size != "", size).otherwise(H.size_fallback(H.strip_tags("html"))).alias("size"))
 
 
-register("html_working_form", W(POSTING, f"""SELECT post_id, coalesce(CASE lower(trim(regexp_replace(working_form, '\\s+', ' ', 'g')))
+register("html_working_form_text", W(POSTING, f"""SELECT post_id, coalesce(CASE lower(trim(regexp_replace(working_form, '\\s+', ' ', 'g')))
     {' '.join(f"WHEN {O.q(k)} THEN {O.q(v)}" for k, v in WORKING_FORMS)} END, '') AS working_form FROM posting"""))(
     lambda spark, sf: C.postings(spark, sf).select(
         "post_id", H.working_form(F.array(text_clean(F.col("working_form")))).alias("working_form")))
@@ -302,3 +304,32 @@ FROM mt JOIN sec USING (post_id)"""))
 def q_page_to_record(spark, sf):
     """The whole 18-field record of every detail page."""
     return H.page_records(posting_pages(spark, sf), "pages", "2026-01-01", keep=["post_id"])
+
+
+# ---------------------------------------------------------------- rules on nodes (answers known from the postings)
+FORM_SQL = NP.FORM.format(div="//")
+
+
+@register("html_cards", W(POSTING, f"""SELECT '{NP.HOST}/detail-jobs/' || CAST(post_id % 3000 AS VARCHAR) AS source_url,
+    arg_min(trim(title || ' ' || CAST(post_id AS VARCHAR)), post_id) AS title, min(post_id) // 10 AS first_page FROM raw GROUP BY post_id % 3000"""))
+def q_cards(spark, sf):
+    return N.cards(NP.list_pages(spark, sf)).select("source_url", "title", "first_page")
+
+
+@register("html_working_form", W(POSTING, f"""SELECT '{NP.HOST}/detail-jobs/' || CAST(post_id % 3000 AS VARCHAR) AS source_url,
+    arg_min(CASE WHEN post_id % 6 = 3 THEN '' ELSE {FORM_SQL} END, post_id) AS working_form FROM raw GROUP BY post_id % 3000"""))
+def q_card_form(spark, sf):
+    return N.cards(NP.list_pages(spark, sf)).select("source_url", "working_form")
+
+
+@register("html_labelled_value", W(POSTING, "SELECT post_id, CASE WHEN post_id % 6 = 4 THEN '' ELSE 'Field ' || CAST(post_id % 50 AS VARCHAR) END AS value FROM raw"))
+def q_labelled(spark, sf):
+    return N.labelled_values(NP.label_pages(spark, sf), H.INDUSTRY_LABELS, key="post_id")
+
+
+@register("html_header_fields", W(POSTING, f"""SELECT post_id, t AS job_title,
+    CASE post_id % 5 WHEN 0 THEN '10 triệu' WHEN 1 THEN 'Thoả thuận' WHEN 3 THEN '900 USD' ELSE '' END AS salary_raw,
+    CASE WHEN post_id % 5 IN (0, 1, 3) THEN c ELSE '' END AS location, CASE WHEN post_id % 5 IN (0, 1, 3) THEN l ELSE '' END AS level,
+    CASE WHEN post_id % 5 IN (0, 3) THEN e ELSE '' END AS experience FROM (SELECT post_id, {NP.HEADER_PARTS} FROM raw)"""))
+def q_header_nodes(spark, sf):
+    return N.header_fields(NP.header_pages(spark, sf), key="post_id")

@@ -21,7 +21,7 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hiresight.llm.common import arrow_schema, batch, id_bucket, session_of, text_or_empty, worker_state
@@ -188,9 +188,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     marked = (labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("long").alias("label"))
               .where("doc_id is not null and label in (0, 1)").where(id_bucket(folds) != 0).groupBy("doc_id").agg(F.min("label").alias("label")))
     share = marked.agg(F.avg("label")).first()[0]
-    order = Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id")
-    sample = (texts.join(marked, "doc_id", "left_semi").select("doc_id").distinct().join(marked, "doc_id")
-              .withColumn("__rank", F.row_number().over(order)).where(F.col("__rank") <= per_label).select("doc_id", "label"))
+    known = texts.join(marked, "doc_id", "left_semi").select("doc_id").distinct().join(marked, "doc_id")
+    first = [known.where(F.col("label") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_label) for y in (0, 1)]
+    sample = first[0].unionByName(first[1])
     taught = (texts.join(F.broadcast(sample), "doc_id")  # 2 * per_label rows
               .groupBy("doc_id", "label").agg(F.min("text").alias("text")))
     rows = taught.mapInArrow(_labelled(), "doc_id long, label long, at array<long>, n array<double>").collect()  # 2 * per_label rows

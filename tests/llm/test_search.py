@@ -44,7 +44,7 @@ ITEMS = [(1, "alpha beta ALPHA gamma"), (1, "alpha beta ALPHA gamma"), (1, "one
 ITEM_DDL = "item_id long, text string, doc_id long, score long, rank int, term long, n long"
 
 
-@pytest.mark.parametrize("bounds", [{}, {"k": 3}, {"block_bytes": 20}])
+@pytest.mark.parametrize("bounds", [{}, {"k": 3}, {"block_bytes": 20_000}])
 def test_search_equals_brute_force(spark, bounds):
     items = spark.createDataFrame([(i, t, 1, 2, 3, 4, 5) for i, t in ITEMS], ITEM_DDL)
     got = ls.ranked_search(helpers.edge_docs(spark), items, **bounds).collect()

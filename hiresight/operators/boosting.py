@@ -22,7 +22,7 @@ from __future__ import annotations
 import heapq
 import sys
 from collections.abc import Callable
-from dataclasses import asdict, dataclass, field
+from dataclasses import dataclass, field
 
 import numpy as np
 from pyspark import RDD, StorageLevel, cloudpickle
@@ -92,17 +92,22 @@ class Tree:
     gain: np.ndarray
     order: list[int] = field(default_factory=list)
 
-    def leaf(self, rows: np.ndarray, limit: np.ndarray) -> np.ndarray:
-        """Leaf of each row; ``limit`` is ``at`` for rows of bins, ``cut`` for rows of values."""
-        node = np.zeros(len(rows), np.int64)
-        at = np.arange(len(rows))
-        while True:
-            f = self.feature[node]
-            inner = f >= 0
-            if not inner.any():
-                return node
-            goes = rows[at, np.maximum(f, 0)] <= limit[node]
-            node = np.where(inner, np.where(goes, self.left[node], self.right[node]), node)
+    def plain(self, limit: str) -> tuple:
+        """What a task needs: arrays only, so that no class travels with it."""
+        return self.feature, getattr(self, limit), self.left, self.right, self.value
+
+
+def leaf_of(tree: tuple, rows: np.ndarray) -> np.ndarray:
+    """Leaf of each row of bins or values, for a tree of the same kind (``Tree.plain``)."""
+    feature, limit, left, right, _ = tree
+    node, at = np.zeros(len(rows), np.int64), np.arange(len(rows))
+    while True:
+        f = feature[node]
+        inner = f >= 0
+        if not inner.any():
+            return node
+        goes = rows[at, np.maximum(f, 0)] <= limit[node]
+        node = np.where(inner, np.where(goes, left[node], right[node]), node)
 
 
 def mix(keys: np.ndarray, salt: int) -> np.ndarray:
@@ -130,7 +135,7 @@ def bin_cuts(df: DataFrame, features: int, bins: int = 256, column: str = "x") -
     return out
 
 
-def _blocks(df: DataFrame, cuts: list[np.ndarray], keep: int | None = None) -> RDD:
+def _blocks(df: DataFrame, cuts: list[np.ndarray]) -> RDD:
     """(row numbers, labels, bins, margins) in blocks of bounded size."""
     kind = np.uint8 if max((len(c) for c in cuts), default=0) < 256 else np.uint16
 
@@ -277,24 +282,24 @@ def reached(tree: Tree) -> list[int]:
 
 
 # ------------------------------------------------------------------ fit
-def _margins(block: tuple, trees: list[Tree]) -> np.ndarray:
+def margins(block: tuple, trees: list[tuple]) -> np.ndarray:
     out = block[3].copy()
     for t in trees:
-        out += t.value[t.leaf(block[2], t.at)]
+        out += t[4][leaf_of(t, block[2])]
     return out
 
 
-def block_sums(block: tuple, recent: list[Tree], tree: Tree, leaves: list[int], begins: np.ndarray, base: float, spec: Spec, round_: int) -> np.ndarray:
+def block_sums(block: tuple, recent: list[tuple], tree: tuple, leaves: list[int], begins: np.ndarray, base: float, subsample: float, salt: int) -> np.ndarray:
     """[leaf, 2, bins]: gradients and hessians of the rows of a block in the given leaves."""
     keys, label, bins, _ = block
     total = int(begins[-1])
-    slot = np.full(len(tree.feature), -1)
+    slot = np.full(len(tree[0]), -1)
     slot[leaves] = np.arange(len(leaves))
-    at = slot[tree.leaf(bins, tree.at)]
+    at = slot[leaf_of(tree, bins)]
     use = at >= 0
-    if spec.subsample < 1:
-        use &= mix(keys, spec.seed * 1_000_003 + round_) < spec.subsample
-    gradient = (base + _margins(block, recent) - label)[use]
+    if subsample < 1:
+        use &= mix(keys, salt) < subsample
+    gradient = (base + margins(block, recent) - label)[use]
     place = (at[use] * total)[:, None] + begins[:-1][None, :] + bins[use]
     size = len(leaves) * total
     g = np.bincount(place.ravel(), np.repeat(gradient, bins.shape[1]), size)
@@ -328,8 +333,9 @@ def fit(train: DataFrame, spec: Spec = Spec(), features_col: str = "features", l
         for r in range(spec.rounds):
             allowed = np.sort(np.argsort(mix(np.arange(width), spec.seed * 7_919 + r), kind="stable")[:picks])
 
-            def sums(tree: Tree, leaves: list[int], recent=tuple(recent), r=r) -> np.ndarray:
-                return blocks.map(lambda b: block_sums(b, recent, tree, leaves, begins, base, spec, r)).treeReduce(np.add, 2)
+            def sums(tree: Tree, leaves: list[int], before=tuple(t.plain("at") for t in recent), salt=spec.seed * 1_000_003 + r) -> np.ndarray:
+                now, share = tree.plain("at"), spec.subsample
+                return blocks.map(lambda b: block_sums(b, before, now, leaves, begins, base, share, salt)).treeReduce(np.add, 2)
 
             tree = grow(sums, layout, allowed, spec)
             trees.append(tree)
@@ -337,8 +343,8 @@ def fit(train: DataFrame, spec: Spec = Spec(), features_col: str = "features", l
             if len(tree.order) == 0 and spec.subsample >= 1 and spec.columns >= 1:
                 break  # nothing left to split; further rounds would repeat this one
             if len(recent) == ROUNDS_KEPT and r + 1 < spec.rounds:
-                done = tuple(recent)
-                ahead = blocks.map(lambda b: (b[0], b[1], b[2], _margins(b, done))).persist(StorageLevel.MEMORY_AND_DISK)
+                done = tuple(t.plain("at") for t in recent)
+                ahead = blocks.map(lambda b: (b[0], b[1], b[2], margins(b, done))).persist(StorageLevel.MEMORY_AND_DISK)
                 ahead.checkpoint()
                 ahead.count()
                 blocks.unpersist()
@@ -370,14 +376,14 @@ class Boosted:
     def values(self, rows: np.ndarray) -> np.ndarray:
         out = np.full(len(rows), self.base)
         for t in self.trees:
-            out += t.value[t.leaf(rows, t.cut)]
+            out += t.value[leaf_of(t.plain("cut"), rows)]
         return out
 
     def transform(self, df: DataFrame, features_col: str = "features", prediction: str = "prediction") -> DataFrame:
         """Adds the prediction, in Arrow batches."""
         x = F.col(features_col)
         x = x if df.schema[features_col].dataType.typeName() == "array" else vector_to_array(x)
-        shared, width = df.sparkSession.sparkContext.broadcast((self.base, [asdict(t) for t in self.trees])), self.width
+        shared, width = df.sparkSession.sparkContext.broadcast((self.base, [t.plain("cut") for t in self.trees])), self.width
 
         @F.pandas_udf("double")
         def predict(x):
@@ -387,11 +393,7 @@ class Boosted:
             rows = np.stack(x.to_numpy()) if len(x) else np.zeros((0, width))
             out = np.full(len(rows), base)
             for t in trees:
-                node, at = np.zeros(len(rows), np.int64), np.arange(len(rows))
-                while (inner := t["feature"][node] >= 0).any():
-                    goes = rows[at, np.maximum(t["feature"][node], 0)] <= t["cut"][node]
-                    node = np.where(inner, np.where(goes, t["left"][node], t["right"][node]), node)
-                out += t["value"][node]
+                out += t[4][leaf_of(t, rows)]
             return pd.Series(out)
 
         return df.withColumn(prediction, predict(x))

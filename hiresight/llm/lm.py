@@ -24,6 +24,7 @@ import zlib
 from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -47,6 +48,7 @@ class Config:
     rounds: int = 2
     rate: float = 0.15
     seed: int = 11
+    slice_bytes: int = 2 << 20  # text that is turned into arrays at once (a longer text alone)
 
 
 def words(raw: bytes) -> list[bytes]:
@@ -82,7 +84,8 @@ class Vocabulary:
     """Head words by falling count, the shortlist's classes and base log10 probabilities."""
 
     def __init__(self, head: list[tuple[bytes, int]], n: int, v: int, ends: int, cfg: Config):
-        self.index = {w: i for i, (w, _) in enumerate(head)}
+        self.head = len(head)
+        self.place = {w: i for i, (w, _) in enumerate(head)} | {END: self.head}
         self.n, self.v, self.denominator = n, v, n + 0.1 * (v + 1)
         self.short = min((cfg.shortlist or max(512, int(v ** 0.42))) - 2, len(head))  # listed words
         self.end, self.start, self.classes = self.short + 1, self.short + 2, self.short + 2
@@ -127,6 +130,33 @@ class Level:
     class_p: np.ndarray
 
 
+def slices(raws: list[bytes], limit: int) -> Iterator[slice]:
+    """Runs of texts of at most ``limit`` bytes together; a longer text is a run of its own."""
+    begin = size = 0
+    for i, raw in enumerate(raws):
+        if i > begin and size + len(raw) > limit:
+            yield slice(begin, i)
+            begin, size = i, 0
+        size += len(raw) + 1
+    if begin < len(raws):
+        yield slice(begin, len(raws))
+
+
+def alias_tables(p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each row of probabilities: how likely a column stands for itself, and which one it stands for otherwise."""
+    keep, other = np.ones(p.shape), np.tile(np.arange(p.shape[1]), (len(p), 1))
+    for g, row in enumerate(p * p.shape[1] / p.sum(1, keepdims=True)):
+        row = row.tolist()
+        low, high = [i for i, x in enumerate(row) if x < 1], [i for i, x in enumerate(row) if x >= 1]
+        while low and high:
+            i, j = low.pop(), high[-1]
+            keep[g, i], other[g, i] = row[i], j
+            row[j] -= 1 - row[i]
+            if row[j] < 1:
+                low.append(high.pop())
+    return keep, other
+
+
 def picks(class_p: np.ndarray) -> np.ndarray:
     """Noise classes, repeated by their probabilities."""
     return np.repeat(np.arange(len(class_p)), np.maximum(1, (class_p * (1 << 18)).astype(int)))
@@ -232,7 +262,7 @@ class Levels:
         self.memory = [[np.full(s, 1e-6) for s in m.shapes] for m in self.models]
         self.noise = [np.log(v.class_p), np.log(v.group_p), np.zeros(v.cells)]  # the shares of cells cancel
         self.picks = [picks(v.class_p), picks(v.group_p)]
-        self.steps = (np.cumsum(v.cell_p, 1) + np.arange(v.groups)[:, None]).ravel()
+        self.keep, self.other = (x.ravel() for x in alias_tables(v.cell_p))
 
     def train(self, w: np.ndarray, group: np.ndarray, cell: np.ndarray, c1: np.ndarray, c2: np.ndarray) -> None:
         """One pass over tokens: classes, groups and cells (for class 0 only), contexts."""
@@ -243,8 +273,9 @@ class Levels:
         group, cell, c1, c2 = group[at], cell[at], c1[at], c2[at]
 
         def draw(i: int, j: int) -> np.ndarray:
-            g = group[i:j]
-            return np.clip(np.searchsorted(self.steps, g + rng.random(len(g)), "right") - g * v.cells, 0, v.cells - 1)
+            column = rng.integers(0, v.cells, j - i)
+            at = group[i:j] * v.cells + column
+            return np.where(rng.random(j - i) < self.keep[at], column, self.other[at])
 
         middle.train(group, c1, c2, self.memory[1], self.noise[1], self.picks[1], self.cfg, rng)
         low.train(cell, c1, c2, self.memory[2], self.noise[2], draw, self.cfg, rng)
@@ -252,8 +283,10 @@ class Levels:
     def ready_to_score(self) -> None:
         self.top, self.middle = (m.log_probabilities() for m in self.models[:2])
         self.t1, self.t2 = self.models[2].tables()
-        self.e1, self.e2 = np.exp(self.t1), np.exp(self.t2)
         v = self.vocabulary
+        top = self.t1.max(1, keepdims=True), self.t2.max(1, keepdims=True)
+        self.e1, self.e2, self.share = (x.astype(np.float32) for x in (np.exp(self.t1 - top[0]), np.exp(self.t2 - top[1]), v.cell_p))
+        self.t1, self.t2 = self.t1 - top[0], self.t2 - top[1]  # what a row has in common cancels
         self.unknown = 0.1 / v.denominator / v.other_mass
 
     def log_class(self, w: np.ndarray, c1: np.ndarray, c2: np.ndarray) -> np.ndarray:
@@ -264,33 +297,31 @@ class Levels:
         """Log probability of group and cell among the other words that training has, over the cell's base probability."""
         s1, s2, z = self.middle
         v, out = self.vocabulary, np.empty(len(group))
-        for i in range(0, len(group), 32_768):
-            g, h, a1, a2 = group[i:i + 32_768], cell[i:i + 32_768], c1[i:i + 32_768], c2[i:i + 32_768]
-            total = np.einsum("ij,ij,ij->i", self.e1[a1], self.e2[a2], v.cell_p[g])
-            out[i:i + 32_768] = (s1[a1, g] + s2[a2, g] - z[a1, a2] - np.log(v.group_mass[g])
+        for i in range(0, len(group), 8_192):
+            g, h, a1, a2 = group[i:i + 8_192], cell[i:i + 8_192], c1[i:i + 8_192], c2[i:i + 8_192]
+            total = np.einsum("ij,ij,ij->i", self.e1[a1], self.e2[a2], self.share[g]).astype(np.float64)
+            out[i:i + 8_192] = (s1[a1, g] + s2[a2, g] - z[a1, a2] - np.log(v.group_mass[g])
                                  + self.t1[a1, h] + self.t2[a2, h] - np.log(np.maximum(total, 1e-300)))
         return out + math.log(max(1 - self.unknown, 1e-12))
 
 
 def _ids(raws: list[bytes], vocabulary: Vocabulary):
-    """Words of each text; of all tokens head places (end: len of head), classes, groups, cells and
+    """All tokens of some texts as words; their head places (end: len of head), classes, groups, cells and
     both contexts; where texts end."""
-    get, end, place, texts, ends, flat = vocabulary.index.get, len(vocabulary.index), [], [], [], []
+    flat: list[bytes] = []
+    ends = []
     for raw in raws:
-        ws = words(raw)
-        texts.append(ws)
-        place.extend([get(x, -1) for x in ws])
-        place.append(end)
-        flat.extend(ws)
+        flat += words(raw)
         flat.append(END)
-        ends.append(len(place))
-    place, ends = np.array(place, np.int64), np.array(ends, np.int64)
+        ends.append(len(flat))
+    place = np.fromiter(map(vocabulary.place.get, flat, repeat(-1)), np.int64, len(flat))
+    ends, end = np.array(ends, np.int64), vocabulary.head
     w = np.where(place == end, vocabulary.end, vocabulary.classes_of(place))
     group, cell = np.append(vocabulary.group_of, 0)[place], np.append(vocabulary.cell_of, 0)[place]
     rare = np.flatnonzero(place < 0)
     group[rare], cell[rare] = vocabulary.hashes([flat[i] for i in rare])
     c1, c2 = contexts(np.where(w == 0, vocabulary.start + 1 + group, w), ends, vocabulary.start)
-    return texts, place, w, group, cell, c1, c2, ends
+    return flat, place, w, group, cell, c1, c2, ends
 
 
 PARAMETERS_DDL = "weight double, parameters binary"
@@ -304,11 +335,10 @@ def _train(vocabulary: Vocabulary, flat: np.ndarray, round_no: int, cfg: Config)
         model.ready_to_train(np.random.default_rng([cfg.seed, round_no, task_id()]))
         for b in batches:
             raws = b.column(0).to_pylist()
-            if not raws:
-                continue
-            _, _, w, group, cell, c1, c2, _ = _ids(raws, vocabulary)
-            model.train(w, group, cell, c1, c2)
-            seen += len(w)
+            for part in slices(raws, cfg.slice_bytes):
+                _, _, w, group, cell, c1, c2, _ = _ids(raws[part], vocabulary)
+                model.train(w, group, cell, c1, c2)
+                seen += len(w)
         if seen:
             yield batch(schema, weight=[float(seen)], parameters=[(model.flat() * seen).tobytes()])
 
@@ -355,35 +385,60 @@ def _score(vocabulary: Vocabulary, flat: np.ndarray, cfg: Config):
         other = math.log10(vocabulary.other_mass)
         for b in batches:
             raws = b.column(2).to_pylist()
-            if not raws:
-                continue
-            texts, place, w, group, cell, c1, c2, ends = _ids(raws, vocabulary)
-            lp = model.log_class(w, c1, c2) / ln10
-            known = place >= 0
-            base = np.where(known, vocabulary.base[place], 0.0)  # words outside the head are added by their counts
-            at = np.flatnonzero(w == 0)
-            # over the word's base share of the other words, which holds for words that training lacks
-            gain = np.zeros(len(w))
-            gain[at] = model.log_cell(group[at], cell[at], c1[at], c2[at]) / ln10 + other
-            lp += np.where(w == 0, base - other, 0.0) + np.where(known, gain, 0.0)
-            begins = np.concatenate([[0], ends[:-1]])
-            counted = known & ((place < len(vocabulary.index)) | (vocabulary.ends > 0))
-            tails = []
-            for ws, i, j in zip(texts, begins, ends):
-                found: dict[bytes, list] = {}
-                for k in np.flatnonzero(~known[i:j]):
-                    f = found.setdefault(ws[k], [0, 0.0])
+            for part in slices(raws, cfg.slice_bytes):
+                tokens, place, w, group, cell, c1, c2, ends = _ids(raws[part], vocabulary)
+                lp = model.log_class(w, c1, c2) / ln10
+                known = place >= 0
+                base = np.where(known, vocabulary.base[place], 0.0)  # words outside the head are added by their counts
+                at = np.flatnonzero(w == 0)
+                # over the word's base share of the other words, which holds for words that training lacks
+                gain = np.zeros(len(w))
+                gain[at] = model.log_cell(group[at], cell[at], c1[at], c2[at]) / ln10 + other
+                lp += np.where(w == 0, base - other, 0.0) + np.where(known, gain, 0.0)
+                begins = np.concatenate([[0], ends[:-1]])
+                counted = known & ((place < vocabulary.head) | (vocabulary.ends > 0))
+                tails: list[dict] = [{} for _ in ends]
+                rare = np.flatnonzero(~known)
+                for k, text, g in zip(rare.tolist(), np.searchsorted(ends, rare, "right").tolist(), gain[rare].tolist()):
+                    f = tails[text].setdefault(tokens[k], [0, 0.0])
                     f[0] += 1
-                    f[1] += gain[i + k]
-                tails.append([{"word": x, "tf": f[0], "gain": f[1]} for x, f in found.items()])
-            yield batch(schema, row=np.arange(row, row + len(raws)), doc_id=b.column(0), held_out=b.column(1),
-                        n_tokens=ends - begins, n_known=np.add.reduceat(counted.astype(np.int64), begins),
-                        base_score=np.add.reduceat(base, begins), score=np.add.reduceat(lp, begins), tail=tails)
-            row += len(raws)
+                    f[1] += g
+                yield batch(schema, row=np.arange(row, row + len(ends)), doc_id=b.column(0)[part], held_out=b.column(1)[part],
+                            n_tokens=ends - begins, n_known=np.add.reduceat(counted.astype(np.int64), begins),
+                            base_score=np.add.reduceat(base, begins), score=np.add.reduceat(lp, begins),
+                            tail=[[{"word": x, "tf": f[0], "gain": f[1]} for x, f in t.items()] for t in tails])
+                row += len(ends)
 
     return run
 
 
+def most_frequent(counts: DataFrame, most: int, shards: int = 4096) -> list[tuple[bytes, int]]:
+    """At most ``most`` words by falling count, then by word; only they are fetched.
+
+    A histogram of counts (16 steps an octave) gives the least count whose words
+    all fit; of the words one step lower, those in the first hash shards that fit,
+    so that many words of one count don't leave the list empty."""
+    step, shard = F.floor(F.log2("c") * 16).cast("int"), F.pmod(F.xxhash64("word"), F.lit(shards)).cast("int")
+    sizes = sorted(((r[0], r[1]) for r in counts.groupBy(step.alias("s")).count().collect()), reverse=True)  # 1024 rows at most
+    least, left = None, most
+    for s, n in sizes:
+        if n > left:
+            break
+        least, left = s, left - n
+    else:
+        s = None
+    fits = F.lit(False) if least is None else step >= least
+    if s is not None:
+        edge = sorted(tuple(r) for r in counts.where(step == s).groupBy(shard.alias("h")).count().collect())  # a row a shard
+        upto = 0
+        for h, n in edge:
+            if n > left:
+                break
+            upto, left = h + 1, left - n
+        fits = fits | ((step == s) & (shard < upto))
+    return sorted(((bytes(r[0]), r[1]) for r in counts.where(fits).select("word", "c").collect()), key=lambda x: (-x[1], x[0]))
+
+
 def _masses(counts: DataFrame, vocabulary: Vocabulary) -> np.ndarray:
     """Base probabilities of all words outside the shortlist by group and cell (far fewer than words)."""
     h, g = F.crc32("word"), F.lit(vocabulary.groups)
@@ -408,8 +463,8 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", m
     occur.  With no training rows every word is unknown and the model stays at
     the base distribution.  Other columns are ignored.
 
-    Counts of the ``cfg.head`` most frequent words (a fixed bound) travel with
-    the tasks, which also keeps hot words out of the join; all other words are
+    Counts of at most ``cfg.head`` words, the most frequent (a fixed bound),
+    travel with the tasks, which also keeps hot words out of the join; all other words are
     joined with the whole table of counts.
     """
     spark = session_of(docs)
@@ -422,7 +477,7 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", m
     end = F.lit(END)
     n, v, ends = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*"),
                             F.coalesce(F.max(F.when(F.col("word") == end, F.col("c"))), F.lit(0))).first()
-    head = [(bytes(r[0]), r[1]) for r in counts.where(F.col("word") != end).orderBy(F.desc("c"), "word").limit(cfg.head).collect()]
+    head = most_frequent(counts.where(F.col("word") != end), cfg.head)
     vocabulary = Vocabulary(head, n, v, ends, cfg)
     vocabulary.set_masses(_masses(counts, vocabulary))
     model = fit(training, vocabulary, cfg)

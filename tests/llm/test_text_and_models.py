@@ -362,3 +362,44 @@ def test_lm_beats_the_base_distribution(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     got = [r for r in lm.lm_scores(docs).collect() if r.held_out]
     assert sum(r.score for r in got) > sum(r.base_score for r in got)
+
+
+def test_lm_slices_hold_all_texts_and_are_bounded():
+    rng = np.random.default_rng(2)
+    raws = [b"x" * int(n) for n in rng.integers(0, 60, 200)] + [b"y" * 500, b""]
+    parts = list(lm.slices(raws, 100))
+    assert [i for p in parts for i in range(p.start, p.stop)] == list(range(len(raws)))
+    assert all(sum(map(len, raws[p])) <= 100 or p.stop == p.start + 1 for p in parts) and list(lm.slices([], 5)) == []
+
+
+def test_lm_scores_do_not_depend_on_slices(spark):
+    got = [{r.doc_id: (r.n_tokens, r.n_known, round(r.base_score, 6)) for r in
+            lm.lm_scores(helpers.edge_docs(spark).where("doc_id is not null and doc_id not in (5, 60)"), cfg=lm.Config(shortlist=16, head=40, minibatch=256, rounds=1, slice_bytes=n)).collect()}
+           for n in (50, 1 << 20)]
+    assert got[0] == got[1]
+
+
+def test_lm_alias_tables_draw_by_probability():
+    p = np.random.default_rng(1).random((3, 7)) + np.eye(3, 7)
+    p /= p.sum(1, keepdims=True)
+    keep, other = lm.alias_tables(p)
+    for g in range(3):
+        drawn = keep[g] / 7
+        np.add.at(drawn, other[g], (1 - keep[g]) / 7)
+        assert np.allclose(drawn, p[g])
+
+
+@pytest.mark.parametrize("most", [0, 1, 7, 40, 100, 10_000])
+def test_lm_most_frequent_words(spark, most):
+    """As many as fit, none more frequent left out of the steps that fit whole; ties at the edge by hash."""
+    rng = np.random.default_rng(4)
+    rows = [(b"w%d" % i, int(c)) for i, c in enumerate([*rng.integers(1, 400, 80), *[3] * 300])]
+    got = lm.most_frequent(spark.createDataFrame([(bytearray(w), c) for w, c in rows], "word binary, c long"), most)
+    assert len(got) <= most and set(got) <= set(rows) and got == sorted(got, key=lambda x: (-x[1], x[0]))
+    if got:
+        least = got[-1][1]
+        assert all(r in got for r in rows if r[1] > least * 2 ** (1 / 16) + 1e-9)
+    if most == 100:
+        assert len(got) >= 90  # words of one count don't empty the list
+    if most == 10_000:
+        assert len(got) == len(rows)

@@ -33,7 +33,8 @@ from pyspark.sql import functions as F
 
 from hiresight.llm.common import arrow_schema, batch, session_of
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|[^<]+|<", re.S)
+#: the part of a tag outside of quotes holds no '<', and nothing is tried twice: linear on any page
+TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/><]*+)((?:[^<>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|[^<]++|<", re.S)
 ATTRIBUTE = re.compile(r"([a-zA-Z_:][-\w:.]*)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 SPACES = re.compile(r"\s+")
 WORD = re.compile(r"[a-z]+")
@@ -60,7 +61,10 @@ pagination pager toolbar copyright skip hidden""".split())
 CONTENT_WORD = frozenset("article content post entry story main".split())
 #: parts a name may have besides words of ASIDE_WORD (site-footer, sidebar-left)
 NEUTRAL = frozenset("""area bar block bottom box button buttons container global group inner item items left link links list outer page
-primary right secondary section site slot title top unit wrap wrapper""".split())
+primary right secondary section site slot title top unit wrap wrapper posts articles stories news user users reader readers""".split())
+#: an article or main with such a name, besides neutral parts, holds reader comments
+COMMENT_WORD = frozenset("comment comments commentlist disqus reply replies respond responses discussion".split())
+COMMENT_NEUTRAL = NEUTRAL | {"body", "content", "thread"}
 #: content elements with a smaller share of the page's text are not all of the content
 SHARE = 0.25
 #: deeper elements are read, but not aligned
@@ -80,17 +84,23 @@ class Element:
 
 
 def _named(names: list[str]) -> tuple[bool, bool]:
-    """Whether whole names say aside (all parts do, or are neutral), and content
-    (a part does, and none says aside)."""
+    """Whether whole names say aside (all parts do, or are neutral; numbers and
+    single letters are no parts), and content (a part does, and none says aside)."""
     aside = content = False
     for name in names:
-        parts = set(WORD.findall(name))
-        found = not ASIDE_WORD.isdisjoint(parts)
-        aside = aside or found and parts <= ASIDE_WORD | NEUTRAL
+        parts = {w for w in WORD.findall(name) if len(w) > 1}
+        whole = "".join(WORD.findall(name)) in ASIDE_WORD  # side-bar
+        found = whole or not ASIDE_WORD.isdisjoint(parts)
+        aside = aside or whole or found and parts <= ASIDE_WORD | NEUTRAL
         content = content or not found and not CONTENT_WORD.isdisjoint(parts)
     return aside, content
 
 
+def _comment(names: list[str]) -> bool:
+    """Whether a whole name says that readers wrote it."""
+    return any(not COMMENT_WORD.isdisjoint(parts) and parts <= COMMENT_WORD | COMMENT_NEUTRAL for parts in (set(WORD.findall(n)) for n in names))
+
+
 def _element(tag: str, attributes: str) -> Element:
     if not attributes.strip():
         return Element(tag, tag, tag in ASIDE)
@@ -101,7 +111,9 @@ def _element(tag: str, attributes: str) -> Element:
     aside = (tag in ASIDE or role in ASIDE_ROLE or "hidden" in a or a.get("aria-hidden") == "true"
              or "display:none" in a.get("style", "").replace(" ", "").lower())
     content = tag not in ("html", "body") and (content or role == "main" or a.get("itemprop") == "articleBody")
-    if tag not in ("html", "body", "main", "article") and not content:
+    if tag in ("main", "article"):
+        aside = aside or not content and _comment(names)
+    elif tag not in ("html", "body") and not content:
         aside = aside or named_aside
     return Element(tag, ".".join([tag, *sorted(set(WORD.findall(" ".join(names))))]), aside, content)
 

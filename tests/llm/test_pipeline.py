@@ -64,5 +64,16 @@ def test_empty_table(spark):
 def test_queries_are_registered():
     import __spark_entry__ as e
     names = e.queries().keys()
-    assert "pipeline" in names and all(sum(x.startswith(f"op{n}_") for x in names) == 1 for n in range(1, 11))
+    assert "pipeline" in names and all(sum(x.startswith(f"op{n}_") for x in names) == 1 for n in range(1, 14))
     assert set(e.oracle_sql()) <= set(names)
+
+
+def test_near_duplicates_tell_rows_by_id_and_text(spark):
+    """Unrelated texts under one id all stay; of equal rows one does."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    near = c.replace("c39", "other")
+    rows = [(60, a), (60, b), (59, b), (1, c), (1, c), (7, near), (None, a), (None, "nothing like the others at all here"), (8, None), (8, None), (9, ""), (9, "  ")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    got = sorted(((r.doc_id, r.text) for r in dict(cp.STAGES)["jaccard_join"](spark, docs, SF).collect()), key=repr)
+    want = [(60, a), (59, b), (1, c), (None, "nothing like the others at all here"), (8, None), (9, ""), (9, "  ")]
+    assert got == sorted(want, key=repr)

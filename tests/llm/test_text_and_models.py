@@ -403,3 +403,23 @@ def test_lm_most_frequent_words(spark, most):
         assert len(got) >= 90  # words of one count don't empty the list
     if most == 10_000:
         assert len(got) == len(rows)
+
+
+@pytest.mark.parametrize("page,want", [
+    ("<main><p>Main body text that is what the page is about</p><article class='comment-body'><p>reader comment</p></article></main>", "Main body text that is what the page is about"),
+    ("<article><p>The text.</p></article><section class='reader-responses'><article class='comment'><p>reader</p></article></section>", "The text."),
+    ("<article><p>One.</p><div class='ad-300x250'>buy</div><div class='related-posts'>more</div><ul class='user-comments'><li>no</li></ul><p>Two.</p></article>", "One.\n\nTwo."),
+    ("<main><p>One.</p><div class='side-bar'>links</div><p>Two.</p></main>", "One.\n\nTwo."),
+    ("<article class='post comment-status-open'><p>Stays.</p></article>", "Stays."),
+])
+def test_comments_and_adverts_by_name(spark, page, want):
+    df = spark.createDataFrame([(1, "https://h.example/1", page)], "page_id long, url string, html string")
+    assert [r.text for r in hw.extract_main_text(df).collect()] == [want]
+
+
+@pytest.mark.parametrize("piece", ["<p ", "<a href=\"", "<a 'x ", "</", "<!", "<", "<p x='"])
+def test_pages_are_read_in_linear_time(piece):
+    import time
+    began = time.time()
+    hw.parse(piece * (1_000_000 // len(piece)))
+    assert time.time() - began < 4

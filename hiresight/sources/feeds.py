@@ -1,7 +1,7 @@
 """Raw CSV feeds (18 string fields), layer sinks and metric files.
 
-Feeds are read with a fixed schema (no inference pass over the data) and the
-multi-line CSV reader, since descriptions may contain newlines.  Every
+Feeds are read with a fixed schema (no inference pass over the data);
+descriptions may contain newlines, and files are split all the same (``split_csv``).  Every
 folder written here lives under a caller-given base path, which on a cluster
 is a shared location (by default inside ``spark.checkpoint.dir``).
 """
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import ensure_checkpoint_dir
+from .split_csv import read_quoted_csv
 
 # --- FIXED VALUES: raw record field order (the misspelt salarry_max is the feed's name).
 RAW_FIELDS = ["job_title", "salary_min", "salarry_max", "location", "experience", "job_description",
@@ -59,9 +60,8 @@ def write_raw_csv(df: DataFrame, path: str, mode: str = "overwrite", header: boo
 
 
 def read_raw_csv(spark: SparkSession, path: str, header: bool = True) -> DataFrame:
-    """Read a feed with the fixed raw schema (multi-line quoted fields)."""
-    return (spark.read.schema(RAW_SCHEMA).option("header", header).option("multiLine", True)
-            .option("quote", '"').option("escape", '"').csv(path))
+    """Read a feed with the fixed raw schema (multi-line quoted fields), large files in many tasks."""
+    return read_quoted_csv(spark, path, RAW_SCHEMA, header)
 
 
 def sink_layer(df: DataFrame, path: str) -> None:

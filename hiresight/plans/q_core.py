@@ -219,17 +219,31 @@ def q_skill_weight(spark, sf):
 FUZZY_TARGETS = ["python", "java", "javascript", "react", "angular", "docker", "kubernetes", "aws"]
 
 
+def ratio_sql(words: str) -> str:
+    """CTEs after ``tg(t)``: ``ratio(w, t, s)`` of the distinct words of a table and the targets, by matching blocks."""
+    sub = "substr(b, CAST(i AS BIGINT), CAST(l AS BIGINT))"
+    return f"""rounds(w, t, a, b, l) AS (
+  SELECT DISTINCT w, t, w, t, CAST(0 AS BIGINT) FROM {words}, tg WHERE 2.0 * least(length(w), length(t)) / (length(w) + length(t)) >= 0.8
+  UNION ALL
+  SELECT w, t, p.a, p.b, p.l FROM (
+    SELECT w, t, unnest([{{'a': substr(a, 1, -k.p - 1), 'b': substr(b, 1, -k.i - 1), 'l': k.l}},
+                         {{'a': substr(a, -k.p + k.l), 'b': substr(b, -k.i + k.l), 'l': 0}}]) AS p
+    FROM (SELECT w, t, a, b, list_sort(list_filter(flatten(list_transform(range(1, length(b) + 1), lambda i: list_transform(
+            range(1, length(b) - i + 2), lambda l: {{'l': l, 'p': -instr(a, {sub}), 'i': -i}}))), lambda x: x.p < 0), 'DESC')[1] AS k
+          FROM rounds WHERE a <> '' AND b <> '') WHERE k IS NOT NULL)),
+ratio AS (SELECT w, t, 2.0 * sum(l) / (length(w) + length(t)) AS s FROM rounds GROUP BY w, t)"""
+
+
 @register("fuzzy_match", W(POSTING + f""",
 {DESCRIPTIONS},
-ws AS (SELECT d, unnest(w) AS w, unnest(range(len(w))) AS i FROM (
-         SELECT d, list_filter(string_split({O.norm_sql('d')}, ' '), lambda x: x <> '') AS w FROM dd)),
+ws AS (SELECT d, unnest(w) AS w FROM (SELECT d, list_filter(string_split({O.norm_sql('d')}, ' '), lambda x: x <> '') AS w FROM dd)),
 tg(t) AS (VALUES {", ".join(f"('{t}')" for t in FUZZY_TARGETS)}),
-sim AS (SELECT d, t, w, i, 1.0 - levenshtein(w, t) / greatest(length(w), length(t)) AS s FROM ws, tg),
-best AS (SELECT d, t, w FROM sim WHERE s >= 0.8 QUALIFY row_number() OVER (PARTITION BY d, t ORDER BY s DESC, i) = 1),
+{ratio_sql("ws")},
+best AS (SELECT DISTINCT d, t, w FROM ws JOIN ratio USING (w) WHERE s >= 0.8 QUALIFY dense_rank() OVER (PARTITION BY d, t ORDER BY s DESC, w DESC) = 1),
 hit AS (SELECT d, array_to_string(list_sort(list(t || ':' || w)), ',') AS m FROM best GROUP BY d)""",
-    "SELECT post_id, coalesce(m, '') AS matches FROM posting LEFT JOIN hit ON description = d"))
+    "SELECT post_id, coalesce(m, '') AS matches FROM posting LEFT JOIN hit ON description = d").replace("WITH ", "WITH RECURSIVE ", 1))
 def q_fuzzy_match(spark, sf):
-    """Each target with its closest word (similarity at least 0.8, ties: first word)."""
+    """Each target with its closest word (matching-block ratio of at least 0.8)."""
     from ..functions.fuzzy import best_close_word
 
     def pairs(w):

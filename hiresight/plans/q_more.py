@@ -16,7 +16,7 @@ from ..sources import feeds as FD
 from . import clean as C
 from . import oracle as O
 from .catalog import register
-from .q_core import DESCRIPTIONS, FUZZY_TARGETS, enriched
+from .q_core import DESCRIPTIONS, FUZZY_TARGETS, enriched, ratio_sql
 
 W = O.with_ctes
 POSTING = O.posting_ctes()
@@ -95,14 +95,15 @@ _STANDARD = dict(SKILL_VARIATIONS)
 tt AS (SELECT d, regexp_replace(regexp_replace(lower(d), '[^\\p{{L}}\\p{{N}}_\\s]', ' ', 'g'), '\\s+', ' ', 'g') AS t FROM dd WHERE d <> ''),
 {O.names_table("nm", _ALL_NAMES)}, {O.names_table("va", _STANDARD)},
 std(v, name) AS (VALUES {", ".join(f"({O.q(v)}, {O.q(n)})" for v, n in _STANDARD.items())}),
-tg(name) AS (VALUES {", ".join(f"('{t}')" for t in FUZZY_TARGETS)}),
-ws AS (SELECT d, unnest(string_split(t, ' ')) AS w FROM tt),
+tg(t) AS (VALUES {", ".join(f"('{t}')" for t in FUZZY_TARGETS)}),
+ws AS (SELECT d, w FROM (SELECT d, unnest(string_split(t, ' ')) AS w FROM tt) WHERE w <> ''),
+{ratio_sql("ws")},
 found AS (SELECT d, name FROM tt, nm WHERE regexp_matches(t, pat)
           UNION SELECT d, std.name FROM tt, va JOIN std ON std.v = va.name WHERE regexp_matches(t, pat)
           UNION SELECT d, name FROM tt, nm WHERE contains(name, ' ') AND contains(t, name)
-          UNION SELECT d, name FROM ws, tg WHERE w <> '' AND 1.0 - levenshtein(w, name) / greatest(length(w), length(name)) >= 0.8),
+          UNION SELECT d, ratio.t FROM ws JOIN ratio USING (w) WHERE s >= 0.8),
 hit AS (SELECT d, array_to_string(list_sort(list(name)), ',') AS skills FROM found GROUP BY d)""",
-    "SELECT post_id, coalesce(skills, '') AS skills FROM posting LEFT JOIN hit ON description = d"))
+    "SELECT post_id, coalesce(skills, '') AS skills FROM posting LEFT JOIN hit ON description = d").replace("WITH ", "WITH RECURSIVE ", 1))
 def q_skill_fuzzy(spark, sf):
     """Names as words, spelling variations, names of several words, near-miss spellings of the key skills."""
     skills = K.skill_extract_advanced(F.col("description"), _ALL_NAMES, FUZZY_TARGETS)

@@ -2,18 +2,18 @@
 
 Itemsets come from Spark ML's distributed FP-growth.  Rules are expanded
 here because Spark's own ``associationRules`` emits single-item consequents
-only: every non-empty proper subset of each frequent itemset becomes an
-antecedent (bit masks over the sorted items), and supports are attached by
-equi-joins on the sorted item arrays (the itemset table is small and AQE
-broadcasts it once measured).
+only: consequents of any size are grown level by level, pruned by confidence,
+and supports are attached by equi-joins on the sorted item arrays (the itemset
+table is small and AQE broadcasts it once measured).
 """
 
 from __future__ import annotations
 
 from pyspark.ml.fpm import FPGrowth
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialise
 from .relational import scalar
 
 
@@ -46,39 +46,43 @@ def frequent_itemsets(baskets: DataFrame, min_support: float = 0.03, items_col:
     return fi.withColumn("support", F.col("freq") / n).where(F.col("freq") / n >= min_support)
 
 
-def _subset(items: Column, mask: Column) -> Column:
-    """Items whose position bit is set in ``mask`` (bit i <-> items[i])."""
-    return F.filter(items, lambda x, i: F.call_function("shiftright", mask, i).bitwiseAND(F.lit(1)) == 1)
-
-
-LOW_BITS = 12
-
-
-def association_rules(itemsets: DataFrame, min_lift: float = 1.2, max_len: int | None = None) -> DataFrame:
-    """Every split A -> C of every frequent itemset (|I| >= 2) with lift >= min_lift.
+def association_rules(itemsets: DataFrame, min_lift: float = 1.2, max_len: int | None = None, min_confidence: float = 0.0) -> DataFrame:
+    """Every split A -> C of every frequent itemset (|I| >= 2) with lift >= min_lift and confidence >= min_confidence.
 
     Columns: antecedents, consequents (sorted arrays), antecedent_support,
     consequent_support, support, confidence, lift, leverage, conviction.
+
+    Consequents grow item by item, each from the one without its last item.  The
+    smaller antecedent that is left can only be more frequent, so a split is not
+    grown further once its confidence is below min_confidence or its antecedent's
+    support above 1 / min_lift: a consequent is at least as frequent as the whole
+    itemset, so confidence < min_lift * support(I) rules the lift out.  Antecedents
+    must be itemsets themselves, which those of all frequent itemsets are.
     """
     big = itemsets.where(F.size("items") >= 2)
     if max_len:
         big = big.where(F.size("items") <= max_len)
-    # the mask's high and low bits are generated one after the other, so that a
-    # long itemset makes rows, not one huge array
-    one, low = F.lit(1).cast("bigint"), F.least(F.size("items"), F.lit(LOW_BITS))
-    bits = lambda n: F.sequence(F.lit(0).cast("bigint"), F.call_function("shiftleft", one, n) - 1)
-    full = F.call_function("shiftleft", one, F.size("items")) - 1
-    masks = (big.select("items", "support", F.explode(bits(F.size("items") - low)).alias("high"))
-             .select("items", "support", "high", F.explode(bits(low)).alias("rest"))
-             .select("items", "support", (F.call_function("shiftleft", F.col("high"), low) + F.col("rest")).alias("mask"))
-             .where((F.col("mask") > 0) & (F.col("mask") < full)))
-    split = masks.select(_subset(F.col("items"), F.col("mask")).alias("antecedents"),
-                         _subset(F.col("items"), full - F.col("mask")).alias("consequents"), "support")
-    sup = itemsets.select("items", F.col("support").alias("s"))
-    j = (split.join(sup.withColumnRenamed("items", "antecedents").withColumnRenamed("s", "antecedent_support"),
-                    "antecedents")
-         .join(sup.withColumnRenamed("items", "consequents").withColumnRenamed("s", "consequent_support"),
-               "consequents"))
+    sup = itemsets.select(F.col("items").alias("antecedents"), F.col("support").alias("antecedent_support"))
+    longest = big.agg(F.max(F.size("items"))).first()[0] or 0
+    grown = big.select("items", "support", F.array().cast("array<string>").alias("consequents"), F.lit(0).alias("last"))
+    levels = []
+    for _ in range(longest - 1):
+        # the items after the last one taken; at least one stays in the antecedent
+        taken = (grown.where(F.size("consequents") < F.size("items") - 1)
+                 .select("*", F.posexplode(F.slice("items", F.col("last") + 1, F.size("items"))).alias("__at", "__item")))
+        split = taken.select("items", "support", F.array_append("consequents", F.col("__item")).alias("consequents"), (F.col("last") + F.col("__at") + 1).alias("last"))
+        split = split.withColumn("antecedents", F.array_except("items", "consequents")).join(sup, "antecedents")
+        conf = F.col("support") / F.col("antecedent_support")
+        grown = materialise(split.where((conf >= min_confidence) & (F.col("antecedent_support") * min_lift <= 1 + 1e-9)))
+        levels.append(grown)
+        if grown.isEmpty():
+            break
+    if not levels:
+        levels = [grown.select("*", F.col("items").alias("antecedents"), F.lit(0.0).alias("antecedent_support")).limit(0)]
+    all_ = levels[0]
+    for level in levels[1:]:
+        all_ = all_.unionByName(level)
+    j = all_.join(itemsets.select(F.col("items").alias("consequents"), F.col("support").alias("consequent_support")), "consequents")
     conf = F.col("support") / F.col("antecedent_support")
     lift = conf / F.col("consequent_support")
     out = j.select("antecedents", "consequents", "antecedent_support", "consequent_support", "support",

@@ -177,19 +177,38 @@ def section_by_heading(html, keywords, max_heading: int = 120) -> Column:
 
 
 def html_links(html, page_url, path_pattern: str | None = None) -> Column:
-    """Same-site links: resolved, query/fragment dropped, distinct, sorted."""
-    base = F.regexp_extract(_c(page_url), "^(https?://[^/?#]+)", 1)
-    hrefs = F.regexp_extract_all(visible(html), F.lit("(?i)<a\\s[^>]*href=\"([^\"]*)\""), 1)
-    resolved = F.transform(hrefs, lambda h: F.when(h.rlike("^https?://"), h)
-                           .when(h.startswith("/"), F.concat(base, h))
-                           .otherwise(F.concat(base, F.lit("/"), h)))
-    norm = F.transform(resolved, lambda u: url_normalise(u))
-    same = F.filter(norm, lambda u: F.regexp_extract(u, "^(https?://[^/?#]+)", 1) == base)
+    """Same-site links (quoted either way or not): resolved against the page, query/fragment dropped, distinct, sorted;
+    with ``path_pattern`` only those whose path matches it."""
+    u = _c(page_url)
+    base = F.regexp_extract(u, "^(https?://[^/?#]+)", 1)
+    quoted = F.regexp_extract_all(visible(html), F.lit("(?is)<a\\s(?:[^>]*\\s)?href\\s*=\\s*(\"[^\"]*\"|'[^']*'|[^\\s>\"']+)"), 1)
+    hrefs = F.filter(F.transform(quoted, lambda h: unescape(F.regexp_replace(h, "^[\"']|[\"']$", ""))), lambda h: ~h.rlike("(?i)^\\s*(javascript|mailto|tel|data):"))
+    same = F.filter(F.transform(hrefs, lambda h: resolve(u, h)), lambda x: F.regexp_extract(x, "^(https?://[^/?#]+)", 1) == base)
     if path_pattern:
-        same = F.filter(same, lambda u: u.rlike(path_pattern))
+        same = F.filter(same, lambda x: path_of(x).rlike(path_pattern))
     return F.array_sort(F.array_distinct(same))
 
 
+def resolve(page_url: Column, href: Column) -> Column:
+    """Absolute URL of a link: full, host-relative, page-relative (with ./ and ../ steps), without ?, # and ;."""
+    base = F.regexp_extract(page_url, "^(https?://[^/?#]+)", 1)
+    scheme = F.regexp_extract(page_url, "^(https?:)", 1)
+    folder = F.regexp_extract(F.regexp_replace(page_url, "[?#].*$", ""), "^https?://[^/]+(/(?:[^/]*/)*)", 1)
+    h = F.regexp_replace(F.trim(href), "[?#].*$", "")
+    path = F.when(h.startswith("/"), h).otherwise(F.concat(F.when(folder == "", F.lit("/")).otherwise(folder), h))
+    parts = F.filter(F.split(path, "/"), lambda p: (p != "") & (p != "."))
+    steps = F.aggregate(parts, F.array().cast("array<string>"),
+                        lambda acc, p: F.when(p == "..", F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0)))).otherwise(F.array_append(acc, p)))
+    tail = F.when((F.size(parts) > 0) & path.rlike("(^|/)(\\.{1,2})?$"), F.lit("/")).otherwise(F.lit(""))
+    local = F.concat(base, F.lit("/"), F.array_join(steps, "/"), F.when(F.size(steps) > 0, tail).otherwise(F.lit("")))
+    own = F.regexp_replace(page_url, "[?#].*$", "")
+    return url_normalise(F.when(h == "", own).when(h.rlike("(?i)^https?://"), h).when(h.startswith("//"), F.concat(scheme, h)).otherwise(local))
+
+
+def path_of(url: Column) -> Column:
+    return F.regexp_extract(url, "^https?://[^/?#]+([^;?#]*)", 1)
+
+
 def url_normalise(url) -> Column:
     """Drop ?query, #fragment and the ;params of the last path segment, keep scheme://host/path."""
     return F.regexp_replace(F.regexp_replace(_c(url), "[?#].*$", ""), ";[^/]*$", "")

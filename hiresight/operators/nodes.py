@@ -187,31 +187,11 @@ CARD_WORDS = ["Fulltime", "Parttime", "Negotiable", "VND", "USD"]
 CARD_CLASS = "rounded-xl"
 
 
-def resolve(page_url: Column, href: Column) -> Column:
-    """Absolute URL of a link: full, host-relative, page-relative (with ./ and ../ steps), without ?, # and ;."""
-    base = F.regexp_extract(page_url, "^(https?://[^/?#]+)", 1)
-    scheme = F.regexp_extract(page_url, "^(https?:)", 1)
-    folder = F.regexp_extract(F.regexp_replace(page_url, "[?#].*$", ""), "^https?://[^/]+(/(?:[^/]*/)*)", 1)
-    h = F.regexp_replace(F.trim(href), "[?#].*$", "")
-    path = F.when(h.startswith("/"), h).otherwise(F.concat(F.when(folder == "", F.lit("/")).otherwise(folder), h))
-    parts = F.filter(F.split(path, "/"), lambda p: (p != "") & (p != "."))
-    steps = F.aggregate(parts, F.array().cast("array<string>"),
-                        lambda acc, p: F.when(p == "..", F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0)))).otherwise(F.array_append(acc, p)))
-    tail = F.when((F.size(parts) > 0) & path.rlike("(^|/)(\\.{1,2})?$"), F.lit("/")).otherwise(F.lit(""))
-    local = F.concat(base, F.lit("/"), F.array_join(steps, "/"), F.when(F.size(steps) > 0, tail).otherwise(F.lit("")))
-    own = F.regexp_replace(page_url, "[?#].*$", "")
-    return H.url_normalise(F.when(h == "", own).when(h.rlike("(?i)^https?://"), h).when(h.startswith("//"), F.concat(scheme, h)).otherwise(local))
-
-
-def path_of(url: Column) -> Column:
-    return F.regexp_extract(url, "^https?://[^/?#]+([^;?#]*)", 1)
-
-
 def detail_links(nodes: Nodes, urls: DataFrame, detail: str, url: str = "url") -> DataFrame:
     """Links to detail pages (path that matches ``detail``) with their ``text`` and ``link``, without empty ones and buttons."""
     a = nodes.elements.where((F.col("tag") == "a") & F.col("href").isNotNull() & ~F.col("href").rlike("(?i)^\\s*(javascript|mailto|tel|data):"))
-    a = a.join(urls.select(nodes.key, F.col(url).alias("__url")), nodes.key).withColumn("link", resolve(F.col("__url"), F.col("href")))
-    found = nodes.with_texts(a.where(path_of(F.col("link")).rlike(detail)))
+    a = a.join(urls.select(nodes.key, F.col(url).alias("__url")), nodes.key).withColumn("link", H.resolve(F.col("__url"), F.col("href")))
+    found = nodes.with_texts(a.where(H.path_of(F.col("link")).rlike(detail)))
     return found.where((F.col("text") != "") & ~F.lower("text").isin(NO_TITLES))
 
 
@@ -301,7 +281,7 @@ def header_fields(pages: DataFrame, key: str = "page_id", html: str = "html", ur
     links = detail_links(n, pages, detail, url)
     h1 = n.with_texts(n.elements.where(F.col("tag") == "h1"))
     cols = [key, "node", "depth", "parent", "text"]
-    own = F.when(path_of(F.col("link")) == F.regexp_extract("__url", "^https?://[^/?#]+([^;?#]*)", 1), 0).otherwise(1)
+    own = F.when(H.path_of(F.col("link")) == F.regexp_extract("__url", "^https?://[^/?#]+([^;?#]*)", 1), 0).otherwise(1)
     all_ = links.select(*cols, own.alias("rank")).unionByName(h1.select(*cols, F.lit(2).alias("rank")))
     title = materialise(all_.groupBy(key).agg(F.min(F.struct("rank", "node", "depth", "parent", "text")).alias("t")).select(key, "t.*"))
     up = n.above(title, levels - 1, own=True)

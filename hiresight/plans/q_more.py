@@ -190,10 +190,11 @@ def q_prepare_alt(spark, sf):
     return scaled.select("post_id", *[F.round(M.q(c), 6).alias(c) for c in feats])
 
 
-register("cluster_name", W(ENRICHED, """SELECT cluster, CASE WHEN e < 2 AND s < 15 THEN 'Entry/Junior Level'
+_GROUP = "CAST(CASE WHEN exp_years < 2 THEN 0 WHEN exp_years < 4 THEN 1 ELSE 2 END * 10 + CASE WHEN salary < 15 THEN 0 WHEN salary < 30 THEN 1 ELSE 2 END AS INTEGER)"
+register("cluster_name", W(ENRICHED, f"""SELECT cluster, CASE WHEN e < 2 AND s < 15 THEN 'Entry/Junior Level'
     WHEN e >= 4 AND s >= 30 THEN 'Senior/Expert & High Paid' WHEN e >= 2 AND e < 4 THEN 'Mid-level Professional'
-    ELSE 'Specialized/Other' END AS name FROM (SELECT CAST(post_id % 4 AS INTEGER) AS cluster, avg(exp_years) AS e,
+    ELSE 'Specialized/Other' END AS name FROM (SELECT {_GROUP} AS cluster, avg(exp_years) AS e,
     avg(salary) AS s FROM enriched GROUP BY 1)"""))(
-    lambda spark, sf: enriched(spark, sf).groupBy((F.col("post_id") % 4).cast("int").alias("cluster")).agg(
+    lambda spark, sf: enriched(spark, sf).groupBy(F.expr(_GROUP).alias("cluster")).agg(
         F.avg("exp_years").alias("e"), F.avg("salary").alias("s")).select(
         "cluster", M.cluster_name(F.col("e"), F.col("s")).alias("name")))

@@ -62,13 +62,14 @@ def q_balance_levels(spark, sf):
     return SM.balance_levels(enriched(spark, sf)).select("post_id", "level")
 
 
-@register("sample_exact_n", W(ENRICHED + ",\n" + levels_sql("enriched"), "SELECT post_id, level FROM lvl_bal"))
+@register("sample_exact_n", W(ENRICHED, """SELECT post_id, city FROM (SELECT post_id, city, count(*) OVER (PARTITION BY city) AS n,
+    row_number() OVER (PARTITION BY city ORDER BY md5(CAST(post_id AS VARCHAR) || ':42'), post_id) AS r FROM enriched)
+    WHERE r <= 40 + 10 * length(city)"""))
 def q_sample_exact_n(spark, sf):
-    """The generic exact sampler with per-group targets (here: the level targets)."""
-    d = SM.merge_expert(enriched(spark, sf))
-    n_fresher = d.where(F.col("level") == "Fresher").select(F.count(F.lit(1))).scalar()
-    d = d.where((F.col("level") != "Fresher") | (n_fresher >= 10))
-    return SM.sample_exact_per_group(d, ["level"], SM.level_targets(d)).select("post_id", "level")
+    """The generic exact sampler: a number of postings for each city (40, and 10 a letter of its name)."""
+    d = enriched(spark, sf)
+    targets = d.select("city").distinct().select("city", (40 + 10 * F.length("city")).cast("long").alias("target"))
+    return SM.sample_exact_per_group(d, ["city"], targets).select("post_id", "city")
 
 
 @register("balance_brackets", W(ENRICHED + ",\n" + brackets_sql("enriched"),

@@ -7,6 +7,8 @@ import os
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable
+from functools import cache
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -109,15 +111,44 @@ def fingerprint(spark: SparkSession, paths: Iterable[str]) -> str:
     return h.hexdigest()[:24]
 
 
-def layer(spark: SparkSession, name: str, inputs: Iterable[str], build: Callable[[], DataFrame]) -> DataFrame:
-    """A named layer, written once per state of its input files and read pruned.
-
-    The path holds the inputs' fingerprint, so changed data make a new layer;
-    a write that didn't finish has no ``_SUCCESS`` and is written again.
-    """
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/layers/{name}-{fingerprint(spark, inputs)}"
+@cache
+def code_digest() -> str:
+    """Digest of the package's sources and data outside of ``llm``: layers of other code are other layers."""
+    root, h = Path(__file__).parent, hashlib.sha256()
+    for p in sorted(p for p in root.rglob("*") if p.suffix in (".py", ".tsv") and "llm" not in p.relative_to(root).parts):
+        h.update(str(p.relative_to(root)).encode() + b"\0" + p.read_bytes())
+    return h.hexdigest()[:12]
+
+
+def publish(spark: SparkSession, source: str, target: str) -> bool:
+    """Rename a finished folder to its place, at once; False if another job was first."""
+    jvm = spark._jvm
+    a, b = jvm.org.apache.hadoop.fs.Path(source), jvm.org.apache.hadoop.fs.Path(target)
+    fs = jvm.org.apache.hadoop.fs.FileContext.getFileContext(b.getFileSystem(spark._jsc.hadoopConfiguration()).getUri(), spark._jsc.hadoopConfiguration())
+    never = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)  # without overwriting
+    try:
+        fs.rename(a, b, never)
+        return True
+    except Exception:
+        if path_exists(spark, f"{target}/_SUCCESS"):
+            return False
+        raise
+
+
+def layer(spark: SparkSession, name: str, inputs: Iterable[str], build: Callable[[], DataFrame], params: object = None) -> DataFrame:
+    """A named layer, written once per state of its input files, code and parameters, and read pruned.
+
+    The path holds the fingerprints of the inputs and of the package, and the
+    parameters.  A layer is written to a path of its own and renamed when it is
+    complete, so readers never see a part of it, and of two jobs that write the
+    same layer one publishes."""
+    key = hashlib.sha256(repr((fingerprint(spark, inputs), code_digest(), params)).encode()).hexdigest()[:24]
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/layers"
+    path = f"{folder}/{name}-{key}"
     if not path_exists(spark, f"{path}/_SUCCESS"):
-        build().write.mode("overwrite").parquet(path)
+        own = f"{folder}/.writing-{name}-{uuid.uuid4().hex}"
+        build().write.parquet(own)
+        publish(spark, own, path)
     return spark.read.parquet(path)
 
 

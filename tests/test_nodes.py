@@ -8,6 +8,7 @@ from urllib.parse import urljoin
 import pytest
 from pyspark.sql import functions as F
 
+from hiresight.functions import html as H
 from hiresight.operators import nodes as N
 
 
@@ -85,7 +86,7 @@ def test_resolve_like_urljoin(spark):
     pages = ["https://h.example/a/b/list?page=2", "https://h.example", "http://h.example/a/b/", "https://h.example/x#top"]
     hrefs = ["/detail-jobs/1?x=1#y", "detail/1", "../up/1", "../../../up", "./here/./2", "https://other.example/z;p?q", "//cdn.example/w", "?page=3", "#f", "", "a/../b", "/a/b/../c/", ".."]
     df = spark.createDataFrame([(p, h) for p in pages for h in hrefs], "p string, h string")
-    for r in df.select("p", "h", N.resolve(F.col("p"), F.col("h")).alias("u")).collect():
+    for r in df.select("p", "h", H.resolve(F.col("p"), F.col("h")).alias("u")).collect():
         want = urljoin(r.p, r.h).split("#")[0].split("?")[0]
         want = want.rsplit("/", 1)[0] + "/" + want.rsplit("/", 1)[1].split(";")[0] if want.count("/") > 2 else want
         assert r.u.rstrip("/") == want.rstrip("/"), (r.p, r.h, r.u, want)
@@ -136,3 +137,11 @@ def test_header_fields_stay_in_the_header(spark):
 def test_no_pages(spark):
     empty = list_frame(spark, "x").limit(0)
     assert N.cards(empty).collect() == [] and N.labelled_values(empty, ["Field"]).collect() == [] and N.header_fields(empty).collect() == []
+
+
+def test_links_of_any_quotes_and_steps(spark):
+    page = ("<a class=x href='/detail-jobs/1?a=1'>a</a><A HREF=\"../detail-jobs/2#t\">b</A><a href=/detail-jobs/3>c</a><a href='https://h.example/detail-jobs/1'>a</a>"
+            "<a href='https://other.example/detail-jobs/9'>o</a><a href='mailto:x@y'>m</a><a data-href='/no' title='x'>n</a><a href='/about'>z</a><script><a href='/s'></script>")
+    df = spark.createDataFrame([("https://h.example/list/p", page)], "u string, h string")
+    (r,) = df.select(H.html_links("h", "u").alias("all"), H.html_links("h", "u", "^/detail-jobs/").alias("jobs")).collect()
+    assert r.jobs == [f"https://h.example/detail-jobs/{i}" for i in (1, 2, 3)] and r.all == ["https://h.example/about", *r.jobs]

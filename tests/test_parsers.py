@@ -147,6 +147,33 @@ def test_layers_follow_their_inputs(spark):
     assert count() == 8 and len(calls) == 2
 
 
+def test_layers_follow_code_and_parameters(spark, monkeypatch):
+    from hiresight import session
+    from hiresight.sources.feeds import scratch_path
+    src = scratch_path(spark, "layer-src")
+    spark.range(5).write.parquet(src)
+    least = lambda n: session.layer(spark, "least", [src], lambda: spark.read.parquet(src).where(f"id >= {n}"), params=n).count()
+    assert least(1) == 4 and least(3) == 2 and least(1) == 4
+    monkeypatch.setattr(session, "code_digest", lambda: "other code")
+    assert session.layer(spark, "least", [src], lambda: spark.range(9), params=1).count() == 9
+
+
+def test_of_two_writers_of_a_layer_one_publishes(spark):
+    from hiresight.session import publish
+    from hiresight.sources.feeds import scratch_path
+    a, b, to = (scratch_path(spark, "publish") for _ in range(3))
+    spark.range(5).write.parquet(a)
+    spark.range(7).write.parquet(b)
+    assert publish(spark, a, to) and not publish(spark, b, to)
+    assert spark.read.parquet(to).count() == 5
+
+
+def test_metrics_without_a_file_are_the_fixed_table(spark):
+    from hiresight.sources import feeds
+    rows = {(r.model, r.metric): r.value for r in feeds.scan_metrics(spark, feeds.scratch_path(spark, "no-metrics")).collect()}
+    assert len(rows) == 16 and rows["XGBoost", "r2"] == 0.9134 and rows["LightGBM", "mape"] == 22.6
+
+
 def test_url_normalise_keeps_params_of_inner_segments(spark):
     from conftest import one_col
     from hiresight.functions.html import url_normalise

@@ -261,7 +261,9 @@ def feature_importance(model, feats, k: int = 15):
 def f_scores(df: DataFrame, feats, target: str = "salary") -> DataFrame:
     """Univariate regression F score per feature: r^2 / (1 - r^2) * (n - 2)."""
     n = df.count()
-    row = df.agg(*[F.corr(q(c), F.col(target)).alias(c) for c in feats]).first()
+    y = F.col(target)
+    r_of = lambda c: F.try_divide(F.covar_pop(q(c), y), F.stddev_pop(q(c)) * F.stddev_pop(y))  # noqa: E731  null for a constant column
+    row = df.agg(*[r_of(c).alias(c) for c in feats]).first()
     out = []
     for c in feats:
         r = row[c]
@@ -297,7 +299,8 @@ def mutual_information(df: DataFrame, feats, target: str = "salary", bins: int =
 
 def select_k_best(df: DataFrame, feats, k: int = 30, target: str = "salary") -> DataFrame:
     """(feature, f_score, mi, score), the k best by 0.6 x mutual information +
-    0.4 x F score, each scaled to [0, 1] over the features; ties by name."""
+    0.4 x F score, each scaled to [0, 1] over the features; ties by name.  A missing value is 0."""
+    df = df.na.fill(0, subset=list(feats))
     d = f_scores(df, feats, target).join(mutual_information(df, feats, target), "feature").na.fill(0.0, ["f_score", "mi"])
     unit = lambda c: F.coalesce(F.try_divide(F.col(c) - F.min(c).over(w), F.max(c).over(w) - F.min(c).over(w)), F.lit(0.0))
     w = Window.partitionBy(F.lit(0))  # one row a feature

@@ -6,7 +6,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
-from ..functions.constants import CITY_MULTIPLIER_DEFAULT, CITY_MULTIPLIERS
+from ..functions.constants import CITY_MULTIPLIER_DEFAULT, CITY_MULTIPLIERS, SKILL_COMBOS, VALID_IT_SKILLS
 from ..operators import boosting as B
 from ..operators import enrich as E
 from ..operators import ml as M
@@ -122,31 +122,35 @@ def q_minmax(spark, sf):
         "post_id", F.round("salary_scaled", 6).alias("salary_scaled"))
 
 
-_FEATS = ["exp_years", "num_skills", "remote", "english", "is_big_city", "city_multiplier", "num_high_value_skills"]
+#: every feature column of the enriched table, in the order of ``operators.ml.feature_columns``
+_SKILL_FLAGS = list(dict.fromkeys(VALID_IT_SKILLS))
+_FEATS_SQL = ([(c, c) for c in M.BASE_FEATURES] + [("skill_" + s, f"CAST(list_contains(skills, {O.q(s)}) AS INTEGER)") for s in _SKILL_FLAGS]
+              + [("combo_" + n, "combo_" + n) for n, _ in SKILL_COMBOS] + [(c, c) for c in M.INTERACTIONS])
 
 
 def _kbest_sql(k):
-    bins = lambda c: (f"CASE WHEN max({c}) OVER () = min({c}) OVER () THEN 0 ELSE least(floor(({c} - min({c}) OVER ()) / "
-                      f"((max({c}) OVER () - min({c}) OVER ()) / 16)), 15) END")
-    f = " UNION ALL ".join(f"SELECT '{c}' AS feature, corr({c}, salary) * corr({c}, salary) / (1 - corr({c}, salary) * "
-                           f"corr({c}, salary)) * (count(*) - 2) AS f FROM enriched" for c in _FEATS)
-    cut = ", ".join(f"{bins(c)} AS \"b_{c}\"" for c in [*_FEATS, "salary"])
-    mi = " UNION ALL ".join(f"""SELECT '{c}' AS feature, sum(n / t * ln((n / t) / ((nx / t) * (ny / t)))) AS mi FROM (
-        SELECT CAST(count(*) AS DOUBLE) AS n, sum(count(*)) OVER () AS t, sum(count(*)) OVER (PARTITION BY "b_{c}") AS nx,
-               sum(count(*)) OVER (PARTITION BY b_salary) AS ny FROM cut GROUP BY "b_{c}", b_salary)""" for c in _FEATS)
+    """One long table of (feature, value, salary), read once for the correlations and once for the joint histograms."""
+    pairs = ", ".join(f"{{'f': {O.q(n)}, 'x': CAST(coalesce({e}, 0) AS DOUBLE)}}" for n, e in _FEATS_SQL)
+    cut = lambda c, lo, hi: f"CASE WHEN {hi} = {lo} THEN 0 ELSE least(floor(({c} - {lo}) / (({hi} - {lo}) / 16)), 15) END"
     return W(ENRICHED, f""",
-cut AS (SELECT {cut} FROM enriched), fs AS ({f}), ms AS ({mi}),
+long AS MATERIALIZED (SELECT p.f AS feature, p.x AS x, salary AS y FROM (SELECT salary, unnest([{pairs}]) AS p FROM enriched)),
+st AS (SELECT feature, corr(x, y) AS r, count(*) AS n, min(x) AS lo, max(x) AS hi, min(y) AS ylo, max(y) AS yhi FROM long GROUP BY feature),
+fs AS (SELECT feature, CASE WHEN r IS NULL OR isnan(r) THEN 0 ELSE r * r / (1 - r * r) * (n - 2) END AS f FROM st),
+jt AS (SELECT feature, {cut("x", "lo", "hi")} AS bx, {cut("y", "ylo", "yhi")} AS b, CAST(count(*) AS DOUBLE) AS n FROM long JOIN st s USING (feature) GROUP BY 1, 2, 3),
+ms AS (SELECT feature, sum(n / t * ln((n / t) / ((nx / t) * (ny / t)))) AS mi FROM (
+    SELECT feature, n, sum(n) OVER (PARTITION BY feature) AS t, sum(n) OVER (PARTITION BY feature, bx) AS nx, sum(n) OVER (PARTITION BY feature, b) AS ny FROM jt)
+    GROUP BY feature),
 sc AS (SELECT feature, f, mi, 0.6 * (mi - min(mi) OVER ()) / (max(mi) OVER () - min(mi) OVER ())
               + 0.4 * (f - min(f) OVER ()) / (max(f) OVER () - min(f) OVER ()) AS score FROM fs JOIN ms USING (feature))
 SELECT feature, round(f, 4) AS f_score, round(mi, 6) AS mi, round(score, 6) AS score FROM sc
-ORDER BY round(score, 9) DESC, feature LIMIT {k}""".replace(",\ncut", ",\ncut", 1))
+ORDER BY round(score, 9) DESC, feature LIMIT {k}""")
 
 
-@register("select_k_best", _kbest_sql(5))
+@register("select_k_best", _kbest_sql(30))
 def q_kbest(spark, sf):
-    d = C.enriched_layer(spark, sf)
-    return M.select_k_best(d, _FEATS, 5).select("feature", F.round("f_score", 4).alias("f_score"), F.round("mi", 6).alias("mi"),
-                                                F.round("score", 6).alias("score"))
+    d = M.with_skill_flags(C.enriched_layer(spark, sf))
+    return M.select_k_best(d, M.feature_columns(d), 30).select("feature", F.round("f_score", 4).alias("f_score"), F.round("mi", 6).alias("mi"),
+                                                               F.round("score", 6).alias("score"))
 
 
 _PROF = ", ".join(f"round(avg({c}), 6) AS {c}" for c in M.CLUSTER_FEATURES)

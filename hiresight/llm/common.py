@@ -21,11 +21,13 @@ BATCH_CONF = {
 }
 
 
-def session_of(df: DataFrame) -> SparkSession:
-    """The frame's session, with the batch limits in force."""
+def session_of(df: DataFrame, most_bytes: int | None = None) -> SparkSession:
+    """The frame's session, with the batch limits in force; a lower limit on bytes that is set already stays."""
     spark = df.sparkSession
     for k, v in BATCH_CONF.items():
-        spark.conf.set(k, v)
+        now = spark.conf.get(k, "")
+        least = min(int(v), most_bytes or int(v)) if "Bytes" in k else int(v)
+        spark.conf.set(k, str(min(least, int(now)) if "Bytes" in k and now.isdigit() and int(now) > 0 else least))
     return spark
 
 

@@ -17,13 +17,15 @@ from hiresight.llm.common import session_of, stage
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: a text is rejected when no language is this likely, or when it has no letter
 LEAST_POSTERIOR = 0.5
+#: bytes of an Arrow batch: workers live through all stages, so each stage's batches add to what they hold
+BATCH_BYTES = 4 << 20
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps texts with a predicted language; labels of all rows train the model.
 
     Null and empty texts go; rows that repeat an id are each judged; an empty table stays empty."""
-    session_of(docs)
+    session_of(docs, BATCH_BYTES)
     docs = docs.select(COLUMNS)
     model = langid.fit(docs, public_tokenizers.path("piece_bpe_32k.model"))
     kept = langid.predict(docs, model).where((F.col("__lang_pred") != langid.UNDETERMINED) & (F.col("__score") >= LEAST_POSTERIOR))
@@ -34,6 +36,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops repeated lines from the texts; every document stays, null texts as they are.
 
     Rows that repeat an id are one document when documents with a line are counted."""
+    session_of(docs, BATCH_BYTES)
     docs = docs.select(COLUMNS)
     return (line_dedup.apply_keep_bitmaps(docs, line_dedup.line_keep_bitmaps(docs)).select(COLUMNS)
             .withColumn("n_chars", F.when(F.col("text").isNotNull(), F.length("text").cast("long")).otherwise(F.col("n_chars"))))
@@ -46,6 +49,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Rows are told apart by (id, text), not by id: rows that share an id, but not
     the text, stand for themselves, and of rows that share both one stays.  An
     empty table stays empty."""
+    session_of(docs, BATCH_BYTES)
     docs = docs.select(COLUMNS).withColumn("__key", F.xxhash64("doc_id", "text"))
     groups = stage(jaccard.jaccard_components(docs, id_col="__key", size=5, percent=80).select(F.col("doc_id").alias("__key"), "component_id"), "components")
     named = groups.distinct().join(docs.select("__key", "doc_id").distinct(), "__key")
@@ -61,12 +65,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold a test item, exact or edited; null texts hold none,
     rows that repeat an id are each judged, and without documents or items nothing is dropped."""
+    session_of(docs, BATCH_BYTES)
     return decontaminate.drop_contaminated(docs.select(COLUMNS), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents in windows of 1024 tokens; a null text is empty (its end
     alone), rows that repeat an id are each packed, and an empty table has no pieces."""
+    session_of(docs, BATCH_BYTES)
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 

@@ -15,19 +15,19 @@ from hiresight.session import ensure_checkpoint_dir
 
 #: Arrow batches stay small whatever the row width, so that a Python worker's
 #: memory does not depend on how long the texts are.
-BATCH_CONF = {
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "4096",
-    "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20),
-}
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_CONF = {"spark.sql.execution.arrow.maxRecordsPerBatch": "4096", BATCH_BYTES: str(16 << 20)}
 
 
 def session_of(df: DataFrame, most_bytes: int | None = None) -> SparkSession:
     """The frame's session, with the batch limits in force; a lower limit on bytes that is set already stays."""
     spark = df.sparkSession
+    before = str(spark.conf.get(BATCH_BYTES))
     for k, v in BATCH_CONF.items():
-        now = spark.conf.get(k, "")
-        least = min(int(v), most_bytes or int(v)) if "Bytes" in k else int(v)
-        spark.conf.set(k, str(min(least, int(now)) if "Bytes" in k and now.isdigit() and int(now) > 0 else least))
+        spark.conf.set(k, v)
+    now = int(before.rstrip("b")) if before.rstrip("b").isdigit() else 0
+    limits = [int(BATCH_CONF[BATCH_BYTES]), *([now] if now else []), *([most_bytes] if most_bytes else [])]
+    spark.conf.set(BATCH_BYTES, str(min(limits)))
     return spark
 
 

@@ -15,7 +15,6 @@ from dataclasses import dataclass
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import Model, PipelineModel
-from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
@@ -26,7 +25,7 @@ from pyspark.sql import functions as F
 from ..functions.constants import BIG_CITIES, SERVING_HIGH_VALUE, VALID_IT_SKILLS
 from ..functions.skills import skill_one_hot
 from ..session import materialise, path_exists
-from . import boosting
+from . import boosting, clustering
 from .enrich import city_multiplier, combo_flags
 from .relational import scalar, trim_quantiles
 from .sampling import flag_exact_global
@@ -317,28 +316,26 @@ def minmax_scale(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
 CLUSTER_FEATURES = ["exp_years", "num_skills", "salary", "is_big_city"]
 
 
-def cluster_market(df: DataFrame, k: int = 4, restarts: int = 10, seed: int = 42):
-    """Standardise the features that exist, K-Means with ``restarts`` seeds, keep the
-    lowest training cost.  Returns (all rows with ``cluster``, features) or None.
+def cluster_market(df: DataFrame, k: int = 4, restarts: int = 10, seed: int = 42, id_col: str = "post_id"):
+    """Standardise the features that exist, K-means from ``restarts`` k-means++ seedings, keep
+    the lowest cost.  Returns (all rows with ``cluster``, features) or None.
 
     The label is a column of the same rows: nothing is joined back, so rows
-    that repeat an id keep their own."""
+    that repeat an id keep their own.  Without rows every label is null."""
     feats = [c for c in CLUSTER_FEATURES if c in df.columns]
     if not feats:
         return None
     d = df.na.fill(0, subset=feats)
     params = fit_scaler(d, feats)
-    z = [F.lit(0.0) if not params[c][1] else (q(c) - F.lit(params[c][0])) / F.lit(params[c][1]) for c in feats]
-    d = d.withColumns({f"__z{i}": x for i, x in enumerate(z)})
-    data = VectorAssembler(inputCols=[f"__z{i}" for i in range(len(feats))], outputCol="__features").transform(d) \
-        .drop(*[f"__z{i}" for i in range(len(feats))])
-    points = data.select("__features").persist()
+    z = {f"__z{i}": F.lit(0.0) if not params[c][1] else (q(c) - F.lit(params[c][0])) / F.lit(params[c][1]) for i, c in enumerate(feats)}
+    data = d.withColumns(z)
+    points = data.select(id_col, *z).persist()
     try:
-        fits = [KMeans(k=k, seed=seed + r, featuresCol="__features", predictionCol="cluster").fit(points) for r in range(restarts)]
+        found = clustering.kmeans(points, list(z), k, [seed + r for r in range(restarts)], id_col)
     finally:
         points.unpersist()
-    best = min(fits, key=lambda m: m.summary.trainingCost)
-    return best.transform(data).drop("__features"), feats
+    cluster = F.lit(None).cast("int") if found is None else clustering.label(list(z), found[0])
+    return data.withColumn("cluster", cluster).drop(*z), feats
 
 
 def cluster_profiles(labelled: DataFrame, feats) -> DataFrame:

@@ -319,6 +319,39 @@ def q_predict_batch(spark, sf):
             .select("post_id", *M.prediction_band(F.col("p")), "factors", F.coalesce("recommendations", F.lit("")).alias("recommendations")))
 
 
+def _kmeans_sql(k=4, restarts=10, seed=42, steps=60):
+    """Seeds by weighted hash draws, then Lloyd steps as a recursion over all restarts."""
+    zs = ["z0", "z1", "z2", "z3"]
+    std = ", ".join(f"CASE WHEN stddev_pop({c}) OVER () = 0 THEN 0 ELSE ({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER () END AS {z}"
+                    for c, z in zip(M.CLUSTER_FEATURES, zs))
+    u = lambda s: f"CAST(('0x' || substr(md5(CAST(post_id AS VARCHAR) || ':' || CAST(r AS VARCHAR) || ':{s}'), 1, 8)) AS BIGINT) / 4294967296.0"
+    dist = lambda c: "(" + " + ".join(f"({z} - {c}[{i + 1}]) * ({z} - {c}[{i + 1}])" for i, z in enumerate(zs)) + ")"
+    point = f"[{', '.join(zs)}]"
+    out = f""",
+pts AS MATERIALIZED (SELECT post_id, {", ".join(M.CLUSTER_FEATURES)}, {std} FROM enriched),
+rs AS (SELECT unnest(range({seed}, {seed + restarts})) AS r),
+s0 AS MATERIALIZED (SELECT r, [arg_min({point}, {{'u': u, 'i': post_id}})] AS cs FROM (SELECT *, {u(0)} AS u FROM pts, rs) GROUP BY r)"""
+    for s in range(1, k):
+        out += f""",
+s{s} AS MATERIALIZED (SELECT r, list_append(any_value(cs), arg_min({point}, {{'u': -ln(1 - u) / d, 'i': post_id}})) AS cs
+  FROM (SELECT *, {u(s)} AS u, list_min(list_transform(cs, lambda c: {dist("c")})) AS d FROM pts, s{s - 1}) WHERE d > 0 GROUP BY r)"""
+    near = f"list_sort(list_transform(cs, lambda c, i: {{'d': {dist('c')}, 'c': i}}))[1]"
+    return W(ENRICHED, out + f""",
+st AS (SELECT 0 AS step, r, cs FROM s{k - 1} UNION ALL
+  SELECT step + 1, r, list(ctr ORDER BY c) FROM (SELECT step, r, n.c AS c, [{", ".join(f"avg({z})" for z in zs)}] AS ctr
+    FROM (SELECT step, r, {", ".join(zs)}, {near} AS n FROM st, pts WHERE step < {steps}) GROUP BY step, r, n.c) GROUP BY step, r),
+lab AS (SELECT r, n.c - 1 AS cluster, n.d AS d, {", ".join(M.CLUSTER_FEATURES)} FROM (SELECT *, {near} AS n FROM pts, st WHERE step = {steps})),
+best AS (SELECT r FROM lab GROUP BY r ORDER BY round(sum(d), 6), r LIMIT 1)
+SELECT CAST(cluster AS INTEGER) AS cluster, {_PROF}, count(*) AS count FROM lab JOIN best USING (r) GROUP BY cluster""").replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+@register("cluster_market_all", _kmeans_sql())
+def q_cluster_all(spark, sf):
+    """The clusters of all enriched postings, by size and mean."""
+    labelled, feats = M.cluster_market(C.enriched_layer(spark, sf))
+    return labelled.groupBy("cluster").agg(*[F.round(F.avg(c), 6).alias(c) for c in feats], F.count(F.lit(1)).alias("count"))
+
+
 @register("cluster_market")
 def q_cluster_market(spark, sf):
     labelled, feats = M.cluster_market(balanced_layer(spark, sf))

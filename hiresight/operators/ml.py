@@ -198,7 +198,7 @@ def train_models(prepared: Prepared, seed: int = 42, only=None, **size) -> tuple
         train.count()
         # side by side: a round on a small table is mostly waiting for its tasks
         with ThreadPoolExecutor(len(wanted) or 1) as pool:
-            fits = list(pool.map(lambda w: inheritable_thread_target(one)(*w), wanted))
+            fits = list(pool.map(lambda w: inheritable_thread_target(test.sparkSession)(one)(*w), wanted))
     finally:
         train.unpersist()
     return (test.sparkSession.createDataFrame([row for row, _ in fits], METRICS_DDL),

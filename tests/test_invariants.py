@@ -210,7 +210,8 @@ def test_forest_grid_is_whole():
     from hiresight.operators.ml import model_specs
     specs = dict(model_specs())
     assert len(specs["Random Forest"].getEstimatorParamMaps()) == 16 and specs["Random Forest"].getNumFolds() == 5
-    assert {specs[n].getMaxIter() for n in ("XGBoost", "LightGBM", "Gradient Boosting")} == {200}
+    assert {specs["XGBoost"].rounds, specs["LightGBM"].rounds, specs["Gradient Boosting"].getMaxIter()} == {200}
+    assert (specs["XGBoost"].depth, specs["XGBoost"].leaves, specs["LightGBM"].depth, specs["LightGBM"].leaves) == (7, None, 10, 31)
 
 
 def test_r2_does_not_cancel(spark):

@@ -145,7 +145,8 @@ def line_keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     whole = (runs.where(F.col("kind") == SUMMARY).groupBy("k1", "k2")
              .agg(F.sum("n_docs").alias("total"), F.max("doc").alias("top")).where(F.col("total") >= min_docs))
     settled = runs.where(F.col("kind") == DROP).select("doc", "text_key", "pos", "n_lines")
-    opened = (runs.where(F.col("kind") == OPEN).join(whole, ["k1", "k2"]).where(~F.col("doc").eqNullSafe(F.col("top")))
+    # broadcast, so that the open rows of a hot line stay where they are
+    opened = (runs.where(F.col("kind") == OPEN).join(F.broadcast(whole), ["k1", "k2"]).where(~F.col("doc").eqNullSafe(F.col("top")))
               .select("doc", "text_key", "pos", "n_lines"))
     return (settled.unionByName(opened).groupBy("doc", "text_key")
             .agg(F.max("n_lines").alias("n_lines"), F.collect_set("pos").alias("dropped"))

@@ -1,4 +1,5 @@
 import random
+import re
 from collections import Counter, defaultdict
 
 import pytest
@@ -77,27 +78,56 @@ def test_tree_finds_what_all_pairs_find():
 
 
 def brute_spans(rows, least):
-    cuts, seen = sd.Cuts(), {}
-    found = defaultdict(list)
+    """Word by word, without units: stretches of ``least`` words that stand earlier, too, as offsets; those that meet are one."""
+    seen, out = set(), set()
     for doc, text in sorted(rows):
-        for pos, (start, end, n, digest) in enumerate(sd.units(text or "", cuts)):
-            if digest in seen:
-                found[doc].append((pos, start, end, n))
-            seen.setdefault(digest, doc)
-    out = set()
-    for doc, us in found.items():
-        i = 0
-        while i < len(us):
-            j = i + 1
-            while j < len(us) and us[j][0] == us[j - 1][0] + 1:
-                j += 1
-            words = sum(u[3] for u in us[i:j])
-            if words >= least:
-                out.add((doc, us[i][1], us[j - 1][2], words, j - i))
-            i = j
+        ws = [(m.start(), m.end(), m[0].lower()) for m in re.finditer(r"\S+", text or "")]
+        covered = set()
+        for i in range(len(ws) - least + 1):
+            gram = tuple(w[2] for w in ws[i:i + least])
+            if gram in seen:
+                covered |= set(range(i, i + least))
+            seen.add(gram)
+        for i in covered:
+            if i - 1 not in covered:
+                j = i
+                while j + 1 in covered:
+                    j += 1
+                out.add((doc, ws[i][0], ws[j][1], j - i + 1))
     return out
 
 
+def test_copies_of_51_words_are_found_and_covered_whole(spark):
+    rng = random.Random(51)
+    few, many = ["".join(rng.choice("abcdefgh") for _ in range(rng.randrange(1, 8))) for _ in range(60)], [f"w{i}" for i in range(5000)]
+    rows = []
+    for k in range(300):
+        words, joint = (few, many)[k % 2], (" ", " ", " ", "  ", "\n")[:1 + k % 5]
+        text = lambda n: "".join(rng.choice(words) + rng.choice(joint) for _ in range(n))
+        passage = text(rng.randrange(51, 70))
+        rows += [(10 * k + i, text(rng.randrange(80)) + f"x{k}{i} " + passage + f"y{k}{i} " + text(rng.randrange(80))) for i in (2, 5, 9)]
+    got = sd.repeated_spans(spark.createDataFrame(rows, "doc_id long, text string").repartition(7)).collect()
+    want = brute_spans(rows, 51)
+    assert len(want) == 600
+    assert {(r.doc_id, r.start, r.end, r.n_words) for r in got} == want
+    assert all(r.first_doc_ids == [r.doc_id // 10 * 10 + 2] for r in got)
+
+
+def test_cuts_depend_on_the_words_around_alone():
+    rng = random.Random(52)
+    hashes = sd.Hashes()
+    for k in range(300):
+        passage = [rng.choice("ab" if k % 3 else "abcdefghijklmnop") for _ in range(51)]
+        cut = []
+        for _ in range(2):
+            before, after = ([rng.choice("abcxyz") for _ in range(rng.randrange(30))] for _ in range(2))
+            w = sd.Words([" ".join(before + passage + after)], hashes)
+            first, end = w.units()
+            assert (end - first).max() <= sd.WINDOW and list(first[1:]) == list(end[:-1]) and end[-1] == len(w.line)
+            cut.append({i - len(before) for i in end if 2 * sd.WINDOW <= i - len(before) <= 51 - 2 * sd.WINDOW + 2})
+        assert cut[0] == cut[1] and cut[0]
+
+
 def test_substring_dedup(spark):
     rng = random.Random(9)
     word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randrange(2, 9)))
@@ -111,7 +141,7 @@ def test_substring_dedup(spark):
         rows[i] = (i, " ".join(w[:k] + [passage] + w[k:]))
     rows += [(100, rows[5][1] + " more"), (101, None), (102, "")]
     got = sd.repeated_spans(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()
-    assert {(r.doc_id, r.start, r.end, r.n_words, r.n_units) for r in got} == brute_spans(rows, 28)
+    assert {(r.doc_id, r.start, r.end, r.n_words) for r in got} == brute_spans(rows, 28)
     assert {r.doc_id for r in got if r.doc_id < 100} == set(planted[1:])
     texts = dict(rows)
     for r in got:  # offsets are those of the original text

@@ -110,7 +110,7 @@ def test_copies_of_51_words_are_found_and_covered_whole(spark):
     want = brute_spans(rows, 51)
     assert len(want) == 600
     assert {(r.doc_id, r.start, r.end, r.n_words) for r in got} == want
-    assert all(r.first_doc_ids == [r.doc_id // 10 * 10 + 2] for r in got)
+    assert all(r.doc_id // 10 * 10 + 2 in r.first_doc_ids for r in got)  # short units may stand earlier elsewhere
 
 
 def test_cuts_depend_on_the_words_around_alone():

@@ -20,10 +20,14 @@ from pyspark.sql import functions as F
 
 from hiresight.llm.common import arrow_schema, batch, id_bucket, session_of, stage, wider, worker_state
 
-#: longer words are taken in segments of this many code points
-SEGMENT = 32
-#: longer pieces of the vocabulary are left out
-PIECE = 8
+#: words up to this length need no scaling: no product of so many probabilities underflows
+PLAIN = 16
+#: longer words are scored one by one, position by position; the fit takes them in parts of this many code points
+LONG = 256
+#: positions between two scalings
+STEPS = 8
+#: words times positions of one lattice
+CELLS = 1 << 17
 UNKNOWN = 0
 MEMO_WORDS = 400_000
 UNDETERMINED = "und"
@@ -33,16 +37,21 @@ def has_letter(text: str | None) -> bool:
     return text is not None and any(map(str.isalpha, text))
 
 
-def segments(text: str) -> list[str]:
-    """Lower-cased words with a leading word mark, long ones in segments."""
-    out = []
-    for w in text.lower().split():
-        w = "▁" + w
-        if len(w) <= SEGMENT:
-            out.append(w)
-        else:
-            out.extend(w[i:i + SEGMENT] for i in range(0, len(w), SEGMENT))
-    return out
+def words_of(text: str) -> list[str]:
+    """Lower-cased words with a leading word mark."""
+    return ["▁" + w for w in text.lower().split()]
+
+
+def lattice_parts(words: list[str]) -> Iterator[list[str]]:
+    """Words of up to LONG code points, by length, in lists whose lattices are small."""
+    words = sorted(words, key=len)
+    i = 0
+    while i < len(words):
+        j = i + 1
+        while j < len(words) and (j + 1 - i) * (len(words[j]) + 1) <= CELLS and (len(words[j]) <= PLAIN or len(words[i]) > PLAIN):
+            j += 1
+        yield words[i:j]
+        i = j
 
 
 class Pieces:
@@ -57,7 +66,8 @@ class Pieces:
         sp = sentencepiece.SentencePieceProcessor(model_file=vocabulary_path)
         pieces = {sp.id_to_piece(i) for i in range(sp.get_piece_size())
                   if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i) or sp.is_unused(i))}
-        kept = sorted({p for p in pieces if len(p) <= PIECE and p == p.lower()})
+        kept = sorted({p for p in pieces if p == p.lower()})  # texts are lower-cased
+        self.longest = max(map(len, kept), default=1)
         self.get: dict[str, int] = {}
         for p in kept:
             for j in range(1, len(p)):
@@ -65,8 +75,22 @@ class Pieces:
         self.get |= {p: i + 1 for i, p in enumerate(kept)}
         self.size = len(kept) + 1
 
+    def starting(self, w: str, i: int) -> Iterator[tuple[int, int]]:
+        """(end, id) of the pieces of ``w`` that start at ``i``; a character alone always is one."""
+        get = self.get
+        first = get.get(w[i], UNKNOWN)
+        yield i + 1, max(first, UNKNOWN)
+        if first == UNKNOWN:
+            return
+        for j in range(i + 2, min(i + self.longest, len(w)) + 1):
+            p = get.get(w[i:j])
+            if p is None:
+                return
+            if p > 0:
+                yield j, p
+
     def lattice(self, words: list[str]) -> "Lattice":
-        get, word, begin, end, piece = self.get, [], [], [], []
+        get, longest, word, begin, end, piece = self.get, self.longest, [], [], [], []
         for k, w in enumerate(words):
             n = len(w)
             for i in range(n):
@@ -77,7 +101,7 @@ class Pieces:
                 piece.append(max(first, UNKNOWN))
                 if first == UNKNOWN:
                     continue
-                for j in range(i + 2, min(i + PIECE, n) + 1):
+                for j in range(i + 2, min(i + longest, n) + 1):
                     p = get.get(w[i:j])
                     if p is None:
                         break
@@ -86,48 +110,88 @@ class Pieces:
                         begin.append(i)
                         end.append(j)
                         piece.append(p)
-        return Lattice(np.array([len(w) for w in words]), *(np.array(x, np.int64) for x in (word, begin, end, piece)))
+        return Lattice(np.array([len(w) for w in words]), longest, *(np.array(x, np.int64) for x in (word, begin, end, piece)))
+
+    def long_word_logs(self, w: str, p: np.ndarray) -> np.ndarray:
+        """log probability of one word of any length; the state is what lies within one piece's reach."""
+        ahead = np.zeros((self.longest + 1, p.shape[1]))  # ring of positions i, i + 1, ...
+        ahead[0], scale, size = 1, np.zeros(p.shape[1]), self.longest + 1
+        for i in range(len(w)):
+            if i % STEPS == 0:
+                most = ahead.max(0)
+                ahead /= most
+                scale += np.log(most)
+            here = ahead[i % size].copy()
+            ahead[i % size] = 0
+            for j, piece in self.starting(w, i):
+                ahead[j % size] += here * p[piece]
+        return np.log(ahead[len(w) % size]) + scale
 
 
 class Lattice:
-    """All pieces of a list of words, as edges between character positions."""
+    """All pieces of a list of words, as edges between character positions.
 
-    def __init__(self, lengths, word, begin, end, piece):
-        self.lengths, width = lengths, SEGMENT + 1
+    Values of long words are scaled on the way; ``scale`` then holds the logs
+    that belong to each position's values."""
+
+    def __init__(self, lengths, longest, word, begin, end, piece):
+        self.lengths, self.longest, self.width = lengths, longest, int(lengths.max(initial=0)) + 1
         self.word, self.begin, self.end, self.piece = word, begin, end, piece
-        self.source, self.target, self.n = word * width + begin, word * width + end, len(lengths) * width
+        self.source, self.target, self.n = word * self.width + begin, word * self.width + end, len(lengths) * self.width
+        self.first = np.arange(len(lengths)) * self.width
+        self.last = self.first + lengths
 
-    def _sweep(self, p: np.ndarray, key: np.ndarray, source: np.ndarray, target: np.ndarray, values: np.ndarray, down: bool) -> np.ndarray:
+    def _sweep(self, p: np.ndarray, start: np.ndarray, key: np.ndarray, source: np.ndarray, target: np.ndarray, down: bool) -> tuple[np.ndarray, np.ndarray | None]:
+        values = np.zeros((self.n, p.shape[1]))
+        values[start] = 1
+        scale = np.zeros_like(values) if self.width > PLAIN + 1 else None
+        if not len(key):
+            return values, scale
+        shape = (len(self.lengths), self.width, p.shape[1])
+        total = np.zeros((len(self.lengths), p.shape[1]))
         order = np.lexsort((target, -key if down else key))
         key, source, target, prob = key[order], source[order], target[order], p[self.piece[order]]
         cuts = np.flatnonzero(np.diff(key)) + 1
-        for a, b in zip(np.concatenate([[0], cuts]), np.concatenate([cuts, [len(key)]])):
+        for step, (a, b) in enumerate(zip(np.concatenate([[0], cuts]), np.concatenate([cuts, [len(key)]])), 1):
             t = target[a:b]
             starts = np.concatenate([[0], np.flatnonzero(np.diff(t)) + 1])
-            values[t[starts]] += np.add.reduceat(values[source[a:b]] * prob[a:b], starts)
-        return values
-
-    def forward(self, p: np.ndarray) -> np.ndarray:
+            at = t[starts]
+            if scale is None:
+                values[at] += np.add.reduceat(values[source[a:b]] * prob[a:b], starts)
+                continue
+            fresh = values[at] == 0  # where the sweep of a word starts, its one is there already
+            values[at] += np.add.reduceat(values[source[a:b]] * prob[a:b], starts)
+            scale[at] = np.where(fresh, total[at // self.width], scale[at])
+            if step % STEPS == 0:
+                here = int(key[a])
+                reach = slice(here, here + self.longest) if down else slice(max(here - self.longest + 1, 0), here + 1)
+                block = values.reshape(shape)[:, reach]
+                most = block.max(1)
+                most[most == 0] = 1  # words that end before or start after
+                block /= most[:, None]
+                scale.reshape(shape)[:, reach] += np.log(most)[:, None]
+                total += np.log(most)
+        return values, scale
+
+    def forward(self, p: np.ndarray) -> tuple[np.ndarray, np.ndarray | None]:
         """Per position, the probability of all segmentations of what lies before it. p: (pieces, languages)."""
-        values = np.zeros((self.n, p.shape[1]))
-        values[np.arange(len(self.lengths)) * (SEGMENT + 1)] = 1
-        return self._sweep(p, self.end, self.source, self.target, values, False) if len(self.word) else values
+        return self._sweep(p, self.first, self.end, self.source, self.target, False)
 
-    def backward(self, p: np.ndarray) -> np.ndarray:
-        values = np.zeros((self.n, p.shape[1]))
-        values[np.arange(len(self.lengths)) * (SEGMENT + 1) + self.lengths] = 1
-        return self._sweep(p, self.begin, self.target, self.source, values, True) if len(self.word) else values
+    def backward(self, p: np.ndarray) -> tuple[np.ndarray, np.ndarray | None]:
+        return self._sweep(p, self.last, self.begin, self.target, self.source, True)
 
     def word_logs(self, p: np.ndarray) -> np.ndarray:
         """log probability of each word in each language."""
-        return np.log(self.forward(p)[np.arange(len(self.lengths)) * (SEGMENT + 1) + self.lengths] + 1e-300)
+        values, scale = self.forward(p)
+        return np.log(values[self.last]) + (0 if scale is None else scale[self.last])
 
     def expected(self, p: np.ndarray, language: np.ndarray, weight: np.ndarray, size: int) -> np.ndarray:
         """Expected piece counts (pieces, languages); each word counts for its own language."""
-        a, b = self.forward(p), self.backward(p)
-        total = a[np.arange(len(self.lengths)) * (SEGMENT + 1) + self.lengths, language] + 1e-300
+        (a, la), (b, lb) = self.forward(p), self.backward(p)
         lang = language[self.word]
-        share = a[self.source, lang] * p[self.piece, lang] * b[self.target, lang] / total[self.word] * weight[self.word]
+        share = a[self.source, lang] * p[self.piece, lang] * b[self.target, lang] / a[self.last, language][self.word] * weight[self.word]
+        if la is not None:
+            share *= np.exp(la[self.source, lang] + lb[self.target, lang] - la[self.last, language][self.word])
         return np.bincount(self.piece * p.shape[1] + lang, share, size * p.shape[1]).reshape(size, -1)
 
 
@@ -142,7 +206,7 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema, counts = arrow_schema({"lang": pa.string(), "word": pa.string(), "n": pa.int64()}), Counter()
     for b in batches:
         for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-            counts.update((lang, w) for w in segments(text))
+            counts.update((lang, w[i:i + LONG]) for w in words_of(text) for i in range(0, len(w), LONG))
     items = list(counts.items())
     for i in range(0, len(items), 16384):
         part = items[i:i + 16384]
@@ -157,8 +221,12 @@ def _expect(path: str, p: np.ndarray, languages: list[str]):
         pieces, total = _pieces(path), np.zeros_like(p)
         for b in batches:
             if b.num_rows:
-                language = np.array([place[x] for x in b.column(0).to_pylist()])
-                total += pieces.lattice(b.column(1).to_pylist()).expected(p, language, b.column(2).to_numpy().astype(float), len(p))
+                rows = {}
+                for lang, word, n in zip(*(b.column(i).to_pylist() for i in range(3))):
+                    rows.setdefault(word, []).append((place[lang], n))
+                for part in lattice_parts([w for w, found in rows.items() for _ in found]):
+                    language, n = zip(*(rows[w].pop() for w in part))
+                    total += pieces.lattice(part).expected(p, np.array(language), np.array(n, float), len(p))
         i, j = np.nonzero(total)
         if len(i):
             yield batch(schema, piece=i.astype(np.int32), language=j.astype(np.int32), n=total[i, j])
@@ -227,8 +295,7 @@ class Scorer:
         self.place, self.logs, self.used = {}, np.empty((1 << 14, len(self.model.languages))), 0
 
     def learn(self, words: list[str]) -> None:
-        for i in range(0, len(words), 8192):
-            part = words[i:i + 8192]
+        for part in lattice_parts(words):
             logs = self.pieces.lattice(part).word_logs(self.model.p)
             while self.used + len(part) > len(self.logs):
                 self.logs = np.concatenate([self.logs, np.empty_like(self.logs)])
@@ -238,16 +305,20 @@ class Scorer:
 
     def text_logs(self, texts: list[str]) -> np.ndarray:
         """Sum of word log probabilities of each text, by language."""
-        split = [segments(t) for t in texts]
+        split = [words_of(t) for t in texts]
         if self.used > MEMO_WORDS:
             self.reset()
+        out = np.zeros((len(texts), len(self.model.languages)))
+        for k, ws in enumerate(split):
+            if any(len(w) > LONG for w in ws):
+                out[k] = sum(self.pieces.long_word_logs(w, self.model.p) for w in ws if len(w) > LONG)
+                split[k] = [w for w in ws if len(w) <= LONG]
         new = set().union(*split) - self.place.keys()
         self.learn(sorted(new))
-        out = np.zeros((len(texts), len(self.model.languages)))
         get = self.place.__getitem__
         for k, ws in enumerate(split):
             if ws:
-                out[k] = self.logs[np.fromiter(map(get, ws), np.int64, len(ws))].sum(0)
+                out[k] += self.logs[np.fromiter(map(get, ws), np.int64, len(ws))].sum(0)
         return out
 
 

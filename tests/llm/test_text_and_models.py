@@ -102,7 +102,7 @@ def test_forward_sums_all_segmentations():
     def brute(w, lang):
         sums = [1.0] + [0.0] * len(w)
         for j in range(1, len(w) + 1):
-            for i in range(max(0, j - langid.PIECE), j):
+            for i in range(j):
                 k = pieces.get.get(w[i:j], 0 if j - i == 1 else None)
                 if k is not None and (k > 0 or j - i == 1):
                     sums[j] += sums[i] * p[max(k, 0), lang]
@@ -124,7 +124,31 @@ def test_forward_sums_all_segmentations():
 
 
 def test_long_words_are_scored_whole():
-    assert "".join(langid.segments("x" * 1000 + " Y")) == "▁" + "x" * 1000 + "▁y"
+    assert langid.words_of("x" * 1000 + " Y") == ["▁" + "x" * 1000, "▁y"]
+    pieces = langid.Pieces(PIECES)
+    rng = np.random.default_rng(2)
+    p = rng.random((pieces.size, 3)) * 1e-6
+    words = ["▁" + "".join(rng.choice(list("thestraßeing漢"), n)) for n in (3, 15, 16, 17, 40, 200, 255, 300, 1000)] + ["▁" + "internationalization" * 5]
+
+    def brute(w, lang):  # in logs
+        sums = [0.0] + [-math.inf] * len(w)
+        for j in range(1, len(w) + 1):
+            for i in range(max(0, j - pieces.longest), j):
+                k = pieces.get.get(w[i:j], 0 if j - i == 1 else -1)
+                if k > 0 or j - i == 1:
+                    sums[j] = np.logaddexp(sums[j], sums[i] + math.log(p[max(k, 0), lang]))
+        return sums[-1]
+
+    want = np.array([[brute(w, lang) for lang in range(3)] for w in words])
+    assert pieces.longest > 8 and np.allclose(pieces.lattice(words).word_logs(p), want, rtol=1e-9)
+    assert np.allclose([pieces.long_word_logs(w, p) for w in words], want, rtol=1e-9)
+    assert sorted(sum(langid.lattice_parts(words), [])) == sorted(words)
+    length = np.ones(pieces.size)
+    for s, k in pieces.get.items():
+        if k > 0:
+            length[k] = len(s)
+    e = pieces.lattice(words).expected(p, np.arange(len(words)) % 3, np.ones(len(words)), pieces.size)
+    assert np.isclose((e.sum(1) * length).sum(), sum(map(len, words)))
 
 
 def test_language_held_out_accuracy(spark):

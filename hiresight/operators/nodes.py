@@ -13,6 +13,7 @@ on the page and on numbers.
 from __future__ import annotations
 
 import html as _html
+import itertools
 import re
 import sys
 from collections.abc import Iterator
@@ -118,66 +119,95 @@ def fold(page: str) -> tuple[list[list], list[str]]:
 ELEMENT = T.StructType([T.StructField(n, T.StringType() if n in ("tag", "class", "href") else T.IntegerType()) for n in FIELDS])
 
 
+def by_key(left: DataFrame, right: DataFrame, on, how: str = "inner") -> DataFrame:
+    """A join dealt out by its key.  Node tables compress so well as files that their
+    size on disk says nothing about a broadcast's size in memory, so none is broadcast."""
+    return left.join(right.hint("merge"), on, how)
+
+
 @dataclass
 class Nodes:
-    """The elements and the lines of text of pages, both keyed by the page; ``pages``: the page with its lines as an array."""
+    """The elements of pages, keyed by the page; ``pages``: the page with its lines of text
+    (and its other kept columns) as an array; ``whole``: a row for each key with all its
+    elements and numbered lines as arrays."""
 
     elements: DataFrame
     lines: DataFrame
     pages: DataFrame
+    whole: DataFrame
     key: str
 
-    def texts(self, wanted: DataFrame, lines: bool = False) -> DataFrame:
-        """``wanted`` (page, node, t0, t1; distinct) with ``text``: the lines inside
-        joined by a blank, '' if there are none; or with ``lines``: their array."""
-        k, n, l = self.key, wanted, self.lines.withColumnRenamed(self.key, "__page")
-        inside = n.join(l, (F.col(k) == F.col("__page")) & (F.col("ord") >= F.col("t0")) & (F.col("ord") < F.col("t1")), "left")
-        found = inside.groupBy(k, "node").agg(F.transform(F.array_sort(F.collect_list(F.when(F.col("ord").isNotNull(), F.struct("ord", "text")))),
-                                                          lambda x: x["text"]).alias("lines"))
-        return found if lines else found.select(k, "node", F.array_join("lines", " ").alias("text"))
-
-    def with_texts(self, rows: DataFrame) -> DataFrame:
-        """Rows of elements with the text of each."""
-        return rows.join(self.texts(rows.select(self.key, "node", "t0", "t1").distinct()), [self.key, "node"])
+    def _held(self, rows: DataFrame, part: str) -> DataFrame:
+        """(page, ``part`` of the page, row): rows meet their page once a page, not once a row."""
+        k = self.key
+        each = rows.groupBy(k).agg(F.collect_list(F.struct(*[F.col(c) for c in rows.columns if c != k])).alias("__rows"))
+        return by_key(self.whole.select(k, F.col(part).alias("__part")), each, k)
+
+    def with_texts(self, rows: DataFrame, lines: bool = False) -> DataFrame:
+        """Rows of elements with ``text``: the lines inside joined by a blank, '' if
+        there are none; or with ``lines``: their array."""
+        k, rest = self.key, [c for c in rows.columns if c != self.key]
+        texts = lambda r: F.transform(F.filter("__part", lambda l: (l["ord"] >= r["t0"]) & (l["ord"] < r["t1"])), lambda l: l["text"])
+        own = lambda r: texts(r).alias("lines") if lines else F.array_join(texts(r), " ").alias("text")
+        found = self._held(rows, "lines").select(k, F.explode(F.transform("__rows", lambda r: F.struct(r.alias("r"), own(r)))).alias("__x"))
+        return found.select(k, *[F.col(f"__x.r.{c}").alias(c) for c in rest], "__x.lines" if lines else "__x.text")
+
+    def _pairs(self, rows: DataFrame, fits, extra) -> DataFrame:
+        """The elements of a row's page that ``fits(row, element)``, with the columns ``extra(row, element)``."""
+        k = self.key
+        of = lambda r: F.transform(F.filter("__part", lambda e: fits(r, e)), lambda e: F.struct(e.alias("e"), *extra(r, e)))
+        found = self._held(rows, "elements").select(k, F.explode(F.flatten(F.transform("__rows", of))).alias("__x"))
+        return found.select(k, "__x.e.*", "__x.*").drop("e")
 
     def above(self, rows: DataFrame, levels: int, own: bool = False) -> DataFrame:
         """(page, below, level, element) of the ancestors of elements, ``level`` steps up (1 is the parent; 0 the element itself, if ``own``)."""
-        k = self.key
-        low = rows.select(F.col(k).alias("__page"), F.col("node").alias("below"), F.col("depth").alias("__depth")).distinct()
-        level = F.col("__depth") - F.col("depth")
-        held = (F.col(k) == F.col("__page")) & (F.col("node") <= F.col("below")) & (F.col("below") <= F.col("last")) & level.between(0 if own else 1, levels)
-        return self.elements.join(low, held).withColumn("level", level).drop("__page", "__depth")
+        low = rows.select(self.key, F.col("node").alias("below"), "depth").distinct()
+        level = lambda r, e: r["depth"] - e["depth"]
+        held = lambda r, e: (e["node"] <= r["below"]) & (r["below"] <= e["last"]) & level(r, e).between(0 if own else 1, levels)
+        return self._pairs(low, held, lambda r, e: [r["below"].alias("below"), level(r, e).alias("level")])
 
     def inside(self, rows: DataFrame, tags: list[str]) -> DataFrame:
         """(page, holder, element) of the elements with one of the tags that lie inside the given ones."""
-        k = self.key
-        high = rows.select(F.col(k).alias("__page"), F.col("node").alias("holder"), F.col("last").alias("__last")).distinct()
-        held = (F.col(k) == F.col("__page")) & (F.col("node") > F.col("holder")) & (F.col("node") <= F.col("__last"))
-        return self.elements.where(F.col("tag").isin(tags)).join(high, held).drop("__page", "__last")
+        high = rows.select(self.key, F.col("node").alias("holder"), "last").distinct()
+        held = lambda r, e: (e["node"] > r["holder"]) & (e["node"] <= r["last"]) & e["tag"].isin(tags)
+        return self._pairs(high, held, lambda r, e: [r["holder"].alias("holder")])
+
+
+def _elements(pages: list[list[list]], kind: pa.DataType) -> pa.Array:
+    """The elements of pages as an array of structs for each page, built column by column."""
+    columns = [*zip(*(n for nodes in pages for n in nodes))] or [()] * len(FIELDS)
+    fields = [kind.value_type.field(i) for i in range(len(FIELDS))]
+    flat = pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(columns, fields)], fields=fields)
+    offsets = pa.array([0, *itertools.accumulate(map(len, pages))], pa.int32())
+    return pa.ListArray.from_arrays(offsets, flat, type=kind)
 
 
-def node_table(pages: DataFrame, key: str = "page_id", html: str = "html") -> Nodes:
-    """Elements and lines of all pages, each written once.
+def node_table(pages: DataFrame, key: str = "page_id", html: str = "html", keep: tuple[str, ...] = ()) -> Nodes:
+    """Elements and lines of all pages, each written once, with the columns ``keep`` of the page.
 
     A null page has neither.  Pages that repeat a key are one page after the other
     only if the key names them apart, so keys must be unique."""
-    kind = pages.schema[key].dataType
-    schema = T.StructType([T.StructField(key, kind), T.StructField("elements", T.ArrayType(ELEMENT)), T.StructField("lines", T.ArrayType(T.StringType()))])
+    schema = T.StructType([*[pages.schema[c] for c in (key, *keep)],
+                           T.StructField("elements", T.ArrayType(ELEMENT)), T.StructField("lines", T.ArrayType(T.StringType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_schema
 
         out = to_arrow_schema(schema)
         for b in batches:
-            found = [fold(p or "") for p in b.column(1).to_pylist()]
+            found = [fold(p or "") for p in b.column(b.num_columns - 1).to_pylist()]
             yield pa.RecordBatch.from_arrays([
-                b.column(0).cast(out.field(0).type),
-                pa.array([[dict(zip(FIELDS, n)) for n in nodes] for nodes, _ in found], out.field(1).type),
-                pa.array([lines for _, lines in found], out.field(2).type)], schema=out)
-
-    folded = materialise(pages.select(key, html).mapInArrow(run, schema))
+                *[b.column(i).cast(out.field(i).type) for i in range(b.num_columns - 1)],
+                _elements([nodes for nodes, _ in found], out.field(b.num_columns - 1).type),
+                pa.array([lines for _, lines in found], out.field(b.num_columns).type)], schema=out)
+
+    folded = materialise(pages.select(key, *keep, html).mapInArrow(run, schema))
+    numbered = F.transform("lines", lambda t, i: F.struct(i.alias("ord"), t.alias("text")))
+    whole = folded.groupBy(key).agg(F.flatten(F.collect_list("elements")).alias("elements"),
+                                    F.array_sort(F.flatten(F.collect_list(numbered))).alias("lines"))
     return Nodes(folded.select(key, F.explode("elements").alias("e")).select(key, "e.*"),
-                 folded.select(key, F.posexplode("lines").alias("ord", "text")), folded.select(key, "lines"), key)
+                 folded.select(key, F.posexplode("lines").alias("ord", "text")), folded.select(key, *keep, "lines"),
+                 materialise(whole), key)
 
 
 # ------------------------------------------------------------------ rules on nodes
@@ -187,10 +217,10 @@ CARD_WORDS = ["Fulltime", "Parttime", "Negotiable", "VND", "USD"]
 CARD_CLASS = "rounded-xl"
 
 
-def detail_links(nodes: Nodes, urls: DataFrame, detail: str, url: str = "url") -> DataFrame:
+def detail_links(nodes: Nodes, detail: str, url: str = "url") -> DataFrame:
     """Links to detail pages (path that matches ``detail``) with their ``text`` and ``link``, without empty ones and buttons."""
     a = nodes.elements.where((F.col("tag") == "a") & F.col("href").isNotNull() & ~F.col("href").rlike("(?i)^\\s*(javascript|mailto|tel|data):"))
-    a = a.join(urls.select(nodes.key, F.col(url).alias("__url")), nodes.key).withColumn("link", H.resolve(F.col("__url"), F.col("href")))
+    a = by_key(a, nodes.pages.select(nodes.key, F.col(url).alias("__url")), nodes.key).withColumn("link", H.resolve(F.col("__url"), F.col("href")))
     found = nodes.with_texts(a.where(H.path_of(F.col("link")).rlike(detail)))
     return found.where((F.col("text") != "") & ~F.lower("text").isin(NO_TITLES))
 
@@ -204,22 +234,22 @@ def cards(pages: DataFrame, key: str = "page_id", html: str = "html", url: str =
     span of the card, that is one ('' if none is).  The first link in order of
     (page, place on the page) counts.
     """
-    n = node_table(pages, key, html)
-    links = materialise(detail_links(n, pages, detail, url).select(key, "node", "depth", "parent", "link", "text"))
+    n = node_table(pages, key, html, keep=(url,))
+    links = materialise(detail_links(n, detail, url).select(key, "node", "depth", "parent", "link", "text"))
     text, up = F.col("text"), n.with_texts(n.above(links, levels).where(F.col("tag").isin("div", "article")))
     shown = F.array_max(F.array(*[F.contains(text, F.lit(w)) for w in CARD_WORDS]))
     is_card = (F.length("text") > 50) & (shown | F.coalesce(F.contains(F.col("class"), F.lit(CARD_CLASS)), F.lit(False)))
     near = up.where(is_card).groupBy(key, "below").agg(F.min_by("node", "level").alias("card"))
-    link = links.join(near.withColumnRenamed("below", "node"), [key, "node"], "left").withColumn("card", F.coalesce("card", "parent"))
-    held = n.elements.select(key, F.col("node").alias("card"), F.col("last")).join(link.select(key, "card").distinct(), [key, "card"])
+    link = by_key(links, near.withColumnRenamed("below", "node"), [key, "node"], "left").withColumn("card", F.coalesce("card", "parent"))
+    held = by_key(n.elements.select(key, F.col("node").alias("card"), F.col("last")), link.select(key, "card").distinct(), [key, "card"])
     spans = n.with_texts(n.inside(held.withColumnRenamed("card", "node"), ["span"]))
     spans = spans.where((F.length("text") <= 30) & F.lower("text").isin([k for k, _ in H.WORKING_FORMS]))
     grids = n.elements.where((F.col("tag") == "div") & F.contains(F.col("class"), F.lit("grid")) & F.contains(F.col("class"), F.lit("grid-cols")))
-    spans = spans.join(grids.select(key, F.col("node").alias("parent"), F.lit(True).alias("grid")), [key, "parent"], "left")
+    spans = by_key(spans, grids.select(key, F.col("node").alias("parent"), F.lit(True).alias("grid")), [key, "parent"], "left")
     in_grid = F.coalesce(F.col("grid") & (F.col("parent") > F.col("holder")), F.lit(False))
     form = spans.groupBy(key, F.col("holder").alias("card")).agg(
         F.min(F.struct(F.when(in_grid, 0).otherwise(1).alias("rank"), F.when(in_grid, F.col("parent")).alias("g"), F.col("node"), "text")).alias("f"))
-    all_ = link.join(form, [key, "card"], "left")
+    all_ = by_key(link, form, [key, "card"], "left")
     first = all_.groupBy(F.col("link").alias("source_url")).agg(F.min(F.struct(F.col(key), F.col("node"), F.col("text"), F.col("f.text").alias("form"))).alias("c"))
     return first.select("source_url", F.col("c.text").alias("title"), F.col(f"c.{key}").alias("first_page"),
                         H.working_form(F.array(F.coalesce(F.col("c.form"), F.lit("")))).alias("working_form"))
@@ -241,7 +271,7 @@ def labelled_values(pages: DataFrame, labels: list[str], key: str = "page_id", h
     # the first line inside decides whether the whole text is worth joining
     lead = n.lines.select(F.col(key), F.col("ord").alias("t0"), F.col("text").alias("__lead"))
     own = n.elements.where(F.col("tag").isin("div", "span", "p", "label") & (F.col("t0") < F.col("t1")))
-    own = own.join(lead, [key, "t0"]).where(any_of([starts(F.col("__lead"), x.split()[0]) for x in low])).drop("__lead")
+    own = by_key(own, lead, [key, "t0"]).where(any_of([starts(F.col("__lead"), x.split()[0]) for x in low])).drop("__lead")
     own = n.with_texts(own)
     hit = [(F.lower("text") == x) | starts(F.col("text"), x + ":") for x in low]
     label = F.coalesce(*[F.when(h, F.lit(x)) for h, x in zip(hit, labels)])
@@ -251,9 +281,10 @@ def labelled_values(pages: DataFrame, labels: list[str], key: str = "page_id", h
     places = n.elements.select(key, "parent", "place", "node", "t0", "t1")
     next_ = (own.where("parent >= 0").select(key, F.col("node").alias("at"), "label", "parent", F.col("place").alias("__p"),
                                              F.explode(F.sequence(F.lit(1), F.lit(siblings))).alias("rank"))
-             .withColumn("place", F.col("__p") + F.col("rank")).join(places, [key, "parent", "place"]).select(*asked.columns))
-    parent = (own.select(key, F.col("node").alias("at"), "label", F.lit(siblings + 1).alias("rank"), F.col("parent").alias("node"))
-              .join(n.elements.select(key, "node", "t0", "t1"), [key, "node"]).select(*asked.columns))
+             .withColumn("place", F.col("__p") + F.col("rank")))
+    next_ = by_key(next_, places, [key, "parent", "place"]).select(*asked.columns)
+    parent = (own.select(key, F.col("node").alias("at"), "label", F.lit(siblings + 1).alias("rank"), F.col("parent").alias("node")))
+    parent = by_key(parent, n.elements.select(key, "node", "t0", "t1"), [key, "node"]).select(*asked.columns)
     found = n.with_texts(asked.unionByName(next_).unionByName(parent).distinct())
     quoted = F.concat(F.lit("\\Q"), F.col("label"), F.lit("\\E\\s*:?\\s*"))
     rest = F.regexp_replace("text", F.concat(F.lit("(?i)^"), quoted), F.lit(""))
@@ -264,7 +295,7 @@ def labelled_values(pages: DataFrame, labels: list[str], key: str = "page_id", h
     found = found.withColumn("value", value).where((F.col("value") != "") & ~F.lower("value").isin(low) & (F.length("value") <= max_len)
                                                    & ~H.line_is_noise(F.col("value")))
     best = found.groupBy(key).agg(F.min(F.struct("at", "rank", "value")).alias("v")).select(key, F.col("v.value").alias("value"))
-    rest_ = n.pages.join(best, key, "left_anti").select(key, H.labelled_value(F.col("lines"), labels, max_len=max_len).alias("value"))
+    rest_ = by_key(n.pages, best, key, "left_anti").select(key, H.labelled_value(F.col("lines"), labels, max_len=max_len).alias("value"))
     return best.unionByName(rest_)
 
 
@@ -277,16 +308,16 @@ def header_fields(pages: DataFrame, key: str = "page_id", html: str = "html", ur
     or more, else the title's parent; its lines after the salary, without title,
     salary and noise, are location, level and experience, up to a section word.
     """
-    n = node_table(pages, key, html)
-    links = detail_links(n, pages, detail, url)
+    n = node_table(pages, key, html, keep=(url,))
+    links = detail_links(n, detail, url)
     h1 = n.with_texts(n.elements.where(F.col("tag") == "h1"))
     cols = [key, "node", "depth", "parent", "text"]
     own = F.when(H.path_of(F.col("link")) == F.regexp_extract("__url", "^https?://[^/?#]+([^;?#]*)", 1), 0).otherwise(1)
     all_ = links.select(*cols, own.alias("rank")).unionByName(h1.select(*cols, F.lit(2).alias("rank")))
     title = materialise(all_.groupBy(key).agg(F.min(F.struct("rank", "node", "depth", "parent", "text")).alias("t")).select(key, "t.*"))
     up = n.above(title, levels - 1, own=True)
-    lines = up.select(key, "below", "level", "node").join(n.texts(up.select(key, "node", "t0", "t1").distinct(), lines=True), [key, "node"])
-    lines = lines.withColumn("lines", F.array_distinct("lines")).join(title.select(key, F.col("text").alias("title"), "parent"), key)
+    lines = n.with_texts(up.select(key, "below", "level", "node", "t0", "t1"), lines=True).withColumn("lines", F.array_distinct("lines"))
+    lines = by_key(lines, title.select(key, F.col("text").alias("title"), "parent"), key)
     fits = (F.contains(F.array_join("lines", " "), F.col("title")) & F.exists("lines", lambda s: H.line_is_salary(s)) & (F.size("lines") >= 4))
     order = Window.partitionBy(key).orderBy(F.when(fits, F.col("level")).otherwise(F.lit(1000)), F.when(F.col("node") == F.col("parent"), 0).otherwise(1))
     head = lines.withColumn("__r", F.row_number().over(order)).where((F.col("__r") == 1) & (fits | (F.col("node") == F.col("parent"))))
@@ -295,5 +326,6 @@ def header_fields(pages: DataFrame, key: str = "page_id", html: str = "html", ur
     f = H.header_fields(kept)
     fields = head.select(key, salary.alias("salary_raw"), f["location"].alias("location"), f["level"].alias("level"), f["experience"].alias("experience"))
     names = ("salary_raw", "location", "level", "experience")
-    return pages.select(key).join(title.select(key, F.col("text").alias("job_title")), key, "left").join(fields, key, "left").select(
+    titled = by_key(n.pages.select(key), title.select(key, F.col("text").alias("job_title")), key, "left")
+    return by_key(titled, fields, key, "left").select(
         key, *[F.coalesce(c, F.lit("")).alias(c) for c in ("job_title", *names)])

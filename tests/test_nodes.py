@@ -145,3 +145,23 @@ def test_links_of_any_quotes_and_steps(spark):
     df = spark.createDataFrame([("https://h.example/list/p", page)], "u string, h string")
     (r,) = df.select(H.html_links("h", "u").alias("all"), H.html_links("h", "u", "^/detail-jobs/").alias("jobs")).collect()
     assert r.jobs == [f"https://h.example/detail-jobs/{i}" for i in (1, 2, 3)] and r.all == ["https://h.example/about", *r.jobs]
+
+
+def test_node_joins_are_dealt_out_by_page(spark):
+    n = N.node_table(list_frame(spark, "<div><a href='/detail-jobs/1'>Job</a></div>", "<h1>T</h1>"), keep=("url",))
+    for df in (n.with_texts(n.elements), n.above(n.elements, 3), n.inside(n.elements, ["a"]), N.by_key(n.elements, n.pages, "page_id", "left_anti")):
+        plan = df._jdf.queryExecution().sparkPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_pages_that_share_a_key_or_have_none(spark):
+    page = "<div><span>Field</span><b>Bank</b></div>"
+    df = spark.createDataFrame([(1, page), (1, page), (None, page), (2, "<p>Field: Retail</p>")], "page_id int, html string")
+    got = sorted((r.page_id or 0, r.value) for r in N.labelled_values(df, ["Field"]).collect())
+    assert got == [(0, "Bank"), (1, "Bank Bank"), (2, "Retail")]
+
+
+def test_elements_by_column_equal_the_fold(spark):
+    pages = ["<p class=a>x<b>y</b></p>z", "", None, "<a href='/q'>t</a>"]
+    rows = N.node_table(list_frame(spark, *pages)).elements.orderBy("page_id", "node").collect()
+    assert [tuple(r) for r in rows] == [(i, *n) for i, p in enumerate(pages) for n in N.fold(p or "")[0]]

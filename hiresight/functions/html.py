@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from .constants import (COMPANY_LEGAL_WORDS, NOISE_LINES, SALARY_HEADER_EXACT, SALARY_HEADER_UNITS,
                         SECTION_STOP_WORDS, WORKING_FORMS)
 from .salary import parse_salary_text_b
-from .text import contains_any, text_clean
+from .text import contains_any, let, literal_regex, text_clean
 
 # --- FIXED VALUES: HTML entities decoded (``&amp;`` last so it is decoded once).
 ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "),
@@ -140,8 +140,9 @@ def page_records(pages, source: str, crawl_date: str, html: str = "html", url: s
 def html_lines(html) -> Column:
     """Visible text as trimmed non-empty lines (block tags and <br> end a line)."""
     v = F.regexp_replace(visible(html), BLOCK_TAGS, "\n")
-    parts = F.split(v, "\n")
-    return F.filter(F.transform(parts, lambda p: strip_tags(p)), lambda s: s != "")
+    # strip_tags of every line, by passes over the whole page that stop at line ends
+    v = F.regexp_replace(unescape(F.regexp_replace(v, "<[^>\n]*>", " ")), "(?U)[\\s&&[^\n]]+", " ")
+    return F.filter(F.transform(F.split(v, "\n"), lambda p: F.trim(p)), lambda s: s != "")
 
 
 def html_blocks(html, container: str = "article") -> Column:
@@ -229,10 +230,8 @@ def url_with_page(url, page) -> Column:
 
 def line_is_salary(line) -> Column:
     """Negotiable words, or <= 120 chars with a digit and a currency word."""
-    s = text_clean(line)
-    low = F.lower(s)
-    return low.isin(SALARY_HEADER_EXACT) | ((F.length(s) <= 120) & s.rlike("[0-9]")
-                                            & contains_any(low, SALARY_HEADER_UNITS))
+    return let(text_clean(line), lambda s: F.lower(s).isin(SALARY_HEADER_EXACT) | (
+        (F.length(s) <= 120) & s.rlike("[0-9]") & contains_any(F.lower(s), SALARY_HEADER_UNITS)))
 
 
 def line_is_noise(line) -> Column:
@@ -243,43 +242,33 @@ def labelled_value(lines, labels, max_lookahead: int = 6, max_len: int = 160) ->
     """Value of the first line that is / starts with a label: the rest of that line,
     else the first following line (<= ``max_lookahead``) that is not noise or a label."""
     lab = [x.lower() for x in labels]
-    arr = _c(lines)
-    idx = F.sequence(F.lit(1), F.greatest(F.size(arr), F.lit(1)))
-
-    def starts(line):
-        low = F.lower(line)
-        cond = F.lit(False)
-        for x in lab:
-            cond = cond | (low == x) | low.startswith(x + " ") | low.startswith(x + ":")
-        return cond
-
-    hits = F.filter(idx, lambda i: starts(F.try_element_at(arr, i)))
-    first = F.try_element_at(hits, F.lit(1))
-    line = F.try_element_at(arr, first)
-    rest = line
-    for x in labels:
-        rest = F.regexp_replace(rest, f"(?i)^{x}\\s*:?\\s*", "")
-    rest = F.trim(rest)
-    same_ok = (rest != "") & (F.length(rest) <= max_len) & ~line_is_noise(rest) & ~F.lower(rest).isin(lab)
-    nxt = F.filter(F.slice(arr, first + 1, max_lookahead),
-                   lambda c: (c != "") & ~line_is_noise(c) & ~F.lower(c).isin(lab) & (F.length(c) <= max_len))
-    return F.when(F.size(hits) == 0, F.lit("")).when(same_ok, rest).otherwise(
-        F.coalesce(F.try_element_at(nxt, F.lit(1)), F.lit("")))
+    # one test a line: the line is a label, or a blank or colon follows the label
+    starts = f"\\A(?:{literal_regex(lab)})(?:[ :]|\\z)"
+
+    def value(arr, first):
+        rest = F.try_element_at(arr, first)
+        for x in labels:
+            rest = F.regexp_replace(rest, f"(?i)^{x}\\s*:?\\s*", "")
+        ok = lambda c: (c != "") & (F.length(c) <= max_len) & ~line_is_noise(c) & ~F.lower(c).isin(lab)
+        nxt = F.filter(F.slice(arr, first + 1, max_lookahead), ok)
+        return let(F.trim(rest), lambda own: F.when(ok(own), own).otherwise(F.coalesce(F.try_element_at(nxt, F.lit(1)), F.lit(""))))
+
+    return let(_c(lines), lambda arr: let(
+        F.array_position(F.transform(arr, lambda s: F.lower(s).rlike(starts)), True).cast("int"),
+        lambda first: F.when(first > 0, value(arr, first)).otherwise(F.lit(""))))
 
 
 def header_fields(lines) -> Column:
     """Lines after the first salary line up to a section word (<= 140 chars, noise dropped):
     positions 1/2/3 -> location, level, experience."""
-    arr = _c(lines)
-    pos = F.array_position(F.transform(arr, lambda s: line_is_salary(s)), True)
-    after = F.when(pos > 0, F.slice(arr, F.greatest(pos + 1, F.lit(1)), F.size(arr))).otherwise(
-        F.array().cast("array<string>"))
-    stop = F.array_position(F.transform(after, lambda s: F.lower(s).isin(SECTION_STOP_WORDS)), True)
-    upto = F.when(stop > 0, F.slice(after, 1, F.greatest(stop - 1, F.lit(0)))).otherwise(after)
-    meta = F.filter(upto, lambda s: (F.length(s) <= 140) & ~line_is_noise(s))
-    return F.struct(F.coalesce(F.try_element_at(meta, F.lit(1)), F.lit("")).alias("location"),
-                    F.coalesce(F.try_element_at(meta, F.lit(2)), F.lit("")).alias("level"),
-                    F.coalesce(F.try_element_at(meta, F.lit(3)), F.lit("")).alias("experience"))
+    none = F.array().cast("array<string>")
+    after = lambda arr: let(F.array_position(F.transform(arr, lambda s: line_is_salary(s)), True),
+                            lambda pos: F.when(pos > 0, F.slice(arr, pos + 1, F.size(arr))).otherwise(none))
+    upto = lambda a: let(F.array_position(F.transform(a, lambda s: F.lower(s).isin(SECTION_STOP_WORDS)), True),
+                         lambda stop: F.when(stop > 0, F.slice(a, 1, F.greatest(stop - 1, F.lit(0)))).otherwise(a))
+    meta = F.filter(let(let(_c(lines), after), upto), lambda s: (F.length(s) <= 140) & ~line_is_noise(s))
+    at = lambda m, i: F.coalesce(F.try_element_at(m, F.lit(i)), F.lit(""))
+    return let(meta, lambda m: F.struct(at(m, 1).alias("location"), at(m, 2).alias("level"), at(m, 3).alias("experience")))
 
 
 def company_from_lines(lines) -> Column:

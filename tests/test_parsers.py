@@ -197,3 +197,48 @@ def test_page_rules_on_hand_made_pages(spark):
     assert {k: r[k] for k in want} == want and r["benefit"].startswith("Laptop")
     (f,) = df.select(H.info_fields(H.html_lines("html")).alias("f")).collect()
     assert [(x.label, x.value) for x in f.f] == [("Industry", "Banking")]
+
+
+def test_lines_of_whole_pages_equal_lines_stripped_one_by_one(spark):
+    from hiresight.functions import html as H
+    pages = ["<p>a < b\n c > d</p><li>x &amp;lt; y&nbsp; z\u00a0\u2003w", "<b\nclass=x>open</b>\r\n\t two\x0bthree \x85 four\u2028five", "<<p>>&#39;&copy;<br/>", "", None,
+             "no tags", "\n\n<i>\n</i> <style>\n</style>k<!-- \n -->l"]
+    df = spark.createDataFrame([(i, p) for i, p in enumerate(pages)], "i int, h string")
+    plain = F.filter(F.transform(F.split(F.regexp_replace(H.visible("h"), H.BLOCK_TAGS, "\n"), "\n"), lambda p: H.strip_tags(p)), lambda s: s != "")
+    rows = df.select("i", H.html_lines("h").alias("a"), plain.alias("b")).collect()
+    assert [r.a for r in rows] == [r.b for r in rows] and rows[0].a[0] == "a < b"
+
+
+def test_labels_and_headers_of_lines(spark):
+    from hiresight.functions import html as H
+    cases = [(["x", "SIZE", "View company", "Quy mô", "10-20"], "10-20", ("", "", "")), (["Sizes: 3", "size: 4", "9 usd", "Hà Nội"], "4", ("Hà Nội", "", "")),
+             (["Company size 7", "Negotiable", "Benefits", "y"], "7", ("", "", "")), (["Size"], "", ("", "", "")), ([], "", ("", "", "")),
+             (["a", None, "1 usd", "b", "c", "d", "e"], "", ("b", "c", "d")), (["size\n"], "", ("", "", ""))]
+    df = spark.createDataFrame([(i, c[0]) for i, c in enumerate(cases)], "i int, l array<string>")
+    for r in df.select("i", H.labelled_value("l", H.SIZE_LABELS, max_len=80).alias("v"), H.header_fields("l").alias("h")).collect():
+        assert (r.v, tuple(r.h)) == cases[r.i][1:], r
+    (r,) = spark.createDataFrame([(None,)], "l array<string>").select(H.labelled_value("l", ["Size"]).alias("v"), H.header_fields("l").alias("h")).collect()
+    assert (r.v, tuple(r.h)) == ("", ("", "", ""))
+
+
+def posting_tables(spark, path, rows):
+    spark.range(rows).selectExpr("id o_orderkey", "id % 500 o_custkey", "1e5 + id * 7919 % 400000 o_totalprice").coalesce(1).write.parquet(f"{path}/orders.parquet")
+    spark.range(500).selectExpr("id c_custkey", "concat('c', id) c_name").coalesce(1).write.parquet(f"{path}/customer.parquet")
+    return str(path)
+
+
+def test_postings_are_dealt_out_over_tasks(spark, tmp_path):
+    from hiresight.sources.postings import raw_postings
+    raw = raw_postings(spark, posting_tables(spark, tmp_path, 200_000))
+    per_task = [r["n"] for r in raw.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert len(per_task) >= 8 and sum(per_task) == 200_000 and max(per_task) < 50_000
+
+
+def test_exact_samples_take_the_level_targets(spark, tmp_path):
+    from hiresight.operators.sampling import balance_levels
+    from hiresight.plans import clean as C
+    from hiresight.plans.catalog import queries
+    sf = posting_tables(spark, tmp_path, 20_000)
+    got = sorted(map(tuple, queries()["sample_exact_n"](spark, sf).collect()))
+    assert got == sorted(map(tuple, balance_levels(C.enriched_layer(spark, sf)).select("post_id", "level").collect()))
+    assert 2 * len(got) > C.enriched_layer(spark, sf).count() > 1000

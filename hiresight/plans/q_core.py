@@ -197,9 +197,10 @@ FROM (SELECT post_id, unnest({O.skills_sql('description')}) AS skill FROM postin
 GROUP BY post_id, l.v"""))
 def q_skill_categories(spark, sf):
     """How many skills of each category a posting asks for; counted inside the row, no shuffle."""
-    cats = F.transform(K.skill_extract(F.col("description")), lambda s: F.element_at(K.skill_attr_map("category"), s))
-    counted = F.transform(F.array_distinct(cats), lambda c: F.struct(
-        c.alias("category"), F.size(F.filter(cats, lambda x: x == c)).cast("long").alias("n")))
+    found = F.transform(K.skill_extract(F.col("description")), lambda s: F.element_at(K.skill_attr_map("category"), s))
+    # bound once a row: the lambda over the categories would extract the skills again for each of them
+    counted = T.let(found, lambda cats: F.transform(F.array_distinct(cats), lambda c: F.struct(
+        c.alias("category"), F.size(F.filter(cats, lambda x: x == c)).cast("long").alias("n"))))
     return C.postings(spark, sf).select("post_id", F.inline(counted))
 
 

@@ -6,7 +6,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from hiresight.functions import skills as K
 from hiresight.operators import ml as M
+from hiresight.operators.relational import concat_text
+from hiresight.plans import q_core
 
 
 def _rows(n=400):
@@ -48,3 +51,23 @@ def test_scores_match_spark_aggregates(spark):
 
 def test_scores_of_no_rows(spark):
     assert M.select_k_best(spark.createDataFrame([], DDL), FEATS, 3).collect() == []
+
+
+def test_categories_extract_the_skills_once_a_row(spark, monkeypatch):
+    rows = [(1, "Python, Django and SQL; docker on AWS"), (2, ""), (3, None)]
+    monkeypatch.setattr(q_core.C, "postings", lambda s, d: s.createDataFrame(rows, "post_id long, description string"))
+    got = q_core.q_skill_categories(spark, "")
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract_all") == 1
+    found = spark.createDataFrame(rows, "post_id long, description string").select(K.skill_extract("description")).first()[0]
+    category = {e[0]: e[1] for e in K.lexicon_entries()}
+    want = {}
+    for s in found:
+        want[category[s]] = want.get(category[s], 0) + 1
+    assert want and sorted(map(tuple, got.collect())) == sorted((1, c, n) for c, n in want.items())
+
+
+def test_concat_text_strips_all_unicode_white_space(spark):
+    pad = "".join(chr(i) for i in range(0x3100) if chr(i) in "\t\n\x0b\x0c\r \x85\xa0     　" or 0x2000 <= i <= 0x200A)
+    df = spark.createDataFrame([(f"{pad}a {pad} b", f"c{pad}\n"), (pad, None), ("​x​", "")], "job_description string, qualifications string")
+    pattern = F.regexp_replace(F.concat(F.lit(" "), F.coalesce("job_description", F.lit("")), F.lit(" "), F.coalesce("qualifications", F.lit(""))), "(?U)^\\s+|\\s+$", "")
+    assert [r[0] for r in df.select(concat_text(df)).collect()] == [r[0] for r in df.select(pattern).collect()]

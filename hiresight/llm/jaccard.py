@@ -40,6 +40,9 @@ SKETCH_BITS = 18
 #: members of a star that one task joins; larger stars go by chunks
 STAR, CHUNK = 256, 2048
 BUCKET, FANOUT = 32, 8
+#: bits of a shingle that the counts of the first step leave out (of 64); where two shingles then
+#: look alike neither counts as a set's own, so their sets stay in and nothing is lost
+DROPPED = 16
 #: share of the hash range whose shingles are counted for all sets; must leave
 #: a set of its own more such shingles than the first prefix takes
 COUNTED = 0.3
@@ -180,7 +183,7 @@ def _sets(size: int):
                 if rid is None:
                     rid = rids[digest] = base + len(rids)
                     c1, c2 = np.frombuffer(digest, "<i8").tolist()
-                    add(True, rid, doc, len(s), tkey, c1, c2, s[:np.searchsorted(s, limit)].view(np.int64))
+                    add(True, rid, doc, len(s), tkey, c1, c2, (s[:np.searchsorted(s, limit)] >> U(DROPPED)).view(np.int64))
                 add(False, rid, doc, len(s), None, None, None, None)
             if out["rid"]:
                 yield batch(schema, **out)

@@ -37,6 +37,22 @@ def test_jaccard_near_copies_of_near_copies(spark, bounds):
     assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == helpers.jaccard_components(rows, 4, 85)
 
 
+def test_jaccard_where_counted_shingles_look_alike(spark, monkeypatch):
+    import pyarrow as pa
+
+    from hiresight.llm import jaccard as J
+    docs = helpers.edge_docs(spark)
+    want = sorted(map(tuple, jaccard_components(docs).collect()), key=str)
+    text = " ".join(f"w{i}" for i in range(200))
+    with monkeypatch.context() as m:
+        m.setattr(J, "task_id", lambda: 0)
+        out = next(J._sets(4)(iter([pa.RecordBatch.from_arrays([pa.array([1]), pa.array([text.encode()]), pa.array([2])], ["d", "raw", "k"])])))
+    counted = out.column("counted").to_pylist()[0]
+    assert counted and max(counted) < 1 << (64 - J.DROPPED) <= 1 << 48
+    monkeypatch.setattr(J, "DROPPED", 61)  # no shingle is a set's own
+    assert sorted(map(tuple, jaccard_components(docs).collect()), key=str) == want
+
+
 def test_jaccard_empty(spark):
     assert jaccard_components(helpers.empty_docs(spark)).collect() == []
 

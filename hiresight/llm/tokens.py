@@ -27,16 +27,23 @@ def byte_table() -> dict[int, int]:
 
 
 class Memo(dict):
-    """word -> value(word); emptied when it holds too many."""
+    """word -> value(word), in two halves: when the new one is full it becomes the old one.
+
+    Words that come again move on to the new half, so what is dropped are words
+    that haven't been met for a while; at most ``MEMO_WORDS`` are held."""
 
     def __init__(self, value):
         super().__init__()
-        self.value = value
+        self.value, self.old = value, {}
 
     def __missing__(self, word):
-        if len(self) >= MEMO_WORDS:
+        if len(self) >= MEMO_WORDS // 2:
+            self.old = dict(self)
             self.clear()
-        v = self[word] = self.value(word)
+        v = self.old.get(word)
+        if v is None:
+            v = self.value(word)
+        self[word] = v
         return v
 
 
@@ -63,7 +70,7 @@ class Encoder:
         self.special = [t["content"] for t in spec.get("added_tokens", [])]
         self.other_space, self.tok, self.counts = re.compile(OTHER_SPACE).search, tok, counts
         pieces, table, tokenize = regex.compile(public_tokenizers.PATTERN).findall, byte_table(), tok.model.tokenize
-        swap = sys.byteorder != "little"
+        swap, space = sys.byteorder != "little", chr(table[32])
 
         def pack(ids):
             if counts:
@@ -81,8 +88,8 @@ class Encoder:
             if max(chunk, default="") >= "\u0250":  # beyond Latin, classes depend on the Unicode version
                 return pack(tok.encode(chunk, add_special_tokens=False).ids)
             body = chunk[1:] if chunk[:1] == " " else chunk
-            if body.isalpha():
-                return token[chunk]
+            if body.isalpha():  # kept by the caller's memo alone; letters of ASCII stand for themselves
+                return pack([k.id for k in tokenize(chunk.replace(" ", space))]) if chunk.isascii() else token.value(chunk)
             if body[:-1].isalpha() and body[-1] in ".,":
                 return join((token[chunk[:-1]], token[body[-1]]))
             return join([token[p] for p in pieces(chunk)])

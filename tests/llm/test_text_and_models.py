@@ -447,3 +447,15 @@ def test_pages_are_read_in_linear_time(piece):
     began = time.time()
     hw.parse(piece * (1_000_000 // len(piece)))
     assert time.time() - began < 4
+
+
+def test_memo_keeps_words_that_come_again(monkeypatch):
+    """A full memo drops words not met lately, never all of them."""
+    from hiresight.llm import tokens
+
+    monkeypatch.setattr(tokens, "MEMO_WORDS", 10)
+    asked = []
+    memo = tokens.Memo(lambda w: asked.append(w) or w.upper())
+    for i in range(100):
+        assert memo["often"] == "OFTEN" and memo[f"once{i}"] == f"ONCE{i}"
+    assert asked.count("often") == 1 and len(memo) + len(memo.old) <= 10

@@ -19,7 +19,6 @@ from __future__ import annotations
 
 import hashlib
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -143,10 +142,46 @@ END = {"doc": pa.int64(), "text_hash": pa.int64(), "side": pa.int32(), "unit": p
 END_DDL = "doc long, text_hash long, side int, unit long, gap long, run long, n_units long, firsts array<long>, a_doc long, a_hash long, a_unit long"
 
 
-def _place(tie: int) -> int:
+def _place(tie: np.ndarray) -> np.ndarray:
     return tie >> 5 & 0x7FFFFFF
 
 
+def _run_ends(doc: np.ndarray, tie: np.ndarray, first_doc: np.ndarray, first_tie: np.ndarray, least: int) -> dict[str, pa.Array] | None:
+    """The two ends of every run of ``least`` words or more among the units of some documents, sorted and all different."""
+    new = np.ones(len(tie), bool)
+    new[1:] = (doc[1:] != doc[:-1]) | (tie[1:] >> 5 != (tie[:-1] >> 5) + 1)
+    size = np.diff(np.append(np.flatnonzero(new), len(tie)))
+    enough = np.repeat(np.add.reduceat(tie & 31, np.flatnonzero(new)) >= least, size)
+    if not enough.any():
+        return None
+    doc, tie, first_doc, first_tie, new = (x[enough] for x in (doc, tie, first_doc, first_tie, new))
+    starts, run, n = np.flatnonzero(new), np.cumsum(new) - 1, len(tie)
+    stops = np.append(starts[1:], n)
+    # words of the units of a run that occur first in step with each other
+    step = (_place(first_tie) - _place(tie), first_tie >> 32, first_doc, run)
+    order = np.lexsort(step)
+    other = np.ones(n, bool)
+    other[1:] = np.logical_or.reduce([x[order][1:] != x[order][:-1] for x in step])
+    group = np.empty(n, np.int64)
+    group[order] = np.cumsum(other) - 1
+    words = np.bincount(group, tie & 31).astype(np.int64)[group]
+    good = words >= np.minimum(2 * WINDOW, np.maximum.reduceat(words, starts))[run]
+    at = np.arange(n)
+    sums = np.concatenate([[0], np.cumsum(tie & 31)])
+    left, right = np.minimum.reduceat(np.where(good, at, n), starts), np.maximum.reduceat(np.where(good, at, -1), starts)
+    k = np.concatenate([left, right])
+    # the different first documents of a run, ascending
+    order = np.lexsort((first_doc, run))
+    value, of = first_doc[order], run[order]
+    one = np.ones(n, bool)
+    one[1:] = (value[1:] != value[:-1]) | (of[1:] != of[:-1])
+    many, values = np.bincount(of[one], minlength=len(starts)), value[one]
+    firsts = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(np.tile(many, 2))]), pa.int32()), pa.array(np.tile(values, 2)))
+    return {"doc": doc[k], "text_hash": tie[k] >> 32, "side": np.repeat([LEFT, RIGHT], len(starts)).astype(np.int32), "unit": _place(tie[k]),
+            "gap": np.concatenate([sums[left] - sums[starts], sums[stops] - sums[right + 1]]), "run": np.tile(_place(tie[starts]), 2),
+            "n_units": np.tile(stops - starts, 2), "firsts": firsts, "a_doc": first_doc[k], "a_hash": first_tie[k] >> 32, "a_unit": _place(first_tie[k])}
+
+
 def _ends(least: int):
     """Two rows a run of repeated units of ``least`` words or more: the unit that its
     left or right end is compared from, ``gap`` words inside, and where that occurs first."""
@@ -154,33 +189,20 @@ def _ends(least: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out: dict[str, list] = {n: [] for n in END}
-            for doc, found in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                found = sorted({(r["tie"], r["first_doc"], r["first_tie"]) for r in found})  # repeated rows are alike
-                i = 0
-                while i < len(found):
-                    j = i + 1
-                    while j < len(found) and found[j][0] >> 5 == (found[j - 1][0] >> 5) + 1:
-                        j += 1
-                    units = found[i:j]
-                    i = j
-                    if sum(x[0] & 31 for x in units) < least:
-                        continue
-                    step = [(d, t >> 32, _place(t) - _place(tie)) for tie, d, t in units]
-                    words = Counter()
-                    for x, (tie, _, _) in zip(step, units):
-                        words[x] += tie & 31
-                    enough = min(2 * WINDOW, max(words.values()))
-                    firsts = sorted({x[1] for x in units})
-                    for side, order in ((LEFT, 1), (RIGHT, -1)):
-                        k = next(k for k in range(len(units))[::order] if words[step[k]] >= enough)
-                        outside = units[:k] if side == LEFT else units[k + 1:]
-                        tie, a_doc, a_tie = units[k]
-                        for n, v in zip(END, (doc, tie >> 32, side, _place(tie), sum(x[0] & 31 for x in outside), _place(units[0][0]), len(units), firsts,
-                                              a_doc, a_tie >> 32, _place(a_tie))):
-                            out[n].append(v)
-            if out["doc"]:
-                yield batch(schema, **out)
+            found = b.column(1)
+            units = found.flatten()  # of all rows, end to end
+            row = np.repeat(np.arange(b.num_rows), found.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+            tie, first_doc, first_tie = (x.to_numpy(zero_copy_only=False) for x in units.flatten())
+            order = np.lexsort((first_tie, first_doc, tie, row))
+            cols = [x[order] for x in (row, tie, first_doc, first_tie)]
+            new = np.ones(len(order), bool)
+            new[1:] = np.logical_or.reduce([x[1:] != x[:-1] for x in cols])  # repeated rows are alike
+            row, *cols = (x[new] for x in cols)
+            if len(row):
+                # rows are told apart by their number: two texts of one id are two rows
+                out = _run_ends(row, *cols, least)
+                if out:
+                    yield batch(schema, **(out | {"doc": b.column(0).to_numpy()[out["doc"]]}))
 
     return run
 

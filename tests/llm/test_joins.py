@@ -129,6 +129,32 @@ def test_copies_of_51_words_are_found_and_covered_whole(spark):
     assert all(r.doc_id // 10 * 10 + 2 in r.first_doc_ids for r in got)  # short units may stand earlier elsewhere
 
 
+def test_ends_of_runs_are_what_a_walk_over_the_units_finds():
+    import numpy as np
+    rng = random.Random(53)
+    for _ in range(200):
+        units, place = [], 0
+        for _ in range(rng.randrange(1, 50)):
+            place += rng.choice((1, 1, 1, 1, 2))
+            units.append((7 << 32 | place << 5 | rng.randrange(1, 17), rng.choice((1, 2, 2)), rng.randrange(2) << 32 | place + rng.choice((5, 5, 9)) << 5 | 3))
+        runs = [[units[0]]]
+        for u in units[1:]:
+            runs[-1].append(u) if u[0] >> 5 == (runs[-1][-1][0] >> 5) + 1 else runs.append([u])
+        want = []
+        for run in runs:
+            if sum(t & 31 for t, _, _ in run) < 21:
+                continue
+            step = [(d, f >> 32, (f >> 5 & 0x7FFFFFF) - (t >> 5 & 0x7FFFFFF)) for t, d, f in run]
+            words = {s: sum(u[0] & 31 for u, x in zip(run, step) if x == s) for s in step}
+            good = [i for i, s in enumerate(step) if words[s] >= min(16, max(words.values()))]
+            for side, k, outside in ((0, good[0], run[:good[0]]), (1, good[-1], run[good[-1] + 1:])):
+                want.append((side, run[k][0] >> 5 & 0x7FFFFFF, sum(u[0] & 31 for u in outside), run[0][0] >> 5 & 0x7FFFFFF, len(run), sorted({u[1] for u in run}), run[k][1]))
+        got = sd._run_ends(np.zeros(len(units), np.int64), *np.array(units, np.int64).T, 21)
+        rows = [] if got is None else zip(*[np.asarray(got[c]).tolist() if c != "firsts" else got[c].to_pylist()
+                                            for c in ("side", "unit", "gap", "run", "n_units", "firsts", "a_doc")])
+        assert sorted(want) == sorted(rows)
+
+
 def test_cuts_depend_on_the_words_around_alone():
     rng = random.Random(52)
     hashes = sd.Hashes()

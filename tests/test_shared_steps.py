@@ -11,7 +11,7 @@ from hiresight.functions.parsing import clean_city, parse_years
 from hiresight.functions.skills import slot_lookup
 from hiresight.functions.text import contains_any, normalise_for_skills, normalise_words_only
 from hiresight.operators.enrich import combo_flags
-from hiresight.operators.sampling import flag_exact_global, sample_exact_global
+from hiresight.operators.sampling import balance_all, flag_exact_global, sample_exact_global, whole_rows
 
 
 def plan(df) -> str:
@@ -67,3 +67,24 @@ def test_a_small_sample_is_a_top_k_of_the_same_rows(spark, n):
     assert "Window" not in plan(got)
     flagged = flag_exact_global(df, count=n, flag="_in").where("_in = 1").drop("_in")
     assert sorted(got.collect()) == sorted(flagged.collect()) and got.count() == min(n, 500)
+
+
+def test_whole_rows_takes_as_many_of_equal_rows_as_were_chosen(spark):
+    rows = [(1, "a", 1.0, "x"), (1, "a", 1.0, "y"), (1, "a", 1.0, "z"), (2, "a", None, "u"), (None, "a", 2.0, "v"), (None, "b", 2.0, "w"), (3, "a", 9.0, "t")]
+    df = spark.createDataFrame(rows, "post_id long, level string, salary double, text string").repartition(3)
+    chosen = spark.createDataFrame([(1, "a", 1.0)] * 2 + [(2, "a", None), (None, "a", 2.0)], "post_id long, level string, salary double")
+    got = sorted(r.text for r in whole_rows(df, chosen, ["post_id", "level", "salary"]).collect())
+    assert len(got) == 4 and got[:2] == ["u", "v"] and set(got[2:]) < {"x", "y", "z"}
+
+
+def test_balancing_writes_no_whole_rows_of_those_not_drawn(spark, monkeypatch):
+    """Rows of each level, salary and text; only ids, classes, salaries and buckets may be written for all of them."""
+    from hiresight import session
+    df = spark.range(4000).selectExpr("id AS post_id", "CASE id % 3 WHEN 0 THEN 'Junior' WHEN 1 THEN 'Middle' ELSE 'Expert' END AS level",
+                                      "CAST(6 + id % 60 AS DOUBLE) AS salary", "'Hanoi' AS city", "CAST(id AS STRING) AS description")
+    written, plain = [], session.materialise
+    monkeypatch.setattr(session, "materialise", lambda d, *a: written.append(plain(d, *a)) or written[-1])
+    out = balance_all(df)
+    assert all(w.count() <= 1800 for w in written if "description" in w.columns) and any(w.count() == 4000 for w in written)
+    got = out.collect()
+    assert len(got) == 1800 and all(r.description == str(r.post_id) for r in got)

@@ -29,7 +29,8 @@ def baskets_from_pairs(pairs: DataFrame, basket_col: str, item_col: str) -> Data
 def skill_matrix(df: DataFrame, vocabulary, skills_col: str = "skills") -> DataFrame:
     """Basket per posting restricted to the vocabulary (the boolean matrix, sparse)."""
     vocab = F.array(*[F.lit(v) for v in dict.fromkeys(vocabulary)])
-    return df.select("*", F.array_sort(F.array_intersect(F.array_distinct(F.col(skills_col)), vocab)).alias("items"))
+    # an intersection has no repeats and, as the vocabulary, no nulls
+    return df.select("*", F.sort_array(F.array_intersect(F.col(skills_col), vocab)).alias("items"))
 
 
 def frequent_itemsets(baskets: DataFrame, min_support: float = 0.03, items_col: str = "items") -> DataFrame:

@@ -11,6 +11,7 @@ from hiresight.functions.parsing import clean_city, parse_years
 from hiresight.functions.skills import slot_lookup
 from hiresight.functions.text import contains_any, normalise_for_skills, normalise_words_only
 from hiresight.operators.enrich import combo_flags
+from hiresight.operators.rules import skill_matrix
 from hiresight.operators.sampling import balance_all, flag_exact_global, sample_exact_global, whole_rows
 
 
@@ -88,3 +89,10 @@ def test_balancing_writes_no_whole_rows_of_those_not_drawn(spark, monkeypatch):
     assert all(w.count() <= 1800 for w in written if "description" in w.columns) and any(w.count() == 4000 for w in written)
     got = out.collect()
     assert len(got) == 1800 and all(r.description == str(r.post_id) for r in got)
+
+
+def test_baskets_without_an_interpreted_sort(spark):
+    df = spark.createDataFrame([(["sql", "b", "aws", "sql", None],), ([],), (None,)], "skills array<string>")
+    m = skill_matrix(df, ["sql", "aws", "sql", "git"])
+    assert [r.items_ for r in m.withColumnRenamed("items", "items_").collect()] == [["aws", "sql"], [], None]
+    assert "lambdafunction" not in plan(m)

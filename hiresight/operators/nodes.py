@@ -8,6 +8,10 @@ numbered t0 to t1 - 1.  Lines of text are rows of their own (``ord``, ``text``),
 so no text is stored twice.  An element lies inside another when its number lies
 in the other's interval: container walks, children, siblings and texts are joins
 on the page and on numbers.
+
+The rules need one page at a time, so they read a page right after its fold, in
+the task that folded it, and no element leaves it.  Only pages that share their
+key are one page to the rules: their elements meet as tables, by joins.
 """
 
 from __future__ import annotations
@@ -16,7 +20,7 @@ import html as _html
 import itertools
 import re
 import sys
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -26,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import html as H
+from ..functions.constants import NOISE_LINES, SALARY_HEADER_EXACT, SALARY_HEADER_UNITS, SECTION_STOP_WORDS
 from ..functions.text import text_clean
 from ..session import materialise
 
@@ -39,16 +44,37 @@ ENDS = {"li": ("li", ("ul", "ol")), "dt": ("dt dd", ("dl",)), "dd": ("dt dd", ("
         "td": ("td th", ("tr", "table")), "th": ("td th", ("tr", "table")), "option": ("option", ("select",))}
 BLOCKS = frozenset("address article aside div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
 
-#: a comment, a tag (an attribute's unquoted part holds no '<'), a run of text, or a lone '<'
-TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?/]?[a-zA-Z](?:[^<>"']++|"[^"]*+"|'[^']*+')*+>|[^<]++|<""", re.DOTALL)
+#: a tag without quotes, a run of text, a comment, a tag (an attribute's unquoted part holds no '<'), or a lone '<'
+TOKEN = re.compile(r"""</?[a-zA-Z][^<>"']*+>|[^<]++|<!--.*?(?:-->|\Z)|<[!?/]?[a-zA-Z](?:[^<>"']++|"[^"]*+"|'[^']*+')*+>|<""", re.DOTALL)
 NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
 ATTRIBUTE = {a: re.compile(rf"""[\s"']{a}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.IGNORECASE) for a in ("class", "href")}
 SILENT_END = {t: re.compile(rf"</{t}[\s>]", re.IGNORECASE) for t in SILENT}
-BREAKS = re.compile("[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]")
 
 FIELDS = ("node", "last", "parent", "place", "depth", "tag", "class", "href", "t0", "t1")
 
 
+SKIPPED, END, PLAIN, MORE = range(4)
+#: what short tags say: pages are made of few different ones
+_TAGS: dict[str, tuple] = {}
+
+
+def _tag(piece: str) -> tuple:
+    """What a tag or comment says: (SKIPPED, END, PLAIN for a start tag, or MORE for one that ends others or stays empty; name, class, href)."""
+    name = NAME.match(piece)
+    tag, kind, values = name.group(1).lower() if name else "", SKIPPED, (None, None)
+    if name and piece[1] == "/":
+        kind = END
+    elif name:
+        kind = MORE if tag in ENDS or tag in BLOCKS or tag in VOID or tag in SILENT else PLAIN
+        if "=" in piece:
+            values = tuple(next((_html.unescape(g) for g in m.groups() if g is not None), "") if (m := r.search(piece)) else None for r in ATTRIBUTE.values())
+    if len(piece) <= 64:
+        if len(_TAGS) >= 4096:
+            _TAGS.clear()
+        _TAGS[piece] = (kind, tag, *values)
+    return (kind, tag, *values)
+
+
 def fold(page: str) -> tuple[list[list], list[str]]:
     """(elements, lines of text) of a page, in page order.
 
@@ -57,61 +83,82 @@ def fold(page: str) -> tuple[list[list], list[str]]:
     """
     nodes: list[list] = []
     lines: list[str] = []
-    stack: list[int] = []
+    stack: list[list] = []  # the open elements
     open_: dict[str, int] = {}
     kids: list[int] = []
+    number = 0
 
     def close(down_to: int) -> None:
         while len(stack) > down_to:
-            n = nodes[stack.pop()]
-            n[1], n[9] = len(nodes) - 1, len(lines)
+            n = stack.pop()
+            n[1], n[9] = number - 1, len(lines)
             open_[n[5]] -= 1
 
     def end_of(names: str, inside: tuple[str, ...]) -> None:
         down_to = len(stack)
         for i in range(len(stack) - 1, -1, -1):
-            tag = nodes[stack[i]][5]
+            tag = stack[i][5]
             if tag in inside:
                 break
             if tag in names.split():
                 down_to = i
         close(down_to)
 
-    at = 0
-    while at < len(page):
-        token = TOKEN.match(page, at)
-        at, piece = token.end(), token.group()
-        if piece[0] != "<" or piece == "<":
-            for line in BREAKS.split(_html.unescape(piece)):
-                line = " ".join(line.split())
-                if line:
-                    lines.append(line)
-            continue
-        name = NAME.match(piece)
-        if not name:
-            continue
-        tag = name.group(1).lower()
-        if piece[1] == "/":
-            if open_.get(tag):
-                close(max(i for i in range(len(stack)) if nodes[stack[i]][5] == tag))
-            continue
-        if tag in ENDS:
-            end_of(*ENDS[tag])
-        elif tag in BLOCKS and open_.get("p"):
-            end_of("p", ("div", "li", "td", "th", "article", "section", "button"))
-        found = {a: next((_html.unescape(g) for g in m.groups() if g is not None), "") if (m := r.search(piece)) else None for a, r in ATTRIBUTE.items()}
-        parent = stack[-1] if stack else -1
-        if parent >= 0:
-            kids[parent] += 1
-        number = len(nodes)
-        nodes.append([number, number, parent, kids[parent] if parent >= 0 else 0, len(stack), tag, found["class"], found["href"], len(lines), len(lines)])
-        kids.append(0)
-        if tag in SILENT:
-            m = SILENT_END[tag].search(page, at)
-            at = len(page) if not m else page.find(">", m.start()) + 1 or len(page)
-        elif tag not in VOID:
-            stack.append(number)
+    def pieces(at: int) -> Iterator[str]:
+        nonlocal end
+        for token in TOKEN.finditer(page, at):
+            end = token.end()
+            yield token.group()
+
+    end, left = -1, iter(TOKEN.findall(page))  # all at once, and one by one after the first silent element
+    while left:
+        for piece in left:
+            if piece[0] != "<" or piece == "<":
+                for line in (_html.unescape(piece) if "&" in piece else piece).splitlines():
+                    if words := line.split():
+                        lines.append(" ".join(words))
+                continue
+            kind, tag, class_, href = _TAGS.get(piece) or _tag(piece)
+            if kind == END:
+                if stack and stack[-1][5] == tag:
+                    n = stack.pop()
+                    n[1], n[9] = number - 1, len(lines)
+                    open_[tag] -= 1
+                elif open_.get(tag):
+                    i = len(stack) - 1
+                    while stack[i][5] != tag:
+                        i -= 1
+                    close(i)
+                continue
+            if kind == SKIPPED:
+                continue
+            if kind == MORE:
+                if tag in ENDS:
+                    end_of(*ENDS[tag])
+                elif open_.get("p") and tag in BLOCKS:
+                    end_of("p", ("div", "li", "td", "th", "article", "section", "button"))
+            text = len(lines)
+            if stack:
+                parent = stack[-1][0]
+                place = kids[parent] = kids[parent] + 1
+                node = [number, number, parent, place, len(stack), tag, class_, href, text, text]
+            else:
+                node = [number, number, -1, 0, 0, tag, class_, href, text, text]
+            nodes.append(node)
+            kids.append(0)
+            number += 1
+            if kind == MORE:
+                if tag in SILENT:
+                    end = len(page) - sum(map(len, left)) if end < 0 else end  # pieces leave nothing out
+                    m = SILENT_END[tag].search(page, end)
+                    left = pieces(page.find(">", m.start()) + 1 or len(page)) if m else None
+                    break
+                if tag in VOID:
+                    continue
+            stack.append(node)
             open_[tag] = open_.get(tag, 0) + 1
+        else:
+            break
     close(0)
     return nodes, lines
 
@@ -225,6 +272,106 @@ def detail_links(nodes: Nodes, detail: str, url: str = "url") -> DataFrame:
     return found.where((F.col("text") != "") & ~F.lower("text").isin(NO_TITLES))
 
 
+# --- addresses, as ``functions.html`` has them (resolve, path_of, url_normalise): a '$' of its patterns also stands before a last line end
+_END = r"(?=(?:\r\n|[\n\r\x85\u2028\u2029])?\Z)"
+_QUERY = re.compile(rf"[?#][^\n\r\x85\u2028\u2029]*{_END}")
+_BASE = re.compile(r"(https?:)//[^/?#]+")
+_FOLDER = re.compile(r"https?://[^/]+(/(?:[^/]*/)*)")
+_PATH = re.compile(r"https?://[^/?#]+([^;?#]*)")
+_OPEN_TAIL = re.compile(rf"(?:\A|/)(?:\.{{1,2}})?{_END}")
+_FULL = re.compile("https?://", re.IGNORECASE | re.ASCII)
+_NO_PAGE = re.compile(r"\s*(?:javascript|mailto|tel|data):", re.IGNORECASE | re.ASCII)
+
+
+def _normalised(url: str) -> str:
+    if "?" in url or "#" in url:
+        url = _QUERY.sub("", url)
+    return re.sub(r";[^/]*\Z", "", url) if ";" in url else url
+
+
+def _path(url: str) -> str:
+    m = _PATH.match(url)
+    return m.group(1) if m else ""
+
+
+def resolver(page_url: str | None) -> Callable[[str], str | None]:
+    """href -> the absolute URL of a link on the page (None for a relative one on a page without URL)."""
+    url = page_url or ""
+    own = _QUERY.sub("", url)
+    base, folder = _BASE.match(url), _FOLDER.match(own)
+    host, scheme = (base.group(), base.group(1)) if base else ("", (re.match("https?:", url) or [""])[0])
+
+    def resolve(href: str) -> str | None:
+        h = href.strip(" ")
+        if "?" in h or "#" in h:
+            h = _QUERY.sub("", h)
+        if h and _FULL.match(h):
+            return _normalised(h)
+        if page_url is None:
+            return None
+        if not h:
+            return _normalised(own)
+        if h.startswith("//"):
+            return _normalised(scheme + h)
+        path = h if h[0] == "/" else (folder.group(1) if folder else "/") + h
+        steps, parts = [], [p for p in path.split("/") if p and p != "."]
+        for p in parts:
+            if p != "..":
+                steps.append(p)
+            elif steps:
+                steps.pop()
+        return _normalised(f"{host}/{'/'.join(steps)}{'/' if steps and _OPEN_TAIL.search(path) else ''}")
+
+    return resolve
+
+
+def page_links(nodes: list[list], lines: list[str], url: str | None, detail: re.Pattern) -> Iterator[tuple[list, str, str]]:
+    """(element, link, text) of a page's links to detail pages, without empty ones and buttons."""
+    resolve = None
+    for n in nodes:
+        if n[5] == "a" and n[7] is not None and n[8] < n[9] and not _NO_PAGE.match(n[7]):
+            resolve = resolve or resolver(url)
+            link = resolve(n[7])
+            if link is not None and detail.search(_path(link)):
+                text = " ".join(lines[n[8]:n[9]])
+                if text.lower() not in NO_TITLES:
+                    yield n, link, text
+
+
+def by_page(pages: DataFrame, columns: list[str], kept: int, rule: Callable, schema: T.StructType, many: bool = False) -> DataFrame:
+    """``rule(*columns, elements, lines)`` of every page, right after its fold; the last of ``columns`` is
+    the page.  The first ``kept`` columns stand before what the rule returns: a row, or ``many`` (a list of rows)."""
+    schema = T.StructType([*[pages.schema[c] for c in columns[:kept]], *schema.fields])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        out = to_arrow_schema(schema)
+        for b in batches:
+            found, of = [], []
+            for i, row in enumerate(zip(*(c.to_pylist() for c in b.columns))):
+                got = rule(*row[:-1], *fold(row[-1] or ""))
+                if many:
+                    found.extend(got)
+                    of.extend([i] * len(got))
+                else:
+                    found.append(got)
+            same = [b.column(i).take(pa.array(of, pa.int32())) if many else b.column(i) for i in range(kept)]
+            columns_ = [*zip(*found)] or [()] * (len(out) - kept)
+            yield pa.RecordBatch.from_arrays([*[c.cast(out.field(i).type) for i, c in enumerate(same)],
+                                              *[pa.array(c, out.field(kept + i).type) for i, c in enumerate(columns_)]], schema=out)
+
+    return pages.select(*columns).mapInArrow(run, schema)
+
+
+def apart(pages: DataFrame, key: str) -> tuple[DataFrame, DataFrame | None]:
+    """(pages, None) if every key names one page; else the pages that have their key alone (or none), and the others."""
+    again = materialise(pages.where(F.col(key).isNotNull()).groupBy(key).count().where("count > 1").select(key))
+    if again.isEmpty():
+        return pages, None
+    return by_key(pages, again, key, "left_anti"), by_key(pages, again, key, "left_semi")
+
+
 def cards(pages: DataFrame, key: str = "page_id", html: str = "html", url: str = "url", detail: str = "^/detail-jobs/", levels: int = 10) -> DataFrame:
     """One row a detail page that list pages link to: source_url, title, first_page, working_form.
 
@@ -234,6 +381,52 @@ def cards(pages: DataFrame, key: str = "page_id", html: str = "html", url: str =
     span of the card, that is one ('' if none is).  The first link in order of
     (page, place on the page) counts.
     """
+    alone, shared = apart(pages, key)
+    all_ = card_links(alone.where(F.col(key).isNotNull()), key, html, url, detail, levels)
+    if shared is not None:
+        all_ = all_.unionByName(_shared_card_links(shared, key, html, url, detail, levels))
+    first = all_.groupBy(F.col("link").alias("source_url")).agg(F.min(F.struct(F.col(key), F.col("node"), F.col("text"), F.col("form"))).alias("c"))
+    return first.select("source_url", F.col("c.text").alias("title"), F.col(f"c.{key}").alias("first_page"),
+                        H.working_form(F.array(F.coalesce(F.col("c.form"), F.lit("")))).alias("working_form"))
+
+
+def card_links(pages: DataFrame, key: str, html: str, url: str, detail: str, levels: int) -> DataFrame:
+    """(page, link, node, text, form) of the detail links of pages that have their key alone."""
+    wanted, forms = re.compile(detail, re.ASCII), frozenset(k for k, _ in H.WORKING_FORMS)
+
+    def rule(_key, address: str | None, nodes: list[list], lines: list[str]) -> list[tuple]:
+        found, shown, form_of, spans = [], {}, {}, None
+
+        def is_card(n: list) -> bool:
+            if n[0] not in shown:
+                text = " ".join(lines[n[8]:n[9]])
+                shown[n[0]] = len(text) > 50 and (CARD_CLASS in (n[6] or "") or any(w in text for w in CARD_WORDS))
+            return shown[n[0]]
+
+        for n, link, text in page_links(nodes, lines, address, wanted):
+            card, at = n[2], n[2]
+            for _ in range(levels):
+                if at < 0:
+                    break
+                up = nodes[at]
+                if up[5] in ("div", "article") and is_card(up):
+                    card = at
+                    break
+                at = up[2]
+            if card not in form_of:
+                if spans is None:  # the page's spans that name a form: (in a grid, element, text)
+                    spans = [(s[2] >= 0 and nodes[s[2]][5] == "div" and "grid" in (nodes[s[2]][6] or "") and "grid-cols" in nodes[s[2]][6], s, t) for s in nodes
+                             if s[5] == "span" and s[8] < s[9] and len(t := " ".join(lines[s[8]:s[9]])) <= 30 and t.lower() in forms]
+                inside = [(0, s[2], s[0], t) if grid and s[2] > card else (1, -1, s[0], t) for grid, s, t in spans if card < s[0] <= nodes[card][1]] if card >= 0 else []
+                form_of[card] = min(inside)[3] if inside else None
+            found.append((link, n[0], text, form_of[card]))
+        return found
+
+    return by_page(pages, [key, url, html], 1, rule, T.StructType.fromDDL("link string, node int, text string, form string"), many=True)
+
+
+def _shared_card_links(pages: DataFrame, key: str, html: str, url: str, detail: str, levels: int) -> DataFrame:
+    """``card_links`` of pages that share their key."""
     n = node_table(pages, key, html, keep=(url,))
     links = materialise(detail_links(n, detail, url).select(key, "node", "depth", "parent", "link", "text"))
     text, up = F.col("text"), n.with_texts(n.above(links, levels).where(F.col("tag").isin("div", "article")))
@@ -249,10 +442,7 @@ def cards(pages: DataFrame, key: str = "page_id", html: str = "html", url: str =
     in_grid = F.coalesce(F.col("grid") & (F.col("parent") > F.col("holder")), F.lit(False))
     form = spans.groupBy(key, F.col("holder").alias("card")).agg(
         F.min(F.struct(F.when(in_grid, 0).otherwise(1).alias("rank"), F.when(in_grid, F.col("parent")).alias("g"), F.col("node"), "text")).alias("f"))
-    all_ = by_key(link, form, [key, "card"], "left")
-    first = all_.groupBy(F.col("link").alias("source_url")).agg(F.min(F.struct(F.col(key), F.col("node"), F.col("text"), F.col("f.text").alias("form"))).alias("c"))
-    return first.select("source_url", F.col("c.text").alias("title"), F.col(f"c.{key}").alias("first_page"),
-                        H.working_form(F.array(F.coalesce(F.col("c.form"), F.lit("")))).alias("working_form"))
+    return by_key(link, form, [key, "card"], "left").select(key, "link", "node", "text", F.col("f.text").alias("form"))
 
 
 def labelled_values(pages: DataFrame, labels: list[str], key: str = "page_id", html: str = "html", max_len: int = 160, siblings: int = 4) -> DataFrame:
@@ -264,6 +454,49 @@ def labelled_values(pages: DataFrame, labels: list[str], key: str = "page_id", h
     the first that isn't empty, a label, noise or longer than ``max_len``.  Pages
     without such an element are read by lines (``functions.html.labelled_value``).
     """
+    alone, shared = apart(pages, key)
+    low = [x.lower() for x in labels]
+    leads = tuple(x.split()[0] for x in low)
+    hits = [(low_, low_ + ":", re.compile(re.escape(x) + r"\s*:?\s*", re.IGNORECASE | re.ASCII)) for x, low_ in zip(labels, low)]
+    barred = frozenset([*low, *NOISE_LINES])
+
+    def valued(text: str) -> str | None:
+        text = " ".join(text.split())
+        return text if text and len(text) <= max_len and text.lower() not in barred else None
+
+    def rule(page, nodes: list[list], lines: list[str]) -> tuple:
+        kids: dict[tuple[int, int], list] = {}
+        text_of = lambda n: " ".join(lines[n[8]:n[9]])
+        for n in nodes if page is not None else ():
+            if n[5] not in ("div", "span", "p", "label") or n[8] == n[9] or not lines[n[8]].lower().startswith(leads):
+                continue
+            text = text_of(n)
+            lowered = text.lower()
+            label = next((word for is_, with_colon, word in hits if lowered == is_ or lowered.startswith(with_colon)), None)
+            if label is None:
+                continue
+            m = label.match(text)
+            value = valued(text[m.end():] if m else text)
+            if value is None and n[2] >= 0:
+                kids = kids or {(k[2], k[3]): k for k in nodes}
+                near = (valued(text_of(kids[n[2], place])) for place in range(n[3] + 1, n[3] + siblings + 1) if (n[2], place) in kids)
+                value = next((v for v in near if v is not None), None)
+                if value is None:
+                    text = text_of(nodes[n[2]])
+                    m = label.search(text)
+                    value = valued(text[:m.start()] + text[m.end():] if m else text)
+            if value is not None:
+                return value, None
+        return None, lines
+
+    read = by_page(alone, [key, html], 1, rule, T.StructType.fromDDL("value string, lines array<string>"))
+    by_line = H.labelled_value(F.col("lines"), labels, max_len=max_len)
+    found = read.select(key, F.when(F.col("value").isNull(), by_line).otherwise(F.col("value")).alias("value"))
+    return found if shared is None else found.unionByName(_shared_labelled_values(shared, labels, key, html, max_len, siblings))
+
+
+def _shared_labelled_values(pages: DataFrame, labels: list[str], key: str, html: str, max_len: int, siblings: int) -> DataFrame:
+    """``labelled_values`` of pages that share their key."""
     n = node_table(pages, key, html)
     low = [x.lower() for x in labels]
     starts = lambda c, word: F.startswith(F.lower(c), F.lit(word))
@@ -308,6 +541,67 @@ def header_fields(pages: DataFrame, key: str = "page_id", html: str = "html", ur
     or more, else the title's parent; its lines after the salary, without title,
     salary and noise, are location, level and experience, up to a section word.
     """
+    alone, shared = apart(pages, key)
+    wanted, stops, noise = re.compile(detail, re.ASCII), frozenset(SECTION_STOP_WORDS), frozenset(NOISE_LINES)
+    names = ("job_title", "salary_raw", "location", "level", "experience")
+
+    def rule(page, address: str | None, nodes: list[list], lines: list[str]) -> tuple:
+        nothing = ("",) * len(names)
+        if page is None:
+            return nothing
+        here, title, of, is_salary = None if address is None else _path(address), None, None, {}
+        for n, link, text in page_links(nodes, lines, address, wanted):
+            own = here is not None and _path(link) == here
+            if own or of is None:
+                title, of = text, n
+            if own:
+                break
+        if of is None:
+            of = next((n for n in nodes if n[5] == "h1"), None)
+            if of is None:
+                return nothing
+            title = " ".join(lines[of[8]:of[9]])
+
+        def salary(line: str) -> bool:
+            if line not in is_salary:
+                is_salary[line] = line_is_salary(line)
+            return is_salary[line]
+
+        head, at = None, of
+        for _ in range(levels):
+            inside = list(dict.fromkeys(lines[at[8]:at[9]]))
+            if len(inside) >= 4 and title in " ".join(inside) and any(map(salary, inside)):
+                head = inside
+                break
+            if at[2] < 0:
+                break
+            at = nodes[at[2]]
+        if head is None:
+            if of[2] < 0:
+                return (title, *nothing[1:])
+            head = list(dict.fromkeys(lines[nodes[of[2]][8]:nodes[of[2]][9]]))
+        kept = [s for s in head if s != title or salary(s)]
+        at = next((i for i, s in enumerate(kept) if salary(s)), None)
+        if at is None:
+            return (title, *nothing[1:])
+        meta = [s for s in itertools.takewhile(lambda s: s.lower() not in stops, kept[at + 1:]) if len(s) <= 140 and s.lower() not in noise]
+        return (title, kept[at], *(meta + ["", "", ""])[:3])
+
+    found = by_page(alone, [key, url, html], 1, rule, T.StructType([T.StructField(c, T.StringType()) for c in names]))
+    return found if shared is None else found.unionByName(_shared_header_fields(shared, key, html, url, detail, levels))
+
+
+_DIGIT, _UNITS, _EXACT = re.compile("[0-9]"), tuple(SALARY_HEADER_UNITS), frozenset(SALARY_HEADER_EXACT)
+
+
+def line_is_salary(line: str) -> bool:
+    """``functions.html.line_is_salary`` of a line of ``fold``."""
+    low = line.lower()
+    return low in _EXACT or (len(line) <= 120 and _DIGIT.search(line) is not None and any(u in low for u in _UNITS))
+
+
+def _shared_header_fields(pages: DataFrame, key: str, html: str, url: str, detail: str, levels: int) -> DataFrame:
+    """``header_fields`` of pages that share their key."""
     n = node_table(pages, key, html, keep=(url,))
     links = detail_links(n, detail, url)
     h1 = n.with_texts(n.elements.where(F.col("tag") == "h1"))

@@ -166,3 +166,65 @@ def test_elements_by_column_equal_the_fold(spark):
     pages = ["<p class=a>x<b>y</b></p>z", "", None, "<a href='/q'>t</a>"]
     rows = N.node_table(list_frame(spark, *pages)).elements.orderBy("page_id", "node").collect()
     assert [tuple(r) for r in rows] == [(i, *n) for i, p in enumerate(pages) for n in N.fold(p or "")[0]]
+
+
+def test_rules_read_pages_where_they_are_folded(spark):
+    pages = list_frame(spark, "<div class='rounded-xl'>" + FILLER + "<a href='/detail-jobs/1'>Job</a></div>", "<h1>T</h1><p>Field: x</p>")
+    for df, exchanges in ((N.labelled_values(pages, ["Field"]), 0), (N.header_fields(pages), 0), (N.cards(pages), 1)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "MapInArrow" in plan and "Join" not in plan and plan.split("Initial Plan")[0].count("Exchange") == exchanges
+
+
+HREFS = ["/detail-jobs/1", "/detail-jobs/2?x#y", "../detail-jobs/3", "detail-jobs/4;a", "//h.example/detail-jobs/5", "javascript:x", "", "?q", "/detail-jobs/8/..", "/detail-jobs/9?a\nb", "HTTP://h.example/detail-jobs/7"]
+LINES = ["Industry", "Field:", "Industry: Bank", "Lĩnh vực", "LĨNH VỰC: Y", "Apply now", "Remote", "hybrid", "10 USD", "5 triệu", "Negotiable", "Hanoi", "Senior", "Benefits", "Job", FILLER, "VND", "x" * 200, "a &amp;\nb"]
+
+
+def random_rule_page(rng, depth=0):
+    out = []
+    for _ in range(rng.randrange(1, 5)):
+        r, tag = rng.random(), rng.choice(["div", "article", "span", "span", "p", "label", "b", "h1"])
+        if r < 0.4 or depth > 5:
+            out.append(rng.choice(LINES))
+        elif r < 0.55:
+            out.append(f"<a href='{rng.choice(HREFS)}'>{rng.choice(LINES)}</a>")
+        else:
+            out.append(f"<{tag}{rng.choice(['', '', ' class=rounded-xl', ' class=\"grid grid-cols-3\"'])}>{random_rule_page(rng, depth + 1)}</{tag}>")
+    return "".join(out)
+
+
+def test_rules_by_page_equal_rules_by_joins(spark):
+    rng = random.Random(11)
+    urls = ["https://h.example/detail-jobs/1?x", "https://h.example/list/a", "https://h.example", None]
+    rows = [(i, rng.choice(urls), random_rule_page(rng) if i % 50 else None) for i in range(400)]
+    df, labels = spark.createDataFrame(rows, "page_id int, url string, html string"), ["Industry", "Field", "Lĩnh vực"]
+    of = lambda d: sorted(map(str, d.select(*sorted(d.columns)).collect()))
+    links = of(N.card_links(df, "page_id", "html", "url", "^/detail-jobs/", 3))
+    assert len(links) > 50 and links == of(N._shared_card_links(df, "page_id", "html", "url", "^/detail-jobs/", 3))
+    assert of(N.labelled_values(df, labels)) == of(N._shared_labelled_values(df, labels, "page_id", "html", 160, 4))
+    assert of(N.header_fields(df)) == of(N._shared_header_fields(df, "page_id", "html", "url", "^/detail-jobs/", 12))
+
+
+def test_links_and_salary_lines_of_a_page_equal_the_columns(spark):
+    urls = ["https://h.example/a/b/list?page=2", "https://h.example", "http://h.example/a/b/#t", "h.example", "https:/x", None]
+    hrefs = [*HREFS, "/a/.\n", "a;b\n/c", "x?y\r\n", " /z ", "\t/z", "..", "./", "/a?b c", "HTTPS://x/y;z?q", "//w/;p"]
+    df = spark.createDataFrame([(u, h) for u in urls for h in hrefs], "u string, h string")
+    for r in df.select("u", "h", H.resolve(F.col("u"), F.col("h")).alias("link"), H.path_of(H.resolve(F.col("u"), F.col("h"))).alias("path")).collect():
+        link = N.resolver(r.u)(r.h)
+        assert link == r.link and (link is None or N._path(link) == r.path), (r.u, r.h)
+    lines = [*(" ".join(s.split()) for s in LINES), "THOẢ THUẬN", "usd", "1 vnd" + "x" * 115, "1 vnd" + "x" * 116, "٣ usd", "Login to view salary"]
+    for r in spark.createDataFrame([(s,) for s in lines], "s string").select("s", H.line_is_salary(F.col("s")).alias("is")).collect():
+        assert N.line_is_salary(r.s) == r["is"], r.s
+
+
+def test_cards_and_headers_of_pages_that_share_a_key(spark):
+    one, two = "<h1>T</h1><p>5 USD</p>", "<div><a href='/detail-jobs/1'>Job</a><span>Remote</span></div>"
+    df = spark.createDataFrame([(1, "https://h.example/l", one), (1, "https://h.example/l", one), (2, "https://h.example/l", two), (None, "https://h.example/l", two)],
+                               "page_id int, url string, html string")
+    # their texts run together; a page without a key has no elements
+    assert sorted((r.page_id or 0, r.job_title) for r in N.header_fields(df).collect()) == [(0, ""), (1, "T T"), (1, "T T"), (2, "Job")]
+    assert [tuple(r) for r in N.cards(df).collect()] == [("https://h.example/detail-jobs/1", "Job", 2, "Remote")]
+
+
+def test_fold_goes_on_after_silent_elements():
+    nodes, lines = N.fold("a<script>'<p>'</script><b>c</b><style>x</style>d<noscript><i></noscript >e<template>")
+    assert [n[5] for n in nodes] == ["script", "b", "style", "noscript", "template"] and lines == ["a", "c", "d", "e"]

@@ -132,9 +132,29 @@ def page_record(html, url, source: str, crawl_date: str) -> list:
 
 
 def page_records(pages, source: str, crawl_date: str, html: str = "html", url: str = "url", keep=()):
-    """``keep`` columns and the raw record of every page of a DataFrame."""
-    read = pages.select(*keep, html, url, html_lines(html).alias("_lines"), heading_sections(html).alias("_secs"), prose_blocks(html).alias("_blocks"))
-    return read.select(*keep, *page_record(html, url, source, crawl_date))
+    """``keep`` columns and the raw record of every page of a DataFrame: ``page_record``, read in one pass over a page."""
+    import pyarrow as pa
+    from pyspark.sql import types as T
+
+    from . import page_text
+
+    record, names, columns = page_text.record, page_text.FIELDS, [*keep, url]
+    schema = T.StructType([*[T.StructField(f"_{i}", pages.schema[c].dataType) for i, c in enumerate(columns)], *[T.StructField(n, T.StringType()) for n in names]])
+
+    def run(batches):
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        out = to_arrow_schema(schema)
+        for b in batches:
+            rows = [*zip(*map(record, b.column(len(columns)).to_pylist(), b.column(len(columns) - 1).to_pylist()))] or [()] * len(names)
+            yield pa.RecordBatch.from_arrays([*[b.column(i).cast(out.field(i).type) for i in range(len(columns))],
+                                              *[pa.array(r, out.field(len(columns) + i).type) for i, r in enumerate(rows)]], schema=out)
+
+    read = pages.select(*columns, html).mapInArrow(run, schema)
+    last = {"size": F.when(F.col("_text").isNotNull(), size_fallback("_text")).otherwise(F.col("size")), "crawl_date": F.lit(crawl_date),
+            "source_url": url_normalise(f"_{len(keep)}"), "source": F.lit(source)}
+    order = [*names[:-1], "crawl_date", "source_url", "source"]
+    return read.select(*[F.col(f"_{i}").alias(c) for i, c in enumerate(keep)], *[last.get(n, F.col(f"`{n}`")).alias(n) for n in order])
 
 
 def html_lines(html) -> Column:

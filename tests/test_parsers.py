@@ -242,3 +242,39 @@ def test_exact_samples_take_the_level_targets(spark, tmp_path):
     got = sorted(map(tuple, queries()["sample_exact_n"](spark, sf).collect()))
     assert got == sorted(map(tuple, balance_levels(C.enriched_layer(spark, sf)).select("post_id", "level").collect()))
     assert 2 * len(got) > C.enriched_layer(spark, sf).count() > 1000
+
+
+def test_records_in_one_pass_equal_the_columns(spark):
+    import random
+
+    from hiresight.functions import html as H
+    rng = random.Random(3)
+    texts = ["Size", "size : 10-20", "QUY MÔ: 9", "Industry", "Lĩnh vực:", "Địa điểm làm việc: Huế", "Negotiable", "10 - 20 triệu", "up to 1,500 USD", "99999999999999999999 vnd",
+             "1.2.3 vnd", "1 k vnd", "Hanoi", "Apply now", "ACME JSC", "Your role &amp; more", "Benefits", "yêu cầu", "x" * 130, "FULLTIME", "50 - 99 employees", "1-2\xa0NHÂN viên",
+             "é5 - 6 Employees", "&lt;b&gt;", "\n", "\r\n", " ", "\x1c", "\x85", " ", "<", ">", "a < b", "İ"]
+    tags = ["<p>", "</p>", "<div class='a>b'>", "</div>", "<br />", "<li>", "<h1>", "</h1>", "<h2>", "</h2>", "<b>", "</b>", "<B\n>", "<i>", "<article>", "</article>", "<script>", "</script>",
+            "<!--", "-->", "<title>", "</title>", "<a href='/jobs/7.html?x=1'>", "</a>", "<a\nhref='/jobs/7.html'>", "<td", "<span\nx>"]
+    urls = ["https://h.example/jobs/7.html?y#z", "/jobs/7.html", None, "", "https://h.example/a;b/c;d?e\n"]
+    rows = [(i, rng.choice(urls), "".join(rng.choice(tags if rng.random() < 0.45 else texts) for _ in range(rng.randrange(0, 40))) if i else None) for i in range(1500)]
+    df = spark.createDataFrame(rows, "id int, url string, html string")
+    got = H.page_records(df, "s", "2026-01-01", keep=["id"])
+    read = df.select("id", "html", "url", H.html_lines("html").alias("_lines"), H.heading_sections("html").alias("_secs"), H.prose_blocks("html").alias("_blocks"))
+    want = read.select("id", *H.page_record("html", "url", "s", "2026-01-01"))
+    assert got.schema.simpleString() == want.schema.simpleString()
+    # the page is read once, by one step: no column runs its own patterns over it
+    assert got._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    for a, b in zip(want.orderBy("id").collect(), got.orderBy("id").collect()):
+        assert a == b, rows[a.id]
+    assert H.page_records(df.limit(0), "s", "2026-01-01").collect() == []
+
+
+def test_salary_texts_in_plain_python_equal_the_columns(spark):
+    import random
+
+    from hiresight.functions import page_text
+    from hiresight.functions.salary import parse_salary_text_b
+    rng = random.Random(5)
+    parts = ["10", "20,5", ".", ",", "000", "123", " ", "k", "k ", "usd", "triệu", "up to", "from", "tới", "trên", "thoả thuận", "nghìn", "-", "9" * 19, "9223372036854775807", "9223372036854775808", "\xa0", "\x1c", "_", "é", "٣", "²"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(0, 7))) for _ in range(2000)]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", parse_salary_text_b("t").alias("p")).collect()
+    assert [r.t for r in rows if tuple(r.p) != page_text.parse_salary_text_b(r.t)] == []
